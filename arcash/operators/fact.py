@@ -36,7 +36,8 @@ class FactClean:
     are warned about, never removed)."""
 
     def __init__(self, clean, duplicates, conflicts, invalid_amounts, valid_amounts,
-                 invalid_dates, status_corrections, due_repair, raw_rows, cfg, p99=None):
+                 invalid_dates, status_corrections, due_repair, raw_rows, cfg, p99=None,
+                 status_derivation=None):
         self.clean = clean                            # FactInvoice (before the gates)
         self.duplicates = duplicates                  # every copy of a repeated invoice_id
         self.conflicts = conflicts                    # ids whose copies differ (gate)
@@ -45,6 +46,7 @@ class FactClean:
         self.invalid_dates = invalid_dates            # set aside
         self.status_corrections = status_corrections  # warned
         self.due_repair = due_repair                  # due-date decision per dated row
+        self.status_derivation = status_derivation    # canonical vs derived status per kept row
         self.raw_rows = raw_rows
         self._cfg = cfg
         self._p99 = p99
@@ -194,5 +196,7 @@ def clean_fact(raw: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.DEFAUL
         F.col("gst").alias("gst"),
         round_money(incl).alias("amount_incl_gst"),
         round_money(paid_final).alias("amount_paid"))
+    derivation = kept.select("invoice_id", F.col("_status_canon").alias("original_status"),
+                             F.col("_derived").alias("status"))
     return FactClean(clean, duplicates, conflicts, invalid_amounts, valid, invalid_dates,
-                     status_corrections, due_repair, raw, cfg, p99)
+                     status_corrections, due_repair, raw, cfg, p99, derivation)

@@ -39,8 +39,10 @@ def query(name: str):
     return deco
 
 
-def _star(spark, sf_dir, cfg=C.FORECAST) -> Star:
-    return star_for(spark, sf_dir, cfg)
+def _star(spark, sf_dir, cfg=C.FORECAST, materialize=True) -> Star:
+    """The run for a query. Materialised: tables read by several branches of a plan are
+    checkpointed once instead of being recomputed per branch."""
+    return star_for(spark, sf_dir, cfg, materialize)
 
 
 def _raw(spark, sf_dir, table):
@@ -181,10 +183,7 @@ def q_due_date_repair(spark, sf_dir):
 
 @query("derive_status")
 def q_derive_status(spark, sf_dir):
-    s = _star(spark, sf_dir)
-    corr = s.fact_clean.status_corrections.select("invoice_id", F.col("original_status").alias("_orig"))
-    return (s.fact_clean.clean.join(corr, on="invoice_id", how="left")
-            .select("invoice_id", F.coalesce("_orig", "status").alias("original_status"), "status"))
+    return _star(spark, sf_dir).fact_clean.status_derivation
 
 
 @query("normalise_payment")
@@ -384,7 +383,7 @@ def q_compare_runs(spark, sf_dir):
     """Previous run (snapshot one month earlier) vs this run: row counts and key totals."""
     from arcash.plans.publish import compare_runs, run_metrics
     cur = _star(spark, sf_dir)
-    prev = Star(cur.inputs, dataclasses.replace(cur.cfg, snapshot="2026-02-28"))
+    prev = Star(cur.inputs, dataclasses.replace(cur.cfg, snapshot="2026-02-28"), materialize=True)
     return compare_runs(run_metrics(prev.tables()), run_metrics(cur.tables()))
 
 

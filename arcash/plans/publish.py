@@ -43,7 +43,11 @@ def read_text(spark: SparkSession, path: str) -> Optional[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return None
-    return "\n".join(r.value for r in spark.read.text(path).collect())
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def export_tables(tables: Dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> None:

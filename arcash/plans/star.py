@@ -20,13 +20,30 @@ from arcash.operators.fact import clean_fact
 from arcash.operators.forecast import (forecast_by_invoice, forecast_weekly, lag_tables,
                                        stress_forecast)
 from arcash.operators.quality import apply_gates
+from arcash.session import ensure_checkpoint_dir
 from arcash.sources.derived import RawInputs, load_inputs
 
 
 class Star:
-    def __init__(self, inputs: RawInputs, cfg: C.RunConfig = C.FORECAST):
+    """All tables and review sets of one run.
+
+    With ``materialize=True`` the tables that many consumers read (customers, the gated
+    fact, the forecast, the small dimensions) are written once to the reliable checkpoint
+    folder (``spark.checkpoint.dir``) on first use: downstream plans then scan that data
+    instead of repeating the clean in every branch, plans stay small, and a lost executor
+    recomputes only from the last checkpoint.
+    """
+
+    def __init__(self, inputs: RawInputs, cfg: C.RunConfig = C.FORECAST, materialize: bool = False):
         self.inputs = inputs
         self.cfg = cfg
+        self.materialize = materialize
+
+    def _cut(self, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
 
     # ---- cleaning ------------------------------------------------------------------
     @cached_property
@@ -35,33 +52,33 @@ class Star:
 
     @cached_property
     def fact_clean(self):
-        return clean_fact(self.inputs.fact, self.customers.clean, self.cfg)
+        return clean_fact(self.inputs.fact, self.dim_customer, self.cfg)
 
     @cached_property
     def gated(self):
-        return apply_gates(self.fact_clean.clean, self.customers.clean, self.cfg)
+        return apply_gates(self.fact_clean.clean, self.dim_customer, self.cfg)
 
     # ---- the 8 published tables --------------------------------------------------------
-    @property
+    @cached_property
     def dim_customer(self) -> DataFrame:
-        return self.customers.clean
+        return self._cut(self.customers.clean)
 
     @cached_property
     def dim_category(self) -> DataFrame:
-        return dim_category(self.inputs.category)
+        return self._cut(dim_category(self.inputs.category))
 
     @cached_property
     def dim_payment_method(self) -> DataFrame:
-        return dim_payment_method(self.inputs.method)
+        return self._cut(dim_payment_method(self.inputs.method))
 
     @cached_property
     def dim_invoice_status(self) -> DataFrame:
-        return dim_invoice_status(self.inputs.status)
+        return self._cut(dim_invoice_status(self.inputs.status))
 
-    @property
+    @cached_property
     def fact(self) -> DataFrame:
         """FactInvoice as published: after the orphan / GST gates."""
-        return self.gated.fact
+        return self._cut(self.gated.fact)
 
     @cached_property
     def lags(self):
@@ -69,11 +86,11 @@ class Star:
 
     @cached_property
     def forecast_by_invoice(self) -> DataFrame:
-        return forecast_by_invoice(self.fact, self.dim_customer, self.cfg, self.lags)
+        return self._cut(forecast_by_invoice(self.fact, self.dim_customer, self.cfg, self.lags))
 
     @cached_property
     def forecast_weekly(self) -> DataFrame:
-        return forecast_weekly(self.forecast_by_invoice)
+        return self._cut(forecast_weekly(self.forecast_by_invoice))
 
     def _date_sources(self):
         return [(self.fact, ["issue_date", "due_date", "payment_date"]),
@@ -83,7 +100,7 @@ class Star:
     @cached_property
     def dim_date(self) -> DataFrame:
         """Every day from the earliest to the latest date used anywhere in the star."""
-        return dim_date(self._date_sources())
+        return self._cut(dim_date(self._date_sources()))
 
     def dim_date_fiscal(self) -> DataFrame:
         return dim_date_fiscal([(self.fact, ["issue_date", "due_date", "payment_date"])])
@@ -100,8 +117,9 @@ class Star:
         return {k: t[k] for k in C.LOAD_ORDER}
 
 
-def star_for(spark: SparkSession, sf_dir: str, cfg: C.RunConfig = C.FORECAST) -> Star:
-    return Star(load_inputs(spark, sf_dir), cfg)
+def star_for(spark: SparkSession, sf_dir: str, cfg: C.RunConfig = C.FORECAST,
+             materialize: bool = False) -> Star:
+    return Star(load_inputs(spark, sf_dir), cfg, materialize)
 
 
 def present(df: DataFrame) -> DataFrame:

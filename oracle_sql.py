@@ -394,3 +394,147 @@ SELECTS = {
 
 def oracle_sql() -> dict:
     return {k: with_blocks(v) for k, v in SELECTS.items()}
+
+
+# ---- gates, reports, calendars, scenarios (appended blocks) ---------------------------
+
+def _anti(name, child, col, parent, pcol, exempt):
+    cond = f" AND c.{col} IS NOT NULL" if exempt else ""
+    return (f"SELECT {q(name)} relation, count(*) violations FROM {child} c WHERE NOT EXISTS "
+            f"(SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col}){cond}")
+
+
+_REL = [
+    ("FactInvoice.customer_id -> DimCustomer", "fact", "customer_id", "cust", "customer_id", False),
+    ("FactInvoice.category -> DimCategory", "fact", "category", "dim_cat", "category", False),
+    ("FactInvoice.status -> DimInvoiceStatus", "fact", "status", "dim_st", "status", False),
+    ("FactInvoice.payment_method -> DimPaymentMethod", "fact", "payment_method", "dim_pm", "payment_method", True),
+    ("FactInvoice.issue_date -> DimDate", "fact", "issue_date", "dim_date", '"date"', True),
+    ("FactInvoice.due_date -> DimDate", "fact", "due_date", "dim_date", '"date"', True),
+    ("FactInvoice.payment_date -> DimDate", "fact", "payment_date", "dim_date", '"date"', True),
+    ("forecast_by_invoice.customer_id -> DimCustomer", "fbi", "customer_id", "cust", "customer_id", False),
+    ("forecast_by_invoice.status -> DimInvoiceStatus", "fbi", "status", "dim_st", "status", False),
+    ("forecast_by_invoice.expected_collection -> DimDate", "fbi", "expected_collection", "dim_date", '"date"', False),
+]
+SELECTS["referential_integrity"] = " UNION ALL ".join(_anti(*r) for r in _REL)
+
+SELECTS["quality_report"] = (
+    f"SELECT count(*) n_rows, count(*) FILTER (WHERE gst = 0 OR abs(gst * 11 - amount_incl_gst) <= 0.22) gst_ok, "
+    f"count(*) FILTER (WHERE gst = 0) gst_free, "
+    f"count(*) FILTER (WHERE abs(amount_incl_gst - (amount_excl_gst + gst)) <= 0.05) total_ok, "
+    f"count(*) FILTER (WHERE due_date >= issue_date) due_ok, "
+    f"count(*) FILTER (WHERE NOT (issue_date BETWEEN DATE '{START}' AND DATE '{END}')) issue_outside_period FROM fact")
+
+_tiers = ", ".join(q(t) for t in C.VALID_TIERS)
+_status = ", ".join(q(t) for t in C.VALID_STATUS)
+_CHECKS = {
+    ("DimCustomer", "cust"): [
+        ("nn_customer_id", "customer_id IS NOT NULL"), ("nn_customer_name", "customer_name IS NOT NULL"),
+        ("nn_industry", "industry IS NOT NULL"), ("nn_member_tier", "member_tier IS NOT NULL"),
+        ("ck_member_tier", f"member_tier IN ({_tiers})"), ("nn_payment_terms_days", "payment_terms_days IS NOT NULL"),
+        ("ck_payment_terms_days", "payment_terms_days IN (14, 30)"), ("nn_credit_limit", "credit_limit IS NOT NULL"),
+        ("ck_credit_limit", "credit_limit > 0")],
+    ("DimCategory", "dim_cat"): [("nn_category_id", "category_id IS NOT NULL"), ("nn_category", "category IS NOT NULL"),
+                                 ("nn_revenue_group", "revenue_group IS NOT NULL")],
+    ("DimPaymentMethod", "dim_pm"): [("nn_method_id", "method_id IS NOT NULL"), ("nn_payment_method", "payment_method IS NOT NULL"),
+                                     ("nn_method_type", "method_type IS NOT NULL")],
+    ("DimInvoiceStatus", "dim_st"): [("nn_status_id", "status_id IS NOT NULL"), ("nn_status", "status IS NOT NULL"),
+                                     ("ck_status", f"status IN ({_status})")],
+    ("DimDate", "dim_date"): [("nn_date_key", "date_key IS NOT NULL"), ("nn_date", '"date" IS NOT NULL'),
+                              ("ck_month_no", "month_no BETWEEN 1 AND 12")],
+    ("FactInvoice", "fact"): [
+        ("nn_invoice_id", "invoice_id IS NOT NULL"), ("nn_customer_id", "customer_id IS NOT NULL"),
+        ("nn_category", "category IS NOT NULL"), ("nn_status", "status IS NOT NULL"),
+        ("nn_issue_date", "issue_date IS NOT NULL"), ("nn_due_date", "due_date IS NOT NULL"),
+        ("nn_amounts", "amount_excl_gst IS NOT NULL AND gst IS NOT NULL AND amount_incl_gst IS NOT NULL AND amount_paid IS NOT NULL"),
+        ("ck_amount_excl_gst", "amount_excl_gst >= 0"), ("ck_gst", "gst >= 0"), ("ck_amount_incl_gst", "amount_incl_gst >= 0"),
+        ("ck_gst_rule", "gst = 0 OR abs(gst * 11 - amount_incl_gst) <= 0.22"),
+        ("ck_incl_sum", "abs(amount_incl_gst - (amount_excl_gst + gst)) <= 0.02"),
+        ("ck_due_after_issue", "due_date >= issue_date"),
+        ("ck_payment_only_when_paid", "(status = 'Paid' AND payment_date IS NOT NULL AND amount_paid > 0) OR "
+                                      "(status <> 'Paid' AND payment_date IS NULL AND amount_paid = 0)")],
+    ("forecast_by_invoice", "fbi"): [
+        ("nn_invoice_id", "invoice_id IS NOT NULL"), ("nn_customer_id", "customer_id IS NOT NULL"),
+        ("nn_customer_name", "customer_name IS NOT NULL"), ("nn_member_tier", "member_tier IS NOT NULL"),
+        ("nn_category", "category IS NOT NULL"), ("nn_status", "status IS NOT NULL"),
+        ("nn_issue_date", "issue_date IS NOT NULL"), ("nn_due_date", "due_date IS NOT NULL"),
+        ("nn_expected_collection", "expected_collection IS NOT NULL"), ("nn_already_overdue", "already_overdue IS NOT NULL"),
+        ("ck_forecast_amount_positive", "amount_incl_gst >= 0")],
+    ("forecast_weekly", "weekly"): [
+        ("ck_n_invoices", "n_invoices >= 0"), ("ck_normal_flow", "normal_flow >= 0"), ("ck_overdue_backlog", "overdue_backlog >= 0"),
+        ("ck_amount", "amount >= 0"), ("ck_cumulative", "cumulative >= 0"), ("ck_pct_of_book", "pct_of_book BETWEEN 0 AND 100")],
+}
+_UNIQUE = {"DimCustomer": ["customer_id"], "DimCategory": ["category_id", "category"],
+           "DimPaymentMethod": ["method_id", "payment_method"], "DimInvoiceStatus": ["status_id", "status"],
+           "DimDate": ['"date"', "date_key"], "FactInvoice": ["invoice_id"], "forecast_by_invoice": ["invoice_id"],
+           "forecast_weekly": ["week_start"]}
+_parts = []
+for (tname, cte), rules in _CHECKS.items():
+    for cname, expr in rules:
+        _parts.append(f"SELECT {q(tname)} table_name, {q(cname)} constraint_name, "
+                      f"count(*) FILTER (WHERE ({expr}) = false) violations FROM {cte}")
+    for key in _UNIQUE[tname]:
+        _parts.append(f"SELECT {q(tname)}, {q('unique_' + key.strip(chr(34)))}, count(*) FROM "
+                      f"(SELECT {key} FROM {cte} WHERE {key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+SELECTS["constraint_violations"] = " UNION ALL ".join(_parts)
+
+SELECTS["dim_date_fiscal"] = (
+    "SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) date_key, strftime(d, '%Y-%m-%d') AS \"date\", year(d) AS \"year\", "
+    "'Q' || quarter(d) AS quarter, month(d) month_no, strftime(d, '%b') month_name, strftime(d, '%b %Y') month_year, "
+    "'FY' || lpad(CAST((year(d) + CASE WHEN month(d) >= 7 THEN 1 ELSE 0 END) % 100 AS VARCHAR), 2, '0') fin_year, "
+    "'FQ' || quarter(d + INTERVAL 6 MONTH) fin_qtr, strftime(d, '%a') day_of_week, dayofweek(d) IN (0, 6) is_weekend, "
+    "last_day(d) = d is_month_end FROM (SELECT CAST(unnest(generate_series(lo, hi + 2, INTERVAL 1 DAY)) AS DATE) d FROM "
+    "(SELECT min(x) lo, max(x) hi FROM (SELECT issue_date x FROM fact UNION ALL SELECT due_date FROM fact "
+    "UNION ALL SELECT payment_date FROM fact)) WHERE lo IS NOT NULL)")
+
+SELECTS["stress_forecast"] = f"""
+SELECT shift_days, {iso('week_start')} week_start, n_invoices, CAST(normal_flow AS DOUBLE) normal_flow,
+       CAST(overdue_backlog AS DOUBLE) overdue_backlog, CAST(amount AS DOUBLE) amount, CAST(cumulative AS DOUBLE) cumulative,
+       {ratio(cents('cumulative'), cents('total'), 1, 100, '0.0')} pct_of_book
+FROM (SELECT *, sum(amount) OVER (PARTITION BY shift_days ORDER BY week_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) cumulative,
+             sum(amount) OVER (PARTITION BY shift_days) total
+      FROM (SELECT s.shift_days, s.week_start, coalesce(a.n, 0) n_invoices, coalesce(a.nf, 0) normal_flow,
+                   coalesce(a.bl, 0) overdue_backlog, coalesce(a.amt, 0) amount
+            FROM (SELECT shift_days, CAST(unnest(generate_series(min(w), max(w), INTERVAL 7 DAY)) AS DATE) week_start
+                  FROM (SELECT shift_days, CAST(date_trunc('week', ec) AS DATE) w FROM sx) GROUP BY shift_days) s
+            LEFT JOIN (SELECT shift_days, CAST(date_trunc('week', ec) AS DATE) w, count(*) n,
+                              sum(CASE WHEN NOT od THEN amount_incl_gst ELSE 0 END) nf, sum(CASE WHEN od THEN amount_incl_gst ELSE 0 END) bl,
+                              sum(amount_incl_gst) amt FROM sx GROUP BY 1, 2) a
+              ON a.shift_days = s.shift_days AND a.w = s.week_start))
+"""
+_STRESS = (f"sx AS (SELECT shift_days, amount_incl_gst, proj < DATE '{NEXT}' od, "
+           f"CASE WHEN proj < DATE '{NEXT}' THEN DATE '{NEXT}' ELSE proj END ec FROM "
+           f"(SELECT p.amount_incl_gst, v.shift_days, p.due_date + CAST(floor(p.lag_used + v.shift_days) AS INTEGER) proj "
+           f"FROM picked p CROSS JOIN (VALUES {', '.join(f'({k})' for k in C.RunConfig().stress_shifts)}) v(shift_days)))")
+BLOCKS = BLOCKS.rstrip() + ",\n" + _STRESS + "\n"
+
+SELECTS["publish_star"] = " UNION ALL ".join(
+    f"SELECT {q(n)} table_name, count(*) n_rows FROM {cte}" for n, cte in
+    [("DimCustomer", "cust"), ("DimCategory", "dim_cat"), ("DimPaymentMethod", "dim_pm"), ("DimInvoiceStatus", "dim_st"),
+     ("DimDate", "dim_date"), ("FactInvoice", "fact"), ("forecast_by_invoice", "fbi"), ("forecast_weekly", "weekly")])
+
+SELECTS["validation_report"] = f"""
+SELECT (SELECT count(*) FROM raw_f) fact_rows_before, (SELECT count(*) FROM fact) fact_rows_after,
+       (SELECT count(*) FROM raw_c) customer_rows_before, (SELECT count(*) FROM cust) customer_rows_after,
+       (SELECT count(*) FILTER (WHERE NOT recalc) FROM f_due2) due_dates_kept,
+       (SELECT count(*) FILTER (WHERE recalc) FROM f_due2) due_dates_recomputed,
+       (SELECT count(*) FROM f_orphan) orphan_rows, (SELECT count(*) FROM f_dup) duplicate_invoice_rows,
+       (SELECT count(DISTINCT invoice_id) FROM f_dup) duplicate_invoice_ids, (SELECT count(*) FROM f_conf) conflicting_invoice_ids,
+       (SELECT count(*) FROM f_badamt) invalid_amount_rows, (SELECT count(*) FROM f_baddate) invalid_date_rows,
+       (SELECT count(*) FROM fact WHERE category = 'Unknown') unknown_category_rows,
+       (SELECT count(*) FROM cust WHERE industry = 'Unknown') unknown_industry_rows,
+       (SELECT count(*) FROM fact WHERE payment_method = 'Unknown') unknown_payment_method_rows,
+       (SELECT count(*) FROM c_t WHERE credit IS NOT NULL AND expected_limit IS NOT NULL AND credit <> expected_limit) tier_credit_limit_mismatches,
+       (SELECT count(*) FROM f_valid, f_p99 WHERE incl > 3 * p99) large_invoice_amount_warnings,
+       (SELECT count(*) FROM f_der WHERE status_c <> derived) status_corrected_rows,
+       (SELECT count(*) FROM f_badgst) gst_rule_violations,
+       (SELECT count(*) FROM fact WHERE issue_date IS NOT NULL AND issue_date NOT IN (SELECT "date" FROM dim_date)) issue_date_dimdate_orphans,
+       (SELECT count(*) FROM fact WHERE due_date IS NOT NULL AND due_date NOT IN (SELECT "date" FROM dim_date)) due_date_dimdate_orphans,
+       (SELECT count(*) FROM fact WHERE payment_date IS NOT NULL AND payment_date NOT IN (SELECT "date" FROM dim_date)) payment_date_dimdate_orphans,
+       CAST((SELECT coalesce(sum(amount_incl_gst), 0) FROM fact) AS DOUBLE) total_invoiced,
+       CAST((SELECT coalesce(sum(amount_incl_gst), 0) FROM fact WHERE status <> 'Paid') AS DOUBLE) open_ar,
+       CAST((SELECT coalesce(sum(amount_incl_gst), 0) FROM fbi) AS DOUBLE) forecast_by_invoice_total,
+       CAST(coalesce((SELECT arg_max(cumulative, week_start) FROM weekly), 0) AS DOUBLE) forecast_weekly_total,
+       CASE WHEN abs((SELECT coalesce(sum(amount_incl_gst), 0) FROM fbi) - coalesce((SELECT arg_max(cumulative, week_start) FROM weekly), 0)) <= 0.01
+            THEN 'PASS' ELSE 'FAIL' END reconciliation_status
+"""
