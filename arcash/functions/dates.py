@@ -18,7 +18,8 @@ def _try(s: Column, pattern: str) -> Column:
     d = F.try_to_date(s, pattern)
     if "yy" in pattern and "yyyy" not in pattern:
         d = _fix_century(d)
-    return d
+    shape = C.DATE_SHAPES.get(pattern)
+    return F.when(s.rlike(shape), d) if shape else d
 
 
 def parse_date(c, patterns=C.DATE_PATTERNS, fallback=C.DATE_FALLBACK_PATTERNS,
@@ -56,6 +57,8 @@ def parse_date_sql(name: str, patterns=C.DATE_PATTERNS, fallback=C.DATE_FALLBACK
         if "yy" in p and "yyyy" not in p:
             t = (f"add_months({t}, CASE WHEN year({t}) % 100 >= {C.TWO_DIGIT_YEAR_PIVOT} "
                  f"THEN -1200 ELSE 0 END)")
+        if p in C.DATE_SHAPES:
+            t = f"CASE WHEN {q} RLIKE {sql_str(C.DATE_SHAPES[p])} THEN {t} END"
         tries.append(t)
     return F.expr(f"CASE WHEN {q} IS NULL OR {q} = '' THEN CAST(NULL AS DATE) "
                   f"ELSE coalesce({', '.join(tries)}) END")

@@ -38,12 +38,26 @@ class Star:
         self.inputs = inputs
         self.cfg = cfg
         self.materialize = materialize
+        self._dir = None
 
-    def _cut(self, df: DataFrame) -> DataFrame:
+    def _cut(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+        One computation (``Dataset.checkpoint`` would compute an unpersisted plan twice:
+        once to count, once to write), columnar and compressed, and it cuts the lineage.
+        """
         if not self.materialize:
             return df
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        spark = df.sparkSession
+        path = f"{self._run_dir(spark)}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    def _run_dir(self, spark) -> str:
+        if self._dir is None:
+            import uuid
+            self._dir = ensure_checkpoint_dir(spark).rstrip("/") + f"/arcash-star-{uuid.uuid4().hex[:12]}"
+        return self._dir
 
     # ---- cleaning ------------------------------------------------------------------
     @cached_property
@@ -61,24 +75,24 @@ class Star:
     # ---- the 8 published tables --------------------------------------------------------
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return self._cut(self.customers.clean)
+        return self._cut(self.customers.clean, 'dim_customer')
 
     @cached_property
     def dim_category(self) -> DataFrame:
-        return self._cut(dim_category(self.inputs.category))
+        return self._cut(dim_category(self.inputs.category), 'dim_category')
 
     @cached_property
     def dim_payment_method(self) -> DataFrame:
-        return self._cut(dim_payment_method(self.inputs.method))
+        return self._cut(dim_payment_method(self.inputs.method), 'dim_payment_method')
 
     @cached_property
     def dim_invoice_status(self) -> DataFrame:
-        return self._cut(dim_invoice_status(self.inputs.status))
+        return self._cut(dim_invoice_status(self.inputs.status), 'dim_invoice_status')
 
     @cached_property
     def fact(self) -> DataFrame:
         """FactInvoice as published: after the orphan / GST gates."""
-        return self._cut(self.gated.fact)
+        return self._cut(self.gated.fact, 'fact')
 
     @cached_property
     def lags(self):
@@ -86,11 +100,11 @@ class Star:
 
     @cached_property
     def forecast_by_invoice(self) -> DataFrame:
-        return self._cut(forecast_by_invoice(self.fact, self.dim_customer, self.cfg, self.lags))
+        return self._cut(forecast_by_invoice(self.fact, self.dim_customer, self.cfg, self.lags), 'forecast_by_invoice')
 
     @cached_property
     def forecast_weekly(self) -> DataFrame:
-        return self._cut(forecast_weekly(self.forecast_by_invoice))
+        return self._cut(forecast_weekly(self.forecast_by_invoice), 'forecast_weekly')
 
     def _date_sources(self):
         return [(self.fact, ["issue_date", "due_date", "payment_date"]),
@@ -100,7 +114,7 @@ class Star:
     @cached_property
     def dim_date(self) -> DataFrame:
         """Every day from the earliest to the latest date used anywhere in the star."""
-        return self._cut(dim_date(self._date_sources()))
+        return self._cut(dim_date(self._date_sources()), 'dim_date')
 
     def dim_date_fiscal(self) -> DataFrame:
         return dim_date_fiscal([(self.fact, ["issue_date", "due_date", "payment_date"])])

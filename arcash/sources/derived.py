@@ -95,9 +95,20 @@ class RawInputs(NamedTuple):
     status: DataFrame
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least the cluster's default parallelism.
+
+    A small input file is one split, so every row-level rule (parsing, canon, partial
+    aggregation) would run in a single task. Only then is the scan rebalanced; an input
+    that already has enough splits (any large table) is left alone, so it pays no shuffle.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str, columns) -> DataFrame:
     # Only the columns the derivation uses are read (pruned at the parquet scan).
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns))
 
 
 _ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
