@@ -81,10 +81,13 @@ def aging_buckets(fact: DataFrame, cfg: C.RunConfig = C.DEFAULT) -> DataFrame:
 def ar_concentration_group(fact: DataFrame, dim_category: DataFrame) -> DataFrame:
     """Open AR by revenue group and its share of all open AR."""
     groups = dim_category.select("category", "revenue_group")
-    per = (fact.filter(~_paid()).join(groups, on="category", how="left")
+    # Aggregate per category first (a handful of rows), then join the dimension.
+    per_cat = (fact.filter(~_paid()).groupBy("category")
+               .agg(F.count(F.lit(1)).alias("n"), F.sum("amount_incl_gst").alias("amt")))
+    per = (per_cat.join(groups, on="category", how="left")
            .withColumn("revenue_group", F.coalesce("revenue_group", F.lit("Unknown")))
            .groupBy("revenue_group")
-           .agg(F.count(F.lit(1)).alias("n_invoices"), F.sum("amount_incl_gst").alias("open_ar")))
+           .agg(F.sum("n").alias("n_invoices"), F.sum("amt").alias("open_ar")))
     total = F.sum("open_ar").over(Window.partitionBy())
     return per.withColumn("pct_of_open_ar", ratio_half_up(cents("open_ar"), cents(total), 1))
 
@@ -137,20 +140,20 @@ def on_time_by_month(fact: DataFrame) -> DataFrame:
 
 def days_late_by_tier(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """Average days from due date to payment, per member tier (paid invoices)."""
-    paid = (fact.filter(_paid() & F.col("payment_date").isNotNull())
-            .join(customers.select("customer_id", "member_tier"), on="customer_id", how="left"))
-    per = paid.groupBy("member_tier").agg(
-        F.count(F.lit(1)).alias("n_paid"),
-        F.sum(F.datediff("payment_date", "due_date")).alias("total_days_late"))
+    # Sums per customer first (partial aggregation absorbs a hot customer), then the tier.
+    per_cust = (fact.filter(_paid() & F.col("payment_date").isNotNull()).groupBy("customer_id")
+                .agg(F.count(F.lit(1)).alias("n"), F.sum(F.datediff("payment_date", "due_date")).alias("d")))
+    per = (per_cust.join(customers.select("customer_id", "member_tier"), on="customer_id", how="left")
+           .groupBy("member_tier").agg(F.sum("n").alias("n_paid"), F.sum("d").alias("total_days_late")))
     return per.withColumn("avg_days_late", ratio_half_up(F.col("total_days_late"), F.col("n_paid"), 2, factor=1))
 
 
 def receipts_by_method(fact: DataFrame, dim_method: DataFrame) -> DataFrame:
     """Cash received per payment method and method type."""
-    paid = fact.filter(_paid()).join(dim_method.select("payment_method", "method_type"),
-                                  on="payment_method", how="left")
-    return paid.groupBy("payment_method", "method_type").agg(
-        F.count(F.lit(1)).alias("n_paid"), F.sum("amount_paid").alias("amount_received"))
+    per = (fact.filter(_paid()).groupBy("payment_method")
+           .agg(F.count(F.lit(1)).alias("n_paid"), F.sum("amount_paid").alias("amount_received")))
+    return (per.join(dim_method.select("payment_method", "method_type"), on="payment_method", how="left")
+            .select("payment_method", "method_type", "n_paid", "amount_received"))
 
 
 def cash_milestones(weekly: DataFrame, thresholds=(80, 98)) -> DataFrame:

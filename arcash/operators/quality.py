@@ -72,11 +72,18 @@ def quality_report(fact: DataFrame, cfg: C.RunConfig = C.DEFAULT) -> DataFrame:
 
 def _anti_count(name: str, child: DataFrame, col: str, parent: DataFrame, pcol: str,
                 nulls_exempt: bool) -> DataFrame:
+    """Rows of ``child`` whose key is absent from ``parent``.
+
+    The child is first reduced to (key, rows) by a partial aggregation, so a
+    low-cardinality or hot key (a category, a date) never reaches the join as raw rows.
+    """
     keys = child.select(F.col(col).alias("_k"))
     if nulls_exempt:
         keys = keys.filter(F.col("_k").isNotNull())
-    bad = keys.join(parent.select(F.col(pcol).alias("_k")), on="_k", how="left_anti")
-    return bad.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("relation"), "violations")
+    per_key = keys.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+    bad = per_key.join(parent.select(F.col(pcol).alias("_k")), on="_k", how="left_anti")
+    return (bad.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations"))
+            .select(F.lit(name).alias("relation"), "violations"))
 
 
 def referential_integrity(t: Dict[str, DataFrame]) -> DataFrame:

@@ -1,13 +1,14 @@
 """The full refresh job: clean -> gates -> forecast -> calendar -> integrity -> compare ->
-publish -> report, with the gates evaluated *before* anything is published.
+publish -> report, with every gate evaluated *before* anything is published.
 
-Lineage is cut twice with reliable checkpoints (to the shared ``spark.checkpoint.dir``):
-after the customer clean and after the gated fact, so the many downstream consumers
-(forecast, calendar, integrity, measures) neither recompute the clean nor carry its plan,
-and a lost executor only recomputes from the last checkpoint.
+It runs on a materialised ``Star``: the cleaned customers, the gated fact, the lag
+statistics, the forecast and the small dimensions are each written once as parquet under
+the shared ``spark.checkpoint.dir`` and read back, so the downstream consumers neither
+recompute the clean nor carry its plan, and a lost executor recomputes only from there.
 
-Actions: one for the duplicate-conflict gate, one for the orphan + GST gate, one for
-referential integrity, one for the reconciliation, then one per written table.
+Actions: one for the duplicate-conflict gate, one for the orphan + GST gate, one per
+materialised table, one for referential integrity, one for the reconciliation, then one
+per published table.
 """
 
 from __future__ import annotations
@@ -20,11 +21,8 @@ from pyspark.sql import functions as F
 
 from arcash import config as C
 from arcash.operators import quality as Q
-from arcash.operators.calendar import dim_date
-from arcash.operators.customers import clean_customers
-from arcash.operators.fact import clean_fact
-from arcash.operators.forecast import forecast_by_invoice, forecast_weekly, lag_tables
 from arcash.plans import publish as P
+from arcash.plans.star import Star
 from arcash.session import ensure_checkpoint_dir
 from arcash.sources.derived import RawInputs
 
@@ -44,44 +42,34 @@ def run_refresh(spark: SparkSession, inputs: RawInputs, base: str,
                 cfg: C.RunConfig = C.DEFAULT, run_id: str = None) -> RefreshResult:
     ensure_checkpoint_dir(spark)
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
-
-    cust = clean_customers(inputs.customer, cfg)
-    customers = cust.clean.checkpoint(eager=True)
-    fc = clean_fact(inputs.fact, customers, cfg)
+    star = Star(inputs, cfg, materialize=True)
+    fc, cust = star.fact_clean, star.customers
 
     conflicts = fc.conflicts.count()
     if conflicts:
         raise GateError(f"{conflicts} duplicate invoice_id value(s) have conflicting row values")
 
-    gated = Q.apply_gates(fc.clean, customers, cfg)
-    counts = (gated.orphans.agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit("orphans"))
-              .unionByName(Q.orphan_facts(fc.clean, customers).filter(Q.gst_off_rule(cfg))
-                           .agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit("bad_gst_raw")))
+    # Orphans and GST violations, counted in one job (GST is judged after orphans go, as in
+    # the source, i.e. over rows whose customer exists).
+    customers = star.dim_customer
+    counts = (star.gated.orphans.agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit("orphans"))
+              .unionByName(fc.clean.join(customers.select("customer_id"), "customer_id", "left_semi")
+                           .filter(Q.gst_off_rule(cfg)).agg(F.count(F.lit(1)).alias("n"))
+                           .withColumn("k", F.lit("bad_gst")))
               .collect())
     n = {r["k"]: r["n"] for r in counts}
     if n.get("orphans") and not cfg.allow_drop_orphans:
-        raise GateError(f"{n['orphans']} orphan FactInvoice row(s); allow_drop_orphans to drop them")
-    fact = gated.fact.checkpoint(eager=True)
-    bad_gst = gated.bad_gst
-    if not cfg.allow_drop_bad_gst and bad_gst.limit(1).count():
-        raise GateError("FactInvoice rows violate the GST rule; allow_drop_bad_gst to drop them")
-
-    lags = lag_tables(fact, customers, cfg)
-    fbi = forecast_by_invoice(fact, customers, cfg, lags).checkpoint(eager=True)
-    weekly = forecast_weekly(fbi).checkpoint(eager=True)
-    calendar = dim_date([(fact, ["issue_date", "due_date", "payment_date"]),
-                         (fbi, ["expected_collection"]), (weekly, ["week_start"])])
-    from arcash.operators.dimensions import dim_category, dim_invoice_status, dim_payment_method
-    tables = {"DimCustomer": customers, "DimCategory": dim_category(inputs.category),
-              "DimPaymentMethod": dim_payment_method(inputs.method),
-              "DimInvoiceStatus": dim_invoice_status(inputs.status), "DimDate": calendar,
-              "FactInvoice": fact, "forecast_by_invoice": fbi, "forecast_weekly": weekly}
+        raise GateError(f"{n['orphans']} orphan FactInvoice row(s); set allow_drop_orphans to drop them")
+    if n.get("bad_gst") and not cfg.allow_drop_bad_gst:
+        raise GateError(f"{n['bad_gst']} FactInvoice row(s) violate the GST rule; set allow_drop_bad_gst to drop them")
 
+    tables = star.tables()          # materialises fact, lags, forecast, dimensions, calendar
     bad = [r for r in Q.referential_integrity(tables).collect() if r["violations"]]
     if bad:
         raise GateError("referential integrity failed: " +
                         "; ".join(f"{r['relation']}: {r['violations']}" for r in bad))
 
+    fbi, weekly = tables["forecast_by_invoice"], tables["forecast_weekly"]
     fbi_total = fbi.agg(F.sum("amount_incl_gst")).first()[0] or 0
     last = weekly.agg(F.max_by("cumulative", "week_start")).first()[0] or 0
     if abs(fbi_total - last) > float(cfg.forecast_tol):
@@ -92,14 +80,15 @@ def run_refresh(spark: SparkSession, inputs: RawInputs, base: str,
 
     review = {"duplicate_customer": cust.duplicates, "duplicate_invoice": fc.duplicates,
               "invalid_amount": fc.invalid_amounts, "invalid_dates": fc.invalid_dates,
-              "orphan_fact": gated.orphans, "gst_fact": bad_gst,
+              "orphan_fact": star.gated.orphans, "gst_fact": star.gated.bad_gst,
               "customer_name": cust.name_warnings, "tier_limit_mismatch": cust.tier_mismatch,
               "large_invoice_amount": fc.outliers, "status_corrected": fc.status_corrections,
-              "unknown_mapping": Q.unknown_mappings(customers, fact)}
+              "unknown_mapping": Q.unknown_mappings(customers, tables["FactInvoice"])}
     report = {
         "status": "PASS", "run_id": run_id, "snapshot": cfg.snapshot,
         "row_counts": {k: v.count() for k, v in tables.items()},
-        "gates": {"orphan_rows": n.get("orphans", 0), "conflicting_duplicate_ids": conflicts},
+        "gates": {"orphan_rows": n.get("orphans", 0), "bad_gst_rows": n.get("bad_gst", 0),
+                  "conflicting_duplicate_ids": conflicts},
         "totals": {"forecast_by_invoice": float(fbi_total), "forecast_weekly": float(last)},
         "compare_with_previous": [r.asDict() for r in comparison],
         "review_sets": sorted(review),

@@ -17,8 +17,8 @@ from arcash.operators.calendar import dim_date, dim_date_fiscal
 from arcash.operators.customers import clean_customers
 from arcash.operators.dimensions import dim_category, dim_invoice_status, dim_payment_method
 from arcash.operators.fact import clean_fact
-from arcash.operators.forecast import (forecast_by_invoice, forecast_weekly, lag_tables,
-                                       stress_forecast)
+from arcash.operators.forecast import (forecast_by_invoice, forecast_weekly, lag_statistics,
+                                       lag_tables, stress_forecast)
 from arcash.operators.quality import apply_gates
 from arcash.session import ensure_checkpoint_dir
 from arcash.sources.derived import RawInputs, load_inputs
@@ -96,7 +96,10 @@ class Star:
 
     @cached_property
     def lags(self):
-        return lag_tables(self.fact, self.dim_customer, self.cfg)
+        stats = None
+        if self.materialize:
+            stats = self._cut(lag_statistics(self.fact, self.dim_customer, self.cfg), "lag_statistics")
+        return lag_tables(self.fact, self.dim_customer, self.cfg, stats)
 
     @cached_property
     def forecast_by_invoice(self) -> DataFrame:

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference is one batch run per invocation: no watermark, time window, state or
+continuous source. Nothing here is built; a periodic refresh is ``plans.refresh.run_refresh``
+scheduled by the caller.
+"""

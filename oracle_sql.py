@@ -13,6 +13,9 @@ with integer arithmetic (``ratio``), as on the Spark side.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from arcash import config as C
 from arcash.sources.derived import (RAW_CATEGORY_SQL, RAW_CUSTOMER_SQL, RAW_FACT_SQL,
                                     RAW_METHOD_SQL, RAW_STATUS_SQL)
@@ -113,7 +116,10 @@ CATEGORY_KNOWN_SQL = case_map("lower(" + strip("category") + ")", C.CATEGORY_CAN
 METHOD_SQL = case_map("lower(" + strip("payment_method") + ")", C.METHOD_CANON, "'Unknown'")
 STATUS_CANON_SQL = case_map("lower(" + strip("status_f") + ")", C.STATUS_CANON, title(strip("status_f")))
 
-BLOCKS = f"""
+def make_blocks(SNAP: str = SNAP) -> str:
+    """All building blocks for a run with the given snapshot."""
+    NEXT = (dt.date.fromisoformat(SNAP) + dt.timedelta(days=1)).isoformat()
+    return f"""
 raw_c AS (SELECT {', '.join(scrub(c) + ' AS ' + c for c in ('customer_id', 'customer_name', 'industry', 'member_tier', 'payment_terms_days', 'credit_limit', 'member_since', 'state'))}, _seq
           FROM ({RAW_CUSTOMER_SQL.format(customer='customer')})),
 raw_f AS (SELECT {', '.join(scrub(c) + ' AS ' + c for c in ('invoice_id', 'customer_id', 'category', 'payment_method', 'status', 'issue_date', 'due_date', 'payment_date', 'gst', 'amount_incl_gst', 'amount_paid'))}, _seq
@@ -251,6 +257,9 @@ dim_date AS (SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS "da
 """
 
 
+BLOCKS = make_blocks()
+
+
 def with_blocks(select: str) -> str:
     return f"WITH {BLOCKS}\n{select}"
 
@@ -393,7 +402,9 @@ SELECTS = {
 
 
 def oracle_sql() -> dict:
-    return {k: with_blocks(v) for k, v in SELECTS.items()}
+    out = {k: with_blocks(v) for k, v in SELECTS.items()}
+    out["compare_runs"] = COMPARE_SQL
+    return out
 
 
 # ---- gates, reports, calendars, scenarios (appended blocks) ---------------------------
@@ -502,12 +513,46 @@ FROM (SELECT *, sum(amount) OVER (PARTITION BY shift_days ORDER BY week_start RO
                               sum(amount_incl_gst) amt FROM sx GROUP BY 1, 2) a
               ON a.shift_days = s.shift_days AND a.w = s.week_start))
 """
-_STRESS = (f"sx AS (SELECT shift_days, amount_incl_gst, proj < DATE '{NEXT}' od, "
+_STRESS_T = (f"sx AS (SELECT shift_days, amount_incl_gst, proj < DATE '{NEXT}' od, "
            f"CASE WHEN proj < DATE '{NEXT}' THEN DATE '{NEXT}' ELSE proj END ec FROM "
            f"(SELECT p.amount_incl_gst, v.shift_days, p.due_date + CAST(floor(p.lag_used + v.shift_days) AS INTEGER) proj "
            f"FROM picked p CROSS JOIN (VALUES {', '.join(f'({k})' for k in C.RunConfig().stress_shifts)}) v(shift_days)))")
+_STRESS = _STRESS_T
 BLOCKS = BLOCKS.rstrip() + ",\n" + _STRESS + "\n"
 
+
+def prefixed_blocks(snap: str, prefix: str) -> str:
+    """The blocks of a run at another snapshot, with every block name prefixed."""
+    text = make_blocks(snap)
+    names = re.findall(r"^(\w+) AS \(", text, flags=re.M)
+    for n in sorted(set(names), key=len, reverse=True):
+        text = re.sub(rf"\b{n}\b", prefix + n, text)
+    return text
+
+
+_METRIC_TABLES = [("DimCustomer", "cust"), ("DimCategory", "dim_cat"), ("DimPaymentMethod", "dim_pm"),
+                  ("DimInvoiceStatus", "dim_st"), ("DimDate", "dim_date"), ("FactInvoice", "fact"),
+                  ("forecast_by_invoice", "fbi"), ("forecast_weekly", "weekly")]
+_TOTALS = [("total_invoiced", "fact", "amount_incl_gst"), ("forecast_total_by_invoice", "fbi", "amount_incl_gst"),
+           ("forecast_total_weekly", "weekly", "amount")]
+
+
+def _metrics(prefix: str) -> str:
+    parts = [f"SELECT 'rows.{t}' metric, 'count' kind, CAST(count(*) AS DECIMAL(20,2)) value FROM {prefix}{c}"
+             for t, c in _METRIC_TABLES]
+    parts += [f"SELECT '{m}', 'total', CAST(coalesce(sum({col}), 0) AS DECIMAL(20,2)) FROM {prefix}{c}"
+              for m, c, col in _TOTALS]
+    return " UNION ALL ".join(parts)
+
+
+PREVIOUS_SNAPSHOT = "2026-02-28"
+COMPARE_SQL = (f"WITH {BLOCKS.rstrip()},\n{prefixed_blocks(PREVIOUS_SNAPSHOT, 'prev_').lstrip()}\n"
+               f"SELECT coalesce(p.metric, c.metric) metric, coalesce(p.kind, c.kind) kind, CAST(p.value AS DOUBLE) previous, "
+               f"CAST(c.value AS DOUBLE) current, CAST(c.value - p.value AS DOUBLE) delta, "
+               f"CASE WHEN p.value IS NULL OR c.value IS NULL THEN true WHEN coalesce(p.kind, c.kind) = 'count' "
+               f"THEN c.value - p.value <> 0 ELSE abs(c.value - p.value) >= 0.01 END changed "
+               f"FROM ({_metrics('prev_')}) p FULL OUTER JOIN ({_metrics('')}) c ON p.metric = c.metric")
+
 SELECTS["publish_star"] = " UNION ALL ".join(
     f"SELECT {q(n)} table_name, count(*) n_rows FROM {cte}" for n, cte in
     [("DimCustomer", "cust"), ("DimCategory", "dim_cat"), ("DimPaymentMethod", "dim_pm"), ("DimInvoiceStatus", "dim_st"),
