@@ -107,12 +107,16 @@ def gst_split(df: DataFrame, cfg: C.RunConfig) -> DataFrame:
 
 
 def clean_fact(raw: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.DEFAULT,
-               p99: Optional[float] = None) -> FactClean:
+               p99: Optional[float] = None, cut=None) -> FactClean:
     """Clean the raw fact against the cleaned customers (for payment terms).
 
     ``p99`` may be supplied (e.g. from a previous run); otherwise it is computed exactly,
     on demand, over the rows that survive the amount checks (see ``stats``).
+    ``cut(df, name)`` may materialise the two shared stages (after de-duplication and
+    amount parsing; after dates, status, GST and due date): every output below derives
+    from them, so a materialising caller computes the clean once for all outputs.
     """
+    cut = cut or (lambda df, name: df)
     snap = F.lit(cfg.snapshot).cast("date")
     start, end = F.lit(cfg.period_start).cast("date"), F.lit(cfg.period_end).cast("date")
 
@@ -122,7 +126,7 @@ def clean_fact(raw: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.DEFAUL
     conflicts = conflicting_keys(ided, "invoice_id", compare)
     first = first_per_key(ided, "invoice_id").drop(SEQ)
 
-    typed = parse_amounts(first)
+    typed = cut(parse_amounts(first), "fact_typed")
     bad_amount = invalid_amount(cfg)
     invalid_amounts = typed.filter(bad_amount)
     valid = typed.filter(~bad_amount)
@@ -157,6 +161,7 @@ def clean_fact(raw: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.DEFAUL
         need_recalc = F.lit(True)
     dated = dated.withColumn("_recalc", need_recalc)
     dated = dated.withColumn("_due", F.when(F.col("_recalc"), computed_due).otherwise(F.col("_due_raw")))
+    dated = cut(dated, "fact_dated")
     due_repair = dated.select("invoice_id", "customer_id", F.col("_due_raw").alias("raw_due_date"),
                               F.col("_issue").alias("issue_date"), tdays.alias("terms_days"),
                               F.col("_due").alias("due_date"), F.col("_recalc").alias("recomputed"))

@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arcash import config as C
-from arcash.functions import (canon, canon_known, canon_or_null, format_id, iso, normalise_state,
-                              repair_issue_date, repair_payment_date, to_int_id, to_number)
+from arcash.functions import (canon, canon_known, canon_or_null, format_id, normalise_state,
+                              repair_issue_date, repair_payment_date, to_int_id, to_number, to_terms)
 from arcash.functions.dates import with_date
-from arcash.functions.numbers import ratio_half_up, round_money
+from arcash.functions.numbers import round_money
 from arcash.operators import measures as M
 from arcash.operators import quality as Q
 from arcash.operators.customers import derive_member_tier, derive_payment_terms, fill_customer_name
-from arcash.operators.forecast import FBI_COLUMNS, lag_source_mix, paid_lags
+from arcash.operators.forecast import lag_divergence, lag_source_mix, paid_lag_days
 from arcash.plans.star import Star, present, star_for
 from arcash.sources.derived import derived_raw
 
@@ -136,7 +136,6 @@ def q_derive_member_tier(spark, sf_dir):
 
 @query("derive_payment_terms")
 def q_derive_payment_terms(spark, sf_dir):
-    from arcash.functions import to_terms
     r = _raw(spark, sf_dir, "DimCustomer").withColumn(
         "_tier", derive_member_tier(F.col("member_tier"), to_number("credit_limit")))
     return r.select("_seq", F.col("payment_terms_days").alias("payment_terms_text"),
@@ -327,8 +326,7 @@ def q_lag_by_tier(spark, sf_dir):
 
 @query("lag_overall")
 def q_lag_overall(spark, sf_dir):
-    s = _star(spark, sf_dir)
-    paid = paid_lags(s.fact, s.dim_customer)
+    paid = paid_lag_days(_star(spark, sf_dir).fact)
     return paid.agg(F.coalesce(F.median("lag").cast("double"), F.lit(0.0)).alias("lag_value"),
                     F.count("lag").alias("n_paid"))
 
@@ -345,12 +343,7 @@ def q_lag_source_mix(spark, sf_dir):
 
 @query("lag_divergence")
 def q_lag_divergence(spark, sf_dir):
-    s = _star(spark, sf_dir)
-    paid = paid_lags(s.fact, s.dim_customer)
-    return paid.agg(F.count("lag").alias("n_paid"), F.sum("lag").alias("_sum"),
-                    F.median("lag").alias("median_lag")).select(
-        "n_paid", ratio_half_up(F.col("_sum"), F.col("n_paid"), 2, factor=1).alias("mean_lag"),
-        F.round("median_lag", 2).alias("median_lag"))
+    return lag_divergence(_star(spark, sf_dir).fact)
 
 
 @query("forecast_weekly")

@@ -66,7 +66,8 @@ class Star:
 
     @cached_property
     def fact_clean(self):
-        return clean_fact(self.inputs.fact, self.dim_customer, self.cfg)
+        cut = self._cut if self.materialize else None
+        return clean_fact(self.inputs.fact, self.dim_customer, self.cfg, cut=cut)
 
     @cached_property
     def gated(self):

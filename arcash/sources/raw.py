@@ -36,7 +36,8 @@ def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     seq = F.struct(F.col("_metadata.file_path").alias("f"),
                    F.col("_metadata.file_block_start").alias("b"),
                    F.monotonically_increasing_id().alias("r"))
-    return df.select(*[F.col(c).cast("string") for c in want], seq.alias(SEQ))
+    from arcash.sources.derived import spread
+    return spread(df.select(*[F.col(c).cast("string") for c in want], seq.alias(SEQ)))
 
 
 def scrub_nulls(df: DataFrame, columns=None, csv_tokens: bool = True) -> DataFrame:

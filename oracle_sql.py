@@ -153,7 +153,7 @@ cust AS (SELECT customer_id, customer_name, industry, member_tier, payment_terms
 f_ids AS (SELECT * REPLACE ({to_id('invoice_id')} AS invoice_id, {to_id('customer_id')} AS customer_id)
           FROM raw_f WHERE {to_id('invoice_id')} IS NOT NULL),
 f_dup AS (SELECT * FROM f_ids WHERE invoice_id IN (SELECT invoice_id FROM f_ids GROUP BY 1 HAVING count(*) > 1)),
-f_conf AS (SELECT invoice_id, count(*) n_variants, sum(n) n_rows FROM (
+f_conf AS (SELECT invoice_id, count(*) n_variants, CAST(sum(n) AS BIGINT) n_rows FROM (
              SELECT invoice_id, customer_id, category, payment_method, status, issue_date, due_date, payment_date,
                     gst, amount_incl_gst, amount_paid, count(*) n FROM f_ids GROUP BY ALL) GROUP BY 1 HAVING count(*) > 1),
 f_first AS (SELECT * FROM f_ids QUALIFY row_number() OVER (PARTITION BY invoice_id ORDER BY _seq) = 1),
@@ -251,8 +251,8 @@ dim_st AS (SELECT status_id, status, description FROM st_c QUALIFY row_number()
 span AS (SELECT min(d) lo, max(d) hi FROM (
            SELECT issue_date d FROM fact UNION ALL SELECT due_date FROM fact UNION ALL SELECT payment_date FROM fact
            UNION ALL SELECT expected_collection FROM fbi UNION ALL SELECT week_start FROM weekly)),
-dim_date AS (SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS "date", year(d) AS "year",
-                    'Q' || quarter(d) AS quarter, month(d) AS month_no, strftime(d, '%b') AS month_name
+dim_date AS (SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS "date", CAST(year(d) AS INTEGER) AS "year",
+                    'Q' || quarter(d) AS quarter, CAST(month(d) AS INTEGER) AS month_no, strftime(d, '%b') AS month_name
              FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) d FROM span WHERE lo IS NOT NULL))
 """
 
@@ -359,7 +359,7 @@ SELECTS = {
                    "CAST(coalesce(sum(CASE WHEN status = 'Paid' THEN amount_incl_gst END), 0) AS DOUBLE) collected, "
                    "CAST(coalesce(sum(CASE WHEN status <> 'Paid' THEN amount_incl_gst END), 0) AS DOUBLE) open_ar FROM fact",
     "forecast_reconciliation": "SELECT CAST(a AS DOUBLE) forecast_by_invoice_total, CAST(b AS DOUBLE) forecast_weekly_total, CAST(a - b AS DOUBLE) difference, "
-                               "0.01 tolerance, CASE WHEN abs(a - b) <= 0.01 THEN 'PASS' ELSE 'FAIL' END status FROM "
+                               "CAST(0.01 AS DOUBLE) tolerance, CASE WHEN abs(a - b) <= 0.01 THEN 'PASS' ELSE 'FAIL' END status FROM "
                                "(SELECT coalesce((SELECT sum(amount_incl_gst) FROM fbi), 0) a, "
                                "coalesce((SELECT arg_max(cumulative, week_start) FROM weekly), 0) b)",
     "collection_rate": f"SELECT CAST(t AS DOUBLE) total_invoiced, CAST(c AS DOUBLE) collected, {ratio(cents('c'), cents('t'))} collection_rate_pct "
@@ -373,7 +373,7 @@ SELECTS = {
     "ar_concentration_group": f"SELECT revenue_group, n_invoices, CAST(open_ar AS DOUBLE) open_ar, {ratio(cents('open_ar'), cents('sum(open_ar) OVER ()'))} pct_of_open_ar "
                               f"FROM (SELECT coalesce(d.revenue_group, 'Unknown') revenue_group, count(*) n_invoices, sum(f.amount_incl_gst) open_ar "
                               f"FROM fact f LEFT JOIN dim_cat d ON d.category = f.category WHERE f.status <> 'Paid' GROUP BY 1)",
-    "ar_concentration_debtor": f"SELECT row_number() OVER (ORDER BY open_ar DESC, t.customer_id) debtor_rank, t.customer_id, c.customer_name, n_invoices, "
+    "ar_concentration_debtor": f"SELECT CAST(row_number() OVER (ORDER BY open_ar DESC, t.customer_id) AS INTEGER) debtor_rank, t.customer_id, c.customer_name, n_invoices, "
                                f"CAST(open_ar AS DOUBLE) open_ar, {ratio(cents('open_ar'), cents('(SELECT sum(amount_incl_gst) FROM fact WHERE status <> ' + q('Paid') + ')'))} pct_of_open_ar "
                                f"FROM (SELECT customer_id, count(*) n_invoices, sum(amount_incl_gst) open_ar FROM fact WHERE status <> 'Paid' GROUP BY 1 "
                                f"ORDER BY open_ar DESC, customer_id LIMIT 10) t LEFT JOIN cust c ON c.customer_id = t.customer_id",
@@ -388,13 +388,13 @@ SELECTS = {
                         f"SELECT strftime(payment_date, '%Y-%m') payment_month, count(*) n_paid, count(*) FILTER (WHERE payment_date <= due_date) n_on_time "
                         f"FROM fact WHERE status = 'Paid' AND payment_date IS NOT NULL GROUP BY 1)",
     "days_late_by_tier": f"SELECT member_tier, n_paid, total_days_late, {ratio('total_days_late', 'n_paid', 2, 1)} avg_days_late FROM ("
-                         f"SELECT c.member_tier, count(*) n_paid, sum(f.payment_date - f.due_date) total_days_late FROM fact f "
+                         f"SELECT c.member_tier, count(*) n_paid, CAST(sum(f.payment_date - f.due_date) AS BIGINT) total_days_late FROM fact f "
                          f"LEFT JOIN cust c ON c.customer_id = f.customer_id WHERE f.status = 'Paid' AND f.payment_date IS NOT NULL GROUP BY 1)",
     "receipts_by_method": "SELECT f.payment_method, d.method_type, count(*) n_paid, CAST(sum(f.amount_paid) AS DOUBLE) amount_received "
                           "FROM fact f LEFT JOIN dim_pm d ON d.payment_method = f.payment_method WHERE f.status = 'Paid' GROUP BY 1, 2",
     "cash_milestones": f"SELECT 80 milestone_pct, {iso('min(CASE WHEN pct_of_book >= 80 THEN week_start END)')} week_start FROM weekly "
                        f"UNION ALL SELECT 98, {iso('min(CASE WHEN pct_of_book >= 98 THEN week_start END)')} FROM weekly",
-    "invoiced_by_month": "SELECT year(issue_date) AS \"year\", 'Q' || quarter(issue_date) AS quarter, month(issue_date) month_no, strftime(issue_date, '%b') month_name, "
+    "invoiced_by_month": "SELECT CAST(year(issue_date) AS INTEGER) AS \"year\", 'Q' || quarter(issue_date) AS quarter, CAST(month(issue_date) AS INTEGER) month_no, strftime(issue_date, '%b') month_name, "
                          "count(*) n_invoices, CAST(sum(amount_incl_gst) AS DOUBLE) invoiced, "
                          "CAST(coalesce(sum(CASE WHEN status = 'Paid' THEN amount_incl_gst END), 0) AS DOUBLE) collected, "
                          "CAST(coalesce(sum(CASE WHEN status <> 'Paid' THEN amount_incl_gst END), 0) AS DOUBLE) outstanding FROM fact GROUP BY 1, 2, 3, 4",
@@ -490,8 +490,8 @@ for (tname, cte), rules in _CHECKS.items():
 SELECTS["constraint_violations"] = " UNION ALL ".join(_parts)
 
 SELECTS["dim_date_fiscal"] = (
-    "SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) date_key, strftime(d, '%Y-%m-%d') AS \"date\", year(d) AS \"year\", "
-    "'Q' || quarter(d) AS quarter, month(d) month_no, strftime(d, '%b') month_name, strftime(d, '%b %Y') month_year, "
+    "SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) date_key, strftime(d, '%Y-%m-%d') AS \"date\", CAST(year(d) AS INTEGER) AS \"year\", "
+    "'Q' || quarter(d) AS quarter, CAST(month(d) AS INTEGER) month_no, strftime(d, '%b') month_name, strftime(d, '%b %Y') month_year, "
     "'FY' || lpad(CAST((year(d) + CASE WHEN month(d) >= 7 THEN 1 ELSE 0 END) % 100 AS VARCHAR), 2, '0') fin_year, "
     "'FQ' || quarter(d + INTERVAL 6 MONTH) fin_qtr, strftime(d, '%a') day_of_week, dayofweek(d) IN (0, 6) is_weekend, "
     "last_day(d) = d is_month_end FROM (SELECT CAST(unnest(generate_series(lo, hi + 2, INTERVAL 1 DAY)) AS DATE) d FROM "

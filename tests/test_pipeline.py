@@ -196,3 +196,20 @@ def test_empty_inputs_give_empty_tables(spark):
     from arcash.plans.report import validation_report
     r = validation_report(s).first()
     assert r["fact_rows_after"] == 0 and r["reconciliation_status"] == "PASS"
+
+
+def test_legacy_profile_recomputes_gst_and_due(spark, book):
+    legacy = Star(book.inputs, C.LEGACY)
+    f = {r["invoice_id"]: r for r in legacy.fact.collect()}
+    # GST is incl / 11 (rounded) and the due date is always issue + terms.
+    assert f[5]["gst"] == 100 and f[5]["amount_excl_gst"] == 1000
+    assert f[1]["due_date"] == D(2026, 2, 4)            # 5 Jan + 30 days (Premium)
+    assert all(r["amount_incl_gst"] == r["amount_excl_gst"] + r["gst"] for r in f.values())
+
+
+def test_histogram_median_equals_row_median(spark, book):
+    from arcash.operators.forecast import lag_statistics, paid_lag_days
+    stats = lag_statistics(book.fact, book.dim_customer)
+    overall = stats.filter("_gid = 3").first()["value"]
+    direct = paid_lag_days(book.fact).agg(F.median("lag")).first()[0]
+    assert overall == direct
