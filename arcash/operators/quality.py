@@ -70,46 +70,50 @@ def quality_report(fact: DataFrame, cfg: C.RunConfig = C.DEFAULT) -> DataFrame:
                                                 F.lit(cfg.period_end).cast("date"))).alias("issue_outside_period"))
 
 
-def _anti_count(name: str, child: DataFrame, col: str, parent: DataFrame, pcol: str,
-                nulls_exempt: bool) -> DataFrame:
-    """Rows of ``child`` whose key is absent from ``parent``.
-
-    The child is first reduced to (key, rows) by a partial aggregation, so a
-    low-cardinality or hot key (a category, a date) never reaches the join as raw rows.
-    """
-    keys = child.select(F.col(col).alias("_k"))
-    if nulls_exempt:
-        keys = keys.filter(F.col("_k").isNotNull())
-    per_key = keys.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-    bad = per_key.join(parent.select(F.col(pcol).alias("_k")), on="_k", how="left_anti")
-    return (bad.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations"))
-            .select(F.lit(name).alias("relation"), "violations"))
+_RELATIONS = (  # (relation, child table, column, parent table, parent column, nulls exempt)
+    ("FactInvoice.customer_id -> DimCustomer", "FactInvoice", "customer_id", "DimCustomer", "customer_id", False),
+    ("FactInvoice.category -> DimCategory", "FactInvoice", "category", "DimCategory", "category", False),
+    ("FactInvoice.status -> DimInvoiceStatus", "FactInvoice", "status", "DimInvoiceStatus", "status", False),
+    ("FactInvoice.payment_method -> DimPaymentMethod", "FactInvoice", "payment_method", "DimPaymentMethod", "payment_method", True),
+    ("FactInvoice.issue_date -> DimDate", "FactInvoice", "issue_date", "DimDate", "date", True),
+    ("FactInvoice.due_date -> DimDate", "FactInvoice", "due_date", "DimDate", "date", True),
+    ("FactInvoice.payment_date -> DimDate", "FactInvoice", "payment_date", "DimDate", "date", True),
+    ("forecast_by_invoice.customer_id -> DimCustomer", "forecast_by_invoice", "customer_id", "DimCustomer", "customer_id", False),
+    ("forecast_by_invoice.status -> DimInvoiceStatus", "forecast_by_invoice", "status", "DimInvoiceStatus", "status", False),
+    ("forecast_by_invoice.expected_collection -> DimDate", "forecast_by_invoice", "expected_collection", "DimDate", "date", False),
+)
 
 
 def referential_integrity(t: Dict[str, DataFrame]) -> DataFrame:
     """Violations per relation (10 relations); all zero means the star is consistent.
 
-    Null payment method and null dates are exempt; a null customer counts as a violation.
+    One pass per child table stacks its key columns into (relation, key) rows, a partial
+    aggregation reduces them to one row per distinct key (a hot category or date never
+    reaches the join as raw rows), and a single anti-join against the stacked parent keys
+    finds the misses. Null payment method and null dates are exempt; a null customer,
+    category or status counts as a violation (null never matches).
     """
-    f, fbi = t["FactInvoice"], t["forecast_by_invoice"]
-    cust, cat, meth = t["DimCustomer"], t["DimCategory"], t["DimPaymentMethod"]
-    st, dd = t["DimInvoiceStatus"], t["DimDate"]
-    parts = [
-        _anti_count("FactInvoice.customer_id -> DimCustomer", f, "customer_id", cust, "customer_id", False),
-        _anti_count("FactInvoice.category -> DimCategory", f, "category", cat, "category", False),
-        _anti_count("FactInvoice.status -> DimInvoiceStatus", f, "status", st, "status", False),
-        _anti_count("FactInvoice.payment_method -> DimPaymentMethod", f, "payment_method", meth, "payment_method", True),
-        _anti_count("FactInvoice.issue_date -> DimDate", f, "issue_date", dd, "date", True),
-        _anti_count("FactInvoice.due_date -> DimDate", f, "due_date", dd, "date", True),
-        _anti_count("FactInvoice.payment_date -> DimDate", f, "payment_date", dd, "date", True),
-        _anti_count("forecast_by_invoice.customer_id -> DimCustomer", fbi, "customer_id", cust, "customer_id", False),
-        _anti_count("forecast_by_invoice.status -> DimInvoiceStatus", fbi, "status", st, "status", False),
-        _anti_count("forecast_by_invoice.expected_collection -> DimDate", fbi, "expected_collection", dd, "date", False),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    children = []
+    for child in dict.fromkeys(r[1] for r in _RELATIONS):
+        items = [r for r in _RELATIONS if r[1] == child]
+        arr = F.array(*[F.struct(F.lit(rel).alias("relation"), F.col(col).cast("string").alias("k"),
+                                 F.lit(exempt).alias("exempt"))
+                        for rel, _, col, _, _, exempt in items])
+        children.append(t[child].select(F.inline(arr)))
+    keys = children[0]
+    for c in children[1:]:
+        keys = keys.unionByName(c)
+    per_key = (keys.filter(~F.col("exempt") | F.col("k").isNotNull())
+               .groupBy("relation", "k").agg(F.count(F.lit(1)).alias("n")))
+    parents = None
+    for rel, _, _, parent, pcol, _ in _RELATIONS:
+        p = t[parent].select(F.lit(rel).alias("relation"), F.col(pcol).cast("string").alias("k"))
+        parents = p if parents is None else parents.unionByName(p)
+    missing = per_key.join(parents, on=["relation", "k"], how="left_anti").select("relation", "n")
+    spark = per_key.sparkSession
+    zeros = spark.createDataFrame([(r[0], 0) for r in _RELATIONS], "relation string, n bigint")
+    return (missing.unionByName(zeros).groupBy("relation")
+            .agg(F.sum("n").cast("bigint").alias("violations")))
 
 
 # ---- declared constraints (the DDL's checks, uniqueness and not-null rules) ----------
