@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+from arcash.llm import line_dedup, warc
+from arcash.llm.line_dedup import op8_line_dedup
 from arcash.llm.near_dedup import op2_near_dedup
 from arcash.llm.packing import op10_packing
 from arcash.llm.token_count import op5_token_counts
 from arcash.llm.toxicity import op3_toxicity
+from arcash.llm.warc import op4_warc
 
 QUERIES = {
     "op2_near_dedup": op2_near_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_warc": op4_warc,
     "op5_token_counts": op5_token_counts,
+    "op8_line_dedup": op8_line_dedup,
     "op10_packing": op10_packing,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc": warc.oracle_sql(),
+    "op8_line_dedup": line_dedup.oracle_sql(),
+}
