@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from arcash.llm import line_dedup, warc
+from arcash.llm.decontamination import op6_decontamination
 from arcash.llm.line_dedup import op8_line_dedup
 from arcash.llm.near_dedup import op2_near_dedup
 from arcash.llm.packing import op10_packing
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op5_token_counts": op5_token_counts,
+    "op6_decontamination": op6_decontamination,
     "op8_line_dedup": op8_line_dedup,
     "op10_packing": op10_packing,
 }
@@ -22,5 +24,6 @@ QUERIES = {
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op4_warc": warc.oracle_sql(),
+    "op6_decontamination": op6_decontamination,
     "op8_line_dedup": line_dedup.oracle_sql(),
 }
