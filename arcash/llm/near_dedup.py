@@ -198,7 +198,8 @@ def verified(scratch: Scratch, docs: DataFrame, members: DataFrame, percent: int
 
     # One text stands for a document: rows that repeat a doc_id are joined by the classes.
     texts = docs.select(F.col("doc_id").alias("id"), "text")
-    rows = texts.join(placed, "id").select("id", "family", "small", "cells",
+    # one plan at every size: texts are shuffled once and never joined to a broadcast table
+    rows = texts.join(placed.hint("merge"), "id").select("id", "family", "small", "cells",
                                            shingles("text").alias("set"))
     rows = rows.select("id", "family", "small", "set", F.explode("cells").alias("c")) \
         .select("id", "family", "small", "set", "c.cell", "c.side")
