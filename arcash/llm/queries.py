@@ -4,20 +4,26 @@ from __future__ import annotations
 
 from arcash.llm import line_dedup, warc
 from arcash.llm.decontamination import op6_decontamination
+from arcash.llm.licences import op7_licences
 from arcash.llm.line_dedup import op8_line_dedup
 from arcash.llm.near_dedup import op2_near_dedup
 from arcash.llm.packing import op10_packing
+from arcash.llm.quality import op1_quality
 from arcash.llm.token_count import op5_token_counts
 from arcash.llm.toxicity import op3_toxicity
+from arcash.llm.vector_search import op9_vector_search
 from arcash.llm.warc import op4_warc
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_near_dedup": op2_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op5_token_counts": op5_token_counts,
     "op6_decontamination": op6_decontamination,
+    "op7_licences": op7_licences,
     "op8_line_dedup": op8_line_dedup,
+    "op9_vector_search": op9_vector_search,
     "op10_packing": op10_packing,
 }
 
