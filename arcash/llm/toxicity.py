@@ -166,11 +166,20 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = 20, max_rows: int = 12_0
     def coordinates(texts: pd.Series) -> pd.Series:
         return pd.Series([features(t, bits) for t in texts])
 
+    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("doc_id", kind="stable", ignore_index=True)
+        m = train([np.asarray(a, np.int32) for a in pdf["at"]], pdf["label"].to_numpy(float), bits)
+        return pd.DataFrame({"at": [m.at], "weight": [m.weight], "slope": [m.slope], "shift": [m.shift]})
+
     sample = training_sample(docs, labels, target, max_rows).select(
-        "doc_id", "label", coordinates("text").alias("at"))
-    got = sample.toPandas().sort_values("doc_id", kind="stable", ignore_index=True)
-    rows = [np.asarray(a, np.int32) for a in got["at"]]
-    return train(rows, got["label"].to_numpy(float), bits)
+        F.lit(0).alias("all"), "doc_id", "label", coordinates("text").alias("at"))
+    # the whole sample trains in one task (it is bounded by max_rows); the driver gets weights
+    got = sample.groupBy("all").applyInPandas(
+        learn, "at array<int>, weight array<float>, slope double, shift double").collect()
+    if not got:
+        return train([], np.zeros(0), bits)
+    return Model(np.array(got[0]["at"], np.int32), np.array(got[0]["weight"], np.float32),
+                 got[0]["slope"], got[0]["shift"], bits)
 
 
 def score(docs: DataFrame, model: Model, out: str = "score", text: str = "text") -> DataFrame:
