@@ -30,23 +30,32 @@ from arcash.llm.common import Scratch, read
 FIELD = "<*>"
 
 
-def line_tokens(line) -> F.Column:
-    """Tokens of a line between ASCII white space, variable fields generalised."""
-    return F.split(F.regexp_replace(F.trim(F.regexp_replace(line, r"[ \t\r\x0B\f]+", " ")),
-                                    r"(?:(?<= )|^)(?=[^ ]*[0-9])[^ ]+", FIELD), " ")
+def normalised(line) -> F.Column:
+    """A line with single spaces between its tokens (cut at ASCII white space) and variable
+    fields generalised."""
+    spaced = F.trim(F.regexp_replace(line, r"[ \t\r\x0B\f]+", " "))
+    return F.regexp_replace(spaced, r"(?:(?<= )|^)(?=[^ ]*[0-9])[^ ]+", FIELD)
 
 
 def exploded(docs: DataFrame, *keep) -> DataFrame:
-    return docs.select(*keep, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    """The normalised lines of each text, with their numbers.
+
+    Most texts hold no digit and single spaces only: their lines are taken as they are.
+    """
+    lines = F.split("text", "\n")
+    odd = F.col("text").rlike(r"[0-9\t\r\x0B\f]|  | \n|\n |^ | $")
+    return docs.select(*keep, F.posexplode(F.when(odd, F.transform(lines, normalised)).otherwise(lines))
+                       .alias("line_no", "line"))
 
 
 def with_leaf(lines: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """Eligible lines with their tokens, leaf and line hash."""
-    constant = F.size(F.array_remove("toks", FIELD))
-    return (lines.withColumn("toks", line_tokens(F.col("line")))
-            .where((constant >= min_tokens) & (2 * constant >= F.size("toks")))
-            .withColumn("leaf", F.xxhash64(F.size("toks"), F.slice("toks", 1, depth)))
-            .withColumn("lhash", F.xxhash64("leaf", "toks")))
+    """Eligible lines with their leaf and hash."""
+    line = F.col("line")
+    n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    fields = F.when(line.contains(FIELD), F.size(F.filter(F.split(line, " "), lambda t: t == FIELD))).otherwise(0)
+    return (lines.where((n >= min_tokens) & (n - fields >= min_tokens) & (2 * (n - fields) >= n))
+            .withColumn("leaf", F.xxhash64(n, F.substring_index(line, " ", depth)))
+            .withColumn("lhash", F.xxhash64("leaf", "line")))
 
 
 def leaf_templates(scratch: Scratch, lines: DataFrame, agree_percent: int, rounds: int) -> DataFrame:
@@ -89,7 +98,7 @@ def dropped_lines(scratch: Scratch, docs: DataFrame, depth: int, min_tokens: int
               .groupBy("doc_id", "th").agg(F.collect_set("line_no").alias("wanted")))
     seen = (exploded(known.join(wanted, ["doc_id", "th"]), "doc_id", "wanted")
             .where(F.array_contains("wanted", F.col("line_no"))))
-    tokens = scratch.cut(with_leaf(seen, depth, min_tokens).select("leaf", "lhash", "toks")
+    tokens = scratch.cut(with_leaf(seen, depth, min_tokens).select("leaf", "lhash", F.split("line", " ").alias("toks"))
                          .dropDuplicates(["lhash"]), "tokens")
     named = leaf_templates(scratch, tokens, agree_percent, rounds)
     of_line = distinct.join(named, "lhash", "left").select(
