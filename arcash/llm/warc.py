@@ -36,7 +36,9 @@ VERSION = b"WARC/1.1\r\n"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2026-01-01T00:00:00Z"
 HEADERS = ("type", "record_id", "concurrent_to", "target_uri", "payload_digest", "refers_to")
-RECORD = "".join(f"{h} string, " for h in HEADERS) + "content binary, headers map<string,string>"
+COLUMNS = [*HEADERS, "payload_bytes", "payload_sha1", "content", "headers"]
+RECORD = "".join(f"{h} string, " for h in HEADERS) + \
+    "payload_bytes long, payload_sha1 string, content binary, headers map<string,string>"
 
 
 def sha1_base32(data: bytes) -> str:
@@ -51,14 +53,16 @@ def record(headers: list[tuple[str, str | None]], content: bytes) -> bytes:
 
 
 def member(data: bytes) -> bytes:
-    z = zlib.compressobj(6, zlib.DEFLATED, 31)
+    z = zlib.compressobj(4, zlib.DEFLATED, 31)
     return z.compress(data) + z.flush()
 
 
-def capture_records(page_id, url, html, uid, response_uid) -> Iterator[bytes]:
-    """Request, response or revisit, and metadata of one page."""
+def capture_records(page_id, url, html, uid, response_uid, sha1_hex=None) -> Iterator[bytes]:
+    """Request, response or revisit, and metadata of one page. A revisit needs only the
+    digest of its payload."""
     payload = (html or "").encode("utf-8", "surrogatepass")
-    digest = f"sha1:{sha1_base32(payload)}"
+    digest = "sha1:" + (sha1_base32(payload) if sha1_hex is None else
+                        base64.b32encode(bytes.fromhex(sha1_hex)).decode())
     revisit = uid != response_uid
     capture = f"<urn:uuid:{uid}>"
     common = [("WARC-Date", DATE), ("WARC-Target-URI", url)]
@@ -109,16 +113,30 @@ def parse_records(stream) -> Iterator[tuple[dict, bytes]]:
         yield headers, content
 
 
-def plan_records(scratch: Scratch, pages: DataFrame) -> DataFrame:
-    """Pages with a record id each, and the id and page of the response of their payload."""
+def plan_records(pages: DataFrame) -> DataFrame:
+    """(page_id, url, html, uid, response): one row per record set to write.
+
+    The response of a payload is the row of largest page_id; its id is drawn from the digest,
+    so revisits name it without a lookup. Only responses carry their page: rows that repeat a
+    payload are counted by (payload, page, url) without it, however many there are.
+    """
     html = F.coalesce("html", F.lit(""))
-    rows = scratch.cut(pages.select("page_id", "url", "html", F.sha1(html.cast("binary")).alias("digest"),
-                                    F.octet_length(html).alias("size"), F.expr("uuid()").alias("uid")),
-                       "pages")
+    rows = pages.select("page_id", "url", html.alias("html"), F.sha1(html.cast("binary")).alias("digest"),
+                        F.octet_length(html).alias("size"))
+    uid = F.concat_ws("-", *[F.substring("digest", at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
     # nulls order first, so a page without an id is the response of none that has one
-    best = rows.groupBy("digest", "size").agg(
-        F.max(F.struct("page_id", "uid")).alias("r")).select("digest", "size", F.col("r.uid").alias("response"))
-    return rows.join(best, ["digest", "size"])
+    best = F.max(F.struct("page_id", "url")).alias("r")
+    responses = rows.groupBy("digest", "size").agg(best, F.first("html").alias("html")).select(
+        "r.page_id", "r.url", "html", uid.alias("uid"), uid.alias("response"))
+    copies = rows.groupBy("digest", "size", "page_id", "url").agg(F.count("*").alias("n"))
+    top = copies.groupBy("digest", "size").agg(best)
+    first = F.col("page_id").eqNullSafe(F.col("r.page_id")) & F.col("url").eqNullSafe(F.col("r.url"))
+    again = copies.join(top, ["digest", "size"]).withColumn("n", F.col("n") - F.when(first, 1).otherwise(0))
+    revisits = again.where("n > 0").select(
+        "page_id", "url", F.lit(None).cast("string").alias("html"), uid.alias("response"), "digest", "size",
+        F.explode(F.sequence(F.lit(1), F.col("n"))).alias("k")).select(
+        "page_id", "url", "html", F.expr("uuid()").alias("uid"), "response", "digest")
+    return responses.withColumn("digest", F.lit(None).cast("string")).unionByName(revisits)
 
 
 def write_archives(scratch: Scratch, planned: DataFrame, roll_bytes: int = 16 << 20) -> DataFrame:
@@ -131,12 +149,11 @@ def write_archives(scratch: Scratch, planned: DataFrame, roll_bytes: int = 16 <<
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, size, count, path = None, 0, 0, None
         for pdf in batches:
-            rows = zip(pdf["id"], pdf["url"], pdf["html"], pdf["uid"], pdf["response"])
-            for page_id, url, html, uid, response in rows:
+            for row in pdf.itertuples(index=False, name=None):
                 if out is None:
                     path = f"{folder}/{uuid.uuid4().hex}.warc.gz"
                     out, size, count = open_shared(path, "wb"), 0, 0
-                for r in capture_records(page_id, url, html, uid, response):
+                for r in capture_records(*row):
                     data = member(r)
                     out.write(data)
                     size, count = size + len(data), count + 1
@@ -148,12 +165,13 @@ def write_archives(scratch: Scratch, planned: DataFrame, roll_bytes: int = 16 <<
             out.close()
             yield pd.DataFrame({"path": [path], "records": [count]})
 
-    rows = planned.select(F.col("page_id").cast("string").alias("id"), "url", "html", "uid", "response")
+    rows = planned.select(F.col("page_id").cast("string").alias("id"), "url", "html", "uid", "response", "digest")
     return scratch.cut(rows.mapInPandas(write, "path string, records long"), "manifest")
 
 
 def read_archives(spark: SparkSession, paths: list[str] | DataFrame) -> DataFrame:
-    """One row per record of the archives: its main headers, all headers and its content.
+    """One row per record of the archives: its main headers, the length and digest of its
+    payload (of an HTTP block, what follows the HTTP headers), all headers and its content.
 
     ``paths`` may be a table with a column path: archives are then read from the shared
     folder by the tasks that hold their names, and no list passes through the driver.
@@ -166,69 +184,74 @@ def read_archives(spark: SparkSession, paths: list[str] | DataFrame) -> DataFram
                 with raw, gzip.GzipFile(fileobj=raw) as stream:
                     rows, held = [], 0
                     for h, content in parse_records(stream):
+                        body = content
+                        if h.get("content-type", "").startswith("application/http"):
+                            body = content.partition(b"\r\n\r\n")[2]
                         rows.append((h.get("warc-type"), h.get("warc-record-id"), h.get("warc-concurrent-to"),
                                      h.get("warc-target-uri"), h.get("warc-payload-digest"),
-                                     h.get("warc-refers-to"), content, h))
+                                     h.get("warc-refers-to"), len(body), sha1_base32(body), content, h))
                         held += len(content)
                         if held > 4 << 20 or len(rows) >= 2000:
-                            yield pd.DataFrame(rows, columns=[*HEADERS, "content", "headers"])
+                            yield pd.DataFrame(rows, columns=COLUMNS)
                             rows, held = [], 0
                     if rows:
-                        yield pd.DataFrame(rows, columns=[*HEADERS, "content", "headers"])
+                        yield pd.DataFrame(rows, columns=COLUMNS)
 
     source = paths if isinstance(paths, DataFrame) else \
         spark.read.format("binaryFile").load(paths).select("path", "content")
     return source.mapInPandas(parse, RECORD)
 
 
-def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: response (or revisit), its request and its metadata.
+def assemble(records: DataFrame, *parts: str) -> DataFrame:
+    """One nested row per capture: its request, response (or revisit) and metadata, each with
+    the given columns of its record.
 
-    Requests and metadata name their capture in concurrent_to; what names a record that is
-    not there becomes a capture without a response.
+    Requests and metadata name their capture in concurrent_to, responses are named by their
+    own id; both meet under it by one shuffle. What names a record that is not there becomes
+    a capture without a response. Of several requests or metadata records of a capture the
+    one of least id counts.
     """
-    part = F.struct("record_id", "target_uri", "payload_digest", "refers_to", "content", "type")
+    part = F.struct("record_id", "type", *parts)
     kind = F.col("type")
-    main = records.where(kind.isin("response", "revisit", "resource")).select(
-        F.col("record_id").alias("m"), part.alias("response"))
-    asked = records.where(kind == "request").select(
-        F.coalesce("concurrent_to", "record_id").alias("q"), part.alias("request"))
-    told = records.where(kind == "metadata").select(
-        F.coalesce("concurrent_to", "record_id").alias("t"), part.alias("metadata"))
-    both = main.join(asked, F.col("m") == F.col("q"), "full").withColumn("c", F.coalesce("m", "q"))
-    return both.join(told, F.col("c") == F.col("t"), "full").select(
-        F.coalesce("c", "t").alias("capture_id"), "request", "response", "metadata")
+
+    def of(*kinds):
+        return F.min_by(F.when(kind.isin(*kinds), part), F.when(kind.isin(*kinds), F.col("record_id")))
+    return (records.where(kind.isin("request", "response", "revisit", "resource", "metadata"))
+            .withColumn("capture_id", F.when(kind.isin("request", "metadata"), F.col("concurrent_to")))
+            .withColumn("capture_id", F.coalesce("capture_id", "record_id"))
+            .groupBy("capture_id").agg(of("request").alias("request"),
+                                       of("response", "revisit", "resource").alias("response"),
+                                       of("metadata").alias("metadata")))
 
 
 def page_captures(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to, through archives."""
     scratch = Scratch(spark, "warc")
-    manifest = write_archives(scratch, plan_records(scratch, pages))
-    records = read_archives(spark, manifest.select("path").repartition(F.col("path")))
-
-    @F.pandas_udf("n long, digest string")
-    def payload(blocks: pd.Series) -> pd.DataFrame:
-        bodies = [None if b is None else bytes(b).partition(b"\r\n\r\n")[2] for b in blocks]
-        return pd.DataFrame({"n": [None if b is None else len(b) for b in bodies],
-                             "digest": [None if b is None else sha1_base32(b) for b in bodies]})
-
-    page = F.regexp_extract(F.decode("metadata.content", "UTF-8"), r"page-id: (-?[0-9]+)", 1)
-    whole = F.when(F.col("response.type") == "response", F.col("response.content"))
-    found = scratch.cut(assemble(records).select(
+    manifest = write_archives(scratch, plan_records(pages))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    records = read_archives(spark, manifest.select("path").repartition(tasks, "path"))
+    # payloads stay where they were read; only their lengths and digests are shuffled
+    small = F.when(F.col("type") == "metadata", F.decode("content", "UTF-8")).alias("fields")
+    found = assemble(records.select(*HEADERS, "payload_bytes", "payload_sha1", small),
+                     "payload_digest", "refers_to", "payload_bytes", "payload_sha1", "fields")
+    page = F.regexp_extract(F.col("metadata.fields"), r"page-id: (-?[0-9]+)", 1)
+    found = scratch.cut(found.select(
         "capture_id", F.when(page != "", page.cast("long")).alias("page_id"),
         F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("ref"),
-        F.col("response.payload_digest").alias("told"), payload(whole).alias("p")), "captures")
+        F.col("response.payload_digest").alias("told"),
+        F.struct(F.col("response.payload_bytes").alias("n"), F.col("response.payload_sha1").alias("digest"))
+        .alias("body")), "captures")
     first = found.where("record_type = 'response'").select(
-        F.col("capture_id").alias("ref"), F.col("page_id").alias("refers_to"), F.col("p").alias("full"))
+        F.col("capture_id").alias("ref"), F.col("page_id").alias("refers_to"), F.col("body").alias("full"))
     same = F.col("told") == F.concat(F.lit("sha1:"), F.col("body.digest"))
     whole_ones = found.where("record_type = 'response'").select(
-        "page_id", F.col("p").alias("body"), "record_type", F.lit(None).cast("long").alias("refers_to"), "told")
+        "page_id", "body", "record_type", F.lit(None).cast("long").alias("refers_to"), "told")
     revisits = found.where("record_type = 'revisit'").join(first, "ref", "left").select(
         "page_id", F.col("full").alias("body"), "record_type", "refers_to", "told")
     out = scratch.cut(whole_ones.union(revisits).select(
         "page_id", F.col("body.n").alias("payload_bytes"), F.col("body.digest").alias("payload_digest"),
         "record_type", "refers_to", same.alias("digest_verified")), "result")
-    scratch.drop("pages", "archives", "manifest", "captures")
+    scratch.drop("archives", "manifest", "captures")
     return out
 
 

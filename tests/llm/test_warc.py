@@ -39,7 +39,7 @@ def test_many_archives_and_foreign_reader(spark, tables):
     rows = [(i, f"http://h/{i}", f"page {i % 50} " * (i % 40)) for i in range(400)]
     d = tables(pages=rows)
     s = Scratch(spark, "test")
-    manifest = W.write_archives(s, W.plan_records(s, spark.read.parquet(f"{d}/pages.parquet")), roll_bytes=2000)
+    manifest = W.write_archives(s, W.plan_records(spark.read.parquet(f"{d}/pages.parquet")), roll_bytes=2000)
     got = manifest.collect()
     assert len(got) > 4 and sum(r.records for r in got) == 1200
     # each record is a gzip member of its own, and Spark's binary reader gives the same rows
@@ -53,11 +53,11 @@ def test_many_archives_and_foreign_reader(spark, tables):
 
 def test_assembly_across_archives_and_dangling_records(spark):
     def rec(kind, rid, to=None):
-        return (kind, rid, to, "u", None, None, b"x", None)
+        return (kind, rid, to, "u", None, None, 1, "d", b"x", None)
     rows = [rec("request", "q1", "r1"), rec("metadata", "m1", "r1"), rec("response", "r1"),
             rec("response", "r2"), rec("request", "q3", "gone"), rec("metadata", "m4"), rec("warcinfo", "i")]
     got = {r.capture_id: tuple(x and x.record_id for x in (r.request, r.response, r.metadata))
-           for r in W.assemble(spark.createDataFrame(rows, W.RECORD)).collect()}
+           for r in W.assemble(spark.createDataFrame(rows, W.RECORD), "content").collect()}
     assert got == {"r1": ("q1", "r1", "m1"), "r2": (None, "r2", None), "gone": ("q3", None, None),
                    "m4": (None, None, "m4")}
 
