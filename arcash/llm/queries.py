@@ -30,6 +30,5 @@ QUERIES = {
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op4_warc": warc.oracle_sql(),
-    "op6_decontamination": op6_decontamination,
     "op8_line_dedup": line_dedup.oracle_sql(),
 }
