@@ -1,6 +1,6 @@
 """Column -> Column expression helpers (parse, canonicalise, repair, derive)."""
 
-from arcash.functions.dates import (add_days_floor, iso, parse_date, repair_issue_date,
+from arcash.functions.dates import (add_days_floor, iso, repair_issue_date,
                                     repair_payment_date, swap_into_window, swap_unconditional,
                                     week_start)
 from arcash.functions.numbers import format_id, round_money, to_int_id, to_number, to_terms
@@ -10,7 +10,7 @@ from arcash.functions.text import (canon, canon_known, canon_or_null, is_blank,
 
 __all__ = [
     "add_days_floor", "canon", "canon_known", "canon_or_null", "format_id", "is_blank", "iso",
-    "lookup", "normalise_state", "parse_date", "repair_issue_date", "repair_payment_date",
+    "lookup", "normalise_state", "repair_issue_date", "repair_payment_date",
     "round_money", "scrub_cell", "strip", "suspicious_name", "swap_into_window",
     "swap_unconditional", "title_case", "to_int_id", "to_number", "to_terms", "week_start",
 ]

@@ -9,29 +9,15 @@ from arcash import config as C
 from arcash.functions.text import col_, is_blank, quote, sql_str, strip
 
 
-def _fix_century(d: Column) -> Column:
-    """Spark reads 2-digit years as 20xx; years 69-99 belong to the 1900s."""
-    return F.add_months(d, F.when((F.year(d) % 100) >= C.TWO_DIGIT_YEAR_PIVOT, -1200).otherwise(0))
+def staged(df, **columns):
+    """``df`` with computed columns, each evaluated once per row.
 
-
-def _try(s: Column, pattern: str) -> Column:
-    d = F.try_to_date(s, pattern)
-    if "yy" in pattern and "yyyy" not in pattern:
-        d = _fix_century(d)
-    shape = C.DATE_SHAPES.get(pattern)
-    return F.when(s.rlike(shape), d) if shape else d
-
-
-def parse_date(c, patterns=C.DATE_PATTERNS, fallback=C.DATE_FALLBACK_PATTERNS,
-               stripped: bool = False) -> Column:
-    """Try each pattern in order (day-first wins); first match -> ``DateType``.
-
-    ``02/03/2026`` is always 2 March. Blank or unmatched -> null. Pass ``stripped=True``
-    when ``c`` is already a stripped text column (see ``with_date``).
+    Later filters and projections that use a column several times would otherwise be merged
+    into this projection, repeating its whole expression at each use (the date parse alone
+    has 18 branches). A one-row generator is a boundary the optimizer does not merge across.
     """
-    s = col_(c) if stripped else strip(c)
-    parsed = F.coalesce(*[_try(s, p) for p in tuple(patterns) + tuple(fallback)])
-    return F.when(is_blank(c), F.lit(None).cast("date")).otherwise(parsed)
+    rest = [c for c in df.columns if c not in columns]
+    return df.select(*rest, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
 def with_date(df, src: str, dst: str):
@@ -49,7 +35,9 @@ def with_date(df, src: str, dst: str):
 
 
 def parse_date_sql(name: str, patterns=C.DATE_PATTERNS, fallback=C.DATE_FALLBACK_PATTERNS) -> Column:
-    """``parse_date`` of a stripped text column, as one SQL expression (one JVM call)."""
+    """Try each pattern in order (day-first wins); first match -> ``DateType``. One SQL
+    expression over a stripped text column. Blank or unmatched -> null; two-digit years from
+    the pivot on belong to the 1900s."""
     q = quote(name)
     tries = []
     for p in tuple(patterns) + tuple(fallback):

@@ -1,7 +1,8 @@
 """Number and id parsing as native expressions.
 
-Money is parsed to ``DECIMAL(18,6)`` (exact; no float error at tolerance boundaries) and
-later rounded to the 2-dp output scale. Non-numeric text, ``inf`` and overflow -> null.
+Money is parsed to ``DECIMAL(26,6)`` (20 whole digits, exact; no float error at tolerance
+boundaries) and later rounded to the 2-dp output scale. Other text and ``inf`` -> null; a
+number that does not fit is null too and is listed with its raw text in a review set.
 """
 
 from __future__ import annotations
@@ -11,12 +12,12 @@ from pyspark.sql import functions as F
 
 from arcash.functions.text import col_, is_blank, strip
 
-MONEY_PARSE = "decimal(18,6)"
-MONEY = "decimal(18,2)"
+MONEY_PARSE = "decimal(26,6)"
+MONEY = "decimal(22,2)"
 
 
 def to_number(c) -> Column:
-    """``'$4,235.00'`` -> 4235.000000; blank or unparseable -> null."""
+    """``'$1,080.5'`` -> 1080.500000; blank or unparseable -> null."""
     cleaned = strip(F.regexp_replace(col_(c), r"[$,]", ""))
     return F.when(is_blank(c), F.lit(None).cast(MONEY_PARSE)).otherwise(cleaned.try_cast(MONEY_PARSE))
 
@@ -33,7 +34,7 @@ def id_digits(c) -> Column:
 
 
 def to_int_id(c) -> Column:
-    """``'CUST001'`` / ``'INV-1001'`` / ``'4'`` -> integer; no digits -> null.
+    """``'A-0042'`` / ``'no. 9'`` / ``'17'`` -> integer; no digits, or over 19 of them -> null.
 
     Every non-digit is dropped (``'1.0'`` -> 10, ``'-5'`` -> 5), matching the source.
     """
@@ -52,7 +53,7 @@ def format_id(c, prefix: str = "CUST", width: int = 3) -> Column:
 
 
 def round_money(c) -> Column:
-    """Round half-up to cents, typed ``DECIMAL(18,2)`` (wide enough that ANSI casts never overflow)."""
+    """Round half-up to cents, typed ``DECIMAL(22,2)`` (wide enough that ANSI casts never overflow)."""
     return F.round(col_(c), 2).cast(MONEY)
 
 

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from arcash import config as C
 
 # A cell that is empty, only whitespace, or a null word in any case, with padding.
-_NULL_WORD = r"(?i)^\s*(null|none|nan)?\s*$"
+# White space is any Unicode space or separator, as spreadsheets export it.
+SPACE = r"[\s\x{1C}-\x{1F}\x{85}\p{Z}]"
+_NULL_WORD = rf"(?i)^{SPACE}*(null|none|nan)?{SPACE}*$"
 
 
 def col_(c) -> Column:
@@ -42,7 +44,7 @@ def quote(name: str) -> str:
 
 def strip(c) -> Column:
     """Remove leading/trailing whitespace of any kind (Spark ``trim`` only drops spaces)."""
-    return F.regexp_replace(col_(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(col_(c), rf"^{SPACE}+|{SPACE}+$", "")
 
 
 def scrub_cell(c, csv_tokens: bool = True) -> Column:
@@ -83,17 +85,9 @@ def title_case(c) -> Column:
     return F.when(n > 0, F.array_join(chars, "")).otherwise(c)
 
 
-_MAP_CACHE: dict = {}
-
-
 def map_literal(mapping: Mapping) -> Column:
     """A literal MAP column; Catalyst folds it into the plan (no join, no broadcast)."""
-    from pyspark import SparkContext
-    key = (id(SparkContext._active_spark_context), tuple(mapping.items()))
-    if key not in _MAP_CACHE:
-        body = ", ".join(f"{sql_lit(k)}, {sql_lit(v)}" for k, v in mapping.items())
-        _MAP_CACHE[key] = F.expr(f"map({body})")
-    return _MAP_CACHE[key]
+    return F.expr("map(" + ", ".join(f"{sql_lit(k)}, {sql_lit(v)}" for k, v in mapping.items()) + ")")
 
 
 def lookup(mapping: Mapping, key) -> Column:

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arcash import config as C
-from arcash.functions import (canon_known, is_blank, lookup, normalise_state, parse_date,
-                              strip, suspicious_name, to_int_id, to_number, to_terms)
+from arcash.functions import (canon_known, is_blank, lookup, normalise_state, strip, suspicious_name, to_int_id, to_number, to_terms)
 from arcash.functions.dates import with_date
 from arcash.operators.dedup import all_copies, first_per_key
 from arcash.sources.raw import SEQ
@@ -25,10 +24,11 @@ class CustomerClean(NamedTuple):
     name_warnings: DataFrame  # blank / suspicious names
     tier_mismatch: DataFrame  # credit limit differs from the tier's expected limit
     raw_rows: DataFrame       # raw input (for row conservation counts)
+    unusable_ids: DataFrame   # rows without an id, or with one that does not fit
 
 
 def with_customer_ids(raw: DataFrame) -> DataFrame:
-    """Digits-only integer ids; rows without a usable id are dropped silently."""
+    """Digits-only integer ids; rows without a usable id go to a review set."""
     return raw.withColumn("customer_id", to_int_id("customer_id")).filter(F.col("customer_id").isNotNull())
 
 
@@ -87,4 +87,5 @@ def clean_customers(raw: DataFrame, cfg: C.RunConfig = C.DEFAULT) -> CustomerCle
         "member_tier", "payment_terms_days",
         F.col("_credit").try_cast("bigint").alias("credit_limit"),
         "member_since", "state")
-    return CustomerClean(clean, duplicates.drop(SEQ), name_warnings, tier_mismatch, raw)
+    unusable = raw.filter(to_int_id("customer_id").isNull()).drop(SEQ)
+    return CustomerClean(clean, duplicates.drop(SEQ), name_warnings, tier_mismatch, raw, unusable)

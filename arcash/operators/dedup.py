@@ -1,10 +1,8 @@
 """First-wins de-duplication and duplicate listing without one-task hot keys.
 
-Both use aggregation (partial, map-side) instead of a window over the key: a window puts
-every row of a hot key into one task, while ``min_by`` / ``count`` collapse the hot key
-in every map task before the shuffle. Listing all copies is a semi-join of the rows
-against the (usually small) set of repeated keys; AQE's skew-join handling splits a hot
-key on the row side.
+One narrow aggregate counts the rows of each key (combined in every map task, so a hot key
+is one row a task before the shuffle). Rows of a key that occurs once pass by an anti join;
+only rows of repeated keys go through ``min_by``, the listing and the comparison.
 """
 
 from __future__ import annotations
@@ -17,14 +15,6 @@ from pyspark.sql import functions as F
 from arcash.sources.raw import SEQ
 
 
-def first_per_key(df: DataFrame, key: str, order: str = SEQ) -> DataFrame:
-    """Keep, for each ``key``, the row with the smallest ``order`` (file order)."""
-    others = [c for c in df.columns if c != key]
-    return (df.groupBy(key)
-            .agg(F.min_by(F.struct(*others), F.col(order)).alias("_first"))
-            .select(key, *[F.col("_first")[c].alias(c) for c in others]))
-
-
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys occurring more than once, with their row count."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -36,13 +26,24 @@ def all_copies(df: DataFrame, key: str) -> DataFrame:
     return df.join(repeated_keys(df, key).select(key), on=key, how="left_semi")
 
 
+def first_per_key(df: DataFrame, key: str, order: str = SEQ) -> DataFrame:
+    """Keep, for each ``key``, the row with the smallest ``order`` (file order)."""
+    others = [c for c in df.columns if c != key]
+    repeated = repeated_keys(df, key).select(key)
+    firsts = (df.join(repeated, on=key, how="left_semi").groupBy(key)
+              .agg(F.min_by(F.struct(*others), F.col(order)).alias("_first"))
+              .select(key, *[F.col("_first")[c].alias(c) for c in others]))
+    once = df.join(repeated, on=key, how="left_anti").select(key, *others)
+    return once.unionByName(firsts)
+
+
 def conflicting_keys(df: DataFrame, key: str, compare: Sequence[str]) -> DataFrame:
     """Keys whose copies differ in any of ``compare`` (nulls compare equal).
 
-    Exact copies collapse in the first (partial) aggregation, so the second one sees at
-    most one row per distinct variant.
+    Only rows of repeated keys are compared; exact copies collapse in the first (partial)
+    aggregation, so the second one sees one row per distinct variant at most.
     """
-    variants = df.groupBy(key, *compare).agg(F.count(F.lit(1)).alias("_n"))
+    variants = all_copies(df, key).groupBy(key, *compare).agg(F.count(F.lit(1)).alias("_n"))
     return (variants.groupBy(key)
             .agg(F.count(F.lit(1)).alias("n_variants"), F.sum("_n").alias("n_rows"))
             .filter(F.col("n_variants") > 1))

@@ -59,17 +59,3 @@ def dim_invoice_status(raw: DataFrame) -> DataFrame:
           .withColumn("status", canon("status", C.STATUS_CANON, missing="Open")))
     first = first_per_key(df.select("status", "status_id", "description", SEQ), "status")
     return first.select(F.col("status_id").cast("bigint"), "status", "description")
-
-
-def literal_raw(spark: SparkSession, table: str, rows, scrub: bool = True) -> DataFrame:
-    """A raw export from literal rows (tests, tiny lookup files): text columns in the
-    table's raw order plus ``_seq`` = position, nulls scrubbed like a CSV scan."""
-    from arcash.schemas import RAW_COLUMNS
-    from arcash.sources.raw import scrub_nulls
-    cols = list(RAW_COLUMNS[table])
-    data = [tuple(None if v is None else str(v) for v in r) + (i,) for i, r in enumerate(rows)]
-    df = spark.createDataFrame(data, ", ".join(f"`{c}` string" for c in cols) + f", {SEQ} bigint")
-    return scrub_nulls(df) if scrub else df
-
-
-literal_dimension = literal_raw

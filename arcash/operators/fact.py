@@ -9,6 +9,7 @@ invalid dates set aside -> payment normalisation + status derivation (correction
 
 from __future__ import annotations
 
+from functools import cached_property
 from typing import Optional
 
 from pyspark.sql import Column, DataFrame
@@ -16,9 +17,9 @@ from pyspark.sql import functions as F
 
 from arcash import config as C
 from arcash.functions import (canon, canon_known, canon_or_null, is_blank, iso,
-                              repair_issue_date, repair_payment_date, round_money,
+                              repair_issue_date, repair_payment_date, round_money, strip,
                               swap_unconditional, to_int_id, to_number)
-from arcash.functions.dates import with_date
+from arcash.functions.dates import parse_date_sql, staged
 from arcash.operators.dedup import all_copies, conflicting_keys, first_per_key
 from arcash.operators.stats import exact_percentile
 from arcash.schemas import RAW_COLUMNS
@@ -31,45 +32,126 @@ MONEY_RAW = ("amount_excl_gst", "gst", "amount_incl_gst", "amount_paid")
 
 
 class FactClean:
-    """Outputs of the fact clean. All are lazy DataFrames except ``p99``/``outliers``,
-    which run a few small jobs on first access (only reports need them: large amounts
-    are warned about, never removed)."""
-
-    def __init__(self, clean, duplicates, conflicts, invalid_amounts, valid_amounts,
-                 invalid_dates, status_corrections, due_repair, raw_rows, cfg, p99=None,
-                 status_derivation=None):
-        self.clean = clean                            # FactInvoice (before the gates)
-        self.duplicates = duplicates                  # every copy of a repeated invoice_id
-        self.conflicts = conflicts                    # ids whose copies differ (gate)
-        self.invalid_amounts = invalid_amounts        # set aside
-        self.valid_amounts = valid_amounts            # rows the p99 is taken over
-        self.invalid_dates = invalid_dates            # set aside
-        self.status_corrections = status_corrections  # warned
-        self.due_repair = due_repair                  # due-date decision per dated row
-        self.status_derivation = status_derivation    # canonical vs derived status per kept row
-        self.raw_rows = raw_rows
-        self._cfg = cfg
-        self._p99 = p99
-        self._p99_done = p99 is not None
-
-    @property
+    """Outputs of the fact clean: lazy DataFrames, each built when it is first asked for.
+
+    ``cut(df, name)`` may write the two shared stages (typed rows; dated rows with status,
+    GST and due date) the first time an output needs them, so a caller that asks for many
+    outputs computes the clean once, and one that asks for a few never pays for the rest.
+    ``p99`` runs a few small jobs on first access (large amounts are warned about only).
+    """
+
+    def __init__(self, raw: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.DEFAULT,
+                 p99: Optional[float] = None, cut=None):
+        self.raw_rows, self._customers, self._cfg = raw, customers, cfg
+        self._cut = cut or (lambda df, name: df)
+        self._given_p99 = p99
+        self._ids = with_fact_ids(raw)
+
+    # ---- ids and duplicates -----------------------------------------------------------
+    @cached_property
+    def unusable_ids(self) -> DataFrame:
+        """Rows without an invoice id, or with one that does not fit, as raw text."""
+        return self.raw_rows.filter(to_int_id("invoice_id").isNull()).drop(SEQ)
+
+    @cached_property
+    def duplicates(self) -> DataFrame:
+        """Every copy of a repeated invoice_id."""
+        return all_copies(self._ids, "invoice_id").drop(SEQ)
+
+    @cached_property
+    def conflicts(self) -> DataFrame:
+        """Ids whose copies differ (gate)."""
+        compare = [c for c in RAW_COLUMNS["FactInvoice"] if c != "invoice_id"]
+        return conflicting_keys(self._ids, "invoice_id", compare)
+
+    # ---- amounts ----------------------------------------------------------------------
+    @cached_property
+    def _typed(self) -> DataFrame:
+        return self._cut(parse_amounts(first_per_key(self._ids, "invoice_id").drop(SEQ)), "fact_typed")
+
+    @cached_property
+    def invalid_amounts(self) -> DataFrame:
+        """Set aside, with the raw text of each amount."""
+        return self._typed.filter(invalid_amount(self._cfg))
+
+    @cached_property
+    def valid_amounts(self) -> DataFrame:
+        """Rows the p99 is taken over."""
+        return self._typed.filter(~invalid_amount(self._cfg))
+
+    @cached_property
     def p99(self) -> Optional[float]:
-        if not self._p99_done:
-            self._p99 = exact_percentile(self.valid_amounts, "amount_incl_gst", self._cfg.outlier_p)
-            self._p99_done = True
-        return self._p99
+        if self._given_p99 is not None:
+            return self._given_p99
+        return exact_percentile(self.valid_amounts, "amount_incl_gst", self._cfg.outlier_p)
 
-    @property
+    @cached_property
     def outliers(self) -> DataFrame:
         """Rows above ``outlier_factor`` x p99, with the p99 and threshold (2 dp)."""
-        valid, p99 = self.valid_amounts, self.p99
-        if p99 is None:
-            return (valid.limit(0).withColumn("p99_amount_incl_gst", F.lit(None).cast("double"))
-                    .withColumn("outlier_threshold", F.lit(None).cast("double")))
-        threshold = self._cfg.outlier_factor * p99
-        return (valid.filter(F.col("amount_incl_gst") > F.lit(threshold))
-                .withColumn("p99_amount_incl_gst", F.round(F.lit(p99), 2))
-                .withColumn("outlier_threshold", F.round(F.lit(threshold), 2)))
+        p99 = self.p99
+        threshold = None if p99 is None else self._cfg.outlier_factor * p99
+        value = lambda x: F.lit(x).cast("double")
+        return (self.valid_amounts.filter(F.coalesce(F.col("amount_incl_gst") > value(threshold), F.lit(False)))
+                .withColumn("p99_amount_incl_gst", F.round(value(p99), 2))
+                .withColumn("outlier_threshold", F.round(value(threshold), 2)))
+
+    # ---- dates, status, GST, due date ---------------------------------------------------
+    @cached_property
+    def _dated(self) -> DataFrame:
+        return self._cut(dated_rows(self.valid_amounts, self._customers, self._cfg), "fact_dated")
+
+    @cached_property
+    def due_repair(self) -> DataFrame:
+        """The due-date decision per dated row."""
+        return self._dated.select(
+            "invoice_id", "customer_id", F.col("_due_raw").alias("raw_due_date"),
+            F.col("_issue").alias("issue_date"), terms_days(self._cfg).alias("terms_days"),
+            F.col("_due").alias("due_date"), F.col("_recalc").alias("recomputed"))
+
+    @cached_property
+    def _kept(self) -> DataFrame:
+        return settled_rows(self._dated.filter(~bad_dates(self._cfg)), self._cfg)
+
+    @cached_property
+    def invalid_dates(self) -> DataFrame:
+        """Set aside."""
+        return (self._dated.filter(bad_dates(self._cfg))
+                .withColumn("parsed_issue_date", iso("_issue"))
+                .withColumn("parsed_due_date", iso("_due"))
+                .withColumn("parsed_payment_date", iso("_pay")))
+
+    @cached_property
+    def status_corrections(self) -> DataFrame:
+        """Warned: the stated status differs from the derived one."""
+        return (self._kept.filter(F.col("_status_canon") != F.col("_derived"))
+                .select("invoice_id", "customer_id", F.col("_status_canon").alias("status"),
+                        "payment_method", "issue_date", "due_date", "payment_date",
+                        "amount_incl_gst", F.col("_paid").alias("amount_paid"),
+                        F.col("_status_canon").alias("original_status"),
+                        F.col("_derived").alias("corrected_status")))
+
+    @cached_property
+    def status_derivation(self) -> DataFrame:
+        """Stated (canonical) and derived status per kept row."""
+        return self._kept.select("invoice_id", F.col("_status_canon").alias("original_status"),
+                                 F.col("_derived").alias("status"))
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        """FactInvoice, before the gates."""
+        incl, is_paid = F.col("amount_incl_gst"), F.col("_derived") == "Paid"
+        paid_final = F.when(is_paid, F.when(F.col("_paid").isNull() | (F.col("_paid") <= 0), incl)
+                            .otherwise(F.col("_paid"))).otherwise(F.lit(0))
+        return self._kept.select(
+            F.col("invoice_id").cast("bigint").alias("invoice_id"),
+            F.col("customer_id").cast("bigint").alias("customer_id"),
+            "category", "payment_method", F.col("_derived").alias("status"),
+            F.col("_issue").alias("issue_date"), F.col("_due").alias("due_date"),
+            F.when(is_paid, F.col("_pay")).alias("payment_date"),
+            F.col("amount_excl_gst").alias("amount_excl_gst"),
+            F.col("gst").alias("gst"),
+            round_money(incl).alias("amount_incl_gst"),
+            round_money(paid_final).alias("amount_paid"))
 
 
 def with_fact_ids(raw: DataFrame) -> DataFrame:
@@ -79,12 +161,12 @@ def with_fact_ids(raw: DataFrame) -> DataFrame:
 
 
 def parse_amounts(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: to_number(c) for c in MONEY_RAW})
+    return staged(df, **{c: to_number(c) for c in MONEY_RAW})
 
 
 def invalid_amount(cfg: C.RunConfig) -> Column:
     incl, paid = F.col("amount_incl_gst"), F.col("amount_paid")
-    tol = F.lit(cfg.money_tol).cast("decimal(18,6)")
+    tol = F.lit(cfg.money_tol).cast("decimal(26,6)")
     return incl.isNull() | (incl <= 0) | (paid.isNotNull() & (paid > incl + tol))
 
 
@@ -106,47 +188,29 @@ def gst_split(df: DataFrame, cfg: C.RunConfig) -> DataFrame:
             .withColumn("amount_excl_gst", round_money(F.col("amount_incl_gst") - F.col("gst"))))
 
 
-def clean_fact(raw: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.DEFAULT,
-               p99: Optional[float] = None, cut=None) -> FactClean:
-    """Clean the raw fact against the cleaned customers (for payment terms).
+def terms_days(cfg: C.RunConfig) -> Column:
+    return F.coalesce(F.col("_terms"), F.lit(cfg.default_terms_days))
 
-    ``p99`` may be supplied (e.g. from a previous run); otherwise it is computed exactly,
-    on demand, over the rows that survive the amount checks (see ``stats``).
-    ``cut(df, name)`` may materialise the two shared stages (after de-duplication and
-    amount parsing; after dates, status, GST and due date): every output below derives
-    from them, so a materialising caller computes the clean once for all outputs.
-    """
-    cut = cut or (lambda df, name: df)
+
+def dated_rows(valid: DataFrame, customers: DataFrame, cfg: C.RunConfig) -> DataFrame:
+    """Parsed and repaired dates, canonical names and status, GST, and the due date."""
     snap = F.lit(cfg.snapshot).cast("date")
     start, end = F.lit(cfg.period_start).cast("date"), F.lit(cfg.period_end).cast("date")
-
-    ided = with_fact_ids(raw)
-    compare = [c for c in RAW_COLUMNS["FactInvoice"] if c != "invoice_id"]
-    duplicates = all_copies(ided, "invoice_id").drop(SEQ)
-    conflicts = conflicting_keys(ided, "invoice_id", compare)
-    first = first_per_key(ided, "invoice_id").drop(SEQ)
-
-    typed = cut(parse_amounts(first), "fact_typed")
-    bad_amount = invalid_amount(cfg)
-    invalid_amounts = typed.filter(bad_amount)
-    valid = typed.filter(~bad_amount)
-
-    dated = with_date(with_date(with_date(valid, "issue_date", "_issue_p"),
-                                "payment_date", "_pay_p"), "due_date", "_due_raw")
-    parsed_issue = F.col("_issue_p")
-    if cfg.recompute_gst:  # legacy profile: unconditional swap outside the period
-        issue = F.when(parsed_issue.between(start, end), parsed_issue).otherwise(swap_unconditional(parsed_issue))
+    texts = valid.withColumns({f"_{c}": strip(c) for c in ("issue_date", "payment_date", "due_date")})
+    dated = staged(texts, _issue_p=parse_date_sql("_issue_date"), _pay_p=parse_date_sql("_payment_date"),
+                   _due_raw=parse_date_sql("_due_date")).drop("_issue_date", "_payment_date", "_due_date")
+    issue, pay = F.col("_issue_p"), F.col("_pay_p")
+    if cfg.swap_dates_always:   # legacy: swapped whether or not the result lies in the window
+        issue = F.when(issue.between(start, end), issue).otherwise(swap_unconditional(issue))
+        pay = F.when(pay > snap, swap_unconditional(pay)).otherwise(pay)
     else:
-        issue = repair_issue_date(parsed_issue, cfg)
-    dated = (dated.withColumns({"_issue": issue,
-                                "_pay": repair_payment_date(F.col("_pay_p"), cfg),
-                                "category": canon_known("category", C.CATEGORY_CANON, list(C.REVENUE_GROUP)),
-                                "payment_method": canon_or_null("payment_method", C.METHOD_CANON)})
-             .drop("_issue_p", "_pay_p"))
-    dated = dated.withColumn(
-        "_status_canon",
-        canon(fill_status(F.col("status"), F.col("_pay"), F.col("amount_paid"), F.col("_due_raw"), snap),
-              C.STATUS_CANON, missing="Open"))
+        issue, pay = repair_issue_date(issue, cfg), repair_payment_date(pay, cfg)
+    dated = staged(dated, _issue=issue, _pay=pay,
+                   category=canon_known("category", C.CATEGORY_CANON, list(C.REVENUE_GROUP)),
+                   payment_method=canon_or_null("payment_method", C.METHOD_CANON)).drop("_issue_p", "_pay_p")
+    dated = dated.withColumn("_status_filled", fill_status(
+        F.col("status"), F.col("_pay"), F.col("amount_paid"), F.col("_due_raw"), snap))
+    dated = staged(dated, _status_canon=canon("_status_filled", C.STATUS_CANON, missing="Open")).drop("_status_filled")
     dated = gst_split(dated, cfg)
 
     # Due date: keep the raw one unless blank / unparseable / before issue; then issue +
@@ -154,54 +218,35 @@ def clean_fact(raw: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.DEFAUL
     # never multiplies rows; AQE turns it into a broadcast when the customer side is small.
     terms = customers.select("customer_id", F.col("payment_terms_days").alias("_terms"))
     dated = dated.join(terms, on="customer_id", how="left")
-    tdays = F.coalesce(F.col("_terms"), F.lit(cfg.default_terms_days))
-    computed_due = F.date_add(F.col("_issue"), tdays)
     need_recalc = F.col("_due_raw").isNull() | (F.col("_issue").isNotNull() & (F.col("_due_raw") < F.col("_issue")))
-    if cfg.recompute_gst:  # legacy: due is always issue + terms
+    if cfg.due_from_terms_always:
         need_recalc = F.lit(True)
-    dated = dated.withColumn("_recalc", need_recalc)
-    dated = dated.withColumn("_due", F.when(F.col("_recalc"), computed_due).otherwise(F.col("_due_raw")))
-    dated = cut(dated, "fact_dated")
-    due_repair = dated.select("invoice_id", "customer_id", F.col("_due_raw").alias("raw_due_date"),
-                              F.col("_issue").alias("issue_date"), tdays.alias("terms_days"),
-                              F.col("_due").alias("due_date"), F.col("_recalc").alias("recomputed"))
+    due = F.when(need_recalc, F.date_add(F.col("_issue"), terms_days(cfg))).otherwise(F.col("_due_raw"))
+    return staged(dated, _recalc=need_recalc, _due=due)
+
 
+def bad_dates(cfg: C.RunConfig) -> Column:
+    """No issue date, one outside the period (unless a later gate judges that), no due date,
+    or a due or payment date before issue."""
+    start, end = F.lit(cfg.period_start).cast("date"), F.lit(cfg.period_end).cast("date")
     i, d, p = F.col("_issue"), F.col("_due"), F.col("_pay")
-    bad_date = (i.isNull() | ~i.between(start, end) | d.isNull() | (d < i) | (p.isNotNull() & (p < i)))
-    bad_date = F.coalesce(bad_date, F.lit(True))
-    invalid_dates = (dated.filter(bad_date)
-                     .withColumn("parsed_issue_date", iso("_issue"))
-                     .withColumn("parsed_due_date", iso("_due"))
-                     .withColumn("parsed_payment_date", iso("_pay")))
-    kept = dated.filter(~bad_date)
-
-    paid_raw, incl = F.col("amount_paid"), F.col("amount_incl_gst")
+    bad = i.isNull() | ~i.between(start, end) | d.isNull() | (d < i) | (p.isNotNull() & (p < i))
+    return F.coalesce(bad, F.lit(True))
+
+
+def settled_rows(kept: DataFrame, cfg: C.RunConfig) -> DataFrame:
+    """The paid amount and the derived status."""
+    snap = F.lit(cfg.snapshot).cast("date")
+    paid_raw, incl, p, d = F.col("amount_paid"), F.col("amount_incl_gst"), F.col("_pay"), F.col("_due")
     kept = kept.withColumn(
         "_paid", F.when(p.isNotNull() & (paid_raw.isNull() | (paid_raw <= 0)), incl).otherwise(paid_raw))
     derived = (F.when(p.isNotNull() & (F.coalesce(F.col("_paid"), F.lit(0)) > 0), F.lit("Paid"))
                .when(d < snap, F.lit("Overdue")).otherwise(F.lit("Open")))
-    kept = kept.withColumn("_derived", derived)
-    status_corrections = (kept.filter(F.col("_status_canon") != F.col("_derived"))
-                          .select("invoice_id", "customer_id", F.col("_status_canon").alias("status"),
-                                  "payment_method", "issue_date", "due_date", "payment_date",
-                                  "amount_incl_gst", F.col("_paid").alias("amount_paid"),
-                                  F.col("_status_canon").alias("original_status"),
-                                  F.col("_derived").alias("corrected_status")))
-
-    is_paid = F.col("_derived") == "Paid"
-    paid_final = F.when(is_paid, F.when(F.col("_paid").isNull() | (F.col("_paid") <= 0), incl)
-                        .otherwise(F.col("_paid"))).otherwise(F.lit(0))
-    clean = kept.select(
-        F.col("invoice_id").cast("bigint").alias("invoice_id"),
-        F.col("customer_id").cast("bigint").alias("customer_id"),
-        "category", "payment_method", F.col("_derived").alias("status"),
-        F.col("_issue").alias("issue_date"), F.col("_due").alias("due_date"),
-        F.when(is_paid, p).alias("payment_date"),
-        F.col("amount_excl_gst").alias("amount_excl_gst"),
-        F.col("gst").alias("gst"),
-        round_money(incl).alias("amount_incl_gst"),
-        round_money(paid_final).alias("amount_paid"))
-    derivation = kept.select("invoice_id", F.col("_status_canon").alias("original_status"),
-                             F.col("_derived").alias("status"))
-    return FactClean(clean, duplicates, conflicts, invalid_amounts, valid, invalid_dates,
-                     status_corrections, due_repair, raw, cfg, p99, derivation)
+    return staged(kept, _derived=derived)
+
+
+def clean_fact(raw: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.DEFAULT,
+               p99: Optional[float] = None, cut=None) -> FactClean:
+    """Clean the raw fact against the cleaned customers (for payment terms). Nothing runs and
+    nothing is written until an output is asked for; ``p99`` may be given from another run."""
+    return FactClean(raw, customers, cfg, p99, cut)

@@ -3,9 +3,9 @@
 Plan shape (see ``explain``): one aggregation over the paid history computes the
 customer, tier and overall statistics together (GROUPING SETS, one scan, map-side
 partial aggregation: the median buffer holds distinct lag values, a small domain even for
-a customer holding a third of all rows). Unpaid invoices then take two left joins
-(customers, customer lags; AQE handles skew / runtime broadcast), the tier table is
-broadcast (at most one row per valid tier: a proven bound) and the overall value is a
+a customer holding a third of all rows). Customers, customer lags and the tier table
+(broadcast: one row per valid tier at most) join into one written row per customer, so that
+unpaid invoices take a single join, whose hot customers AQE splits; the overall value is a
 scalar subquery. The weekly schedule aggregates before any ordering, so its window runs
 over one row per week only.
 """
@@ -25,17 +25,7 @@ from arcash.functions.numbers import cents, ratio_half_up
 class LagTables(NamedTuple):
     by_customer: DataFrame   # customer_id, value, n
     by_tier: DataFrame       # member_tier, value, n
-    overall: DataFrame       # one row: value (0.0 without history)
-    paid: DataFrame          # invoice_id, customer_id, member_tier, lag
-
-
-def paid_lags(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    """Days from due date to payment for every paid invoice, with the payer's tier."""
-    return (fact.filter((F.col("status") == "Paid") & F.col("payment_date").isNotNull())
-            .select("invoice_id", "customer_id",
-                    F.datediff("payment_date", "due_date").alias("lag"))
-            .filter(F.col("lag").isNotNull())
-            .join(customers.select("customer_id", "member_tier"), on="customer_id", how="left"))
+    overall: DataFrame       # one row: value (none without history)
 
 
 def _stat(cfg: C.RunConfig):
@@ -66,19 +56,15 @@ def lag_statistics(fact: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.D
                  F.grouping_id().alias("_gid")))
 
 
-def lag_tables(fact: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.DEFAULT,
-               stats: DataFrame = None) -> LagTables:
-    """Split the statistics by level. Pass ``stats`` (e.g. materialised once) so the three
-    consumers read one result instead of each re-aggregating the paid history."""
-    paid = paid_lags(fact, customers)
-    g = stats if stats is not None else lag_statistics(fact, customers, cfg)
+def lag_tables(g: DataFrame) -> LagTables:
+    """The statistics by level. Written once by a caller with several readers."""
     by_customer = g.filter((F.col("_gid") == 1) & F.col("customer_id").isNotNull()) \
         .select("customer_id", "value", "n")
     by_tier = g.filter((F.col("_gid") == 2) & F.col("member_tier").isNotNull()) \
         .select("member_tier", "value", "n")
     # No paid history at all -> no () row; the scalar below defaults it to 0.
     overall = g.filter(F.col("_gid") == 3).select("value", "n")
-    return LagTables(by_customer, by_tier, overall, paid)
+    return LagTables(by_customer, by_tier, overall)
 
 
 def paid_lag_days(fact: DataFrame) -> DataFrame:
@@ -97,28 +83,29 @@ def lag_divergence(fact: DataFrame) -> DataFrame:
                     F.round("_med", 2).alias("median_lag")))
 
 
-def pick_lags(fact: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.DEFAULT,
-              lags: LagTables = None) -> DataFrame:
-    """Unpaid invoices with the lag they will use: the customer's own statistic with at
-    least ``min_customer_history`` paid invoices, else the tier's, else the overall one."""
-    lags = lags or lag_tables(fact, customers, cfg)
-    overall = F.coalesce(lags.overall.select("value").scalar(), F.lit(0.0))
-    unpaid = (fact.filter(F.col("status") != "Paid")
-              .join(customers.select("customer_id", "customer_name", "member_tier"),
-                    on="customer_id", how="left")
-              .join(lags.by_customer.select("customer_id", F.col("value").alias("_c_val"),
-                                            F.col("n").alias("_c_n")),
-                    on="customer_id", how="left")
-              .join(F.broadcast(lags.by_tier.select("member_tier", F.col("value").alias("_t_val"))),
-                    on="member_tier", how="left"))
+def customer_lags(customers: DataFrame, lags: LagTables, cfg: C.RunConfig = C.DEFAULT) -> DataFrame:
+    """One row per customer: name, tier, and the lag it uses: its own statistic with at least
+    ``min_customer_history`` paid invoices, else its tier's (null without one)."""
+    rows = (customers.select("customer_id", "customer_name", "member_tier")
+            .join(lags.by_customer.select("customer_id", F.col("value").alias("_c_val"),
+                                          F.col("n").alias("_c_n")), on="customer_id", how="left")
+            # at most one row per valid tier
+            .join(F.broadcast(lags.by_tier.select("member_tier", F.col("value").alias("_t_val"))),
+                  on="member_tier", how="left"))
     own = F.col("_c_n") >= cfg.min_customer_history
-    tier = F.col("member_tier").isNotNull() & F.col("_t_val").isNotNull()
-    return (unpaid
-            .withColumn("lag_used", F.when(own, F.round("_c_val", 2))
-                        .when(tier, F.round("_t_val", 2)).otherwise(F.round(overall, 2)))
-            .withColumn("lag_source", F.when(own, F.lit("member")).when(tier, F.lit("tier"))
-                        .otherwise(F.lit("overall")))
-            .drop("_c_val", "_c_n", "_t_val"))
+    return rows.select("customer_id", "customer_name", "member_tier",
+                       F.round(F.when(own, F.col("_c_val")).otherwise(F.col("_t_val")), 2).alias("_lag"),
+                       F.when(own, F.lit("member")).when(F.col("_t_val").isNotNull(), F.lit("tier")).alias("_source"))
+
+
+def pick_lags(fact: DataFrame, profile: DataFrame, lags: LagTables) -> DataFrame:
+    """Unpaid invoices with the lag they use, by one join to the written customer table (its
+    skewed side can be split); without a customer's or tier's lag, the overall one."""
+    overall = F.round(F.coalesce(lags.overall.select("value").scalar(), F.lit(0.0)), 2)
+    return (fact.filter(F.col("status") != "Paid").join(profile, on="customer_id", how="left")
+            .withColumn("lag_used", F.coalesce("_lag", overall))
+            .withColumn("lag_source", F.coalesce("_source", F.lit("overall")))
+            .drop("_lag", "_source"))
 
 
 FBI_COLUMNS = ("invoice_id", "customer_id", "customer_name", "member_tier", "category",
@@ -126,22 +113,20 @@ FBI_COLUMNS = ("invoice_id", "customer_id", "customer_name", "member_tier", "cat
                "expected_collection", "already_overdue")
 
 
-def project(picked: DataFrame, cfg: C.RunConfig, shift_days=0) -> DataFrame:
-    """Expected collection = floor(due + lag [+ shift]); anything landing on or before the
-    snapshot is clamped to the next day and flagged as backlog."""
+def landing_day(projected, cfg: C.RunConfig) -> tuple:
+    """Whether a projected day lies on or before the snapshot, and the day it counts for (the
+    first day after the snapshot, if so)."""
     nxt = F.lit(cfg.forecast_start).cast("date")
-    lag = F.col("lag_used") + (shift_days if not isinstance(shift_days, str) else F.col(shift_days))
-    raw = add_days_floor("due_date", lag)
-    return (picked.withColumn("_proj", raw)
-            .withColumn("already_overdue", F.col("_proj") < nxt)
-            .withColumn("expected_collection", F.when(F.col("already_overdue"), nxt).otherwise(F.col("_proj")))
-            .drop("_proj"))
+    overdue = F.col(projected) < nxt
+    return overdue.alias("already_overdue"), F.when(overdue, nxt).otherwise(F.col(projected)) \
+        .alias("expected_collection")
 
 
-def forecast_by_invoice(fact: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.DEFAULT,
-                        lags: LagTables = None) -> DataFrame:
-    """One row per unpaid invoice (unordered; sort at the sink if needed)."""
-    return project(pick_lags(fact, customers, cfg, lags), cfg).select(*FBI_COLUMNS)
+def forecast_by_invoice(fact: DataFrame, profile: DataFrame, lags: LagTables,
+                        cfg: C.RunConfig = C.DEFAULT) -> DataFrame:
+    """One row per unpaid invoice: expected collection = floor(due + lag) (unordered)."""
+    picked = pick_lags(fact, profile, lags).withColumn("_day", add_days_floor("due_date", F.col("lag_used")))
+    return picked.select("*", *landing_day("_day", cfg)).select(*FBI_COLUMNS)
 
 
 def lag_source_mix(fbi: DataFrame) -> DataFrame:
@@ -151,21 +136,25 @@ def lag_source_mix(fbi: DataFrame) -> DataFrame:
     return per.withColumn("pct", ratio_half_up(F.col("n_invoices"), total, 1))
 
 
-def forecast_weekly(fbi: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def forecast_weekly(fbi: DataFrame) -> DataFrame:
     """Monday-anchored weekly schedule: count, amount, normal flow vs clamped backlog,
-    empty weeks filled with zeros, running total and percent of book (1 dp).
+    empty weeks filled with zeros, running total and percent of book (1 dp)."""
+    return weekly_schedule(fbi.select("expected_collection", "already_overdue",
+                                      F.lit(1).cast("bigint").alias("n"), F.col("amount_incl_gst").alias("value")))
 
-    ``keys`` computes independent schedules side by side (e.g. stress scenarios).
-    """
+
+def weekly_schedule(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The schedule of rows (expected_collection, already_overdue, n, value); ``keys``
+    computes independent schedules side by side."""
     keys = list(keys)
-    incl, overdue = F.col("amount_incl_gst"), F.col("already_overdue")
+    value, overdue = F.col("value"), F.col("already_overdue")
     zero = F.lit(0).cast("decimal(18,2)")
-    agg = (fbi.withColumn("week_start", week_start("expected_collection"))
+    agg = (rows.withColumn("week_start", week_start("expected_collection"))
            .groupBy(*keys, "week_start")
-           .agg(F.count(F.lit(1)).alias("n_invoices"),
-                F.sum(F.when(~overdue, incl).otherwise(zero)).alias("normal_flow"),
-                F.sum(F.when(overdue, incl).otherwise(zero)).alias("overdue_backlog"),
-                F.sum(incl).alias("amount")))
+           .agg(F.sum("n").alias("n_invoices"),
+                F.sum(F.when(~overdue, value).otherwise(zero)).alias("normal_flow"),
+                F.sum(F.when(overdue, value).otherwise(zero)).alias("overdue_backlog"),
+                F.sum(value).alias("amount")))
     span = agg.groupBy(*keys).agg(F.min("week_start").alias("lo"), F.max("week_start").alias("hi"))
     weeks = span.select(*keys, F.explode(F.sequence("lo", "hi", F.expr("interval 1 week"))).alias("week_start"))
     full = (weeks.join(agg, on=keys + ["week_start"], how="left")
@@ -184,14 +173,17 @@ def forecast_weekly(fbi: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
                     "amount", "cumulative", "pct_of_book"))
 
 
-def stress_forecast(fact: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.DEFAULT,
+def stress_forecast(fact: DataFrame, profile: DataFrame, lags: LagTables, cfg: C.RunConfig = C.DEFAULT,
                     shifts: Sequence[int] = None) -> DataFrame:
     """Weekly schedules with every lag pushed later by k days, one per k.
 
-    Each unpaid invoice is repeated once per scenario by exploding a literal array (a
-    generator, not a join); the schedules aggregate per (scenario, week).
+    Shifts are whole days, so floor(due + lag + k) = floor(due + lag) + k: the invoices are
+    summed by projected day once, and only those days are repeated per scenario.
     """
     shifts = list(shifts if shifts is not None else cfg.stress_shifts)
-    picked = pick_lags(fact, customers, cfg).withColumn(
-        "shift_days", F.explode(F.array(*[F.lit(int(s)) for s in shifts])))
-    return forecast_weekly(project(picked, cfg, "shift_days"), keys=["shift_days"])
+    days = (pick_lags(fact, profile, lags)
+            .groupBy(add_days_floor("due_date", F.col("lag_used")).alias("_day"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("amount_incl_gst").alias("value")))
+    shifted = (days.withColumn("shift_days", F.explode(F.array(*[F.lit(int(s)) for s in shifts])))
+               .withColumn("_day", F.date_add("_day", F.col("shift_days"))))
+    return weekly_schedule(shifted.select("shift_days", "n", "value", *landing_day("_day", cfg)), ["shift_days"])

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from arcash import config as C
 from arcash.functions.numbers import cents, ratio_half_up
-
+from arcash.operators.ranking import running_total
+from arcash.session import RunFolder
 
 
 def _paid():
@@ -92,19 +93,19 @@ def ar_concentration_group(fact: DataFrame, dim_category: DataFrame) -> DataFram
     return per.withColumn("pct_of_open_ar", ratio_half_up(cents("open_ar"), cents(total), 1))
 
 
-def ar_concentration_debtor(fact: DataFrame, customers: DataFrame, top: int = 10) -> DataFrame:
-    """The ``top`` largest debtors by open AR with their share (a top-k report).
+def ar_concentration_debtor(fact: DataFrame, customers: DataFrame, folder: RunFolder) -> DataFrame:
+    """Every debtor by open AR, with rank and share of all open AR.
 
-    Per-customer sums are a distributed aggregation; the top-k is Spark's
-    TakeOrderedAndProject (per-partition top-k, then a k-row merge), never a global sort.
+    Per-customer sums are a distributed aggregation; ranks are partition-wise row numbers of
+    the range-partitioned debtors plus the rows of the earlier partitions.
     """
     per = (fact.filter(~_paid()).groupBy("customer_id")
-           .agg(F.count(F.lit(1)).alias("n_invoices"), F.sum("amount_incl_gst").alias("open_ar")))
-    total = fact.filter(~_paid()).agg(F.sum("amount_incl_gst")).scalar()
-    top_rows = per.orderBy(F.col("open_ar").desc(), F.col("customer_id").asc()).limit(top)
-    w = Window.orderBy(F.col("open_ar").desc(), F.col("customer_id").asc())
-    return (top_rows.join(customers.select("customer_id", "customer_name"), on="customer_id", how="left")
-            .select(F.row_number().over(w).alias("debtor_rank"), "customer_id", "customer_name",
+           .agg(F.count(F.lit(1)).alias("n_invoices"), F.sum("amount_incl_gst").alias("open_ar"),
+                F.lit(1).alias("_one")))
+    ranked = running_total(per, [F.col("open_ar").desc(), F.col("customer_id").asc()], "_one", folder, "debtors")
+    total = folder.spark.read.parquet(f"{folder.root}/debtors").agg(F.sum("open_ar")).scalar()
+    return (ranked.join(customers.select("customer_id", "customer_name"), on="customer_id", how="left")
+            .select(F.col("_upto").cast("int").alias("debtor_rank"), "customer_id", "customer_name",
                     "n_invoices", "open_ar",
                     ratio_half_up(cents("open_ar"), cents(total), 1).alias("pct_of_open_ar")))
 

@@ -70,50 +70,39 @@ def quality_report(fact: DataFrame, cfg: C.RunConfig = C.DEFAULT) -> DataFrame:
                                                 F.lit(cfg.period_end).cast("date"))).alias("issue_outside_period"))
 
 
-_RELATIONS = (  # (relation, child table, column, parent table, parent column, nulls exempt)
-    ("FactInvoice.customer_id -> DimCustomer", "FactInvoice", "customer_id", "DimCustomer", "customer_id", False),
-    ("FactInvoice.category -> DimCategory", "FactInvoice", "category", "DimCategory", "category", False),
-    ("FactInvoice.status -> DimInvoiceStatus", "FactInvoice", "status", "DimInvoiceStatus", "status", False),
-    ("FactInvoice.payment_method -> DimPaymentMethod", "FactInvoice", "payment_method", "DimPaymentMethod", "payment_method", True),
-    ("FactInvoice.issue_date -> DimDate", "FactInvoice", "issue_date", "DimDate", "date", True),
-    ("FactInvoice.due_date -> DimDate", "FactInvoice", "due_date", "DimDate", "date", True),
-    ("FactInvoice.payment_date -> DimDate", "FactInvoice", "payment_date", "DimDate", "date", True),
-    ("forecast_by_invoice.customer_id -> DimCustomer", "forecast_by_invoice", "customer_id", "DimCustomer", "customer_id", False),
-    ("forecast_by_invoice.status -> DimInvoiceStatus", "forecast_by_invoice", "status", "DimInvoiceStatus", "status", False),
-    ("forecast_by_invoice.expected_collection -> DimDate", "forecast_by_invoice", "expected_collection", "DimDate", "date", False),
+_RELATIONS = (  # child table, column, parent table, parent column, nulls exempt
+    ("FactInvoice", "customer_id", "DimCustomer", "customer_id", False),
+    ("FactInvoice", "category", "DimCategory", "category", False),
+    ("FactInvoice", "status", "DimInvoiceStatus", "status", False),
+    ("FactInvoice", "payment_method", "DimPaymentMethod", "payment_method", True),
+    ("FactInvoice", "issue_date", "DimDate", "date", True),
+    ("FactInvoice", "due_date", "DimDate", "date", True),
+    ("FactInvoice", "payment_date", "DimDate", "date", True),
+    ("forecast_by_invoice", "customer_id", "DimCustomer", "customer_id", False),
+    ("forecast_by_invoice", "status", "DimInvoiceStatus", "status", False),
+    ("forecast_by_invoice", "expected_collection", "DimDate", "date", False),
 )
 
 
 def referential_integrity(t: Dict[str, DataFrame]) -> DataFrame:
     """Violations per relation (10 relations); all zero means the star is consistent.
 
-    One pass per child table stacks its key columns into (relation, key) rows, a partial
-    aggregation reduces them to one row per distinct key (a hot category or date never
-    reaches the join as raw rows), and a single anti-join against the stacked parent keys
-    finds the misses. Null payment method and null dates are exempt; a null customer,
-    category or status counts as a violation (null never matches).
+    Each relation reads one column, in its own type, reduces it to one row per distinct key
+    before the shuffle (a hot category or date never reaches the join as raw rows) and
+    anti-joins the parent keys. Null payment method and null dates are exempt; a null
+    customer, category or status counts as a violation (null never matches).
     """
-    children = []
-    for child in dict.fromkeys(r[1] for r in _RELATIONS):
-        items = [r for r in _RELATIONS if r[1] == child]
-        arr = F.array(*[F.struct(F.lit(rel).alias("relation"), F.col(col).cast("string").alias("k"),
-                                 F.lit(exempt).alias("exempt"))
-                        for rel, _, col, _, _, exempt in items])
-        children.append(t[child].select(F.inline(arr)))
-    keys = children[0]
-    for c in children[1:]:
-        keys = keys.unionByName(c)
-    per_key = (keys.filter(~F.col("exempt") | F.col("k").isNotNull())
-               .groupBy("relation", "k").agg(F.count(F.lit(1)).alias("n")))
-    parents = None
-    for rel, _, _, parent, pcol, _ in _RELATIONS:
-        p = t[parent].select(F.lit(rel).alias("relation"), F.col(pcol).cast("string").alias("k"))
-        parents = p if parents is None else parents.unionByName(p)
-    missing = per_key.join(parents, on=["relation", "k"], how="left_anti").select("relation", "n")
-    spark = per_key.sparkSession
-    zeros = spark.createDataFrame([(r[0], 0) for r in _RELATIONS], "relation string, n bigint")
-    return (missing.unionByName(zeros).groupBy("relation")
-            .agg(F.sum("n").cast("bigint").alias("violations")))
+    out = None
+    for child, col, parent, pcol, exempt in _RELATIONS:
+        keys = t[child].select(F.col(col).alias("k"))
+        if exempt:
+            keys = keys.where("k is not null")
+        missing = (keys.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+                   .join(t[parent].select(F.col(pcol).alias("k")), on="k", how="left_anti"))
+        row = missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations")).select(
+            F.lit(f"{child}.{col} -> {parent}").alias("relation"), "violations")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 # ---- declared constraints (the DDL's checks, uniqueness and not-null rules) ----------
@@ -136,6 +125,7 @@ def _unique(table: str, df: DataFrame, key: str) -> DataFrame:
         F.lit(table).alias("table_name"), F.lit(f"unique_{key}").alias("constraint_name"), "violations")
 
 
+# FIXED VALUES: the constraint names below are those of the declared tables.
 def constraint_violations(t: Dict[str, DataFrame], cfg: C.RunConfig = C.DEFAULT) -> DataFrame:
     c = F.col
     nn = lambda col: c(col).isNotNull()
@@ -155,12 +145,14 @@ def constraint_violations(t: Dict[str, DataFrame], cfg: C.RunConfig = C.DEFAULT)
         "DimInvoiceStatus": {"nn_status_id": nn("status_id"), "nn_status": nn("status"),
                              "ck_status": c("status").isin(*C.VALID_STATUS)},
         "DimDate": {"nn_date_key": nn("date_key"), "nn_date": nn("date"),
-                    "ck_month_no": c("month_no").between(1, 12)},
+                    "nn_year": nn("year"), "nn_quarter": nn("quarter"), "nn_month_no": nn("month_no"),
+                    "nn_month_name": nn("month_name"), "ck_month_no": c("month_no").between(1, 12)},
         "FactInvoice": {
             "nn_invoice_id": nn("invoice_id"), "nn_customer_id": nn("customer_id"),
             "nn_category": nn("category"), "nn_status": nn("status"),
             "nn_issue_date": nn("issue_date"), "nn_due_date": nn("due_date"),
-            "nn_amounts": nn("amount_excl_gst") & nn("gst") & nn("amount_incl_gst") & nn("amount_paid"),
+            "nn_amount_excl_gst": nn("amount_excl_gst"), "nn_gst": nn("gst"),
+            "nn_amount_incl_gst": nn("amount_incl_gst"), "nn_amount_paid": nn("amount_paid"),
             "ck_amount_excl_gst": c("amount_excl_gst") >= 0, "ck_gst": c("gst") >= 0,
             "ck_amount_incl_gst": c("amount_incl_gst") >= 0,
             "ck_gst_rule": (c("gst") == 0) | ~gst_off_rule(cfg),
@@ -177,9 +169,12 @@ def constraint_violations(t: Dict[str, DataFrame], cfg: C.RunConfig = C.DEFAULT)
             "nn_issue_date": nn("issue_date"), "nn_due_date": nn("due_date"),
             "nn_expected_collection": nn("expected_collection"),
             "nn_already_overdue": nn("already_overdue"),
+            "nn_amount_incl_gst": nn("amount_incl_gst"),
             "ck_forecast_amount_positive": c("amount_incl_gst") >= 0,
         },
         "forecast_weekly": {
+            **{f"nn_{x}": nn(x) for x in ("week_start", "n_invoices", "normal_flow", "overdue_backlog",
+                                          "amount", "cumulative", "pct_of_book")},
             "ck_n_invoices": c("n_invoices") >= 0, "ck_normal_flow": c("normal_flow") >= 0,
             "ck_overdue_backlog": c("overdue_backlog") >= 0, "ck_amount": c("amount") >= 0,
             "ck_cumulative": c("cumulative") >= 0,

@@ -1,19 +1,10 @@
 """Exact percentile without gathering every distinct value in one task.
 
 Spark's ``percentile`` is exact but its final merge keeps a histogram of *all* distinct
-values in one reducer, which does not hold for money amounts at 10^11 rows. This helper
-keeps the interpolation rule (linear between the two order statistics around
-``p * (n - 1)``) and finds those order statistics by histogram refinement:
-
-1. ``value -> count`` is aggregated once (map-side partial aggregation absorbs hot
-   values) and persisted.
-2. If the distinct values in the current range fit ``collect_limit``, they are collected
-   (bounded) and walked in order.
-3. Otherwise they are counted into ``buckets`` equal-width bins (one small aggregation),
-   the bin holding the wanted rank is located from the bin counts, and the search
-   repeats inside that bin.
-
-Every driver round trip carries at most ``max(buckets, collect_limit)`` rows.
+values in one reducer, which does not hold for money amounts at 10^11 rows. Here values are
+counted (hot values combine map-side), range-partitioned, and numbered by partition-wise
+running totals; the two order statistics around ``p * (n - 1)`` are then picked by their
+ranks in one job, and interpolated linearly. The plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -21,66 +12,33 @@ from __future__ import annotations
 import math
 from typing import Optional
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arcash.operators.ranking import running_total
+from arcash.session import RunFolder
 
-def _select_rank(vc: DataFrame, k: int, lo, hi, below: int, buckets: int, collect_limit: int):
-    """Value with 0-based rank ``k`` among all values; ``below`` = count under ``lo``."""
-    while True:
-        if lo == hi:
-            return lo
-        rng = vc.filter((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
-        distinct = rng.count()
-        if distinct <= collect_limit:
-            rows = rng.orderBy("v").collect()
-            acc = below
-            for r in rows:
-                acc += r["n"]
-                if acc > k:
-                    return r["v"]
-            return rows[-1]["v"]
-        # Computed in the column's own type (exact for decimals). The map v -> bin is
-        # monotone, lo lands in bin 0 and hi in the last bin, so every round narrows.
-        b = F.least(F.floor((F.col("v") - F.lit(lo)) * F.lit(buckets) / (F.lit(hi) - F.lit(lo))),
-                    F.lit(buckets - 1)).cast("int")
-        hist = (rng.groupBy(b.alias("b"))
-                .agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-                .orderBy("b").collect())
-        acc = below
-        for h in hist:
-            if acc + h["n"] > k:
-                lo, hi, below = h["lo"], h["hi"], acc
-                break
-            acc += h["n"]
-        else:  # pragma: no cover - k beyond n
-            return hist[-1]["hi"]
 
-
-def exact_percentile(df: DataFrame, column: str, p: float, buckets: int = 4096,
-                     collect_limit: int = 50_000) -> Optional[float]:
+def exact_percentile(df: DataFrame, column: str, p: float) -> Optional[float]:
     """Exact ``percentile(column, p)`` (linear interpolation), as a Python float.
 
-    Returns ``None`` when there are no non-null values. Runs a few small jobs; call it
-    once and use the result as a literal.
+    ``None`` when there are no non-null values. Call it once and use it as a literal.
     """
-    vc = (df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
-          .groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-          .persist(StorageLevel.MEMORY_AND_DISK))
+    folder = RunFolder(df.sparkSession, "percentile")
     try:
-        s = vc.agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-        n = s["n"] or 0
+        counted = (df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
+                   .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
+        upto = running_total(counted, [F.col("v")], "n", folder)
+        n = df.sparkSession.read.parquet(f"{folder.root}/ranged").agg(F.sum("n")).first()[0] or 0
         if n == 0:
             return None
         pos = p * (n - 1)
         r0 = int(math.floor(pos))
         r1 = min(r0 + 1, n - 1)
-        frac = pos - r0
-        v0 = float(_select_rank(vc, r0, s["lo"], s["hi"], 0, buckets, collect_limit))
-        if frac == 0 or r1 == r0:
-            return v0
-        v1 = float(_select_rank(vc, r1, s["lo"], s["hi"], 0, buckets, collect_limit))
-        return v0 + (v1 - v0) * frac
+
+        def at(rank: int):
+            return F.max(F.when((F.col("_upto") - F.col("n") <= rank) & (rank < F.col("_upto")), F.col("v")))
+        lo, hi = upto.agg(at(r0), at(r1)).first()
+        return float(lo) + (float(hi) - float(lo)) * (pos - r0)
     finally:
-        vc.unpersist()
+        folder.delete()

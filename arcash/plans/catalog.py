@@ -22,7 +22,7 @@ from arcash.functions.numbers import round_money
 from arcash.operators import measures as M
 from arcash.operators import quality as Q
 from arcash.operators.customers import derive_member_tier, derive_payment_terms, fill_customer_name
-from arcash.operators.forecast import lag_divergence, lag_source_mix, paid_lag_days
+from arcash.operators.forecast import lag_divergence, lag_source_mix
 from arcash.plans.star import Star, present, star_for
 from arcash.sources.derived import derived_raw
 
@@ -39,10 +39,15 @@ def query(name: str):
     return deco
 
 
-def _star(spark, sf_dir, cfg=C.FORECAST, materialize=True) -> Star:
-    """The run for a query. Materialised: tables read by several branches of a plan are
-    checkpointed once instead of being recomputed per branch."""
-    return star_for(spark, sf_dir, cfg, materialize)
+def _star(spark, sf_dir, cfg=C.FORECAST) -> Star:
+    """The lazy run for a query with one reader of each table: nothing is written, and the
+    query's columns and filters reach the scan."""
+    return star_for(spark, sf_dir, cfg)
+
+
+def _shared(spark, sf_dir, cfg=C.FORECAST) -> Star:
+    """The run for a query of which several branches read the gated fact: it is written once."""
+    return star_for(spark, sf_dir, cfg, materialize=True)
 
 
 def _raw(spark, sf_dir, table):
@@ -260,7 +265,7 @@ def q_bad_gst(spark, sf_dir):
 
 @query("referential_integrity")
 def q_referential_integrity(spark, sf_dir):
-    return Q.referential_integrity(_star(spark, sf_dir).tables())
+    return Q.referential_integrity(_shared(spark, sf_dir).tables())
 
 
 @query("quality_report")
@@ -270,7 +275,7 @@ def q_quality_report(spark, sf_dir):
 
 @query("constraint_violations")
 def q_constraint_violations(spark, sf_dir):
-    return Q.constraint_violations(_star(spark, sf_dir).tables())
+    return Q.constraint_violations(_shared(spark, sf_dir).tables())
 
 
 # ---- 2.4 dimensions and the fact ---------------------------------------------------------
@@ -302,7 +307,7 @@ def q_fact_invoice(spark, sf_dir):
 
 @query("dim_date")
 def q_dim_date(spark, sf_dir):
-    return _star(spark, sf_dir).dim_date
+    return _shared(spark, sf_dir).dim_date
 
 
 @query("dim_date_fiscal")
@@ -326,19 +331,20 @@ def q_lag_by_tier(spark, sf_dir):
 
 @query("lag_overall")
 def q_lag_overall(spark, sf_dir):
-    paid = paid_lag_days(_star(spark, sf_dir).fact)
-    return paid.agg(F.coalesce(F.median("lag").cast("double"), F.lit(0.0)).alias("lag_value"),
-                    F.count("lag").alias("n_paid"))
+    """The overall level that the forecast falls back to (0 without paid history)."""
+    row = _star(spark, sf_dir).lags.overall
+    return row.agg(F.coalesce(F.max("value"), F.lit(0.0)).alias("lag_value"),
+                   F.coalesce(F.max("n"), F.lit(0)).alias("n_paid"))
 
 
 @query("forecast_by_invoice")
 def q_forecast_by_invoice(spark, sf_dir):
-    return _star(spark, sf_dir).forecast_by_invoice
+    return _shared(spark, sf_dir).forecast_by_invoice
 
 
 @query("lag_source_mix")
 def q_lag_source_mix(spark, sf_dir):
-    return lag_source_mix(_star(spark, sf_dir).forecast_by_invoice)
+    return lag_source_mix(_shared(spark, sf_dir).forecast_by_invoice)
 
 
 @query("lag_divergence")
@@ -348,7 +354,7 @@ def q_lag_divergence(spark, sf_dir):
 
 @query("forecast_weekly")
 def q_forecast_weekly(spark, sf_dir):
-    return _star(spark, sf_dir).forecast_weekly
+    return _shared(spark, sf_dir).forecast_weekly
 
 
 @query("book_totals")
@@ -359,7 +365,7 @@ def q_book_totals(spark, sf_dir):
 @query("forecast_reconciliation")
 def q_forecast_reconciliation(spark, sf_dir):
     """By-invoice total vs the weekly schedule's final cumulative value (tolerance 0.01)."""
-    s = _star(spark, sf_dir)
+    s = _shared(spark, sf_dir)
     weekly_total = s.forecast_weekly.agg(F.max_by("cumulative", "week_start")).scalar()
     zero = F.lit(0).cast("decimal(18,2)")
     row = s.forecast_by_invoice.agg(F.coalesce(F.sum("amount_incl_gst"), zero).alias("forecast_by_invoice_total"))
@@ -375,8 +381,11 @@ def q_forecast_reconciliation(spark, sf_dir):
 def q_compare_runs(spark, sf_dir):
     """Previous run (snapshot one month earlier) vs this run: row counts and key totals."""
     from arcash.plans.publish import compare_runs, run_metrics
-    cur = _star(spark, sf_dir)
+    cur = _shared(spark, sf_dir)
     prev = Star(cur.inputs, dataclasses.replace(cur.cfg, snapshot="2026-02-28"), materialize=True)
+    # customers and the small dimensions don't depend on the snapshot
+    for name in ("dim_customer", "dim_category", "dim_payment_method", "dim_invoice_status"):
+        setattr(prev, name, getattr(cur, name))
     return compare_runs(run_metrics(prev.tables()), run_metrics(cur.tables()))
 
 
@@ -406,7 +415,7 @@ def q_ar_concentration_group(spark, sf_dir):
 @query("ar_concentration_debtor")
 def q_ar_concentration_debtor(spark, sf_dir):
     s = _star(spark, sf_dir)
-    return M.ar_concentration_debtor(s.fact, s.dim_customer)
+    return M.ar_concentration_debtor(s.fact, s.dim_customer, s.folder)
 
 
 @query("credit_utilisation")
@@ -439,12 +448,12 @@ def q_receipts_by_method(spark, sf_dir):
 
 @query("cash_milestones")
 def q_cash_milestones(spark, sf_dir):
-    return M.cash_milestones(_star(spark, sf_dir).forecast_weekly)
+    return M.cash_milestones(_shared(spark, sf_dir).forecast_weekly)
 
 
 @query("stress_forecast")
 def q_stress_forecast(spark, sf_dir):
-    return _star(spark, sf_dir).stress_forecast()
+    return _shared(spark, sf_dir).stress_forecast()
 
 
 @query("invoiced_by_month")
@@ -457,20 +466,19 @@ def q_invoiced_by_month(spark, sf_dir):
 @query("validation_report")
 def q_validation_report(spark, sf_dir):
     from arcash.plans.report import validation_report
-    return validation_report(_star(spark, sf_dir))
+    return validation_report(_shared(spark, sf_dir))
 
 
 @query("publish_star")
 def q_publish_star(spark, sf_dir):
     """Export the 8 tables with a pointer switch, then read the published run back."""
-    from arcash.plans.publish import POINTER, publish, read_published
-    from arcash.session import ensure_checkpoint_dir
-    import uuid
-    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/published-{uuid.uuid4().hex[:8]}"
-    publish(spark, _star(spark, sf_dir).tables(), base, "r1")
-    tables = read_published(spark, base)
+    from arcash.plans.publish import publish, read_published
+    s = _shared(spark, sf_dir)
+    tables = s.tables()
+    base = f"{s.folder.root}/published"
+    publish(spark, tables, base, "r1")
     out = None
-    for name, df in tables.items():
+    for name, df in read_published(spark, base).items():
         part = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
         out = part if out is None else out.unionByName(part)
     return out

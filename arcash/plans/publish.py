@@ -1,9 +1,9 @@
-"""Sinks: star export, all-or-nothing publish, run comparison and the validation report.
+"""Sinks: star export, all-or-nothing publish and run comparison.
 
 Publish without a table format: every table of a run is written under
 ``<base>/run_id=<id>/<table>``; only when all writes succeeded is the one-line pointer
-``<base>/_CURRENT`` replaced (write to a temporary name, then rename), so readers see
-either the previous complete run or the new complete run, never a mix.
+``<base>/_CURRENT`` replaced, by one rename that overwrites it. Readers see the previous
+complete run or the new complete run, never a mix and never none.
 """
 
 from __future__ import annotations
@@ -13,30 +13,36 @@ from typing import Dict, Optional
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from arcash import config as C
 
 POINTER = "_CURRENT"
+FORM = "_form.json"      # the tables' format and schemas, beside them
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = _path(spark, path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file atomically (temporary name, then rename)."""
-    fs, p = _fs(spark, path)
-    jvm = spark._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    """Replace a small text file: write a new file, then rename it over the old one."""
+    fs, tmp = _fs(spark, path + ".tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise IOError(f"could not publish {path}")
+    p = fs.makeQualified(_path(spark, path))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    kind = getattr(hadoop, "Options$Rename")
+    overwrite = spark.sparkContext._gateway.new_array(kind, 1)
+    overwrite[0] = kind.OVERWRITE
+    context = hadoop.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(tmp), p, overwrite)
 
 
 def read_text(spark: SparkSession, path: str) -> Optional[str]:
@@ -51,16 +57,25 @@ def read_text(spark: SparkSession, path: str) -> Optional[str]:
 
 
 def export_tables(tables: Dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> None:
-    """Write each table (parents first). CSV renders dates as ISO text, as the source did."""
-    for name in C.LOAD_ORDER:
-        if name not in tables:
-            continue
+    """Write each table (parents first) with its declared columns. CSV renders dates as ISO
+    text, as the source did; the schemas are kept beside the tables, so either form reads back."""
+    written = {}
+    for name in (n for n in C.LOAD_ORDER if n in tables):
         df = tables[name]
         w = df.write.mode("overwrite")
         if fmt == "csv":
             w.option("header", True).option("dateFormat", "yyyy-MM-dd").csv(f"{out_dir}/{name}")
         else:
             w.parquet(f"{out_dir}/{name}")
+        written[name] = json.loads(df.schema.json())
+    for df in list(tables.values())[:1]:
+        write_text(df.sparkSession, f"{out_dir}/{FORM}", json.dumps({"format": fmt, "schemas": written}))
+
+
+def write_review(review: Dict[str, DataFrame], out_dir: str) -> None:
+    """Write every review set, also when it is empty: the schema is kept."""
+    for name, df in review.items():
+        df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
 
 
 def publish(spark: SparkSession, tables: Dict[str, DataFrame], base: str, run_id: str,
@@ -68,8 +83,7 @@ def publish(spark: SparkSession, tables: Dict[str, DataFrame], base: str, run_id
     """Write a complete run, then switch the pointer. Returns the run directory."""
     run_dir = f"{base}/run_id={run_id}"
     export_tables(tables, run_dir, fmt)
-    for name, df in (review or {}).items():  # written even when empty: the schema is kept
-        df.write.mode("overwrite").parquet(f"{run_dir}/_review/{name}")
+    write_review(review or {}, f"{run_dir}/_review")
     if report is not None:
         write_text(spark, f"{run_dir}/_validation_report.json", json.dumps(report, indent=2, default=str))
     write_text(spark, f"{base}/{POINTER}", run_id)
@@ -82,10 +96,23 @@ def current_run(spark: SparkSession, base: str) -> Optional[str]:
 
 
 def read_published(spark: SparkSession, base: str, run_id: str = None) -> Dict[str, DataFrame]:
+    """The tables of a published run that are there, in the form they were written."""
     rid = run_id or current_run(spark, base)
     if rid is None:
         return {}
-    return {n: spark.read.parquet(f"{base}/run_id={rid}/{n}") for n in C.LOAD_ORDER}
+    run_dir = f"{base}/run_id={rid}"
+    form = json.loads(read_text(spark, f"{run_dir}/{FORM}") or '{"format": "parquet", "schemas": {}}')
+    out = {}
+    for n in C.LOAD_ORDER:
+        fs, p = _fs(spark, f"{run_dir}/{n}")
+        if not fs.exists(p):
+            continue
+        reader = spark.read
+        if n in form["schemas"]:
+            reader = reader.schema(StructType.fromJson(form["schemas"][n]))
+        out[n] = reader.option("header", True).csv(f"{run_dir}/{n}") if form["format"] == "csv" \
+            else reader.parquet(f"{run_dir}/{n}")
+    return out
 
 
 # ---- run comparison -------------------------------------------------------------------
@@ -96,14 +123,15 @@ TOTALS = (("FactInvoice", "amount_incl_gst", "total_invoiced"),
 
 
 def run_metrics(tables: Dict[str, DataFrame]) -> DataFrame:
-    """Long form (metric, kind, value): row counts of the 8 tables and 3 key totals."""
+    """Long form (metric, kind, value): row counts of the tables that are there, and key totals."""
     parts = []
-    for name in C.LOAD_ORDER:
+    for name in (n for n in C.LOAD_ORDER if n in tables):
         parts.append(tables[name].agg(F.count(F.lit(1)).cast("decimal(20,2)").alias("value"))
                      .select(F.lit(f"rows.{name}").alias("metric"), F.lit("count").alias("kind"), "value"))
     for name, col, label in TOTALS:
-        parts.append(tables[name].agg(F.coalesce(F.sum(col), F.lit(0)).cast("decimal(20,2)").alias("value"))
-                     .select(F.lit(label).alias("metric"), F.lit("total").alias("kind"), "value"))
+        if name in tables:
+            parts.append(tables[name].agg(F.coalesce(F.sum(col), F.lit(0)).cast("decimal(24,2)").alias("value"))
+                         .select(F.lit(label).alias("metric"), F.lit("total").alias("kind"), "value"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -111,7 +139,8 @@ def run_metrics(tables: Dict[str, DataFrame]) -> DataFrame:
 
 
 def compare_runs(previous: DataFrame, current: DataFrame) -> DataFrame:
-    """Previous vs current metrics; ``changed`` when counts differ or totals move >= 0.01."""
+    """Previous vs current metrics; ``changed`` when counts differ or totals move >= 0.01. A
+    table that one run lacks has a null there and counts as changed."""
     p = previous.select("metric", "kind", F.col("value").alias("previous"))
     c = current.select("metric", F.col("kind").alias("_k"), F.col("value").alias("current"))
     j = p.join(c, on="metric", how="full_outer")

@@ -1,14 +1,10 @@
 """The full refresh job: clean -> gates -> forecast -> calendar -> integrity -> compare ->
-publish -> report, with every gate evaluated *before* anything is published.
+publish -> report. Every gate is evaluated before anything is published.
 
-It runs on a materialised ``Star``: the cleaned customers, the gated fact, the lag
-statistics, the forecast and the small dimensions are each written once as parquet under
-the shared ``spark.checkpoint.dir`` and read back, so the downstream consumers neither
-recompute the clean nor carry its plan, and a lost executor recomputes only from there.
-
-Actions: one for the duplicate-conflict gate, one for the orphan + GST gate, one per
-materialised table, one for referential integrity, one for the reconciliation, then one
-per published table.
+It runs on a materialised ``Star``: what several branches read is written once as parquet
+under the shared ``spark.checkpoint.dir`` and read back, so a lost executor recomputes only
+from there; the folder is deleted at the end. When a gate stops the run, the review sets
+that show the rows to mend are written first, under ``<base>/_stopped/run_id=<id>``.
 """
 
 from __future__ import annotations
@@ -22,13 +18,17 @@ from pyspark.sql import functions as F
 from arcash import config as C
 from arcash.operators import quality as Q
 from arcash.plans import publish as P
+from arcash.plans.report import validation_report
 from arcash.plans.star import Star
-from arcash.session import ensure_checkpoint_dir
 from arcash.sources.derived import RawInputs
 
 
 class GateError(ValueError):
-    """A hard data-quality gate failed; nothing was published."""
+    """A hard data-quality gate failed; nothing was published. ``review_dir`` holds the rows."""
+
+    def __init__(self, message: str, review_dir: str):
+        super().__init__(f"{message} (rows in {review_dir})")
+        self.review_dir = review_dir
 
 
 class RefreshResult(NamedTuple):
@@ -38,60 +38,88 @@ class RefreshResult(NamedTuple):
     report: dict
 
 
-def run_refresh(spark: SparkSession, inputs: RawInputs, base: str,
-                cfg: C.RunConfig = C.DEFAULT, run_id: str = None) -> RefreshResult:
-    ensure_checkpoint_dir(spark)
-    run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
-    star = Star(inputs, cfg, materialize=True)
-    fc, cust = star.fact_clean, star.customers
+def _stop(base: str, run_id: str, message: str, review: Dict[str, DataFrame]) -> None:
+    out = f"{base}/_stopped/run_id={run_id}"
+    P.write_review(review, out)
+    raise GateError(message, out)
 
+
+def check_gates(star: Star, base: str, run_id: str) -> dict:
+    """Conflicting copies, then orphans, then GST (judged over rows whose customer exists)."""
+    fc, cfg = star.fact_clean, star.cfg
     conflicts = fc.conflicts.count()
     if conflicts:
-        raise GateError(f"{conflicts} duplicate invoice_id value(s) have conflicting row values")
-
-    # Orphans and GST violations, counted in one job (GST is judged after orphans go, as in
-    # the source, i.e. over rows whose customer exists).
-    customers = star.dim_customer
-    counts = (star.gated.orphans.agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit("orphans"))
-              .unionByName(fc.clean.join(customers.select("customer_id"), "customer_id", "left_semi")
-                           .filter(Q.gst_off_rule(cfg)).agg(F.count(F.lit(1)).alias("n"))
-                           .withColumn("k", F.lit("bad_gst")))
-              .collect())
-    n = {r["k"]: r["n"] for r in counts}
-    if n.get("orphans") and not cfg.allow_drop_orphans:
-        raise GateError(f"{n['orphans']} orphan FactInvoice row(s); set allow_drop_orphans to drop them")
-    if n.get("bad_gst") and not cfg.allow_drop_bad_gst:
-        raise GateError(f"{n['bad_gst']} FactInvoice row(s) violate the GST rule; set allow_drop_bad_gst to drop them")
-
-    tables = star.tables()          # materialises fact, lags, forecast, dimensions, calendar
-    bad = [r for r in Q.referential_integrity(tables).collect() if r["violations"]]
-    if bad:
-        raise GateError("referential integrity failed: " +
-                        "; ".join(f"{r['relation']}: {r['violations']}" for r in bad))
-
-    fbi, weekly = tables["forecast_by_invoice"], tables["forecast_weekly"]
-    fbi_total = fbi.agg(F.sum("amount_incl_gst")).first()[0] or 0
-    last = weekly.agg(F.max_by("cumulative", "week_start")).first()[0] or 0
-    if abs(fbi_total - last) > float(cfg.forecast_tol):
-        raise GateError(f"forecast totals disagree: by invoice {fbi_total} vs weekly {last}")
-
-    previous = P.read_published(spark, base)
-    comparison = P.compare_runs(P.run_metrics(previous), P.run_metrics(tables)).collect() if previous else []
-
-    review = {"duplicate_customer": cust.duplicates, "duplicate_invoice": fc.duplicates,
-              "invalid_amount": fc.invalid_amounts, "invalid_dates": fc.invalid_dates,
-              "orphan_fact": star.gated.orphans, "gst_fact": star.gated.bad_gst,
-              "customer_name": cust.name_warnings, "tier_limit_mismatch": cust.tier_mismatch,
-              "large_invoice_amount": fc.outliers, "status_corrected": fc.status_corrections,
-              "unknown_mapping": Q.unknown_mappings(customers, tables["FactInvoice"])}
-    report = {
-        "status": "PASS", "run_id": run_id, "snapshot": cfg.snapshot,
-        "row_counts": {k: v.count() for k, v in tables.items()},
-        "gates": {"orphan_rows": n.get("orphans", 0), "bad_gst_rows": n.get("bad_gst", 0),
-                  "conflicting_duplicate_ids": conflicts},
-        "totals": {"forecast_by_invoice": float(fbi_total), "forecast_weekly": float(last)},
-        "compare_with_previous": [r.asDict() for r in comparison],
-        "review_sets": sorted(review),
-    }
-    run_dir = P.publish(spark, tables, base, run_id, review=review, report=report)
-    return RefreshResult(run_dir, tables, review, report)
+        _stop(base, run_id, f"copies of {conflicts} invoice ids disagree",
+              {"duplicate_invoice": fc.duplicates, "duplicate_invoice_conflicts": fc.conflicts})
+    known = fc.clean.join(star.dim_customer.select("customer_id"), "customer_id", "left_semi")
+    wrong_gst = known.filter(Q.gst_off_rule(cfg))
+    n = {"orphan_rows": star.gated.orphans.count(), "bad_gst_rows": wrong_gst.count(),
+         "conflicting_duplicate_ids": conflicts}
+    if n["orphan_rows"] and not cfg.allow_drop_orphans:
+        _stop(base, run_id, f"{n['orphan_rows']} invoices name no known customer; allow_drop_orphans sets them aside",
+              {"duplicate_invoice": fc.duplicates, "orphan_fact": star.gated.orphans})
+    if n["bad_gst_rows"] and not cfg.allow_drop_bad_gst:
+        _stop(base, run_id, f"the GST of {n['bad_gst_rows']} invoices is off; allow_drop_bad_gst sets them aside",
+              {"duplicate_invoice": fc.duplicates, "gst_fact": wrong_gst})
+    return n
+
+
+def run_refresh(spark: SparkSession, inputs: RawInputs, base: str, cfg: C.RunConfig = C.DEFAULT,
+                run_id: str = None, fmt: str = "parquet") -> RefreshResult:
+    run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
+    star = Star(inputs, cfg, materialize=True)
+    try:
+        gates = check_gates(star, base, run_id)
+        fc, cust = star.fact_clean, star.customers
+        tables = star.tables()          # materialises fact, lags, forecast, dimensions, calendar
+        bad = [r for r in Q.referential_integrity(tables).collect() if r["violations"]]
+        if bad:
+            _stop(base, run_id, "keys without a parent: " + ", ".join(
+                f"{r['violations']} of {r['relation']}" for r in bad), {"duplicate_invoice": fc.duplicates})
+        outside = Q.quality_report(tables["FactInvoice"], cfg).first()["issue_outside_period"]
+        if outside:
+            _stop(base, run_id, f"{outside} invoices were issued outside the period", {"invalid_dates": fc.invalid_dates})
+
+        review = {"duplicate_customer": cust.duplicates, "duplicate_invoice": fc.duplicates,
+                  "unusable_customer_id": cust.unusable_ids, "unusable_invoice_id": fc.unusable_ids,
+                  "invalid_amount": fc.invalid_amounts, "invalid_dates": fc.invalid_dates,
+                  "orphan_fact": star.gated.orphans, "gst_fact": star.gated.bad_gst,
+                  "customer_name": cust.name_warnings, "tier_limit_mismatch": cust.tier_mismatch,
+                  "large_invoice_amount": fc.outliers, "status_corrected": fc.status_corrections,
+                  "unknown_mapping": Q.unknown_mappings(star.dim_customer, tables["FactInvoice"])}
+        figures = validation_report(star).first().asDict()
+        if figures["reconciliation_status"] != "PASS":
+            _stop(base, run_id, "the forecast by invoice and by week differ by "
+                  f"{figures['reconciliation_difference']}", {"duplicate_invoice": fc.duplicates})
+
+        previous = P.read_published(spark, base)
+        comparison = P.compare_runs(P.run_metrics(previous), P.run_metrics(tables)).collect() if previous else []
+        report = {"status": "PASS", "run_id": run_id, "snapshot": cfg.snapshot, "gates": gates, "figures": figures,
+                  "compare_with_previous": [r.asDict() for r in comparison], "review_sets": sorted(review)}
+        run_dir = P.publish(spark, tables, base, run_id, review=review, report=report, fmt=fmt)
+    finally:
+        star.close()
+    return RefreshResult(run_dir, P.read_published(spark, base, run_id),
+                         {n: spark.read.parquet(f"{run_dir}/_review/{n}") for n in review}, report)
+
+
+LEGACY_TABLES = ("DimCustomer", "DimCategory", "DimPaymentMethod", "DimInvoiceStatus", "DimDate", "FactInvoice")
+
+
+def run_legacy_export(spark: SparkSession, inputs: RawInputs, base: str, run_id: str = "legacy",
+                      cfg: C.RunConfig = C.LEGACY, fmt: str = "csv") -> str:
+    """The older clean-only job: validate GST and issue dates, then export six tables."""
+    star = Star(inputs, cfg, materialize=True)
+    try:
+        known = star.fact_clean.clean.join(star.dim_customer.select("customer_id"), "customer_id", "left_semi")
+        q = Q.quality_report(known, cfg).first()
+        if q["gst_ok"] != q["n_rows"] or q["issue_outside_period"]:
+            off = known.filter(Q.gst_off_rule(cfg) | ~F.col("issue_date").between(cfg.period_start, cfg.period_end))
+            _stop(base, run_id, f"validation failed for {q['n_rows'] - q['gst_ok']} GST values and "
+                  f"{q['issue_outside_period']} issue dates", {"invalid_fact": off})
+        tables = {"DimCustomer": star.dim_customer, "DimCategory": star.dim_category,
+                  "DimPaymentMethod": star.dim_payment_method, "DimInvoiceStatus": star.dim_invoice_status,
+                  "DimDate": star.dim_date_fiscal(), "FactInvoice": star.fact}
+        return P.publish(spark, {n: tables[n] for n in LEGACY_TABLES}, base, run_id, fmt=fmt)
+    finally:
+        star.close()

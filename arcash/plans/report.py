@@ -1,63 +1,86 @@
 """The validation report of a run as a one-row DataFrame (one action evaluates it all).
 
-Every figure is an aggregate over the star or its review sets, attached as a scalar
-subquery to a one-row aggregate of the fact, so nothing is collected until the report is
-written or shown.
+Each source is aggregated once (typed rows, dated rows, fact, customers, duplicates, date
+keys) into a struct, attached as a scalar subquery to the one-row aggregate of the fact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arcash.operators import quality as Q
+from arcash import config as C
+from arcash.operators.fact import bad_dates, invalid_amount, settled_rows
 from arcash.plans.star import Star
 
 
-def _n(df: DataFrame):
-    return df.agg(F.count(F.lit(1))).scalar()
+def _one(df: DataFrame, **figures: Column) -> Column:
+    """All figures of one source as a struct, by one scalar subquery."""
+    return df.agg(F.struct(*[c.alias(n) for n, c in figures.items()]).alias("s")).scalar()
 
 
-def validation_report(s: Star) -> DataFrame:
-    fc, cust = s.fact_clean, s.customers
-    fact, fbi, weekly, dd = s.fact, s.forecast_by_invoice, s.forecast_weekly, s.dim_date
-    unknown = Q.unknown_mappings(s.dim_customer, fact)
-    dates = dd.select("date")
+def _n() -> Column:
+    return F.count(F.lit(1))
+
+
+DATES = ("issue_date", "due_date", "payment_date")
 
-    def date_orphans(col):
-        return _n(fact.filter(F.col(col).isNotNull()).select(F.col(col).alias("date"))
-                  .join(dates, on="date", how="left_anti"))
 
+def validation_report(s: Star) -> DataFrame:
+    fc, cust, cfg = s.fact_clean, s.customers, s.cfg
     zero = F.lit(0).cast("decimal(18,2)")
-    base = fact.agg(F.count(F.lit(1)).alias("fact_rows_after"),
-                    F.coalesce(F.sum("amount_incl_gst"), zero).alias("total_invoiced"),
-                    F.coalesce(F.sum(F.when(F.col("status") != "Paid", F.col("amount_incl_gst"))), zero).alias("open_ar"))
-    fbi_total = F.coalesce(fbi.agg(F.sum("amount_incl_gst")).scalar(), zero)
-    weekly_total = F.coalesce(weekly.agg(F.max_by("cumulative", "week_start")).scalar(), zero)
-    rep = base.select(
-        _n(fc.raw_rows).alias("fact_rows_before"), "fact_rows_after",
-        _n(cust.raw_rows).alias("customer_rows_before"), _n(s.dim_customer).alias("customer_rows_after"),
-        F.coalesce(fc.due_repair.agg(F.count_if(~F.col("recomputed"))).scalar(), F.lit(0)).alias("due_dates_kept"),
-        F.coalesce(fc.due_repair.agg(F.count_if(F.col("recomputed"))).scalar(), F.lit(0)).alias("due_dates_recomputed"),
-        _n(s.gated.orphans).alias("orphan_rows"),
-        _n(fc.duplicates).alias("duplicate_invoice_rows"),
-        fc.duplicates.agg(F.count_distinct("invoice_id")).scalar().alias("duplicate_invoice_ids"),
-        _n(fc.conflicts).alias("conflicting_invoice_ids"),
-        _n(fc.invalid_amounts).alias("invalid_amount_rows"),
-        _n(fc.invalid_dates).alias("invalid_date_rows"),
-        unknown.agg(F.count_if(F.col("warning_field") == "category")).scalar().alias("unknown_category_rows"),
-        unknown.agg(F.count_if(F.col("warning_field") == "industry")).scalar().alias("unknown_industry_rows"),
-        unknown.agg(F.count_if(F.col("warning_field") == "payment_method")).scalar().alias("unknown_payment_method_rows"),
-        _n(cust.tier_mismatch).alias("tier_credit_limit_mismatches"),
-        _n(fc.outliers).alias("large_invoice_amount_warnings"),
-        _n(fc.status_corrections).alias("status_corrected_rows"),
-        _n(s.gated.bad_gst).alias("gst_rule_violations"),
-        date_orphans("issue_date").alias("issue_date_dimdate_orphans"),
-        date_orphans("due_date").alias("due_date_dimdate_orphans"),
-        date_orphans("payment_date").alias("payment_date_dimdate_orphans"),
+    incl, unpaid = F.col("amount_incl_gst"), F.col("status") != "Paid"
+
+    threshold = None if fc.p99 is None else cfg.outlier_factor * fc.p99
+    bad_amount, bad_date = invalid_amount(cfg), bad_dates(cfg)
+    large = F.coalesce(~bad_amount & (incl > F.lit(threshold).cast("double")), F.lit(False))
+    differs = F.col("_status_canon") != F.col("_derived")
+    # the distinct dates of each column, then their misses
+    keys = (s.fact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("date")) for c in DATES])))
+            .where("date is not null").groupBy("c", "date").agg(_n().alias("n")))
+    missing = keys.join(s.dim_date.select("date"), on="date", how="left_anti")
+    counts = {name: _n() for name in ("n",)}
+
+    subqueries = {
+        "_raw": _one(fc.raw_rows, **counts), "_raw_customers": _one(cust.raw_rows, **counts),
+        "_dup": _one(fc.duplicates, rows=_n(), ids=F.count_distinct("invoice_id")),
+        "_conflicts": _one(fc.conflicts, **counts),
+        "_typed": _one(fc._typed, invalid=F.count_if(bad_amount), large=F.count_if(large)),
+        "_dated": _one(settled_rows(fc._dated, cfg), kept=F.count_if(~F.col("_recalc")), recomputed=F.count_if("_recalc"),
+                       invalid=F.count_if(bad_date), corrected=F.count_if(~bad_date & differs)),
+        "_customers": _one(s.dim_customer, n=_n(), unknown=F.count_if(F.col("industry") == "Unknown")),
+        "_mismatch": _one(cust.tier_mismatch, **counts),
+        "_orphans": _one(s.gated.orphans, **counts), "_gst": _one(s.gated.bad_gst, **counts),
+        "_missing": _one(missing, **{c: F.coalesce(F.sum(F.when(F.col("c") == c, F.col("n"))), F.lit(0)) for c in DATES}),
+        "_fbi": _one(s.forecast_by_invoice, n=_n(), total=F.coalesce(F.sum("amount_incl_gst"), zero)),
+        "_weekly": _one(s.forecast_weekly, n=_n(), total=F.coalesce(F.max_by("cumulative", "week_start"), zero)),
+        "_dates": _one(s.dim_date, **counts), "_categories": _one(s.dim_category, **counts),
+        "_methods": _one(s.dim_payment_method, **counts), "_statuses": _one(s.dim_invoice_status, **counts),
+    }
+    base = s.fact.agg(_n().alias("n"), F.coalesce(F.sum(incl), zero).alias("total_invoiced"),
+                      F.coalesce(F.sum(F.when(unpaid, incl)), zero).alias("open_ar"),
+                      F.count_if(F.col("category") == "Unknown").alias("unknown_category_rows"),
+                      F.count_if(F.col("payment_method") == "Unknown").alias("unknown_payment_method_rows"))
+    diff = F.col("_fbi.total") - F.col("_weekly.total")
+    tol = F.lit(cfg.forecast_tol).cast("decimal(10,2)")
+    rows = {"DimCustomer": "_customers.n", "DimCategory": "_categories.n", "DimPaymentMethod": "_methods.n",
+            "DimInvoiceStatus": "_statuses.n", "DimDate": "_dates.n", "FactInvoice": "n",
+            "forecast_by_invoice": "_fbi.n", "forecast_weekly": "_weekly.n"}
+    return base.withColumns(subqueries).select(
+        F.col("_raw.n").alias("fact_rows_before"), F.col("n").alias("fact_rows_after"),
+        F.col("_raw_customers.n").alias("customer_rows_before"), F.col("_customers.n").alias("customer_rows_after"),
+        *[F.col(rows[t]).alias(f"rows_{t}") for t in C.LOAD_ORDER],
+        F.col("_dated.kept").alias("due_dates_kept"), F.col("_dated.recomputed").alias("due_dates_recomputed"),
+        F.col("_orphans.n").alias("orphan_rows"),
+        F.col("_dup.rows").alias("duplicate_invoice_rows"), F.col("_dup.ids").alias("duplicate_invoice_ids"),
+        F.col("_conflicts.n").alias("conflicting_invoice_ids"),
+        F.col("_typed.invalid").alias("invalid_amount_rows"), F.col("_dated.invalid").alias("invalid_date_rows"),
+        "unknown_category_rows", F.col("_customers.unknown").alias("unknown_industry_rows"),
+        "unknown_payment_method_rows", F.col("_mismatch.n").alias("tier_credit_limit_mismatches"),
+        F.col("_typed.large").alias("large_invoice_amount_warnings"),
+        F.col("_dated.corrected").alias("status_corrected_rows"), F.col("_gst.n").alias("gst_rule_violations"),
+        *[F.col(f"_missing.{c}").alias(f"{c}_dimdate_orphans") for c in DATES],
         "total_invoiced", "open_ar",
-        fbi_total.alias("forecast_by_invoice_total"), weekly_total.alias("forecast_weekly_total"))
-    tol = F.lit(s.cfg.forecast_tol).cast("decimal(10,2)")
-    diff = F.col("forecast_by_invoice_total") - F.col("forecast_weekly_total")
-    return rep.withColumn("reconciliation_status",
-                          F.when(F.abs(diff) <= tol, F.lit("PASS")).otherwise(F.lit("FAIL")))
+        F.col("_fbi.total").alias("forecast_by_invoice_total"), F.col("_weekly.total").alias("forecast_weekly_total"),
+        diff.alias("reconciliation_difference"), tol.alias("reconciliation_tolerance"),
+        F.when(F.abs(diff) <= tol, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("reconciliation_status"))

@@ -1,6 +1,6 @@
 """One run of the receivables star, declared lazily.
 
-``build_star`` wires every operator together without running anything (except the
+``Star`` wires every operator together without running anything (except the
 on-demand p99). Each attribute is a DataFrame whose plan Catalyst optimises as a whole
 when it is finally written or collected.
 """
@@ -17,47 +17,33 @@ from arcash.operators.calendar import dim_date, dim_date_fiscal
 from arcash.operators.customers import clean_customers
 from arcash.operators.dimensions import dim_category, dim_invoice_status, dim_payment_method
 from arcash.operators.fact import clean_fact
-from arcash.operators.forecast import (forecast_by_invoice, forecast_weekly, lag_statistics,
-                                       lag_tables, stress_forecast)
+from arcash.operators.forecast import (customer_lags, forecast_by_invoice, forecast_weekly,
+                                       lag_statistics, lag_tables, stress_forecast)
 from arcash.operators.quality import apply_gates
-from arcash.session import ensure_checkpoint_dir
+from arcash.session import RunFolder
 from arcash.sources.derived import RawInputs, load_inputs
 
 
 class Star:
-    """All tables and review sets of one run.
+    """All tables and review sets of one run, lazy by default.
 
-    With ``materialize=True`` the tables that many consumers read (customers, the gated
-    fact, the forecast, the small dimensions) are written once to the reliable checkpoint
-    folder (``spark.checkpoint.dir``) on first use: downstream plans then scan that data
-    instead of repeating the clean in every branch, plans stay small, and a lost executor
-    recomputes only from the last checkpoint.
+    With ``materialize`` the tables that several branches read (customers, the gated fact,
+    lags, the forecast, the small dimensions) are written once to a run folder under
+    ``spark.checkpoint.dir`` on first use and read back: the clean isn't repeated in every
+    branch, plans stay small, and a lost executor recomputes from the last table only.
+    ``close`` deletes the folder; else it goes when the process ends.
     """
 
-    def __init__(self, inputs: RawInputs, cfg: C.RunConfig = C.FORECAST, materialize: bool = False):
-        self.inputs = inputs
-        self.cfg = cfg
-        self.materialize = materialize
-        self._dir = None
+    def __init__(self, inputs: RawInputs, cfg: C.RunConfig = C.FORECAST, materialize: bool = False,
+                 folder: RunFolder = None):
+        self.inputs, self.cfg, self.materialize = inputs, cfg, materialize
+        self.folder = folder or RunFolder(inputs.fact.sparkSession, "star")
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
-
-        One computation (``Dataset.checkpoint`` would compute an unpersisted plan twice:
-        once to count, once to write), columnar and compressed, and it cuts the lineage.
-        """
-        if not self.materialize:
-            return df
-        spark = df.sparkSession
-        path = f"{self._run_dir(spark)}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-
-    def _run_dir(self, spark) -> str:
-        if self._dir is None:
-            import uuid
-            self._dir = ensure_checkpoint_dir(spark).rstrip("/") + f"/arcash-star-{uuid.uuid4().hex[:12]}"
-        return self._dir
+        return self.folder.cut(df, name) if self.materialize else df
+
+    def close(self) -> None:
+        self.folder.delete()
 
     # ---- cleaning ------------------------------------------------------------------
     @cached_property
@@ -66,8 +52,7 @@ class Star:
 
     @cached_property
     def fact_clean(self):
-        cut = self._cut if self.materialize else None
-        return clean_fact(self.inputs.fact, self.dim_customer, self.cfg, cut=cut)
+        return clean_fact(self.inputs.fact, self.dim_customer, self.cfg, cut=self._cut)
 
     @cached_property
     def gated(self):
@@ -97,14 +82,18 @@ class Star:
 
     @cached_property
     def lags(self):
-        stats = None
-        if self.materialize:
-            stats = self._cut(lag_statistics(self.fact, self.dim_customer, self.cfg), "lag_statistics")
-        return lag_tables(self.fact, self.dim_customer, self.cfg, stats)
+        stats = self._cut(lag_statistics(self.fact, self.dim_customer, self.cfg), "lag_statistics")
+        return lag_tables(stats)
+
+    @cached_property
+    def customer_lags(self) -> DataFrame:
+        """One row per customer with the lag its invoices use. Always written, so that the
+        invoices join one table on customer_id and a hot customer's side can be split."""
+        return self.folder.cut(customer_lags(self.dim_customer, self.lags, self.cfg), "customer_lags")
 
     @cached_property
     def forecast_by_invoice(self) -> DataFrame:
-        return self._cut(forecast_by_invoice(self.fact, self.dim_customer, self.cfg, self.lags), 'forecast_by_invoice')
+        return self._cut(forecast_by_invoice(self.fact, self.customer_lags, self.lags, self.cfg), 'forecast_by_invoice')
 
     @cached_property
     def forecast_weekly(self) -> DataFrame:
@@ -124,7 +113,7 @@ class Star:
         return dim_date_fiscal([(self.fact, ["issue_date", "due_date", "payment_date"])])
 
     def stress_forecast(self) -> DataFrame:
-        return stress_forecast(self.fact, self.dim_customer, self.cfg)
+        return stress_forecast(self.fact, self.customer_lags, self.lags, self.cfg)
 
     def tables(self) -> dict:
         """The 8 output tables by name, in publish (parents-first) order."""

@@ -1,12 +1,16 @@
-"""Session helper: the settings the engine is designed and tested with."""
+"""Session helper, and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Settings that matter at scale; a cluster job passes its own through ``extra``.
+# Settings that matter at scale; a caller may change any of them through ``extra``. The
+# master and the number of shuffle partitions belong to the cluster and are never set here
+# unless they are passed.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",                 # runtime re-planning
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -19,29 +23,67 @@ DEFAULTS = {
 }
 
 
-def get_session(master: str = "local[8]", app: str = "arcash", shuffle_partitions: int = 8,
-                extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
-    conf = dict(DEFAULTS, **{"spark.sql.shuffle.partitions": str(shuffle_partitions)})
-    conf.update(extra or {})
-    for k, v in conf.items():
-        b = b.config(k, v)
+def settings(master: str = None, shuffle_partitions: int = None, extra: dict = None) -> dict:
+    """The configuration a session is built with."""
+    conf = dict(DEFAULTS)
+    if master:
+        conf["spark.master"] = master
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    return conf | (extra or {})
+
+
+def get_session(master: str = None, app: str = "arcash", shuffle_partitions: int = None,
+                extra: dict = None) -> SparkSession:
+    b = SparkSession.builder.appName(app).config(map=settings(master, shuffle_partitions, extra))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (shared storage); only when it is unset, as in local
-    tests, a scratch folder is created and used.
+    On a cluster it must be set: a folder of the driver's machine would not be seen by the
+    executors. Only a local session without the setting, as in tests, gets a scratch folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="arcash-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    return d
+
+
+class RunFolder:
+    """Intermediate Parquet tables of one run under the shared folder.
+
+    The folder is named on first use. ``delete`` removes it; a folder that returned frames
+    still read is removed when the process ends.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.root = spark, name, None
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` once and read it back: one computation, and the lineage ends here."""
+        if self.root is None:
+            self.root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/arcash-{self.name}-{uuid.uuid4().hex}"
+            atexit.register(self.delete)
+        path = f"{self.root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def delete(self) -> None:
+        if self.root is None:
+            return
+        root, self.root = self.root, None
+        atexit.unregister(self.delete)
+        try:
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(root)
+            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:       # the session has ended before the process
+            pass

@@ -34,21 +34,23 @@ def case_map(expr: str, mapping: dict, default: str = "NULL") -> str:
     return f"(CASE {expr} {whens} ELSE {default} END)"
 
 
+# every Unicode space or separator
+WS = r"[\s\x0B\x{1C}-\x{1F}\x{85}\p{Z}]"
 TOKENS = ", ".join(q(t) for t in C.CSV_NULL_TOKENS)
 
 
 def scrub(c: str) -> str:
-    return (f"CASE WHEN {c} IS NULL OR regexp_matches({c}, '^\\s*(null|none|nan)?\\s*$', 'i') "
+    return (f"CASE WHEN {c} IS NULL OR regexp_matches({c}, '^{WS}*(null|none|nan)?{WS}*$', 'i') "
             f"OR {c} IN ({TOKENS}) THEN NULL ELSE {c} END")
 
 
 def strip(c: str) -> str:
-    return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+    return f"regexp_replace({c}, '^{WS}+|{WS}+$', '', 'g')"
 
 
 def to_num(c: str) -> str:
     inner = f"regexp_replace({c}, '[$,]', '', 'g')"
-    return f"TRY_CAST({strip(inner)} AS DECIMAL(18,6))"
+    return f"TRY_CAST({strip(inner)} AS DECIMAL(26,6))"
 
 
 def to_id(c: str) -> str:
@@ -376,7 +378,7 @@ SELECTS = {
     "ar_concentration_debtor": f"SELECT CAST(row_number() OVER (ORDER BY open_ar DESC, t.customer_id) AS INTEGER) debtor_rank, t.customer_id, c.customer_name, n_invoices, "
                                f"CAST(open_ar AS DOUBLE) open_ar, {ratio(cents('open_ar'), cents('(SELECT sum(amount_incl_gst) FROM fact WHERE status <> ' + q('Paid') + ')'))} pct_of_open_ar "
                                f"FROM (SELECT customer_id, count(*) n_invoices, sum(amount_incl_gst) open_ar FROM fact WHERE status <> 'Paid' GROUP BY 1 "
-                               f"ORDER BY open_ar DESC, customer_id LIMIT 10) t LEFT JOIN cust c ON c.customer_id = t.customer_id",
+                               f") t LEFT JOIN cust c ON c.customer_id = t.customer_id",
     "credit_utilisation": f"SELECT t.customer_id, c.customer_name, c.member_tier, c.credit_limit, CAST(open_ar AS DOUBLE) open_ar, "
                           f"CASE WHEN c.credit_limit > 0 THEN {ratio(cents('open_ar'), 'c.credit_limit * 100')} END utilisation_pct, "
                           f"coalesce(open_ar > c.credit_limit, false) over_limit "
@@ -451,13 +453,16 @@ _CHECKS = {
                                      ("nn_method_type", "method_type IS NOT NULL")],
     ("DimInvoiceStatus", "dim_st"): [("nn_status_id", "status_id IS NOT NULL"), ("nn_status", "status IS NOT NULL"),
                                      ("ck_status", f"status IN ({_status})")],
-    ("DimDate", "dim_date"): [("nn_date_key", "date_key IS NOT NULL"), ("nn_date", '"date" IS NOT NULL'),
+    ("DimDate", "dim_date"): [("nn_date_key", "date_key IS NOT NULL"), ("nn_date", '"date" IS NOT NULL'), ("nn_year", '"year" IS NOT NULL'),
+                              ("nn_quarter", "quarter IS NOT NULL"), ("nn_month_no", "month_no IS NOT NULL"),
+                              ("nn_month_name", "month_name IS NOT NULL"),
                               ("ck_month_no", "month_no BETWEEN 1 AND 12")],
     ("FactInvoice", "fact"): [
         ("nn_invoice_id", "invoice_id IS NOT NULL"), ("nn_customer_id", "customer_id IS NOT NULL"),
         ("nn_category", "category IS NOT NULL"), ("nn_status", "status IS NOT NULL"),
         ("nn_issue_date", "issue_date IS NOT NULL"), ("nn_due_date", "due_date IS NOT NULL"),
-        ("nn_amounts", "amount_excl_gst IS NOT NULL AND gst IS NOT NULL AND amount_incl_gst IS NOT NULL AND amount_paid IS NOT NULL"),
+        ("nn_amount_excl_gst", "amount_excl_gst IS NOT NULL"), ("nn_gst", "gst IS NOT NULL"),
+        ("nn_amount_incl_gst", "amount_incl_gst IS NOT NULL"), ("nn_amount_paid", "amount_paid IS NOT NULL"),
         ("ck_amount_excl_gst", "amount_excl_gst >= 0"), ("ck_gst", "gst >= 0"), ("ck_amount_incl_gst", "amount_incl_gst >= 0"),
         ("ck_gst_rule", "gst = 0 OR abs(gst * 11 - amount_incl_gst) <= 0.22"),
         ("ck_incl_sum", "abs(amount_incl_gst - (amount_excl_gst + gst)) <= 0.02"),
@@ -470,8 +475,12 @@ _CHECKS = {
         ("nn_category", "category IS NOT NULL"), ("nn_status", "status IS NOT NULL"),
         ("nn_issue_date", "issue_date IS NOT NULL"), ("nn_due_date", "due_date IS NOT NULL"),
         ("nn_expected_collection", "expected_collection IS NOT NULL"), ("nn_already_overdue", "already_overdue IS NOT NULL"),
-        ("ck_forecast_amount_positive", "amount_incl_gst >= 0")],
+        ("nn_amount_incl_gst", "amount_incl_gst IS NOT NULL"), ("ck_forecast_amount_positive", "amount_incl_gst >= 0")],
     ("forecast_weekly", "weekly"): [
+        ("nn_week_start", "week_start IS NOT NULL"), ("nn_n_invoices", "n_invoices IS NOT NULL"),
+        ("nn_normal_flow", "normal_flow IS NOT NULL"), ("nn_overdue_backlog", "overdue_backlog IS NOT NULL"),
+        ("nn_amount", "amount IS NOT NULL"), ("nn_cumulative", "cumulative IS NOT NULL"),
+        ("nn_pct_of_book", "pct_of_book IS NOT NULL"),
         ("ck_n_invoices", "n_invoices >= 0"), ("ck_normal_flow", "normal_flow >= 0"), ("ck_overdue_backlog", "overdue_backlog >= 0"),
         ("ck_amount", "amount >= 0"), ("ck_cumulative", "cumulative >= 0"), ("ck_pct_of_book", "pct_of_book BETWEEN 0 AND 100")],
 }
@@ -561,6 +570,7 @@ SELECTS["publish_star"] = " UNION ALL ".join(
 SELECTS["validation_report"] = f"""
 SELECT (SELECT count(*) FROM raw_f) fact_rows_before, (SELECT count(*) FROM fact) fact_rows_after,
        (SELECT count(*) FROM raw_c) customer_rows_before, (SELECT count(*) FROM cust) customer_rows_after,
+       {", ".join(f'(SELECT count(*) FROM {cte}) "rows_{t}"' for t, cte in _METRIC_TABLES)},
        (SELECT count(*) FILTER (WHERE NOT recalc) FROM f_due2) due_dates_kept,
        (SELECT count(*) FILTER (WHERE recalc) FROM f_due2) due_dates_recomputed,
        (SELECT count(*) FROM f_orphan) orphan_rows, (SELECT count(*) FROM f_dup) duplicate_invoice_rows,
@@ -580,6 +590,8 @@ SELECT (SELECT count(*) FROM raw_f) fact_rows_before, (SELECT count(*) FROM fact
        CAST((SELECT coalesce(sum(amount_incl_gst), 0) FROM fact WHERE status <> 'Paid') AS DOUBLE) open_ar,
        CAST((SELECT coalesce(sum(amount_incl_gst), 0) FROM fbi) AS DOUBLE) forecast_by_invoice_total,
        CAST(coalesce((SELECT arg_max(cumulative, week_start) FROM weekly), 0) AS DOUBLE) forecast_weekly_total,
+       CAST((SELECT coalesce(sum(amount_incl_gst), 0) FROM fbi) - coalesce((SELECT arg_max(cumulative, week_start) FROM weekly), 0) AS DOUBLE) reconciliation_difference,
+       CAST(0.01 AS DOUBLE) reconciliation_tolerance,
        CASE WHEN abs((SELECT coalesce(sum(amount_incl_gst), 0) FROM fbi) - coalesce((SELECT arg_max(cumulative, week_start) FROM weekly), 0)) <= 0.01
             THEN 'PASS' ELSE 'FAIL' END reconciliation_status
 """

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from arcash import config as C
 from arcash.functions import (canon, canon_known, canon_or_null, format_id, normalise_state,
-                              parse_date, repair_issue_date, repair_payment_date, round_money,
+                              is_blank, repair_issue_date, repair_payment_date, round_money,
                               scrub_cell, suspicious_name, swap_into_window, title_case,
                               to_int_id, to_number, to_terms, add_days_floor, week_start)
-from arcash.functions.dates import parse_date_sql, with_date
+from arcash.functions.dates import with_date
 from arcash.functions.numbers import ratio_half_up
 
 
@@ -32,16 +32,23 @@ DATE_CASES = [
     ("5/1/26", D(2026, 1, 5)), ("2026-01-05 10:00:00", D(2026, 1, 5)),
     ("5 Jan 2026", D(2026, 1, 5)), ("20260105", D(2026, 1, 5)), ("5.1.2026", D(2026, 1, 5)),
     ("Jan 5, 2026", D(2026, 1, 5)), (" 2026-01-05 ", D(2026, 1, 5)),
+    ("5 January 2026", D(2026, 1, 5)), ("January 5, 2026", D(2026, 1, 5)), ("05-january-2026", D(2026, 1, 5)),
+    ("2026-01-05\u00a0", D(2026, 1, 5)), ("\u2003\x1f5/1/2026\u3000", D(2026, 1, 5)), ("\u00a0", None),
     ("garbage", None), ("2026-02-30", None), ("", None), (None, None),
 ]
 
 
-def test_parse_date_table(spark):
-    got = one_col(spark, [v for v, _ in DATE_CASES], parse_date)
-    assert got == [e for _, e in DATE_CASES]
+def test_unicode_white_space(spark):
+    assert one_col(spark, ["\u00a0EFT\u2009", "\u00a0", " null\u00a0"], lambda c: canon_or_null(c, C.METHOD_CANON)) == ["EFT", None, None]
+    assert one_col(spark, ["$1,000.00\u00a0", "\u00a0"], to_number) == [Decimal("1000.000000"), None]
+    assert one_col(spark, ["\u00a0", "\x85", "x"], is_blank) == [True, True, False]
+
 
+def test_wide_numbers(spark):
+    assert one_col(spark, ["12345678901234567890.5", "1" * 21], to_number) == [Decimal("12345678901234567890.500000"), None]
 
-def test_parse_date_sql_matches_column_version(spark):
+
+def test_parse_date_table(spark):
     df = spark.createDataFrame([(v,) for v, _ in DATE_CASES], "s string")
     out = with_date(df, "s", "d").select("d").collect()
     assert [r[0] for r in out] == [e for _, e in DATE_CASES]

@@ -7,12 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from arcash import config as C
-from arcash.operators.dimensions import (dim_category, dim_invoice_status, dim_payment_method,
-                                         literal_raw)
+from arcash.operators.dimensions import dim_category, dim_invoice_status, dim_payment_method
 from arcash.plans.star import Star
 from arcash.sources.derived import RawInputs
 
-from conftest import rows
+from conftest import literal_raw, rows
 
 D = dt.date
 
@@ -174,14 +173,23 @@ def test_conflicting_copies_are_reported_and_gate_the_run(spark, tmp_path):
                        status=literal_raw(spark, "DimInvoiceStatus", ST_RAW))
     s = Star(inputs, C.FORECAST)
     assert rows(s.fact_clean.conflicts) == [(1, 2, 2)]
-    with pytest.raises(GateError):
-        run_refresh(spark, inputs, str(tmp_path / "pub"), C.FORECAST)
+    with pytest.raises(GateError) as stop:
+        run_refresh(spark, inputs, str(tmp_path / "pub"), C.FORECAST, run_id="r")
+    shown = spark.read.parquet(f"{stop.value.review_dir}/duplicate_invoice")
+    assert sorted(r.invoice_id for r in shown.collect()) == [1, 1, 14, 14]
+    assert spark.read.parquet(f"{stop.value.review_dir}/duplicate_invoice_conflicts").count() == 1
+    assert not (tmp_path / "pub" / "_CURRENT").exists()
 
 
 def test_orphans_stop_the_run_without_the_flag(spark, book, tmp_path):
     from arcash.plans.refresh import GateError, run_refresh
-    with pytest.raises(GateError, match="orphan"):
+    with pytest.raises(GateError, match="orphan") as stop:
         run_refresh(spark, book.inputs, str(tmp_path / "pub"), C.DEFAULT)
+    assert [r.invoice_id for r in spark.read.parquet(f"{stop.value.review_dir}/orphan_fact").collect()] == [8]
+    only_gst = dataclasses.replace(C.DEFAULT, allow_drop_orphans=True)
+    with pytest.raises(GateError, match="GST") as stop:
+        run_refresh(spark, book.inputs, str(tmp_path / "pub"), only_gst)
+    assert 12 in [r.invoice_id for r in spark.read.parquet(f"{stop.value.review_dir}/gst_fact").collect()]
 
 
 def test_empty_inputs_give_empty_tables(spark):
@@ -207,6 +215,77 @@ def test_legacy_profile_recomputes_gst_and_due(spark, book):
     assert all(r["amount_incl_gst"] == r["amount_excl_gst"] + r["gst"] for r in f.values())
 
 
+def test_legacy_swaps_payments_and_exports_six_tables(spark, book, tmp_path):
+    from arcash.plans.publish import read_published
+    from arcash.plans.refresh import LEGACY_TABLES, GateError, run_legacy_export
+    late = [("INV-1", "CUST001", "membership income", "eft", "PAID", "2026-01-05", "2026-02-04", "2026-12-05",
+             None, "10", "110", "110")]
+    inputs = book.inputs._replace(fact=literal_raw(spark, "FactInvoice", late))
+    swapped = Star(inputs, C.LEGACY).fact_clean._dated.first()["_pay"]
+    assert swapped == D(2026, 5, 12) and Star(inputs, C.FORECAST).fact_clean._dated.first()["_pay"] == D(2026, 12, 5)
+    base = str(tmp_path / "legacy")
+    run_legacy_export(spark, book.inputs, base)
+    out = read_published(spark, base)
+    assert set(out) == set(LEGACY_TABLES) and out["FactInvoice"].count() == Star(book.inputs, C.LEGACY).fact.count()
+    assert dict(out["FactInvoice"].dtypes)["issue_date"] == "date"
+    with pytest.raises(GateError, match="validation"):
+        run_legacy_export(spark, book.inputs, base, cfg=dataclasses.replace(C.LEGACY, recompute_gst=False))
+
+
+def test_integrity_and_constraints_count_planted_rows(spark, book):
+    from arcash.operators.quality import constraint_violations, referential_integrity
+    t = dict(book.tables())
+    t["DimCustomer"] = t["DimCustomer"].where("customer_id <> 2")
+    t["DimCategory"] = t["DimCategory"].where("category <> 'Unknown'")
+    t["DimDate"] = t["DimDate"].where("date <> date '2026-01-05'").withColumn("year", F.lit(None).cast("int"))
+    t["forecast_weekly"] = t["forecast_weekly"].withColumn("amount", F.lit(None).cast("decimal(18,2)"))
+    got = {r.relation: r.violations for r in referential_integrity(t).collect()}
+    fact = t["FactInvoice"]
+    assert got["FactInvoice.customer_id -> DimCustomer"] == fact.where("customer_id = 2").count() > 0
+    assert got["FactInvoice.category -> DimCategory"] == fact.where("category = 'Unknown'").count() > 0
+    assert got["FactInvoice.issue_date -> DimDate"] == fact.where("issue_date = date '2026-01-05'").count() > 0
+    assert got["FactInvoice.status -> DimInvoiceStatus"] == 0 and len(got) == 10
+    bad = {(r.table_name, r.constraint_name): r.violations for r in constraint_violations(t).collect()}
+    assert bad["DimDate", "nn_year"] == t["DimDate"].count()
+    assert bad["forecast_weekly", "nn_amount"] == t["forecast_weekly"].count() > 0
+
+
+def test_wide_amounts_and_ids_are_kept_or_listed(spark, book):
+    more = FACT + [("INV-20", "CUST002", "Major Sponsorship", None, "Open", "2026-03-01", "2026-03-15", None, None, "0",
+                    "1000000000000.50", None),
+                   ("INV-99999999999999999999", "CUST002", None, None, "Open", "2026-03-01", None, None, None, "0", "5", None),
+                   ("none given", "CUST002", None, None, "Open", "2026-03-01", None, None, None, "0", "5", None)]
+    s = Star(book.inputs._replace(fact=literal_raw(spark, "FactInvoice", more)), C.FORECAST)
+    assert str(s.fact.where("invoice_id = 20").first().amount_incl_gst) == "1000000000000.50"
+    assert sorted(r.invoice_id for r in s.fact_clean.unusable_ids.collect()) == ["INV-99999999999999999999", "none given"]
+
+
+def test_hot_customer_is_split(spark, tmp_path):
+    from arcash.operators.forecast import LagTables, forecast_by_invoice
+    old = {k: spark.conf.get(k, None) for k in (
+        "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor")}
+    new = dict(zip(old, ("-1", "-1", "64k", "64k", "1.5")))
+    try:
+        for k, v in new.items():
+            spark.conf.set(k, v)
+        n = 200_000
+        fact = spark.range(n, numPartitions=16).selectExpr(
+            "id invoice_id", "if(id % 2 = 0, 7, id % 5000) customer_id", "'x' category", "'Open' status",
+            "date '2026-03-01' issue_date", "date '2026-03-15' due_date", "cast(1 as decimal(18,2)) amount_incl_gst",
+            "md5(cast(id as string)) pad")
+        spark.range(5000).selectExpr("id customer_id", "'n' customer_name", "'Premium' member_tier",
+                                     "cast(3 as double) _lag", "'member' _source").write.parquet(f"{tmp_path}/profile")
+        level = spark.createDataFrame([(1.0, 1)], "value double, n long")
+        out = forecast_by_invoice(fact, spark.read.parquet(f"{tmp_path}/profile"), LagTables(None, None, level))
+        assert len(out.collect()) == n
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_histogram_median_equals_row_median(spark, book):
     from arcash.operators.forecast import lag_statistics, paid_lag_days
     stats = lag_statistics(book.fact, book.dim_customer)
