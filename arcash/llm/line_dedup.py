@@ -117,17 +117,18 @@ def dedup_lines(docs: DataFrame, depth: int = 3, min_tokens: int = 6, agree_perc
     gone = dropped_lines(scratch, docs, depth, min_tokens, agree_percent, rounds) \
         .select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("gone").alias("_gone"))
     scratch.drop("lines", "distinct", "tokens", *(f"templates-{r}" for r in range(1, rounds + 1)))
+    # the row travels as one struct, so that no column of it clashes with a computed one
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
     lines = F.split("text", "\n")
-    n = F.coalesce(F.size(lines), F.lit(0))
-    lost = F.coalesce(F.size("_gone"), F.lit(0))
+    here = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_th"))
     kept = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(
         F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n"))
-    own = [kept.alias("text") if c == "text" else F.col(c)
+    own = [kept.alias("text") if c == "text" else F.col("_row")[c].alias(c)
            for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    here = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_th"))
-    return docs.join(gone, here, "left").select(
-        *own, F.when(F.col("text").isNull(), 0).otherwise(n).cast("long").alias("n_lines"),
-        F.when(F.col("text").isNull(), 0).otherwise(lost).cast("long").alias("n_dropped"))
+    none = F.col("text").isNull()
+    return rows.join(gone, here, "left").select(
+        *own, F.when(none, 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(none, 0).otherwise(F.coalesce(F.size("_gone"), F.lit(0))).cast("long").alias("n_dropped"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -221,7 +221,10 @@ def score(docs: DataFrame, model: CoTrained) -> DataFrame:
                 [m.scores(content_view(t, m.bits), metadata_view(s, g, n, t, m.bits))
                  for t, s, g, n in zip(text, source, lang, n_chars)],
                 columns=["content_score", "metadata_score", "score"], dtype="float64")
-    return docs.withColumn("_s", scored("text", *META)).select(*docs.columns, "_s.*")
+    new = ("content_score", "metadata_score", "score")
+    rows = docs.select(F.struct(*[c for c in docs.columns if c not in new]).alias("_row"),
+                       scored("text", *META).alias("_s"))
+    return rows.select("_row.*", "_s.*")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

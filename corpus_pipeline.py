@@ -24,17 +24,18 @@ from arcash.llm.toxicity import trained_scores
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic go."""
-    return trained_scores(spark, docs, sf_dir, "_toxic").where("_toxic < 0.5").drop("_toxic")
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    return trained_scores(spark, rows, sf_dir, "toxic").where("toxic < 0.5").select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines go from all but one document; documents left without words go."""
-    out = dedup_lines(docs.withColumn("_was", F.col("n_chars")))
-    changed = F.col("n_dropped") > 0
-    return (out.where(~changed | F.col("text").rlike(r"[^ \t\n\x0B\f\r]"))
-            .withColumn("n_chars", F.when(changed, F.char_length("text").cast(docs.schema["n_chars"].dataType))
-                        .otherwise(F.col("_was")))
-            .select(*docs.columns))
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    changed, n_chars = F.col("n_dropped") > 0, docs.schema["n_chars"].dataType
+    out = dedup_lines(rows).where(~changed | F.col("text").rlike(r"[^ \t\n\x0B\f\r]"))
+    new = {"text": F.col("text"), "n_chars": F.when(changed, F.char_length("text").cast(n_chars))
+           .otherwise(F.col("row.n_chars"))}
+    return out.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

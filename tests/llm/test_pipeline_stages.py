@@ -65,6 +65,24 @@ def test_every_stage_takes_effect_and_clean_documents_stay(spark, tables):
     assert {r.doc_id for r in ran.collect()} == set(left)
 
 
+def test_clashing_extra_columns_pass_through(spark, tables):
+    rows, labels = corpus(8)
+    d = tables(documents=rows, labels=labels, benchmark=[(1, ITEM)])
+    extra = {c: f"concat('x', doc_id) as {c}" for c in (
+        "score", "toxic", "row", "_row", "_gone", "_id", "_th", "line", "line_no", "leaf", "lhash", "n_lines", "n_dropped",
+        "component_id", "kept", "n", "f", "g", "sig", "id", "family", "text_", "item_id", "edits", "label", "at")}
+    docs = spark.read.parquet(f"{d}/documents.parquet").selectExpr("*", *extra.values())
+    for i, (name, stage) in enumerate(C.STAGES):
+        out = stage(spark, docs, d)
+        if name != "packing":
+            assert out.dtypes == docs.dtypes, name
+        out.write.parquet(f"{d}/clash-{i}")
+        docs = spark.read.parquet(f"{d}/clash-{i}")
+        if name != "packing":
+            assert docs.where(" or ".join(f"{c} <> concat('x', doc_id)" for c in extra)).count() == 0, name
+    assert docs.count() > 200
+
+
 def test_empty_tables(spark, tables):
     d = tables(documents=[], labels=[], benchmark=[])
     assert C.run(spark, d).collect() == []
