@@ -1,9 +1,10 @@
-"""Raw (all text) and clean schemas of the receivables star."""
+"""Columns of the raw exports, all text."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# FIXED VALUES: the column names of the exports.
 RAW_COLUMNS = {
     "FactInvoice": ("invoice_id", "customer_id", "category", "payment_method", "status",
                     "issue_date", "due_date", "payment_date", "amount_excl_gst", "gst",
@@ -19,45 +20,3 @@ RAW_COLUMNS = {
 def raw_schema(table: str) -> T.StructType:
     """Every raw column is text; nothing is inferred."""
     return T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS[table]])
-
-
-def _s(*fields) -> T.StructType:
-    return T.StructType([T.StructField(n, t, True) for n, t in fields])
-
-
-MONEY = T.DecimalType(18, 2)
-
-CLEAN = {
-    "DimCustomer": _s(("customer_id", T.LongType()), ("customer_name", T.StringType()),
-                      ("industry", T.StringType()), ("member_tier", T.StringType()),
-                      ("payment_terms_days", T.IntegerType()), ("credit_limit", T.LongType()),
-                      ("member_since", T.DateType()), ("state", T.StringType())),
-    "DimCategory": _s(("category_id", T.LongType()), ("category", T.StringType()),
-                      ("revenue_group", T.StringType())),
-    "DimPaymentMethod": _s(("method_id", T.LongType()), ("payment_method", T.StringType()),
-                           ("method_type", T.StringType())),
-    "DimInvoiceStatus": _s(("status_id", T.LongType()), ("status", T.StringType()),
-                           ("description", T.StringType())),
-    "DimDate": _s(("date_key", T.IntegerType()), ("date", T.DateType()), ("year", T.IntegerType()),
-                  ("quarter", T.StringType()), ("month_no", T.IntegerType()),
-                  ("month_name", T.StringType())),
-    "FactInvoice": _s(("invoice_id", T.LongType()), ("customer_id", T.LongType()),
-                      ("category", T.StringType()), ("payment_method", T.StringType()),
-                      ("status", T.StringType()), ("issue_date", T.DateType()),
-                      ("due_date", T.DateType()), ("payment_date", T.DateType()),
-                      ("amount_excl_gst", MONEY), ("gst", MONEY), ("amount_incl_gst", MONEY),
-                      ("amount_paid", MONEY)),
-    "forecast_by_invoice": _s(("invoice_id", T.LongType()), ("customer_id", T.LongType()),
-                              ("customer_name", T.StringType()), ("member_tier", T.StringType()),
-                              ("category", T.StringType()), ("status", T.StringType()),
-                              ("issue_date", T.DateType()), ("due_date", T.DateType()),
-                              ("amount_incl_gst", T.DecimalType(12, 3)),
-                              ("lag_used", T.DecimalType(8, 2)), ("lag_source", T.StringType()),
-                              ("expected_collection", T.DateType()),
-                              ("already_overdue", T.BooleanType())),
-    "forecast_weekly": _s(("week_start", T.DateType()), ("n_invoices", T.LongType()),
-                          ("normal_flow", T.DecimalType(14, 2)),
-                          ("overdue_backlog", T.DecimalType(14, 2)),
-                          ("amount", T.DecimalType(14, 2)), ("cumulative", T.DecimalType(14, 2)),
-                          ("pct_of_book", T.DecimalType(5, 2))),
-}
