@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from arcash import config as C
-from arcash.functions.text import col_, is_blank, quote, sql_str, strip
+from arcash.functions.text import col_, quote, sql_str, strip
 
 
 def staged(df, **columns):

@@ -213,6 +213,19 @@ def q_dup_invoice_conflicts(spark, sf_dir):
     return _star(spark, sf_dir).fact_clean.conflicts
 
 
+@query("dup_invoice_conflicts_planted")
+def q_dup_invoice_conflicts_planted(spark, sf_dir):
+    """The conflict listing over an export in which some copies differ in one cell: every
+    700th invoice is repeated with another status, every 900th with another amount."""
+    from arcash.operators.dedup import conflicting_keys
+    from arcash.operators.fact import with_fact_ids
+    raw = _raw(spark, sf_dir, "FactInvoice")
+    more = (raw.where("_seq % 700 = 4").withColumn("status", F.lit("Open?"))
+            .unionByName(raw.where("_seq % 900 = 8").withColumn("amount_incl_gst", F.lit("0.01"))))
+    return conflicting_keys(with_fact_ids(raw.unionByName(more)), "invoice_id",
+                            [c for c in raw.columns if c not in ("invoice_id", "_seq")])
+
+
 @query("invalid_amounts")
 def q_invalid_amounts(spark, sf_dir):
     return _star(spark, sf_dir).fact_clean.invalid_amounts.select(
@@ -268,6 +281,16 @@ def q_referential_integrity(spark, sf_dir):
     return Q.referential_integrity(_shared(spark, sf_dir).tables())
 
 
+@query("referential_integrity_planted")
+def q_referential_integrity_planted(spark, sf_dir):
+    """The integrity counts over a star whose parents lack some keys."""
+    t = _shared(spark, sf_dir).tables()
+    lost = {"DimCustomer": "customer_id % 50 = 3", "DimCategory": "category = 'Events Income'",
+            "DimInvoiceStatus": "status = 'Open'", "DimPaymentMethod": "payment_method = 'BPAY'",
+            "DimDate": "day(date) = 5"}
+    return Q.referential_integrity({n: df.where(f"not ({lost[n]})") if n in lost else df for n, df in t.items()})
+
+
 @query("quality_report")
 def q_quality_report(spark, sf_dir):
     return Q.quality_report(_star(spark, sf_dir).fact)
@@ -305,6 +328,13 @@ def q_fact_invoice(spark, sf_dir):
     return _star(spark, sf_dir).fact
 
 
+@query("legacy_fact")
+def q_legacy_fact(spark, sf_dir):
+    """FactInvoice of the legacy profile: GST recomputed, due dates from terms, dates outside
+    their window swapped whatever results."""
+    return _star(spark, sf_dir, C.LEGACY).fact
+
+
 @query("dim_date")
 def q_dim_date(spark, sf_dir):
     return _shared(spark, sf_dir).dim_date

@@ -154,8 +154,19 @@ CATEGORY_KNOWN_SQL = case_map("lower(" + strip("category") + ")", C.CATEGORY_CAN
 METHOD_SQL = case_map("lower(" + strip("payment_method") + ")", C.METHOD_CANON, "'Unknown'")
 STATUS_CANON_SQL = case_map("lower(" + strip("status_f") + ")", C.STATUS_CANON, title(strip("status_f")))
 
-def make_blocks(SNAP: str = SNAP) -> str:
-    """All building blocks for a run with the given snapshot."""
+def swap_always(d: str) -> str:
+    return f"(CASE WHEN day({d}) <= 12 THEN make_date(year({d}), least(day({d}), 12), month({d})) ELSE {d} END)"
+
+
+def make_blocks(SNAP: str = SNAP, legacy: bool = False) -> str:
+    """All building blocks for a run with the given snapshot; ``legacy`` for the older profile."""
+    issue = swap('issue_p', START, END)
+    pay = swap('pay_p', START, SNAP)
+    if legacy:
+        issue = f"CASE WHEN issue_p BETWEEN DATE '{START}' AND DATE '{END}' THEN issue_p ELSE {swap_always('issue_p')} END"
+        pay = swap_always('pay_p')
+    gst = "CAST(round(incl / 11, 2) AS DECIMAL(18,2))" if legacy else "round(coalesce(gst_n, 0), 2)"
+    recalc = "true" if legacy else "(f.due_raw IS NULL OR (f.issue IS NOT NULL AND f.due_raw < f.issue))"
     NEXT = (dt.date.fromisoformat(SNAP) + dt.timedelta(days=1)).isoformat()
     return f"""
 raw_c AS (SELECT {', '.join(scrub(c) + ' AS ' + c for c in ('customer_id', 'customer_name', 'industry', 'member_tier', 'payment_terms_days', 'credit_limit', 'member_since', 'state'))}, _seq
@@ -202,8 +213,8 @@ f_valid AS (SELECT * FROM f_num WHERE NOT (incl IS NULL OR incl <= 0 OR (paid IS
 f_p99 AS (SELECT quantile_cont(CAST(incl AS DOUBLE), 0.99) p99 FROM f_valid),
 f_parse AS (SELECT *, {parse_date('issue_date')} issue_p, {parse_date('payment_date')} pay_p,
                    {parse_date('due_date')} due_raw FROM f_valid),
-f_rep AS (SELECT *, {swap('issue_p', START, END)} issue,
-                 CASE WHEN pay_p > DATE '{SNAP}' THEN {swap('pay_p', START, SNAP)} ELSE pay_p END pay FROM f_parse),
+f_rep AS (SELECT *, {issue} issue,
+                 CASE WHEN pay_p > DATE '{SNAP}' THEN {pay} ELSE pay_p END pay FROM f_parse),
 f_st0 AS (SELECT *, CASE WHEN status IS NULL THEN
                      (CASE WHEN pay IS NOT NULL OR coalesce(paid, 0) > 0 THEN 'Paid'
                            WHEN due_raw IS NOT NULL AND due_raw < DATE '{SNAP}' THEN 'Overdue' ELSE 'Open' END)
@@ -211,10 +222,10 @@ f_st0 AS (SELECT *, CASE WHEN status IS NULL THEN
 f_st AS (SELECT *, {STATUS_CANON_SQL} status_c,
                 CASE WHEN category IS NULL THEN 'Unknown' ELSE {CATEGORY_KNOWN_SQL} END category_c,
                 CASE WHEN payment_method IS NULL THEN NULL ELSE {METHOD_SQL} END method_c,
-                round(coalesce(gst_n, 0), 2) gst
+                {gst} gst
          FROM f_st0),
 f_due AS (SELECT f.*, coalesce(c.payment_terms_days, 14) tdays,
-                 (f.due_raw IS NULL OR (f.issue IS NOT NULL AND f.due_raw < f.issue)) recalc
+                 {recalc} recalc
           FROM f_st f LEFT JOIN cust c ON c.customer_id = f.customer_id),
 f_due2 AS (SELECT *, CASE WHEN recalc THEN issue + CAST(tdays AS INTEGER) ELSE due_raw END due FROM f_due),
 f_baddate AS (SELECT * FROM f_due2 WHERE issue IS NULL OR NOT (issue BETWEEN DATE '{START}' AND DATE '{END}')
@@ -442,6 +453,7 @@ SELECTS = {
 def oracle_sql() -> dict:
     out = {k: with_blocks(v) for k, v in SELECTS.items()}
     out["compare_runs"] = COMPARE_SQL
+    out["legacy_fact"] = f"WITH {make_blocks(legacy=True)}\nSELECT {FACT_OUT} FROM fact"
     return out
 
 
@@ -467,6 +479,19 @@ _REL = [
 ]
 SELECTS["referential_integrity"] = " UNION ALL ".join(_anti(*r) for r in _REL)
 
+_LOST = {"cust": "customer_id % 50 = 3", "dim_cat": "category = 'Events Income'", "dim_st": "status = 'Open'",
+         "dim_pm": "payment_method = 'BPAY'", "dim_date": 'day("date") = 5'}
+SELECTS["referential_integrity_planted"] = " UNION ALL ".join(
+    _anti(name, child, col, f"(SELECT * FROM {parent} WHERE NOT ({_LOST[parent]}))", pcol, exempt)
+    for name, child, col, parent, pcol, exempt in _REL)
+SELECTS["dup_invoice_conflicts_planted"] = f"""
+SELECT invoice_id, count(*) n_variants, CAST(sum(n) AS BIGINT) n_rows FROM (
+  SELECT {to_id('invoice_id')} invoice_id, {to_id('customer_id')} customer_id, category, payment_method, status,
+         issue_date, due_date, payment_date, gst, amount_incl_gst, amount_paid, count(*) n
+  FROM (SELECT * FROM raw_f UNION ALL SELECT * REPLACE ('Open?' AS status) FROM raw_f WHERE _seq % 700 = 4
+        UNION ALL SELECT * REPLACE ('0.01' AS amount_incl_gst) FROM raw_f WHERE _seq % 900 = 8)
+  WHERE {to_id('invoice_id')} IS NOT NULL GROUP BY ALL) GROUP BY 1 HAVING count(*) > 1"""
+
 SELECTS["quality_report"] = (
     f"SELECT count(*) n_rows, count(*) FILTER (WHERE gst = 0 OR abs(gst * 11 - amount_incl_gst) <= 0.22) gst_ok, "
     f"count(*) FILTER (WHERE gst = 0) gst_free, "

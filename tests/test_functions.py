@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from arcash import config as C
 from arcash.functions import (canon, canon_known, canon_or_null, format_id, normalise_state,
                               is_blank, repair_issue_date, repair_payment_date, round_money,
-                              scrub_cell, suspicious_name, swap_into_window, title_case,
+                              scrub_cell, suspicious_name, title_case,
                               to_int_id, to_number, to_terms, add_days_floor, week_start)
 from arcash.functions.dates import with_date
 from arcash.functions.numbers import ratio_half_up
