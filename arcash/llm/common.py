@@ -59,9 +59,16 @@ class Scratch:
             pass
 
 
-def worker_state(key: str, make):
-    """A value kept for the life of one Python worker (vocabularies, word caches)."""
+def worker_state(owner: str, key: str, make):
+    """A value kept in one Python worker (vocabularies, word caches) from task to task.
+
+    Workers outlive stages, so only the values of one owner are kept: when another operator
+    begins, the memory of the one before is given back.
+    """
     held = sys.__dict__.setdefault("_arcash_llm_state", {})
+    if held.get("owner") != owner:
+        held.clear()
+        held["owner"] = owner
     if key not in held:
         held[key] = make()
     return held[key]
@@ -101,7 +108,7 @@ def mix64(h: np.ndarray) -> np.ndarray:
 
 def hashed_words(text: str | None) -> np.ndarray:
     """64-bit hashes of the words of a text: A-Z lowered, split at ASCII white space."""
-    cache = worker_state("word_hash", lambda: BoundedCache(word_hash))
+    cache = worker_state("shingles", "words", lambda: BoundedCache(word_hash))
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 

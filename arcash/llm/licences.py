@@ -69,7 +69,7 @@ WIDTH = 5
 
 def shingles(text: str | None) -> np.ndarray:
     """Hashes of the 5-word shingles of a text, in order."""
-    cache = worker_state("licence_words", lambda: BoundedCache(lambda w: word_hash(w.encode("utf-8", "surrogatepass"))))
+    cache = worker_state("licences", "words", lambda: BoundedCache(lambda w: word_hash(w.encode("utf-8", "surrogatepass"))))
     words = WORD.findall((text or "").lower())
     w = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
     n = len(w) - WIDTH + 1

@@ -21,6 +21,7 @@ import math
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -91,7 +92,7 @@ def cut_pieces(docs: DataFrame, tokenizer_file: str, capacity: int, end_id: int
 
     @F.pandas_udf(PIECE)
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids = worker_state(f"ids-{tokenizer_file}", lambda: ChunkIds(tokenizer_file))
+        ids = worker_state("ids", tokenizer_file, lambda: ChunkIds(tokenizer_file))
         step = 4 * capacity
         for texts in batches:
             out = []
@@ -184,7 +185,7 @@ def pack_part(lengths: np.ndarray, capacity: int, last: bool) -> tuple[np.ndarra
 
 def packer(r: int, capacity: int, last: bool):
     """The task of one part in round ``r``; sequence numbers hold round, part and bin."""
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_row", ignore_index=True)
         b, offset, stays, _, _ = pack_part(pdf["_len"].to_numpy(), capacity, last)
         seq = (np.int64(r) << np.int64(56)) | (np.int64(key[0]) << np.int64(28)) | b

@@ -48,7 +48,7 @@ def _token(token: str) -> tuple[int, str]:
 
 
 def _hashed(names: list[str], bits: int) -> list[int]:
-    cache = worker_state("quality_names", lambda: BoundedCache(lambda s: word_hash(s.encode("utf-8", "surrogatepass"))))
+    cache = worker_state("quality", "names", lambda: BoundedCache(lambda s: word_hash(s.encode("utf-8", "surrogatepass"))))
     return [cache[s] >> (64 - bits) for s in names]
 
 
@@ -59,7 +59,7 @@ def bucket(x: float) -> int:
 
 def content_view(text: str | None, bits: int) -> np.ndarray:
     """Coordinates of a text: its words, and each token shape with the bucket of its share."""
-    cache = worker_state("quality_tokens", lambda: BoundedCache(_token))
+    cache = worker_state("quality", "tokens", lambda: BoundedCache(_token, 300_000))
     tokens = [cache[t] for t in (text or "").split()]
     n = len(tokens)
     shapes = Counter(s for _, s in tokens)

@@ -48,7 +48,7 @@ class Vocabulary:
         self.joined = {c for p in self.rank if len(p) > 1 for c in p}
         # words are cut at line feeds when those can't take part in a merge
         self.cut_lines = "\n" not in self.joined
-        self.cache = BoundedCache(self.word)
+        self.cache, self.tail = BoundedCache(self.word), BoundedCache(self.merged)
 
     def merged(self, symbols: str) -> int:
         """Pieces of one marked word (or text) after all merges, bytes for unknown symbols."""
@@ -87,9 +87,8 @@ class Vocabulary:
         """Tokens of a space-free word that stands after a space (or starts the text)."""
         if self.cut_lines and "\n" in word:
             head, *rest = word.split("\n")
-            feed = 1                   # a byte piece, or a piece of its own
-            tail = worker_state(f"bpe-tail-{id(self)}", lambda: BoundedCache(self.merged))
-            return self.cache[head] + len(rest) * feed + sum(tail[x] for x in rest if x)
+            # a line feed is one token: a byte piece, or a piece of its own
+            return self.cache[head] + len(rest) + sum(self.tail[x] for x in rest if x)
         return self.merged(MARK + word)
 
     def count(self, text: str | None) -> int:
@@ -110,7 +109,7 @@ def count_tokens(docs: DataFrame, model_file: str, text: str = "text",
     """``docs`` with a column ``out``: the number of tokens of each whole text."""
     @F.pandas_udf("long")
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocabulary = worker_state(f"bpe-{model_file}", lambda: Vocabulary(model_file))
+        vocabulary = worker_state("bpe", model_file, lambda: Vocabulary(model_file))
         for texts in batches:
             yield pd.Series([vocabulary.count(t) for t in texts], dtype="int64")
     return docs.withColumn(out, tokens(F.col(text)))
