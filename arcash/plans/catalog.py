@@ -97,6 +97,16 @@ def q_parse_dates(spark, sf_dir):
                     "payment_date", "payment_date_parsed")
 
 
+@query("parse_untidy")
+def q_parse_untidy(spark, sf_dir):
+    """Dates with full month names and cells padded with no-break spaces, derived from orders."""
+    from arcash.sources.derived import UNTIDY_SQL
+    r = spark.sql(UNTIDY_SQL, orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    return with_date(r, "date_text", "date_parsed").select(
+        "_seq", "date_text", "date_parsed", "amount_text", to_number("amount_text").alias("amount"), "method_text",
+        canon_or_null("method_text", C.METHOD_CANON).alias("payment_method"))
+
+
 @query("repair_dates")
 def q_repair_dates(spark, sf_dir):
     cfg = C.DEFAULT

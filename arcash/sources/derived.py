@@ -76,6 +76,17 @@ select concat('ST', lpad(cast(case o_orderstatus when 'F' then 1 when 'O' then 2
 from {orders}
 """
 
+# Untidy cells of spreadsheet exports: no-break spaces, full month names, wide amounts.
+UNTIDY_SQL = """
+with a as (select o_orderkey k, date '2026-01-01' + cast(o_orderkey%365 as int) d, cast(o_totalprice as decimal(12,2)) amt from {orders}),
+ b as (select *, cast(day(d) as string) dd, cast(year(d) as string) yy, case month(d) when 1 then 'January' when 2 then 'February' when 3 then 'March' when 4 then 'April' when 5 then 'May' when 6 then 'June' when 7 then 'July' when 8 then 'August' when 9 then 'September' when 10 then 'October' when 11 then 'November' else 'December' end mm from a)
+select k _seq,
+ case k%4 when 0 then concat(dd,' ',mm,' ',yy) when 1 then concat(mm,' ',dd,', ',yy) when 2 then concat(dd,'-',mm,'-',yy) else concat(chr(160),dd,'/',lpad(cast(month(d) as string),2,'0'),'/',yy,chr(160)) end date_text,
+ case k%3 when 0 then concat(chr(160),cast(amt as string),chr(160)) when 1 then concat('$ 1',lpad(cast(k as string),13,'0'),'.25') else chr(160) end amount_text,
+ case k%3 when 0 then concat('EFT',chr(160)) when 1 then concat(chr(160),' b-pay') else chr(160) end method_text
+from b
+"""
+
 RAW_SQL = {
     "DimCustomer": RAW_CUSTOMER_SQL,
     "FactInvoice": RAW_FACT_SQL,

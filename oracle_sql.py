@@ -17,7 +17,7 @@ import datetime as dt
 import re
 
 from arcash.sources.derived import (RAW_CATEGORY_SQL, RAW_CUSTOMER_SQL, RAW_FACT_SQL,
-                                    RAW_METHOD_SQL, RAW_STATUS_SQL)
+                                    RAW_METHOD_SQL, RAW_STATUS_SQL, UNTIDY_SQL)
 
 
 
@@ -112,6 +112,7 @@ def parse_date(c: str) -> str:
         f"CASE WHEN {y4_end} THEN try_strptime({s}, '%d-%b-%Y') END",
         f"try_strptime({s}, '%d-%b-%y')",
         f"CASE WHEN {y4_end} THEN try_strptime({s}, '%d-%m-%Y') END",
+        f"try_strptime({s}, '%d %B %Y')", f"try_strptime({s}, '%B %d, %Y')", f"try_strptime({s}, '%d-%B-%Y')",
         f"try_strptime({s}, '%d %b %Y')", f"try_strptime({s}, '%b %d, %Y')",
         f"try_strptime({s}, '%Y%m%d')", f"try_strptime({s}, '%d.%m.%Y')", f"try_strptime({s}, '%d/%m/%y')",
         f"try_strptime({s}, '%Y-%m-%d %H:%M:%S')",
@@ -484,6 +485,11 @@ _LOST = {"cust": "customer_id % 50 = 3", "dim_cat": "category = 'Events Income'"
 SELECTS["referential_integrity_planted"] = " UNION ALL ".join(
     _anti(name, child, col, f"(SELECT * FROM {parent} WHERE NOT ({_LOST[parent]}))", pcol, exempt)
     for name, child, col, parent, pcol, exempt in _REL)
+SELECTS["parse_untidy"] = (
+    f"SELECT _seq, date_text, {iso(parse_date('date_text'))} date_parsed, amount_text, {dbl(to_num('amount_text'))} amount, "
+    f"method_text, CASE WHEN {strip('method_text')} = '' THEN NULL ELSE "
+    f"{case_map('lower(' + strip('method_text') + ')', C.METHOD_CANON, q('Unknown'))} END payment_method "
+    f"FROM ({UNTIDY_SQL.format(orders='orders')})")
 SELECTS["dup_invoice_conflicts_planted"] = f"""
 SELECT invoice_id, count(*) n_variants, CAST(sum(n) AS BIGINT) n_rows FROM (
   SELECT {to_id('invoice_id')} invoice_id, {to_id('customer_id')} customer_id, category, payment_method, status,
