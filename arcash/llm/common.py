@@ -108,7 +108,7 @@ def mix64(h: np.ndarray) -> np.ndarray:
 
 def hashed_words(text: str | None) -> np.ndarray:
     """64-bit hashes of the words of a text: A-Z lowered, split at ASCII white space."""
-    cache = worker_state("shingles", "words", lambda: BoundedCache(word_hash))
+    cache = worker_state("shingles", "words", lambda: BoundedCache(word_hash, 300_000))
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 
