@@ -3,6 +3,9 @@
 One narrow aggregate counts the rows of each key (combined in every map task, so a hot key
 is one row a task before the shuffle). Rows of a key that occurs once pass by an anti join;
 only rows of repeated keys go through ``min_by``, the listing and the comparison.
+
+The joins are sort-merge at every size (the repeated keys grow with the data): both read one
+exchange of the rows by key, which also spreads a small, unsplittable file over all cores.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ def all_copies(df: DataFrame, key: str) -> DataFrame:
 def first_per_key(df: DataFrame, key: str, order: str = SEQ) -> DataFrame:
     """Keep, for each ``key``, the row with the smallest ``order`` (file order)."""
     others = [c for c in df.columns if c != key]
-    repeated = repeated_keys(df, key).select(key)
+    repeated = repeated_keys(df, key).select(key).hint("merge")
     firsts = (df.join(repeated, on=key, how="left_semi").groupBy(key)
               .agg(F.min_by(F.struct(*others), F.col(order)).alias("_first"))
               .select(key, *[F.col("_first")[c].alias(c) for c in others]))

@@ -222,7 +222,7 @@ def dated_rows(valid: DataFrame, customers: DataFrame, cfg: C.RunConfig) -> Data
     if cfg.due_from_terms_always:
         need_recalc = F.lit(True)
     due = F.when(need_recalc, F.date_add(F.col("_issue"), terms_days(cfg))).otherwise(F.col("_due_raw"))
-    return staged(dated, _recalc=need_recalc, _due=due)
+    return dated.withColumns({"_recalc": need_recalc, "_due": due})
 
 
 def bad_dates(cfg: C.RunConfig) -> Column:
@@ -242,7 +242,7 @@ def settled_rows(kept: DataFrame, cfg: C.RunConfig) -> DataFrame:
         "_paid", F.when(p.isNotNull() & (paid_raw.isNull() | (paid_raw <= 0)), incl).otherwise(paid_raw))
     derived = (F.when(p.isNotNull() & (F.coalesce(F.col("_paid"), F.lit(0)) > 0), F.lit("Paid"))
                .when(d < snap, F.lit("Overdue")).otherwise(F.lit("Open")))
-    return staged(kept, _derived=derived)
+    return kept.withColumn("_derived", derived)
 
 
 def clean_fact(raw: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.DEFAULT,

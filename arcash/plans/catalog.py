@@ -506,7 +506,7 @@ def q_invoiced_by_month(spark, sf_dir):
 @query("validation_report")
 def q_validation_report(spark, sf_dir):
     from arcash.plans.report import validation_report
-    return validation_report(_shared(spark, sf_dir))
+    return validation_report(star_for(spark, sf_dir, materialize=True, review=True))
 
 
 @query("publish_star")

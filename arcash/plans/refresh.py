@@ -67,7 +67,7 @@ def check_gates(star: Star, base: str, run_id: str) -> dict:
 def run_refresh(spark: SparkSession, inputs: RawInputs, base: str, cfg: C.RunConfig = C.DEFAULT,
                 run_id: str = None, fmt: str = "parquet") -> RefreshResult:
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
-    star = Star(inputs, cfg, materialize=True)
+    star = Star(inputs, cfg, materialize=True, review=True)
     try:
         gates = check_gates(star, base, run_id)
         fc, cust = star.fact_clean, star.customers

@@ -31,13 +31,14 @@ class Star:
     lags, the forecast, the small dimensions) are written once to a run folder under
     ``spark.checkpoint.dir`` on first use and read back: the clean isn't repeated in every
     branch, plans stay small, and a lost executor recomputes from the last table only.
-    ``close`` deletes the folder; else it goes when the process ends.
+    With ``review`` the typed and dated invoices are written too, for jobs that list the
+    review sets. ``close`` deletes the folder; else it goes when the process ends.
     """
 
     def __init__(self, inputs: RawInputs, cfg: C.RunConfig = C.FORECAST, materialize: bool = False,
-                 folder: RunFolder = None):
-        self.inputs, self.cfg, self.materialize = inputs, cfg, materialize
-        self.folder = folder or RunFolder(inputs.fact.sparkSession, "star")
+                 review: bool = False):
+        self.inputs, self.cfg, self.materialize, self.review = inputs, cfg, materialize, review
+        self.folder = RunFolder(inputs.fact.sparkSession, "star")
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         return self.folder.cut(df, name) if self.materialize else df
@@ -52,7 +53,7 @@ class Star:
 
     @cached_property
     def fact_clean(self):
-        return clean_fact(self.inputs.fact, self.dim_customer, self.cfg, cut=self._cut)
+        return clean_fact(self.inputs.fact, self.dim_customer, self.cfg, cut=self._cut if self.review else None)
 
     @cached_property
     def gated(self):
@@ -125,8 +126,8 @@ class Star:
 
 
 def star_for(spark: SparkSession, sf_dir: str, cfg: C.RunConfig = C.FORECAST,
-             materialize: bool = False) -> Star:
-    return Star(load_inputs(spark, sf_dir), cfg, materialize)
+             materialize: bool = False, review: bool = False) -> Star:
+    return Star(load_inputs(spark, sf_dir), cfg, materialize, review)
 
 
 def present(df: DataFrame) -> DataFrame:
