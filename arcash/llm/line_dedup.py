@@ -6,8 +6,11 @@
 2. In a leaf of several different lines, the tokens that lines share most often at each
    position form the leaf's template; lines that agree with it in ``agree`` of all
    positions belong to it, so the other positions become variable fields too. Lines left
-   over form the next template of the leaf, ``rounds`` times; then a line is its own.
-3. A template that recurs across documents stays in the document of least id and is dropped
+   over form the next template of the leaf, ``rounds`` times.
+3. What is still left over is grouped by similarity to leading lines of the leaf, and each
+   group votes on its template or takes its leading line for one, until no two lines that
+   are left agree in ``agree`` of all positions; then a line is its own.
+4. A template that recurs across documents stays in the document of least id and is dropped
    from all others.
 
 Per leaf only counts by (position, token) are gathered, pre-aggregated before the shuffle;
@@ -58,27 +61,121 @@ def with_leaf(lines: DataFrame, depth: int, min_tokens: int) -> DataFrame:
             .withColumn("lhash", F.xxhash64("leaf", "line")))
 
 
-def leaf_templates(scratch: Scratch, lines: DataFrame, agree_percent: int, rounds: int) -> DataFrame:
+def voted(lines: DataFrame, agree_percent: int) -> DataFrame:
+    """(leaf, tmpl): the tokens that lines of a leaf share most often, if at enough positions."""
+    counts = (lines.select("leaf", F.size("toks").alias("n"), F.posexplode("toks").alias("pos", "tok"))
+              .groupBy("leaf", "n", "pos", "tok").agg(F.count("*").alias("c")).where("c > 1"))
+    return (counts.groupBy("leaf", "n", "pos").agg(F.max(F.struct("c", "tok")).alias("m"))
+            .groupBy("leaf", "n").agg(F.collect_list(F.struct("pos", "m.tok")).alias("tmpl"))
+            .where(100 * F.size("tmpl") >= agree_percent * F.col("n")).drop("n"))
+
+
+def fits(agree_percent: int) -> F.Column:
+    """Whether ``toks`` agree with ``tmpl``."""
+    hit = F.size(F.filter("tmpl", lambda x: F.element_at("toks", x["pos"] + 1) == x["tok"]))
+    return 100 * hit >= agree_percent * F.size("toks")
+
+
+def alike(a, b, percent: int) -> F.Column:
+    """Whether two token lists of one length agree in ``percent`` of all positions."""
+    same = F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x)
+    return 100 * F.size(same) >= percent * F.size(a)
+
+
+def leading(heads, percent: int) -> F.Column:
+    """Those of ``heads(lhash, toks)`` that agree with none before them."""
+    return F.aggregate(heads, F.slice(heads, 1, 0), lambda held, p: F.when(
+        F.exists(held, lambda q: alike(q["toks"], p["toks"], percent)), held)
+        .otherwise(F.concat(held, F.array(p))))
+
+
+def split_large(live: DataFrame, agree_percent: int, large: int) -> DataFrame:
+    """Groups of over ``large`` lines split by blocks of the positions not yet fixed in them.
+
+    Lines that agree in ``agree`` of all positions miss ``misses`` at most, so of one block
+    more than that they share one whole. A group that has fewer positions left open agrees
+    as it is.
+    """
+    blocks = F.floor(F.size("toks") * (100 - agree_percent) / 100).cast("int") + 1
+    sized = live.join(live.groupBy("g").agg(F.count("*").alias("c")).where("c > 1"), "g")
+    big = (F.col("c") > large) & (F.size("free") >= blocks)
+    b = F.col("b")
+    cut = sized.where(big).select("g", "free", "lhash", "toks", blocks.alias("blocks"),
+                                  F.explode(F.sequence(F.lit(0), blocks - 1)).alias("b")).select(
+        F.xxhash64("g", b, F.transform(F.filter("free", lambda x, i: i % F.col("blocks") == b),
+                                       lambda x: F.get("toks", x))).alias("g"),
+        F.filter("free", lambda x, i: i % F.col("blocks") != b).alias("free"), "lhash", "toks")
+    return sized.where(~big).select("g", "free", "lhash", "toks").union(cut)
+
+
+def similar_lines(scratch: Scratch, rest: DataFrame, depth: int, agree_percent: int,
+                  heads: int = 64, large: int = 2048) -> DataFrame | None:
+    """(lhash, tid) of lines that the votes by leaf leave over, or None if there are none.
+
+    In each round up to ``heads`` lines of a group are its heads. Lines of one template agree
+    with each other in twice ``agree`` less one at least: those that agree that far with a
+    leading head vote on a template, and those that agree in ``agree`` with a leading head
+    have it for one; a line takes the larger. A head that no line agrees with is its own. So
+    every round names lines or settles a head of each group, until no two lines are left.
+    """
+    live = scratch.cut(rest.select(
+        F.col("leaf").alias("g"),
+        F.slice(F.sequence(F.lit(0), F.size("toks") - 1), depth + 1, F.size("toks")).alias("free"),
+        "lhash", "toks"), "live-0")
+    out, r = None, 0
+    while not live.groupBy("g").count().where("count > 1").isEmpty():
+        r += 1
+        rows = scratch.cut(split_large(live, agree_percent, large), f"groups-{r}")
+        slot = F.pmod(F.xxhash64("lhash", F.lit(r)), F.lit(heads)).alias("slot")
+        # bounded: one head a slot
+        picked = (rows.groupBy("g", slot).agg(F.min(F.struct("lhash", "toks")).alias("p"))
+                  .groupBy("g").agg(F.sort_array(F.collect_list("p")).alias("p"))
+                  .select("g", leading(F.col("p"), max(1, 2 * agree_percent - 100)).alias("wide"),
+                          leading(F.col("p"), agree_percent).alias("near")))
+
+        def of(found, percent):
+            return F.transform(F.filter(found, lambda q: alike("toks", q["toks"], percent)), lambda q: q["lhash"])
+        scored = scratch.cut(rows.join(picked, "g").select(
+            "g", "free", "lhash", "toks", F.exists("near", lambda q: q["lhash"] == F.col("lhash")).alias("leads"),
+            F.get(of("wide", max(1, 2 * agree_percent - 100)), 0).alias("w"),
+            of("near", agree_percent).alias("near")), f"similar-{r}")
+        mates = scored.where("w is not null").select(F.xxhash64("g", "w", F.lit(-r)).alias("leaf"), "lhash", "toks")
+        first = F.get("near", 0)
+        claims = (mates.join(voted(mates, agree_percent), "leaf").where(fits(agree_percent)).select("lhash", F.col("leaf").alias("tid"))
+                  .union(scored.where(first.isNotNull()).select("lhash", F.xxhash64("g", first, F.lit(r)).alias("tid"))))
+        best = claims.join(claims.groupBy("tid").agg(F.count("*").alias("c")).where("c > 1"), "tid") \
+            .groupBy("lhash").agg(F.max(F.struct("c", "tid")).alias("m")).select("lhash", "m.tid")
+        best = scratch.cut(best, f"best-{r}")
+        named = scratch.cut(best.join(best.groupBy("tid").agg(F.count("*").alias("c")).where("c > 1"), "tid")
+                            .select("lhash", "tid"), f"similar-named/{r}")
+        out = named if out is None else out.union(named)
+        met = scored.select("g", "lhash", F.explode("near").alias("head")).where("head <> lhash") \
+            .select("g", F.col("head").alias("lhash")).distinct()
+        live = scratch.cut(
+            scored.where("not leads").select("g", "free", "lhash", "toks")
+            .union(scored.where("leads").join(met, ["g", "lhash"], "left_semi").select("g", "free", "lhash", "toks"))
+            .join(named, "lhash", "left_anti").select("g", "free", "lhash", "toks"), f"live-{r}")
+        scratch.drop(f"live-{r - 1}", f"groups-{r}", f"similar-{r}", f"best-{r}")
+    scratch.drop(f"live-{r}")
+    return out
+
+
+def leaf_templates(scratch: Scratch, lines: DataFrame, depth: int, agree_percent: int, rounds: int) -> DataFrame:
     """(lhash, tid): the template of each line of ``lines(leaf, lhash, toks)`` that has one."""
     rest, out = lines, None
     for r in range(1, rounds + 1):
-        counts = (rest.select("leaf", F.size("toks").alias("n"), F.posexplode("toks").alias("pos", "tok"))
-                  .groupBy("leaf", "n", "pos", "tok").agg(F.count("*").alias("c")).where("c > 1"))
-        template = (counts.groupBy("leaf", "n", "pos").agg(F.max(F.struct("c", "tok")).alias("m"))
-                    .groupBy("leaf", "n").agg(F.collect_list(F.struct("pos", "m.tok")).alias("tmpl"))
-                    .where(100 * F.size("tmpl") >= agree_percent * F.col("n")).drop("n"))
-        hit = F.size(F.filter("tmpl", lambda x: F.element_at("toks", x["pos"] + 1) == x["tok"]))
         scored = scratch.cut(
-            rest.join(template, "leaf", "left")
+            rest.join(voted(rest, agree_percent), "leaf", "left")
             .select("leaf", "lhash", "toks",
-                    F.when(100 * hit >= agree_percent * F.size("toks"), F.xxhash64("leaf", F.lit(r)))
+                    F.when(fits(agree_percent), F.xxhash64("leaf", F.lit(r)))
                     .alias("tid"),
                     # a leaf without a template has none in later rounds either
                     F.col("tmpl").isNotNull().alias("open")), f"templates-{r}")
         named = scored.where("tid is not null").select("lhash", "tid")
         out = named if out is None else out.union(named)
         rest = scored.where("tid is null and open").select("leaf", "lhash", "toks")
-    return out
+    similar = similar_lines(scratch, rest, depth, agree_percent)
+    return out if similar is None else out.union(similar)
 
 
 def dropped_lines(scratch: Scratch, docs: DataFrame, depth: int, min_tokens: int,
@@ -100,7 +197,7 @@ def dropped_lines(scratch: Scratch, docs: DataFrame, depth: int, min_tokens: int
             .where(F.array_contains("wanted", F.col("line_no"))))
     tokens = scratch.cut(with_leaf(seen, depth, min_tokens).select("leaf", "lhash", F.split("line", " ").alias("toks"))
                          .dropDuplicates(["lhash"]), "tokens")
-    named = leaf_templates(scratch, tokens, agree_percent, rounds)
+    named = leaf_templates(scratch, tokens, depth, agree_percent, rounds)
     of_line = distinct.join(named, "lhash", "left").select(
         "lhash", F.coalesce("tid", "lhash").alias("tid"), "lo", "hi")
     recurring = of_line.groupBy("tid").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")) \
@@ -116,7 +213,7 @@ def dedup_lines(docs: DataFrame, depth: int = 3, min_tokens: int = 6, agree_perc
     scratch = Scratch(docs.sparkSession, "lines")
     gone = dropped_lines(scratch, docs, depth, min_tokens, agree_percent, rounds) \
         .select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("gone").alias("_gone"))
-    scratch.drop("lines", "distinct", "tokens", *(f"templates-{r}" for r in range(1, rounds + 1)))
+    scratch.drop("lines", "distinct", "tokens", "similar-named", *(f"templates-{r}" for r in range(1, rounds + 1)))
     # the row travels as one struct, so that no column of it clashes with a computed one
     rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
     lines = F.split("text", "\n")

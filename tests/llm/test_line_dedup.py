@@ -1,3 +1,5 @@
+import random
+
 import duckdb
 import pytest
 
@@ -38,6 +40,45 @@ def test_two_templates_in_one_leaf(spark, tables):
     assert sorted(i for i in got if got[i][2] == 0) == [0, 5]
 
 
+def templates_of(n, docs, rnd):
+    """Lines of ``n`` templates of one leaf, each with up to two words changed; the first is as it is."""
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    out = []
+    for _ in range(n):
+        base = [word() for _ in range(12)]
+        for k in range(docs):
+            w = list(base)
+            for at in rnd.sample(range(12), min(k, 2)):
+                w[at] = word()
+            out.append("one two three " + " ".join(w))
+    return out
+
+
+@pytest.mark.parametrize("n, alone", [(20, 0), (1, 500)])
+def test_every_template_of_a_full_leaf(spark, tables, n, alone):
+    rnd = random.Random(n)
+    common = [f"of{i}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(6)]
+    lines = templates_of(n, 10, rnd)
+    rows = [doc(i, t) for i, t in enumerate(lines)]
+    rows += [doc(1000 + i, "one two three " + " ".join(rnd.choice(common) for _ in range(12))) for i in range(alone)]
+    got = got_texts(L.op8_line_dedup(spark, tables(documents=rows)))
+    assert [i for i in range(len(lines)) if got[i][2] == 0] == list(range(0, len(lines), 10))
+
+
+def test_large_groups_are_split(spark):
+    from arcash.llm.common import Scratch
+    rnd = random.Random(8)
+    lines = [(7, i, t.split()) for i, t in enumerate(templates_of(12, 3, rnd))]
+    rest = spark.createDataFrame(lines, "leaf long, lhash long, toks array<string>")
+    got = L.similar_lines(Scratch(spark, "test"), rest, 3, 80, heads=2, large=4).collect()
+    tid = dict((r.lhash, r.tid) for r in got)
+    assert len(got) == len(tid)
+    left = [x for x in lines if x[1] not in tid]
+    assert not [1 for a in left for b in left if a[1] < b[1] and 5 * sum(p == q for p, q in zip(a[2], b[2])) >= 4 * 15]
+    # a line with one word changed agrees with its base line
+    assert all(3 * t in tid and 3 * t + 1 in tid for t in range(12))
+
+
 def test_repeated_ids_columns_and_own_repeats(spark, tables):
     rows = [doc(1, f"{LONG}\n{LONG}"), doc(1, f"first\n{LONG}"), doc(2, f"a\n{LONG}\nb"), doc(2, f"{LONG}\nc")]
     d = tables(documents=rows)
