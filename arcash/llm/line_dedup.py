@@ -17,7 +17,9 @@ Per leaf only counts by (position, token) are gathered, pre-aggregated before th
 a line or leaf of any frequency is a few combined rows. Documents meet no other documents.
 
 Lines with fewer than ``min_tokens`` constant tokens, or more variable fields than constant
-tokens, say too little to be a template and stay. Defined results: null texts stay null and
+tokens, say too little to be a template. Of these, lines of ``min_bytes`` bytes (so that
+scripts without spaces count alike) are compared as they are, with no field generalised, and
+go if another document repeats them; shorter ones stay. Defined results: null texts stay null and
 have no lines; an empty text has one empty line; rows that repeat a doc_id are one document
 (a line recurs only across ids) and each row loses lines of its own text; rows with a null doc_id stay as they are; lines may be of
 any length; an empty table gives an empty result; other columns are passed through.
@@ -36,28 +38,45 @@ FIELD = "<*>"
 def normalised(line) -> F.Column:
     """A line with single spaces between its tokens (cut at ASCII white space) and variable
     fields generalised."""
-    spaced = F.trim(F.regexp_replace(line, r"[ \t\r\x0B\f]+", " "))
-    return F.regexp_replace(spaced, r"(?:(?<= )|^)(?=[^ ]*[0-9])[^ ]+", FIELD)
+    return F.regexp_replace(spaced(line), r"(?:(?<= )|^)(?=[^ ]*[0-9])[^ ]+", FIELD)
 
 
-def exploded(docs: DataFrame, *keep) -> DataFrame:
-    """The normalised lines of each text, with their numbers.
+def spaced(line) -> F.Column:
+    return F.trim(F.regexp_replace(line, r"[ \t\r\x0B\f]+", " "))
+
+
+def tokens_of(line) -> F.Column:
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+
+
+def telling(line, min_tokens: int) -> F.Column:
+    """Whether a normalised line has the constant tokens of a template."""
+    n = tokens_of(line)
+    fields = F.when(line.contains(FIELD), F.size(F.filter(F.split(line, " "), lambda t: t == FIELD))).otherwise(0)
+    return (n >= min_tokens) & (n - fields >= min_tokens) & (2 * (n - fields) >= n)
+
+
+def exploded(docs: DataFrame, min_tokens: int, *keep) -> DataFrame:
+    """The normalised lines of each text, with their numbers; a line of too many fields to be
+    a template is not generalised and follows a line feed, which no other line holds.
 
     Most texts hold no digit and single spaces only: their lines are taken as they are.
     """
     lines = F.split("text", "\n")
     odd = F.col("text").rlike(r"[0-9\t\r\x0B\f]|  | \n|\n |^ | $")
-    return docs.select(*keep, F.posexplode(F.when(odd, F.transform(lines, normalised)).otherwise(lines))
+    plain = F.zip_with(F.transform(lines, normalised), lines, lambda x, raw: F.when(
+        x.contains(FIELD) & ~telling(x, min_tokens), F.concat(F.lit("\n"), spaced(raw))).otherwise(x))
+    return docs.select(*keep, F.posexplode(F.when(odd, plain).otherwise(lines))
                        .alias("line_no", "line"))
 
 
-def with_leaf(lines: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """Eligible lines with their leaf and hash."""
+def with_leaf(lines: DataFrame, depth: int, min_tokens: int, min_bytes: int) -> DataFrame:
+    """Eligible lines with their leaf and hash; a line compared as it is has a leaf of its own."""
     line = F.col("line")
-    n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
-    fields = F.when(line.contains(FIELD), F.size(F.filter(F.split(line, " "), lambda t: t == FIELD))).otherwise(0)
-    return (lines.where((n >= min_tokens) & (n - fields >= min_tokens) & (2 * (n - fields) >= n))
-            .withColumn("leaf", F.xxhash64(n, F.substring_index(line, " ", depth)))
+    whole = line.startswith("\n") | ~telling(line, min_tokens)
+    return (lines.withColumn("whole", whole).where(~F.col("whole") | (F.octet_length(line) >= min_bytes))
+            .withColumn("leaf", F.when(F.col("whole"), F.xxhash64(F.lit("\n"), "line"))
+                        .otherwise(F.xxhash64(tokens_of(line), F.substring_index(line, " ", depth))))
             .withColumn("lhash", F.xxhash64("leaf", "line")))
 
 
@@ -179,11 +198,11 @@ def leaf_templates(scratch: Scratch, lines: DataFrame, depth: int, agree_percent
 
 
 def dropped_lines(scratch: Scratch, docs: DataFrame, depth: int, min_tokens: int,
-                  agree_percent: int, rounds: int) -> DataFrame:
+                  agree_percent: int, rounds: int, min_bytes: int) -> DataFrame:
     """(doc_id, th, gone): the numbers of the lines that each text, hashed to th, loses."""
     known = docs.where("doc_id is not null and text is not null") \
         .select("doc_id", "text", F.xxhash64("text").alias("th"))
-    lines = scratch.cut(with_leaf(exploded(known, "doc_id", "th"), depth, min_tokens)
+    lines = scratch.cut(with_leaf(exploded(known, min_tokens, "doc_id", "th"), depth, min_tokens, min_bytes)
                         .select("doc_id", "th", "line_no", "leaf", "lhash"), "lines")
     distinct = scratch.cut(lines.groupBy("leaf", "lhash").agg(
         F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")), "distinct")
@@ -193,9 +212,10 @@ def dropped_lines(scratch: Scratch, docs: DataFrame, depth: int, min_tokens: int
     wanted = (lines.join(distinct.join(crowded, "leaf", "left_semi")
                          .select("lhash", F.col("lo").alias("doc_id")), ["lhash", "doc_id"])
               .groupBy("doc_id", "th").agg(F.collect_set("line_no").alias("wanted")))
-    seen = (exploded(known.join(wanted, ["doc_id", "th"]), "doc_id", "wanted")
+    seen = (exploded(known.join(wanted, ["doc_id", "th"]), min_tokens, "doc_id", "wanted")
             .where(F.array_contains("wanted", F.col("line_no"))))
-    tokens = scratch.cut(with_leaf(seen, depth, min_tokens).select("leaf", "lhash", F.split("line", " ").alias("toks"))
+    tokens = scratch.cut(with_leaf(seen, depth, min_tokens, min_bytes)
+                         .select("leaf", "lhash", F.split("line", " ").alias("toks"))
                          .dropDuplicates(["lhash"]), "tokens")
     named = leaf_templates(scratch, tokens, depth, agree_percent, rounds)
     of_line = distinct.join(named, "lhash", "left").select(
@@ -208,10 +228,10 @@ def dropped_lines(scratch: Scratch, docs: DataFrame, depth: int, min_tokens: int
 
 
 def dedup_lines(docs: DataFrame, depth: int = 3, min_tokens: int = 6, agree_percent: int = 80,
-                rounds: int = 3) -> DataFrame:
+                rounds: int = 3, min_bytes: int = 60) -> DataFrame:
     """``docs`` with recurring lines dropped from ``text``, and n_lines and n_dropped."""
     scratch = Scratch(docs.sparkSession, "lines")
-    gone = dropped_lines(scratch, docs, depth, min_tokens, agree_percent, rounds) \
+    gone = dropped_lines(scratch, docs, depth, min_tokens, agree_percent, rounds, min_bytes) \
         .select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("gone").alias("_gone"))
     scratch.drop("lines", "distinct", "tokens", "similar-named", *(f"templates-{r}" for r in range(1, rounds + 1)))
     # the row travels as one struct, so that no column of it clashes with a computed one

@@ -79,6 +79,18 @@ def test_large_groups_are_split(spark):
     assert all(3 * t in tid and 3 * t + 1 in tid for t in range(12))
 
 
+def test_long_lines_of_fields_or_without_spaces(spark, tables):
+    prices = " ".join(f"item {i}.50 {i}" for i in range(1, 21))
+    han = "\u6211\u4eec\u5728\u8fd9\u91cc" * 8
+    mixed = f"a  b\t{prices}"
+    rows = [doc(1, f"{prices}\n{han}"), doc(2, f"x\n{prices}\n{han}\ny"), doc(3, prices.replace("7.50", "7.60")),
+            doc(4, mixed), doc(5, f"z\n{mixed} "), doc(6, "1 2 3 4 5 6 7 8 9"), doc(7, "1 2 3 4 5 6 7 8 9"),
+            doc(8, han[:-1])]
+    got = got_texts(L.op8_line_dedup(spark, tables(documents=rows)))
+    assert got[2] == ("x\ny", 4, 2) and got[5] == ("z", 2, 1)
+    assert all(got[i][2] == 0 for i in (1, 3, 4, 6, 7, 8))
+
+
 def test_repeated_ids_columns_and_own_repeats(spark, tables):
     rows = [doc(1, f"{LONG}\n{LONG}"), doc(1, f"first\n{LONG}"), doc(2, f"a\n{LONG}\nb"), doc(2, f"{LONG}\nc")]
     d = tables(documents=rows)
