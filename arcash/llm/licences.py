@@ -10,6 +10,11 @@ retrieved template is then verified: the share of its shingles in the window, ex
 Windows without a single template shingle cannot verify and are not hashed: one look into a
 small bitmap per word. The templates are a fixed list, so the broadcast is bounded.
 
+Templates of different licences can share most shingles (the notices of GPL, LGPL and AGPL,
+two versions of a sentence): one is matched only if the window also holds a shingle that
+tells it from each such other. Forms too short for a shingle are read exactly: identifiers of
+SPDX-License-Identifier tags, and lines that are a licence's title and nothing else.
+
 Defined results: null, empty and short texts hold no licence; templates of fewer than five
 words have no shingle and are refused; repeated rows are reported each; a null doc_id is
 carried as null; an empty table gives an empty result; other columns play no part.
@@ -47,6 +52,12 @@ TEMPLATES = [
             "GNU General Public License as published by the Free Software Foundation"),
     ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the "
              "GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("LGPL", "This program is free software: you can redistribute it and/or modify it under the terms of the "
+             "GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the "
+                 "GNU Affero General Public License as published by the Free Software Foundation"),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted "
             "provided that the following conditions are met"),
@@ -62,11 +73,68 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
                      "International License."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC0-1.0", "has waived all copyright and related or neighboring rights to this work"),
+    ("CC0-1.0", "Licensed under CC0 1.0 Universal."),
+    ("EPL", "This program and the accompanying materials are made available under the terms of the "
+            "Eclipse Public License"),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the "
+             "authors be held liable for any damages arising from the use of this software."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of "
+                "the software and accompanying documentation covered by this license"),
 ]
+for _kind, _name in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+                     ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                     ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    for _version, _port in (("3.0", "Unported"), ("4.0", "International")):
+        for _text in (f"Licensed under CC {_kind} {_version}.",
+                      f"This work is licensed under a Creative Commons {_name} {_version} {_port} License."):
+            if (f"CC-{_kind}-{_version}", _text) not in TEMPLATES:
+                TEMPLATES.append((f"CC-{_kind}-{_version}", _text))
+# FIXED VALUES: titles that stand alone on a line, as words, by SPDX name
+TITLES = {
+    "mit license": "MIT", "the mit license": "MIT", "mit license mit": "MIT", "the mit license mit": "MIT",
+    "isc license": "ISC", "the isc license": "ISC", "bsd license": "BSD", "the bsd license": "BSD",
+    "bsd 2 clause license": "BSD", "bsd 3 clause license": "BSD", "zlib license": "Zlib", "the zlib license": "Zlib",
+    "apache license 2 0": "Apache-2.0", "apache license version 2 0": "Apache-2.0",
+    "boost software license 1 0": "BSL-1.0", "boost software license version 1 0": "BSL-1.0",
+    "mozilla public license 2 0": "MPL-2.0", "mozilla public license version 2 0": "MPL-2.0",
+    "eclipse public license": "EPL", "the unlicense": "Unlicense", "cc0 1 0 universal": "CC0-1.0",
+}
+TAG = re.compile(r"spdx-license-identifier:[ \t]*([^\n]*)", re.I)
+TAG_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9.+-]*")
+LINE = re.compile(r"^[^\n]*(?:licen|cc0)[^\n]*$", re.I | re.M)
 WORD = re.compile(r"[^\W_]+")
 WIDTH = 5
 
 
+def stated(text: str | None) -> Iterator[tuple[str, int]]:
+    """(licence, characters before it) by tags and by lines that are a title."""
+    low = (text or "").lower()
+    if "spdx-license-identifier:" in low:
+        for m in TAG.finditer(text):
+            at, wanted = m.start(1), True
+            # an expression: identifiers between operators; what follows one is a comment
+            for x in re.finditer(r"[()]|[^\s()]+", m[1]):
+                word = x[0]
+                if word in "()":
+                    continue
+                if word.upper() in ("AND", "OR", "WITH"):
+                    wanted = word.upper() != "WITH"    # an exception's name is no licence
+                    exception = not wanted
+                elif wanted and TAG_ID.fullmatch(word):
+                    yield word, at + x.start()
+                    wanted, exception = False, False
+                elif not wanted and exception:
+                    exception = False
+                else:
+                    break
+    if "licen" in low or "cc0" in low:
+        for m in LINE.finditer(text):
+            if m.end() - m.start() <= 80 and (name := TITLES.get(" ".join(WORD.findall(m[0].lower())))):
+                yield name, m.start()
+
+
 def shingles(text: str | None) -> np.ndarray:
     """Hashes of the 5-word shingles of a text, in order."""
     cache = worker_state("licences", "words", lambda: BoundedCache(lambda w: word_hash(w.encode("utf-8", "surrogatepass"))))
@@ -92,6 +160,11 @@ class Scanner:
         self.sets = [np.unique(shingles(t)) for _, t in templates]
         if any(len(s) == 0 for s in self.sets):
             raise ValueError("a template needs five words at least")
+        # by template, what tells it from each other licence's that holds enough of it
+        self.telling: list[list[np.ndarray]] = []
+        for a, s in zip(self.names, self.sets):
+            rest = [s[~np.isin(s, t)] for b, t in zip(self.names, self.sets) if a != b]
+            self.telling.append([r for r in rest if 0 < len(r) <= (1 - contain) * len(s) + 1e-9])
         self.classes: dict[int, dict] = {}
         for i, (s, (_, text)) in enumerate(zip(self.sets, templates)):
             size = 8
@@ -117,16 +190,21 @@ class Scanner:
         all belong to another that matches better (another version's sentence) is left out."""
         matched = {i: self.sets[i][np.isin(self.sets[i], window)] for i in sorted(found)}
         share = {i: len(m) / len(self.sets[i]) for i, m in matched.items()}
-        ok = [i for i in matched if share[i] >= self.contain]
+        ok = [i for i in matched if share[i] >= self.contain
+              and all(np.isin(t, matched[i]).any() for t in self.telling[i])]
         return [(i, share[i]) for i in ok
                 if not any(share[j] > share[i] and np.isin(matched[i], matched[j]).all() for j in ok)]
 
     def scan(self, text: str | None) -> list[tuple[str, float, int]]:
-        """(licence, best containment, first word of the best window) of a whole text."""
+        """(licence, best containment, first word of the best window or of a tag's licence or
+        a title) of a whole text."""
         h = shingles(text)
         at = np.flatnonzero(self.seen[self._low(h)])
         at = at[np.isin(h[at], self.every)]
         best: dict[str, tuple[float, int]] = {}
+        for name, chars in stated(text):
+            if name not in best:
+                best[name] = (1.0, len(WORD.findall(text[:chars].lower())))
         for size, under in self.classes.items() if len(at) else ():
             step = size // 2
             # the windows that hold one of these shingles: up to three each

@@ -65,3 +65,32 @@ def test_versions_are_told_apart_and_short_templates_refused():
     assert [x[0] for x in s.scan("This work is licensed under the GNU General Public License, version 3.")] == ["GPL-3.0"]
     with pytest.raises(ValueError):
         L.Scanner([("x", "too short")], 8, 0.8)
+
+
+GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as "
+       "published by the Free Software Foundation, either version 3 of the License, or any later version.")
+
+
+@pytest.mark.parametrize("text, want", [
+    (GNU.format("General Public License"), ["GPL"]),
+    (GNU.format("Lesser General Public License"), ["LGPL"]),
+    (GNU.format("Affero General Public License"), ["AGPL-3.0"]),
+    # neither template's own shingles are there
+    (GNU.format("Other General Public License"), []),
+    ("This work is licensed under the GNU General Public License, version 4.", []),
+    ("This work is licensed under the GNU Lesser General Public License, version 2.1.", ["LGPL-2.1"]),
+    ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
+    ("Licensed under CC BY-ND 3.0.", ["CC-BY-ND-3.0"]),
+    ("To the extent possible under law, Ann has waived all copyright and related or neighboring rights to this work.",
+     ["CC0-1.0"]),
+    ("Distributed under the Boost Software License, Version 1.0.", ["BSL-1.0"]),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0",
+     ["EPL"]),
+    ("x\n// SPDX-License-Identifier: (MIT OR GPL-2.0-only WITH Linux-syscall-note) AND ISC */", ["GPL-2.0-only", "ISC", "MIT"]),
+    ("a b\nMIT License\nc d", ["MIT"]),
+    ("compare the MIT License", []),
+])
+def test_notices_told_apart_and_short_forms(text, want):
+    s = L.Scanner(L.TEMPLATES, 96, 0.8)
+    assert [x[0] for x in s.scan(text)] == want
+    assert [x[0] for x in s.scan("lorem ipsum dolor " * 40 + "\n" + text + "\n" + "sit amet " * 50)] == want
