@@ -200,7 +200,10 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = 18, max_rows: int = 6_00
     marked, free = samples(docs, labels, max_rows, pool_rows)
     # bounded: max_rows + pool_rows rows of an id and a label
     chosen = F.broadcast(marked.union(free.select("doc_id", F.lit(None).cast("double"))))
-    got = docs.select("doc_id", "text", *META).join(chosen, "doc_id").select(
+    # rows that repeat a doc_id train as one
+    rows = (docs.select("doc_id", F.struct("text", *META).alias("row")).join(chosen, "doc_id")
+            .groupBy("doc_id").agg(F.min("row").alias("row"), F.max("label").alias("label")))
+    got = rows.select("doc_id", "label", "row.*").select(
         "doc_id", "label", views(bits).alias("v")).select("doc_id", "label", "v.*").toPandas()
     got = got.sort_values("doc_id", kind="stable", ignore_index=True)
     arrays = [[np.asarray(a, np.int32) for a in got[c]] for c in ("content", "metadata")]

@@ -9,7 +9,7 @@ weights at zero, so the broadcast model is the short list of non-zero weights (a
 that models of the other folds give each row of the sample.
 
 The model is fitted on a documented, bounded sample: the ``max_rows`` labelled documents
-least by a hash of their id. Scoring runs over every document, in one pass and no shuffle.
+least by a hash of their id. Of rows that repeat a sampled id, the least text trains. Scoring runs over every document, in one pass and no shuffle.
 
 Defined results: a null or empty text gets the score of the intercept alone; a document
 marked toxic in any of several label rows counts as toxic; null labels are left out; with
@@ -118,8 +118,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, target: str, max_rows: i
     marked = (labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg(F.max(target).cast("double").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
-    # bounded: max_rows rows of two numbers
-    return docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id")
+    # bounded: max_rows rows of two numbers; rows that repeat a doc_id train as one
+    return (docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id")
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label")))
 
 
 class Model:

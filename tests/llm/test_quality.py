@@ -52,3 +52,13 @@ def test_views_exchange_pseudo_labels():
     assert sum(n for n, _ in m.exchanged) > 50
     right = [(m.scores(content[i], meta[i])[2] >= 0.5) == y[i] for i in range(400, 600)]
     assert np.mean(right) >= 0.95 and (m.line[:2] >= 0).all()
+
+
+def test_repeated_ids_train_once(spark, tables, monkeypatch):
+    a, b = [i for i in range(20) if zlib.crc32(str(i).encode()) % 5][:2]
+    d = tables(documents=[doc(i, f"text {k}") for i in (a, b) for k in range(30)], labels=[(a, 1, 0)])
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    seen = []
+    monkeypatch.setattr(Q.CoTrained, "fit", lambda self, known, y, pool, *rest: seen.append((len(known[0]), len(y), len(pool[0]))))
+    Q.fit(docs, labels)
+    assert seen == [(1, 1, 1)]

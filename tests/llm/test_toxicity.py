@@ -57,3 +57,11 @@ def test_ftrl_is_sparse_and_follows_the_update_rule():
         m.learn(np.array([0, 2]), 0.0)
     w = m.weights(slice(None))
     assert w[1] > 0 > w[2] and not w[3:].any()
+
+
+def test_sample_has_one_row_an_id(spark, tables):
+    d = tables(documents=[doc(1, f"text {i}") for i in range(50)] + [doc(2, None), doc(2, "b")],
+               labels=[(1, 1, 1), (2, 1, 0)])
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    got = X.training_sample(docs, labels, "toxic", 2).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.text, r.label) for r in got] == [(1, "text 0", 1.0), (2, "b", 0.0)]
