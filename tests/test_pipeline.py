@@ -11,7 +11,7 @@ from arcash.operators.dimensions import dim_category, dim_invoice_status, dim_pa
 from arcash.plans.star import Star
 from arcash.sources.derived import RawInputs
 
-from conftest import literal_raw, rows
+from tests.helpers import literal_raw, rows
 
 D = dt.date
 

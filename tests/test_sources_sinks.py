@@ -15,7 +15,7 @@ from arcash.operators.stats import exact_percentile
 from arcash.sources import read_raw_csv, scrub_nulls
 from arcash.operators.customers import clean_customers
 
-from conftest import SF_SMALL, rows
+from tests.helpers import SF_SMALL, rows
 
 
 def test_csv_scan_orders_rows_by_file_and_position(spark, tmp_path):
