@@ -23,10 +23,6 @@ def tables(spark, tmp_path):
     return write
 
 
-def doc(i, text, lang="en", source="s", n=None):
-    return (i, text, lang, source, len(text or "") if n is None else n)
-
-
 @pytest.fixture
 def pandas_of():
     return lambda df: pd.DataFrame([r.asDict() for r in df.collect()], columns=df.columns)

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from arcash.llm import decontamination as D
-from tests.llm.conftest import doc
+from tests.llm.helpers import doc
 
 
 def least_edits(item: str, text: str) -> int:

@@ -4,7 +4,7 @@ import re
 import pytest
 
 from arcash.llm import licences as L
-from tests.llm.conftest import doc
+from tests.llm.helpers import doc
 
 
 def grams(t):

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from arcash.llm import line_dedup as L
-from tests.llm.conftest import doc
+from tests.llm.helpers import doc
 
 LONG = "the committee of the parish met on the green to hear what the miller had said of the new road"
 

@@ -5,7 +5,7 @@ import numpy as np
 
 from arcash.llm import near_dedup as N
 from arcash.llm.common import Scratch, components
-from tests.llm.conftest import doc
+from tests.llm.helpers import doc
 
 
 def brute(rows):

@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline as C
-from tests.llm.conftest import doc
+from tests.llm.helpers import doc
 
 PASSAGE = "this recurring notice of fifty words and more is printed under every page of the gazette " * 4
 ITEM = "which of the following rivers flows through the largest number of countries before it meets the sea"

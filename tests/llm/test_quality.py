@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 
 from arcash.llm import quality as Q
-from tests.llm.conftest import doc
+from tests.llm.helpers import doc
 
 
 def corpus(n=500, seed=4):

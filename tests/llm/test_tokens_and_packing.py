@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 from arcash.llm import packing as P
 from arcash.llm import token_count as T
-from tests.llm.conftest import doc
+from tests.llm.helpers import doc
 
 ODD = [None, "", " ", "\n", "  a  b ", "\n\na\n b", "▁x y▁▁z", "é ́x", "ﬁ Ａ①", "<s> </s><unk> x",
        "a\tb\x1fc\x85d\xa0e", "日本語 テキスト😀😀", "aaaa" * 500, "<|endoftext|>a <|startoftext|> b",
