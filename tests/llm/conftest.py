@@ -9,6 +9,7 @@ def tables(spark, tmp_path):
     """Write small tables as a scale folder: ``tables(documents=[...], labels=[...])``."""
     schemas = {
         "documents": DOC_SCHEMA,
+        "conversations": "conv_id long, turn long, role string, text string",
         "labels": "doc_id long, quality int, toxic int",
         "pages": "page_id long, url string, html string",
         "benchmark": "item_id long, text string",
