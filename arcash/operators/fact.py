@@ -20,7 +20,8 @@ from arcash.functions import (canon, canon_known, canon_or_null, is_blank, iso,
                               repair_issue_date, repair_payment_date, round_money, strip,
                               swap_unconditional, to_int_id, to_number)
 from arcash.functions.dates import parse_date_sql, staged
-from arcash.operators.dedup import all_copies, conflicting_keys, first_per_key
+from arcash.operators.dedup import COPIES, DIFFERS, all_copies, conflicting_keys, keyed_rows
+from arcash.operators.quality import gst_off_rule
 from arcash.operators.stats import exact_percentile
 from arcash.schemas import RAW_COLUMNS
 from arcash.sources.raw import SEQ
@@ -31,19 +32,24 @@ FACT_COLUMNS = ("invoice_id", "customer_id", "category", "payment_method", "stat
 MONEY_RAW = ("amount_excl_gst", "gst", "amount_incl_gst", "amount_paid")
 
 
+#: The rules that take a row out of the fact, in the order they are judged, and the fact itself.
+RULES = ("invalid_amount", "invalid_dates", "orphan_fact", "gst_fact", "fact")
+
+
 class FactClean:
     """Outputs of the fact clean: lazy DataFrames, each built when it is first asked for.
 
-    ``cut(df, name)`` may write the two shared stages (typed rows; dated rows with status,
-    GST and due date) the first time an output needs them, so a caller that asks for many
-    outputs computes the clean once, and one that asks for a few never pays for the rest.
-    ``p99`` runs a few small jobs on first access (large amounts are warned about only).
+    ``cut(df, name, **how)`` may write the shared stage, the typed and dated rows each tagged
+    with the rule that takes it out (``routed``), the first time an output needs it, in one
+    folder a rule: a caller that asks for many outputs computes the clean once and reads only
+    the folders it wants, and one that asks for a few never pays for the rest. ``p99`` runs a
+    few small jobs on first access (large amounts are warned about only).
     """
 
     def __init__(self, raw: DataFrame, customers: DataFrame, cfg: C.RunConfig = C.DEFAULT,
                  p99: Optional[float] = None, cut=None):
         self.raw_rows, self._customers, self._cfg = raw, customers, cfg
-        self._cut = cut or (lambda df, name: df)
+        self._cut = cut
         self._given_p99 = p99
         self._ids = with_fact_ids(raw)
 
@@ -67,17 +73,24 @@ class FactClean:
     # ---- amounts ----------------------------------------------------------------------
     @cached_property
     def _typed(self) -> DataFrame:
-        return self._cut(parse_amounts(first_per_key(self._ids, "invoice_id").drop(SEQ)), "fact_typed")
+        return parse_amounts(keyed_rows(self._ids, "invoice_id").drop(SEQ))
+
+    def _rows(self, rule: str) -> DataFrame:
+        """The rows that one rule takes out, from the written stage."""
+        return self.routed.filter(F.col("rule") == rule)
 
     @cached_property
     def invalid_amounts(self) -> DataFrame:
-        """Set aside, with the raw text of each amount."""
-        return self._typed.filter(invalid_amount(self._cfg))
+        """Set aside, with the amounts as parsed."""
+        rows = self._typed.filter(invalid_amount(self._cfg)) if self._cut is None else self._rows("invalid_amount")
+        return rows.select("customer_id", *[c for c in self._typed.columns if c not in ("customer_id", COPIES, DIFFERS)])
 
     @cached_property
     def valid_amounts(self) -> DataFrame:
         """Rows the p99 is taken over."""
-        return self._typed.filter(~invalid_amount(self._cfg))
+        rows = self._typed.filter(~invalid_amount(self._cfg)) if self._cut is None \
+            else self.routed.filter(F.col("rule") != "invalid_amount")
+        return rows.select([c for c in self._typed.columns if c not in (COPIES, DIFFERS)])
 
     @cached_property
     def p99(self) -> Optional[float]:
@@ -96,9 +109,22 @@ class FactClean:
                 .withColumn("outlier_threshold", F.round(value(threshold), 2)))
 
     # ---- dates, status, GST, due date ---------------------------------------------------
+    @cached_property
+    def routed(self) -> DataFrame:
+        """Every first row, typed and dated, with the ``rule`` that takes it out of the fact."""
+        rows = settled_rows(dated_rows(self._typed, self._customers, self._cfg), self._cfg)
+        rule = F.when(invalid_amount(self._cfg), RULES[0]).when(bad_dates(self._cfg), RULES[1]) \
+            .when(~F.col("_known"), RULES[2]).when(gst_off_rule(self._cfg), RULES[3]).otherwise(RULES[4])
+        if self._cut is None:
+            return rows.withColumn("rule", rule)
+        return self._cut(rows.withColumn("rule", rule), "fact_routed", partition_by="rule",
+                         observe=routed_figures(self._cfg))
+
     @cached_property
     def _dated(self) -> DataFrame:
-        return self._cut(dated_rows(self.valid_amounts, self._customers, self._cfg), "fact_dated")
+        if self._cut is None:
+            return dated_rows(self._typed.filter(~invalid_amount(self._cfg)), self._customers, self._cfg)
+        return self.routed.filter(F.col("rule") != "invalid_amount")
 
     @cached_property
     def due_repair(self) -> DataFrame:
@@ -110,15 +136,17 @@ class FactClean:
 
     @cached_property
     def _kept(self) -> DataFrame:
-        return settled_rows(self._dated.filter(~bad_dates(self._cfg)), self._cfg)
+        if self._cut is None:
+            return settled_rows(self._dated.filter(~bad_dates(self._cfg)), self._cfg)
+        return self.routed.filter(F.col("rule").isin(*RULES[2:]))
 
     @cached_property
     def invalid_dates(self) -> DataFrame:
         """Set aside."""
-        return (self._dated.filter(bad_dates(self._cfg))
-                .withColumn("parsed_issue_date", iso("_issue"))
+        rows = self._dated.filter(bad_dates(self._cfg)) if self._cut is None else self._rows("invalid_dates")
+        return (rows.withColumn("parsed_issue_date", iso("_issue"))
                 .withColumn("parsed_due_date", iso("_due"))
-                .withColumn("parsed_payment_date", iso("_pay")))
+                .withColumn("parsed_payment_date", iso("_pay")).drop(COPIES, DIFFERS))
 
     @cached_property
     def status_corrections(self) -> DataFrame:
@@ -139,25 +167,90 @@ class FactClean:
     @cached_property
     def clean(self) -> DataFrame:
         """FactInvoice, before the gates."""
-        incl, is_paid = F.col("amount_incl_gst"), F.col("_derived") == "Paid"
-        paid_final = F.when(is_paid, F.when(F.col("_paid").isNull() | (F.col("_paid") <= 0), incl)
-                            .otherwise(F.col("_paid"))).otherwise(F.lit(0))
-        return self._kept.select(
-            F.col("invoice_id").cast("bigint").alias("invoice_id"),
-            F.col("customer_id").cast("bigint").alias("customer_id"),
-            "category", "payment_method", F.col("_derived").alias("status"),
-            F.col("_issue").alias("issue_date"), F.col("_due").alias("due_date"),
-            F.when(is_paid, F.col("_pay")).alias("payment_date"),
-            F.col("amount_excl_gst").alias("amount_excl_gst"),
-            F.col("gst").alias("gst"),
-            round_money(incl).alias("amount_incl_gst"),
-            round_money(paid_final).alias("amount_paid"))
+        return published_rows(self._kept)
+
+    @cached_property
+    def gated(self) -> Gated:
+        return Gated(self)
+
+
+class Gated:
+    """The gates: rows without a known customer, then rows whose GST is off. A gate takes its
+    rows out of the fact if the run allows it; the rows it judges are listed either way."""
+
+    def __init__(self, clean: FactClean):
+        self._clean, self._cfg = clean, clean._cfg
+
+    def _rows(self, *rules: str) -> DataFrame:
+        """Kept rows; of a written stage only the folders of ``rules``."""
+        kept = self._clean._kept
+        return kept if self._clean._cut is None else kept.filter(F.col("rule").isin(*rules))
+
+    def _judged(self) -> Column:
+        return F.col("_known") if self._cfg.allow_drop_orphans else F.lit(True)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        """The fact after the gates."""
+        out = {r for r, drop in (("orphan_fact", self._cfg.allow_drop_orphans), ("gst_fact", self._cfg.allow_drop_bad_gst)) if drop}
+        stays = self._judged() & ~gst_off_rule(self._cfg) if self._cfg.allow_drop_bad_gst else self._judged()
+        return published_rows(self._rows(*[r for r in RULES[2:] if r not in out]).filter(stays))
+
+    @cached_property
+    def orphans(self) -> DataFrame:
+        """Rows whose customer is absent or null."""
+        return published_rows(self._rows("orphan_fact").filter(~F.col("_known")))
+
+    @cached_property
+    def bad_gst(self) -> DataFrame:
+        """Rows whose GST is neither 0 nor about a divisor-th of the total."""
+        return published_rows(self._rows("orphan_fact", "gst_fact").filter(self._judged() & gst_off_rule(self._cfg)))
+
+    @cached_property
+    def known_bad_gst(self) -> DataFrame:
+        """Such rows of known customers only."""
+        return published_rows(self._rows("gst_fact").filter(F.col("_known") & gst_off_rule(self._cfg)))
+
+
+def published_rows(kept: DataFrame) -> DataFrame:
+    """The columns of FactInvoice."""
+    incl, is_paid = F.col("amount_incl_gst"), F.col("_derived") == "Paid"
+    paid_final = F.when(is_paid, F.when(F.col("_paid").isNull() | (F.col("_paid") <= 0), incl)
+                        .otherwise(F.col("_paid"))).otherwise(F.lit(0))
+    return kept.select(
+        F.col("invoice_id").cast("bigint").alias("invoice_id"),
+        F.col("customer_id").cast("bigint").alias("customer_id"),
+        "category", "payment_method", F.col("_derived").alias("status"),
+        F.col("_issue").alias("issue_date"), F.col("_due").alias("due_date"),
+        F.when(is_paid, F.col("_pay")).alias("payment_date"),
+        F.col("amount_excl_gst").alias("amount_excl_gst"),
+        F.col("gst").alias("gst"),
+        round_money(incl).alias("amount_incl_gst"),
+        round_money(paid_final).alias("amount_paid"))
+
+
+def routed_figures(cfg: C.RunConfig) -> dict:
+    """Figures of the routed rows, counted while they are written."""
+    rule = F.col("rule")
+    dated, kept = rule != "invalid_amount", rule.isin(*RULES[2:])
+    repeated = F.col(COPIES) > 1
+    return {
+        "duplicate_rows": F.coalesce(F.sum(F.when(repeated, F.col(COPIES))), F.lit(0)),
+        "duplicate_ids": F.count_if(repeated), "conflicting_ids": F.count_if(DIFFERS),
+        "invalid_amounts": F.count_if(~dated), "invalid_dates": F.count_if(rule == "invalid_dates"),
+        "due_kept": F.count_if(dated & ~F.col("_recalc")), "due_recomputed": F.count_if(dated & F.col("_recalc")),
+        "status_corrected": F.count_if(kept & (F.col("_status_canon") != F.col("_derived"))),
+        "orphans": F.count_if(kept & ~F.col("_known")),
+        "bad_gst": F.count_if(kept & (F.col("_known") if cfg.allow_drop_orphans else F.lit(True)) & gst_off_rule(cfg)),
+        "known_bad_gst": F.count_if(kept & F.col("_known") & gst_off_rule(cfg)),
+    }
 
 
 def with_fact_ids(raw: DataFrame) -> DataFrame:
-    return (raw.withColumn("invoice_id", to_int_id("invoice_id"))
-            .withColumn("customer_id", to_int_id("customer_id"))
-            .filter(F.col("invoice_id").isNotNull()))
+    """Digits-only ids; rows without an invoice id are left out. The ids are staged, so a join on
+    them stays above the export it reads."""
+    return staged(raw, invoice_id=to_int_id("invoice_id"), customer_id=to_int_id("customer_id")) \
+        .filter(F.col("invoice_id").isNotNull())
 
 
 def parse_amounts(df: DataFrame) -> DataFrame:
@@ -214,10 +307,12 @@ def dated_rows(valid: DataFrame, customers: DataFrame, cfg: C.RunConfig) -> Data
     dated = gst_split(dated, cfg)
 
     # Due date: keep the raw one unless blank / unparseable / before issue; then issue +
-    # the customer's terms (default 14). Customers are unique per id, so the left join
+    # the customer's terms (default 14). The same join tells whether the customer is known, which
+    # the orphan gate asks later. Customers are unique per id, so the left join
     # never multiplies rows; AQE turns it into a broadcast when the customer side is small.
-    terms = customers.select("customer_id", F.col("payment_terms_days").alias("_terms"))
-    dated = dated.join(terms, on="customer_id", how="left")
+    terms = customers.select("customer_id", F.col("payment_terms_days").alias("_terms"), F.lit(True).alias("_found"))
+    dated = dated.join(terms, on="customer_id", how="left") \
+        .withColumn("_known", F.coalesce("_found", F.lit(False))).drop("_found")
     need_recalc = F.col("_due_raw").isNull() | (F.col("_issue").isNotNull() & (F.col("_due_raw") < F.col("_issue")))
     if cfg.due_from_terms_always:
         need_recalc = F.lit(True)

@@ -7,7 +7,7 @@ action evaluates all rules.
 
 from __future__ import annotations
 
-from typing import Dict, NamedTuple
+from typing import Dict
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,12 +15,6 @@ from pyspark.sql import functions as F
 from arcash import config as C
 
 
-class Gated(NamedTuple):
-    fact: DataFrame      # fact after the gates (rows dropped only when the flag allows)
-    orphans: DataFrame   # fact rows whose customer is absent or null
-    bad_gst: DataFrame   # fact rows whose GST is neither 0 nor ~incl/11
-
-
 def orphan_facts(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """Fact rows without a customer. A null customer_id never matches, so it is kept."""
     return fact.join(customers.select("customer_id"), on="customer_id", how="left_anti")
@@ -34,16 +28,6 @@ def gst_off_rule(cfg: C.RunConfig) -> Column:
     return (gst != 0) & (F.abs(gst * F.lit(cfg.gst_divisor) - incl) > tol)
 
 
-def apply_gates(fact: DataFrame, customers: DataFrame, cfg: C.RunConfig) -> Gated:
-    orphans = orphan_facts(fact, customers)
-    after = fact.join(customers.select("customer_id"), on="customer_id", how="left_semi") \
-        if cfg.allow_drop_orphans else fact
-    bad = after.filter(gst_off_rule(cfg))
-    if cfg.allow_drop_bad_gst:
-        after = after.filter(~gst_off_rule(cfg))
-    return Gated(after, orphans, bad)
-
-
 def unknown_mappings(customers: DataFrame, fact: DataFrame) -> DataFrame:
     """Long form (table, row_id, warning_field, warning_value) of values mapped to Unknown."""
     def part(df, table, key, field):
@@ -84,25 +68,38 @@ _RELATIONS = (  # child table, column, parent table, parent column, nulls exempt
 )
 
 
+def _stacked(df: DataFrame, columns: Dict[str, str]) -> DataFrame:
+    """(relation, k): the named columns of every row as text keys, one row each."""
+    return df.select(F.inline(F.array(*[F.struct(F.lit(r).alias("relation"), F.col(c).cast("string").alias("k"))
+                                        for r, c in columns.items()])))
+
+
 def referential_integrity(t: Dict[str, DataFrame]) -> DataFrame:
     """Violations per relation (10 relations); all zero means the star is consistent.
 
-    Each relation reads one column, in its own type, reduces it to one row per distinct key
-    before the shuffle (a hot category or date never reaches the join as raw rows) and
-    anti-joins the parent keys. Null payment method and null dates are exempt; a null
-    customer, category or status counts as a violation (null never matches).
+    Each child is read once: its key columns are stacked and reduced to one row per relation and
+    distinct key before the shuffle (a hot category or date never reaches the join as raw rows),
+    and one anti join against the stacked parent keys leaves the keys without a parent. Null
+    payment method and null dates are exempt; a null customer, category or status counts as a
+    violation (null never matches).
     """
-    out = None
-    for child, col, parent, pcol, exempt in _RELATIONS:
-        keys = t[child].select(F.col(col).alias("k"))
-        if exempt:
-            keys = keys.where("k is not null")
-        missing = (keys.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-                   .join(t[parent].select(F.col(pcol).alias("k")), on="k", how="left_anti"))
-        row = missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations")).select(
-            F.lit(f"{child}.{col} -> {parent}").alias("relation"), "violations")
-        out = row if out is None else out.unionByName(row)
-    return out
+    names = [f"{child}.{col} -> {parent}" for child, col, parent, _, _ in _RELATIONS]
+    keys = parents = None
+    for child in dict.fromkeys(r[0] for r in _RELATIONS):
+        part = _stacked(t[child], {n: r[1] for n, r in zip(names, _RELATIONS) if r[0] == child})
+        keys = part if keys is None else keys.unionByName(part)
+    for parent, pcol in dict.fromkeys((r[2], r[3]) for r in _RELATIONS):
+        to = [n for n, r in zip(names, _RELATIONS) if r[2:4] == (parent, pcol)]
+        part = _stacked(t[parent], {n: pcol for n in to})
+        parents = part if parents is None else parents.unionByName(part)
+    exempt = [n for n, r in zip(names, _RELATIONS) if r[4]]
+    missing = (keys.where(~F.col("relation").isin(*exempt) | F.col("k").isNotNull())
+               .groupBy("relation", "k").agg(F.count(F.lit(1)).alias("n"))
+               .join(parents, on=["relation", "k"], how="left_anti"))
+    row = missing.agg(*[F.coalesce(F.sum(F.when(F.col("relation") == n, F.col("n"))), F.lit(0)).cast("bigint").alias(f"r{i}")
+                        for i, n in enumerate(names)])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(n).alias("relation"), F.col(f"r{i}").alias("violations"))
+                                         for i, n in enumerate(names)])))
 
 
 # ---- declared constraints (the DDL's checks, uniqueness and not-null rules) ----------

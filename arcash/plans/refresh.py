@@ -47,20 +47,20 @@ def _stop(base: str, run_id: str, message: str, review: Dict[str, DataFrame]) ->
 def check_gates(star: Star, base: str, run_id: str) -> dict:
     """Conflicting copies, then orphans, then GST (judged over rows whose customer exists)."""
     fc, cfg = star.fact_clean, star.cfg
-    conflicts = fc.conflicts.count()
+    fc.routed                                # writes the stage, which counts the gates' rows
+    seen = star.figures("fact_routed")
+    conflicts = seen["conflicting_ids"]
     if conflicts:
         _stop(base, run_id, f"copies of {conflicts} invoice ids disagree",
               {"duplicate_invoice": fc.duplicates, "duplicate_invoice_conflicts": fc.conflicts})
-    known = fc.clean.join(star.dim_customer.select("customer_id"), "customer_id", "left_semi")
-    wrong_gst = known.filter(Q.gst_off_rule(cfg))
-    n = {"orphan_rows": star.gated.orphans.count(), "bad_gst_rows": wrong_gst.count(),
+    n = {"orphan_rows": seen["orphans"], "bad_gst_rows": seen["known_bad_gst"],
          "conflicting_duplicate_ids": conflicts}
     if n["orphan_rows"] and not cfg.allow_drop_orphans:
         _stop(base, run_id, f"{n['orphan_rows']} invoices name no known customer; allow_drop_orphans sets them aside",
               {"duplicate_invoice": fc.duplicates, "orphan_fact": star.gated.orphans})
     if n["bad_gst_rows"] and not cfg.allow_drop_bad_gst:
         _stop(base, run_id, f"the GST of {n['bad_gst_rows']} invoices is off; allow_drop_bad_gst sets them aside",
-              {"duplicate_invoice": fc.duplicates, "gst_fact": wrong_gst})
+              {"duplicate_invoice": fc.duplicates, "gst_fact": star.gated.known_bad_gst})
     return n
 
 

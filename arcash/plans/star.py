@@ -19,11 +19,23 @@ from arcash.operators.dimensions import dim_category, dim_invoice_status, dim_pa
 from arcash.operators.fact import clean_fact
 from arcash.operators.forecast import (customer_lags, forecast_by_invoice, forecast_weekly,
                                        lag_statistics, lag_tables, stress_forecast)
-from arcash.operators.quality import apply_gates
 from arcash.session import RunFolder
 from arcash.sources.derived import RawInputs, load_inputs
 
 
+def table_figures() -> dict:
+    """What is counted of each table while it is written, beside its rows."""
+    incl, unpaid, zero = F.col("amount_incl_gst"), F.col("status") != "Paid", F.lit(0).cast("decimal(18,2)")
+    return {
+        "dim_customer": {"unknown_industry": F.count_if(F.col("industry") == "Unknown")},
+        "fact": {"total": F.coalesce(F.sum(incl), zero), "open_ar": F.coalesce(F.sum(F.when(unpaid, incl)), zero),
+                 "unknown_category": F.count_if(F.col("category") == "Unknown"),
+                 "unknown_method": F.count_if(F.col("payment_method") == "Unknown")},
+        "forecast_by_invoice": {"total": F.coalesce(F.sum(incl), zero)},
+        "forecast_weekly": {"total": F.coalesce(F.max_by("cumulative", "week_start"), zero)},
+    }
+
+
 class Star:
     """All tables and review sets of one run, lazy by default.
 
@@ -38,10 +50,17 @@ class Star:
     def __init__(self, inputs: RawInputs, cfg: C.RunConfig = C.FORECAST, materialize: bool = False,
                  review: bool = False):
         self.inputs, self.cfg, self.materialize, self.review = inputs, cfg, materialize, review
-        self.folder = RunFolder(inputs.fact.sparkSession, "star")
+        self.folder = RunFolder(SparkSession.active(), "star")
+
+    def _cut(self, df: DataFrame, name: str, **how) -> DataFrame:
+        if not self.materialize:
+            return df
+        figures = {"n": F.count(F.lit(1)), **table_figures().get(name, {}), **how.pop("observe", {})}
+        return self.folder.cut(df, name, observe=figures, **how)
 
-    def _cut(self, df: DataFrame, name: str) -> DataFrame:
-        return self.folder.cut(df, name) if self.materialize else df
+    def figures(self, name: str) -> dict:
+        """The figures of a written table, counted while it was written."""
+        return self.folder.figures[name]
 
     def close(self) -> None:
         self.folder.delete()
@@ -57,7 +76,7 @@ class Star:
 
     @cached_property
     def gated(self):
-        return apply_gates(self.fact_clean.clean, self.dim_customer, self.cfg)
+        return self.fact_clean.gated
 
     # ---- the 8 published tables --------------------------------------------------------
     @cached_property

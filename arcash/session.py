@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Settings that matter at scale; a caller may change any of them through ``extra``. The
 # master and the number of shuffle partitions belong to the cluster and are never set here
@@ -16,6 +16,11 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",        # split hot customer / invoice keys
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",  # broadcast only when measured small
+    # a generated method over the JVM's 8,000 bytes is never compiled; without whole-stage
+    # generation its expressions are split into methods that are
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # no Python stack walk for every column expression (it was a third of a plan's build time)
+    "spark.sql.dataFrameQueryContext.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -67,15 +72,27 @@ class RunFolder:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.name, self.root = spark, name, None
+        self.figures: dict = {}
 
-    def cut(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once and read it back: one computation, and the lineage ends here."""
+    def cut(self, df: DataFrame, name: str, partition_by: str = None, observe: dict = None) -> DataFrame:
+        """Write ``df`` once and read it back: one computation, and the lineage ends here.
+
+        partition_by: one folder for each value of this column; observe: aggregates by name that
+        are computed while writing and kept in ``figures[name]``.
+        """
         if self.root is None:
             self.root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/arcash-{self.name}-{uuid.uuid4().hex}"
             atexit.register(self.delete)
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        path, schema = f"{self.root}/{name}", df.schema
+        seen = Observation(f"{name}-{uuid.uuid4().hex}") if observe else None
+        if seen:
+            df = df.observe(seen, *[c.alias(n) for n, c in observe.items()])
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        if seen:
+            self.figures[name] = seen.get
+        out = self.spark.read.schema(schema).parquet(path)
+        return out.select(*schema.names)
 
     def delete(self) -> None:
         if self.root is None:

@@ -11,6 +11,7 @@ Each text has ``{customer}`` / ``{orders}`` placeholders: Spark binds DataFrames
 
 from __future__ import annotations
 
+from functools import cached_property
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -135,13 +136,40 @@ def derived_raw(spark: SparkSession, sf_dir: str, table: str, scrub: bool = True
     return scrub_nulls(df) if scrub else df
 
 
-def load_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
-    src = {"orders": _table(spark, sf_dir, "orders", _ORDER_COLS),
-           "customer": _table(spark, sf_dir, "customer", _CUSTOMER_COLS)}
-    return RawInputs(
-        fact=derived_raw(spark, sf_dir, "FactInvoice", sources=src),
-        customer=derived_raw(spark, sf_dir, "DimCustomer", sources=src),
-        category=derived_raw(spark, sf_dir, "DimCategory", sources=src),
-        method=derived_raw(spark, sf_dir, "DimPaymentMethod", sources=src),
-        status=derived_raw(spark, sf_dir, "DimInvoiceStatus", sources=src),
-    )
+class DerivedInputs:
+    """The five raw exports derived from the given tables, each built when it is first read."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+
+    @cached_property
+    def _sources(self) -> dict:
+        return {"orders": _table(self._spark, self._sf_dir, "orders", _ORDER_COLS),
+                "customer": _table(self._spark, self._sf_dir, "customer", _CUSTOMER_COLS)}
+
+    def _export(self, table: str) -> DataFrame:
+        return derived_raw(self._spark, self._sf_dir, table, sources=self._sources)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return self._export("FactInvoice")
+
+    @cached_property
+    def customer(self) -> DataFrame:
+        return self._export("DimCustomer")
+
+    @cached_property
+    def category(self) -> DataFrame:
+        return self._export("DimCategory")
+
+    @cached_property
+    def method(self) -> DataFrame:
+        return self._export("DimPaymentMethod")
+
+    @cached_property
+    def status(self) -> DataFrame:
+        return self._export("DimInvoiceStatus")
+
+
+def load_inputs(spark: SparkSession, sf_dir: str) -> DerivedInputs:
+    return DerivedInputs(spark, sf_dir)

@@ -118,13 +118,23 @@ def test_single_reader_queries_write_nothing(spark):
     assert set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) == before
 
 
-def test_dedup_sorts_only_repeated_keys(spark):
-    from arcash.operators.dedup import first_per_key
-    rows_ = [(i % 50, f"v{i}", i) for i in range(60)]
-    df = spark.createDataFrame(rows_, "k int, v string, _seq long")
-    assert rows(first_per_key(df, "k").select("k", "v")) == [(k, f"v{k}") for k in range(50)]
-    plan = first_per_key(df, "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftAnti" in plan and "LeftSemi" in plan
+def test_dedup_is_one_exchange_without_a_join(spark):
+    from arcash.operators.dedup import conflicting_keys, first_per_key, keyed_rows
+    rows_ = [(i % 50, None if i == 53 else f"v{i % 50}", i) for i in range(60)] + [(None, "n", 90), (None, "n", 80)]
+    df = spark.createDataFrame(rows_, "k int, v string, _seq long").repartition(3)
+    got = {r.k: (r.v, r._seq, r._copies, r._differs) for r in keyed_rows(df, "k").collect()}
+    assert got == {k: (f"v{k}", k, 1 + (k < 10), k == 3) for k in range(50)} | {None: ("n", 80, 2, False)}
+    assert first_per_key(df, "k").columns == ["k", "v", "_seq"]
+    assert rows(conflicting_keys(df, "k", ["v"])) == [(3, 2, 2)]
+    plan = first_per_key(spark.read.parquet(f"{SF_SMALL}/orders.parquet").withColumnRenamed("o_orderkey", "_seq"), "o_custkey") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_a_null_and_a_value_in_each_other_s_place_differ(spark):
+    from arcash.operators.dedup import conflicting_keys, keyed_rows
+    df = spark.createDataFrame([(1, "a", None, 1), (1, None, "a", 2)], "k int, v string, w string, _seq long")
+    assert keyed_rows(df, "k").first()._differs and rows(conflicting_keys(df, "k", ["v", "w"])) == [(1, 2, 2)]
 
 
 def test_debtors_are_all_ranked(spark):
@@ -152,9 +162,9 @@ def test_no_scratch_folder_on_a_cluster():
 
 def test_result_invariant_under_repartitioning(spark):
     from arcash.plans.star import Star
-    from arcash.sources.derived import load_inputs
+    from arcash.sources.derived import RawInputs, load_inputs
     inputs = load_inputs(spark, SF_SMALL)
-    shuffled = inputs._replace(**{k: getattr(inputs, k).repartition(7, F.rand(3)) for k in inputs._fields})
+    shuffled = RawInputs(*[getattr(inputs, k).repartition(7, F.rand(3)) for k in RawInputs._fields])
     a = rows(Star(inputs).forecast_weekly)
     b = rows(Star(shuffled).forecast_weekly)
     assert a == b and len(a) > 0
