@@ -6,10 +6,13 @@ Every operator module is pickled by value (``ship``), so executors need no insta
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import sys
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,16 +62,29 @@ class Scratch:
             pass
 
 
-def worker_state(owner: str, key: str, make):
-    """A value kept in one Python worker (vocabularies, word caches) from task to task.
+def begin(owner: str) -> dict:
+    """The values that ``owner`` keeps in this Python worker from task to task.
 
-    Workers outlive stages, so only the values of one owner are kept: when another operator
-    begins, the memory of the one before is given back.
+    Workers outlive stages, so only one owner's values are kept: when another operator begins,
+    those of the one before are dropped and their pages handed back to the system (freed pages
+    that the allocators keep would count against the executor in every later stage).
     """
     held = sys.__dict__.setdefault("_arcash_llm_state", {})
     if held.get("owner") != owner:
         held.clear()
         held["owner"] = owner
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):      # another C library than glibc
+            pass
+    return held
+
+
+def worker_state(owner: str, key: str, make):
+    """A value kept in one Python worker (vocabularies, word caches) while ``owner`` runs."""
+    held = begin(owner)
     if key not in held:
         held[key] = make()
     return held[key]
@@ -77,7 +93,7 @@ def worker_state(owner: str, key: str, make):
 class BoundedCache(dict):
     """``cache[word]`` computes and keeps a value; the cache is emptied when it is full."""
 
-    def __init__(self, compute, limit: int = 600_000):
+    def __init__(self, compute, limit: int = 250_000):
         super().__init__()
         self.compute, self.limit = compute, limit
 
@@ -108,7 +124,7 @@ def mix64(h: np.ndarray) -> np.ndarray:
 
 def hashed_words(text: str | None) -> np.ndarray:
     """64-bit hashes of the words of a text: A-Z lowered, split at ASCII white space."""
-    cache = worker_state("shingles", "words", lambda: BoundedCache(word_hash, 300_000))
+    cache = worker_state("shingles", "words", lambda: BoundedCache(word_hash, 200_000))
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 

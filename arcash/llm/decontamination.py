@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arcash.llm.common import ROLL, mix64, read, ship
+from arcash.llm.common import begin, mix64, read, ROLL, ship
 
 ship(__name__)
 
@@ -195,6 +195,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.1,
 def matcher(sent, max_edits: float, q: int):
     """The task that matches batches of texts with one block of items."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin("decontamination")
         items = Items(sent.value, max_edits, q)
         for pdf in batches:
             out = [(d, items.ids[i], *rest) for d, t in zip(pdf["doc_id"].astype("Int64"), pdf["text"])
@@ -222,6 +223,7 @@ def holder(sent, max_edits: float, q: int):
     """A function column: whether a text holds an item of the block."""
     @F.pandas_udf("boolean")
     def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        begin("decontamination")
         items = Items(sent.value, max_edits, q)
         for texts in batches:
             yield pd.Series([bool(items.matches(t)) for t in texts], dtype=bool)

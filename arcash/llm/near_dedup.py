@@ -16,8 +16,10 @@
 5. The components of the links, spread over classes, are the result.
 
 Defined results: a null or blank text has an empty set, is linked with nothing and is its
-own component; repeated doc_ids count as one document whose set is that of each of its rows
-(each row keeps its own n_shingles, and the rows share a component); a null doc_id has no
+own component; a doc_id that repeats is one document with the sets of all its rows: each row
+keeps its own n_shingles, each set is linked on its own, and the rows share a component (doc_ids
+are below 2 ** 62); texts of any length are hashed whole, and ties go to the least doc_id; other
+columns than doc_id and text are not read; a null doc_id has no
 component and is not kept; an empty table gives an empty result.
 """
 
@@ -52,7 +54,7 @@ def signature(shingles: np.ndarray, chunks: int) -> np.ndarray:
 
 
 def sign(docs: DataFrame, chunks: int, width: int, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, two fingerprints of the set, and the signature's words."""
+    """doc_id, a hash of the text, the set's size and two fingerprints, and the signature's words."""
     @F.pandas_udf("n long, f long, g long, sig array<long>")
     def signed(texts: pd.Series) -> pd.DataFrame:
         out = []
@@ -64,7 +66,26 @@ def sign(docs: DataFrame, chunks: int, width: int, text: str = "text") -> DataFr
                         signature(s, chunks)))
         return pd.DataFrame(out, columns=["n", "f", "g", "sig"])
 
-    return docs.select("doc_id", signed(F.col(text)).alias("_s")).select("doc_id", "_s.*")
+    return docs.select("doc_id", F.xxhash64(text).alias("t"), signed(F.col(text)).alias("_s")) \
+        .select("doc_id", "t", "_s.*")
+
+
+def set_classes(full: DataFrame) -> DataFrame:
+    """(f, g, n, id, doc_id, t, sig): one row per distinct set, with the least row that has it.
+
+    ``id`` names the class: its least doc_id; where a doc_id is the least of several classes (it
+    repeats with unlike texts), one of them has it and the others an id above 2 ** 62, taken
+    from the set's fingerprints, so the least id of a component is always a doc_id.
+    """
+    classes = full.groupBy("f", "g", "n").agg(F.min(F.struct("doc_id", "t", "sig")).alias("r")) \
+        .select("f", "g", "n", "r.*")
+    name = F.struct("f", "g", "n")
+    shared = classes.groupBy("doc_id").agg(F.min(name).alias("first"), F.count(F.lit(1)).alias("c")) \
+        .where("c > 1").select("doc_id", "first")
+    other = F.shiftrightunsigned(F.xxhash64("f", "g", "n"), 2).bitwiseOR(F.lit(1 << 62))
+    return classes.join(shared, "doc_id", "left").select(
+        "f", "g", "n", F.when(F.col("first") != name, other).otherwise(F.col("doc_id")).alias("id"),
+        "doc_id", "t", "sig")
 
 
 def index(reps: DataFrame, chunks: int) -> DataFrame:
@@ -72,7 +93,7 @@ def index(reps: DataFrame, chunks: int) -> DataFrame:
     keys = [F.xxhash64(F.col("sig")[c].bitwiseAND(F.lit(~(255 << (8 * p)) if p < 7 else 2 ** 56 - 1)),
                        F.lit(8 * c + p))
             for c in range(chunks) for p in range(8)]
-    return reps.select(F.col("doc_id").alias("id"), F.explode(F.array(*keys)).alias("key"))
+    return reps.select("id", F.explode(F.array(*keys)).alias("key"))
 
 
 def families(scratch: Scratch, reps: DataFrame, chunks: int) -> DataFrame:
@@ -160,7 +181,7 @@ def cell_links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[t
 def verified(scratch: Scratch, docs: DataFrame, members: DataFrame, percent: int, width: int,
              block_rows: int, block_shingles: int) -> DataFrame:
     """Links (a, b) between class representatives of one family, as spanning forests."""
-    # members: id, family, n, cls (sets whose sizes are two classes apart can't be linked)
+    # members: id, doc_id, t, family, n, cls (sets whose sizes are two classes apart can't be linked)
     by_class = members.groupBy("family", "cls").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     blocks = F.greatest(F.ceil(F.col("c") / block_rows), F.ceil(F.col("s") / block_shingles), F.lit(1))
     shape = by_class.withColumn("nb", blocks.cast("int")).groupBy("family").agg(
@@ -189,18 +210,19 @@ def verified(scratch: Scratch, docs: DataFrame, members: DataFrame, percent: int
                      over(down, lambda j: cell(cls - 1, j, cls, blk, 1)))
     pool = F.array(F.struct(F.pmod(F.xxhash64("family"), F.lit(pools)).alias("cell"),
                             F.lit(0).alias("side")))
-    placed = placed.select("id", "family", small.alias("small"),
+    placed = placed.select("id", "doc_id", "t", "family", small.alias("small"),
                            F.when(small, pool).otherwise(cells).alias("cells"))
 
     @F.pandas_udf("array<long>")
     def shingles(texts: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(t, width).view(np.int64) for t in texts])
 
-    # One text stands for a document: rows that repeat a doc_id are joined by the classes.
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    # the class's own text: rows alike in doc_id and text are one, so a cell's bound holds
+    texts = docs.select("doc_id", F.xxhash64("text").alias("t"), "text") \
+        .groupBy("doc_id", "t").agg(F.first("text").alias("text"))
     # one plan at every size: texts are shuffled once and never joined to a broadcast table
-    rows = texts.join(placed.hint("merge"), "id").select("id", "family", "small", "cells",
-                                           shingles("text").alias("set"))
+    rows = texts.join(placed.hint("merge"), ["doc_id", "t"]).select("id", "family", "small", "cells",
+                                                                    shingles("text").alias("set"))
     rows = rows.select("id", "family", "small", "set", F.explode("cells").alias("c")) \
         .select("id", "family", "small", "set", "c.cell", "c.side")
 
@@ -224,21 +246,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, chunks:
     docs = docs.select("doc_id", "text")
     signed = scratch.cut(sign(docs, chunks, width), "signed")
     full = signed.where("n > 0 and doc_id is not null")
-    classes = scratch.cut(full.groupBy("f", "g", "n").agg(
-        F.min(F.struct("doc_id", "sig")).alias("r")).select("f", "g", "n", "r.*"), "classes")
+    classes = scratch.cut(set_classes(full), "classes")
     # under width + 1 shingles no two unequal sets reach the threshold
     least = next(n for n in range(1, 1000) if 100 * n >= percent * (n + 1))
     reps = classes.where(F.col("n") >= least)
-    group = families(scratch, reps.select("doc_id", "sig"), chunks)
+    group = families(scratch, reps.select("id", "sig"), chunks)
     step = 1.0001 * math.log(100 / percent)      # a margin for rounding
     members = scratch.cut(
-        reps.select(F.col("doc_id").alias("id"), "n").join(group, "id")
-        .groupBy("id", "family").agg(F.max("n").alias("n"))
+        reps.select("id", "doc_id", "t", "n").join(group, "id")
         .withColumn("cls", F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("int")),
         "members")
     links = verified(scratch, docs, members, percent, width, block_rows, block_shingles)
-    # class representatives that share a doc_id (rows that repeat it) belong together
-    rep = classes.select("f", "g", "n", F.col("doc_id").alias("rep"))
+    # classes that share a doc_id (rows that repeat it) belong together
+    rep = classes.select("f", "g", "n", F.col("id").alias("rep"))
     rows = signed.join(rep, ["f", "g", "n"], "left").where("n > 0 and doc_id is not null")
     least = rows.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("b < a")
     shared = rows.join(least.select("doc_id", "b"), "doc_id").select(F.col("rep").alias("a"), "b")

@@ -61,7 +61,7 @@ class ChunkIds:
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = iter(range(256, 512))
         self.letter = {i: chr(i if i in set(own) else next(others)) for i in range(256)}
-        self.pre_token = BoundedCache(self._pre_token, 400_000)
+        self.pre_token = BoundedCache(self._pre_token, 200_000)
         self.chunk = BoundedCache(self._chunk)
         probe = "It's \u00dcber-1.5 \u00c0 l'\u00e9t\u00e9, x\u00b2##"
         if self(probe) != self._bytes(t.encode(probe, add_special_tokens=False).ids) or self(" \n "):

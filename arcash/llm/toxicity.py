@@ -42,7 +42,7 @@ def _hash_pair(word: str) -> tuple[int, int]:
 
 def features(text: str | None, bits: int) -> np.ndarray:
     """Sorted distinct coordinates of a text."""
-    cache = worker_state("toxicity", "words", lambda: BoundedCache(_hash_pair, 300_000))
+    cache = worker_state("toxicity", "words", lambda: BoundedCache(_hash_pair, 200_000))
     words = WORD.findall((text or "").lower())
     pairs = np.array([cache[w] for w in words], np.uint64).reshape(-1, 2)
     w, stem = pairs[:, 0], pairs[:, 1]

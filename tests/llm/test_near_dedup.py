@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from arcash.llm import near_dedup as N
 from arcash.llm.common import Scratch, components
@@ -98,3 +99,30 @@ def test_components_of_a_path_and_a_star(spark):
     got = {r.id: r.component for r in components(s, spark.createDataFrame(edges, "a long, b long"), "t").collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}}
     s.drop()
+
+
+@pytest.mark.parametrize("family", [100, 320])
+def test_repeated_ids_of_unlike_texts(spark, tables, family):
+    """A doc_id whose rows lie in different families joins them, whatever their size."""
+    rnd = random.Random(family)
+
+    def copies(prefix, n, size, first):
+        base = [f"{prefix}{i}" for i in range(size)]
+        out = []
+        for i in range(n):
+            v = list(base)
+            v[rnd.randrange(size)] = f"{prefix}new{i}"
+            out.append((first + i, " ".join(v)))
+        return out
+    rows = copies("a", family, 150, 1000) + copies("b", 12, 400, 5000) + copies("c", 5, 200, 7000)
+    (near_a,), (near_b,) = copies("a", 1, 150, 5), copies("b", 1, 400, 5)
+    rows += [near_a, near_b, (5, "quite another text of nine words in a row"), (5, None)] + [near_a] * 3
+    got = N.near_duplicates(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, n string"),
+                            block_rows=64).collect()
+    assert len(got) == len(rows)
+    found = {}
+    for r in got:
+        found.setdefault(r.doc_id, set()).add(r.component_id)
+    assert all(found[i] == {5} for i in found if i < 7000), {i: c for i, c in found.items() if i < 7000 and c != {5}}
+    assert all(found[i] == {7000} for i in found if i >= 7000)
+    assert sum(r.kept for r in got if r.doc_id != 5) == 1
