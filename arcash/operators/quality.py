@@ -68,7 +68,7 @@ _RELATIONS = (  # child table, column, parent table, parent column, nulls exempt
 )
 
 
-def _stacked(df: DataFrame, columns: Dict[str, str]) -> DataFrame:
+def stacked_keys(df: DataFrame, columns: Dict[str, str]) -> DataFrame:
     """(relation, k): the named columns of every row as text keys, one row each."""
     return df.select(F.inline(F.array(*[F.struct(F.lit(r).alias("relation"), F.col(c).cast("string").alias("k"))
                                         for r, c in columns.items()])))
@@ -86,11 +86,11 @@ def referential_integrity(t: Dict[str, DataFrame]) -> DataFrame:
     names = [f"{child}.{col} -> {parent}" for child, col, parent, _, _ in _RELATIONS]
     keys = parents = None
     for child in dict.fromkeys(r[0] for r in _RELATIONS):
-        part = _stacked(t[child], {n: r[1] for n, r in zip(names, _RELATIONS) if r[0] == child})
+        part = stacked_keys(t[child], {n: r[1] for n, r in zip(names, _RELATIONS) if r[0] == child})
         keys = part if keys is None else keys.unionByName(part)
     for parent, pcol in dict.fromkeys((r[2], r[3]) for r in _RELATIONS):
         to = [n for n, r in zip(names, _RELATIONS) if r[2:4] == (parent, pcol)]
-        part = _stacked(t[parent], {n: pcol for n in to})
+        part = stacked_keys(t[parent], {n: pcol for n in to})
         parents = part if parents is None else parents.unionByName(part)
     exempt = [n for n, r in zip(names, _RELATIONS) if r[4]]
     missing = (keys.where(~F.col("relation").isin(*exempt) | F.col("k").isNotNull())

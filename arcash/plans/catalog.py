@@ -24,7 +24,7 @@ from arcash.operators import quality as Q
 from arcash.operators.customers import derive_member_tier, derive_payment_terms, fill_customer_name
 from arcash.operators.forecast import lag_divergence, lag_source_mix
 from arcash.plans.star import Star, present, star_for
-from arcash.sources.derived import derived_raw
+from arcash.sources.derived import derived_raw, load_inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: Dict[str, Query] = {}
@@ -345,6 +345,32 @@ def q_legacy_fact(spark, sf_dir):
     return _star(spark, sf_dir, C.LEGACY).fact
 
 
+def _legacy(spark, sf_dir):
+    from arcash.plans.refresh import legacy_tables
+    from arcash.session import RunFolder
+    return legacy_tables(load_inputs(spark, sf_dir), RunFolder(spark, "legacy"))
+
+
+@query("legacy_clean_fact")
+def q_legacy_clean_fact(spark, sf_dir):
+    """FactInvoice of the older job's own clean: nothing set aside but orphans."""
+    return _legacy(spark, sf_dir)["FactInvoice"]
+
+
+@query("legacy_clean_customer")
+def q_legacy_clean_customer(spark, sf_dir):
+    from arcash.operators.legacy import legacy_customers
+    return legacy_customers(load_inputs(spark, sf_dir).customer)
+
+
+@query("legacy_validation")
+def q_legacy_validation(spark, sf_dir):
+    """The older job's checks over its six tables, and whether they stop it."""
+    from arcash.operators.legacy import legacy_checks
+    t = _legacy(spark, sf_dir)
+    return legacy_checks({n: df for n, df in t.items() if n != "_orphans"})
+
+
 @query("dim_date")
 def q_dim_date(spark, sf_dir):
     return _shared(spark, sf_dir).dim_date

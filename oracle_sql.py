@@ -100,7 +100,7 @@ def title(s: str) -> str:
             f"THEN upper(substr({s}, i, 1)) ELSE lower(substr({s}, i, 1)) END), '') ELSE {s} END)")
 
 
-def parse_date(c: str) -> str:
+def parse_date(c: str, main_only: bool = False) -> str:
     """Formats in order, day-first first; a 4-digit year is required where %Y is used."""
     s = strip(c)
     y4_end, y4_start = f"regexp_matches({s}, '\\d{{4}}$')", f"regexp_matches({s}, '^\\d{{4}}')"
@@ -117,7 +117,7 @@ def parse_date(c: str) -> str:
         f"try_strptime({s}, '%Y%m%d')", f"try_strptime({s}, '%d.%m.%Y')", f"try_strptime({s}, '%d/%m/%y')",
         f"try_strptime({s}, '%Y-%m-%d %H:%M:%S')",
     ]
-    return f"CAST(coalesce({', '.join(tries)}) AS DATE)"
+    return f"CAST(coalesce({', '.join(tries[:7] if main_only else tries)}) AS DATE)"
 
 
 def swap(d: str, lo: str, hi: str) -> str:
@@ -454,6 +454,7 @@ SELECTS = {
 def oracle_sql() -> dict:
     out = {k: with_blocks(v) for k, v in SELECTS.items()}
     out["compare_runs"] = COMPARE_SQL
+    out |= legacy_selects()
     out["legacy_fact"] = f"WITH {make_blocks(legacy=True)}\nSELECT {FACT_OUT} FROM fact"
     return out
 
@@ -662,3 +663,65 @@ SELECT (SELECT count(*) FROM raw_f) fact_rows_before, (SELECT count(*) FROM fact
        CASE WHEN abs((SELECT coalesce(sum(amount_incl_gst), 0) FROM fbi) - coalesce((SELECT arg_max(cumulative, week_start) FROM weekly), 0)) <= 0.01
             THEN 'PASS' ELSE 'FAIL' END reconciliation_status
 """
+
+
+def legacy_selects() -> dict:
+    """The older job's clean and checks, from its rules: whole-row duplicates, labels, stated status."""
+    label = f"'CUST' || CASE WHEN {{0}} >= 100 THEN CAST({{0}} AS VARCHAR) ELSE lpad(CAST({{0}} AS VARCHAR), 3, '0') END"
+    lab = label.format(f"({to_id('customer_id')})")
+    industry = {**C.INDUSTRY_CANON, "it/technology": "Technology", "construction/trades": "Construction",
+                "food & hospitality": "Hospitality", "not for profit": "Not-for-profit",
+                "prof services": "Professional Services", "recruiting": "Recruitment", "edu": "Education"}
+
+    def named(c, mapping, blank):
+        return f"CASE WHEN {c} IS NULL THEN {blank} ELSE {case_map('lower(' + strip(c) + ')', mapping, title(strip(c)))} END"
+    window = f"BETWEEN DATE '{START}' AND DATE '{END}'"
+    blocks = f"""{make_blocks().rstrip()},
+lc_first AS (SELECT * REPLACE ({lab} AS customer_id) FROM raw_c
+             QUALIFY row_number() OVER (PARTITION BY {lab} ORDER BY _seq) = 1),
+lc_num AS (SELECT *, {to_num('credit_limit')} credit,
+                  {to_num("replace(lower(payment_terms_days), 'days', '')")} terms_n FROM lc_first),
+lc_tier AS (SELECT * REPLACE (CASE WHEN member_tier IS NULL THEN {CREDIT_TIER_SQL}
+                              ELSE {case_map("lower(" + strip("member_tier") + ")", C.TIER_CANON, title(strip("member_tier")))} END AS member_tier) FROM lc_num),
+lc AS (SELECT customer_id, {strip('customer_name')} customer_name, {named('industry', industry, "'Unknown'")} industry, member_tier,
+              coalesce(CAST(trunc(terms_n) AS INTEGER), {TERMS_TIER_SQL}, 14) payment_terms_days,
+              CAST(trunc(credit) AS BIGINT) credit_limit, {parse_date('member_since', True)} member_since,
+              CASE WHEN state IS NULL THEN NULL
+                   WHEN contains(replace(lower(state), '.', ''), 'act') OR contains(lower(state), 'capital territory') THEN 'ACT'
+                   ELSE {strip('state')} END state FROM lc_tier),
+lf_rows AS (SELECT DISTINCT invoice_id, {lab} customer_id, category, payment_method, status, issue_date, due_date, payment_date,
+                   gst, amount_incl_gst, amount_paid FROM raw_f),
+lf_num AS (SELECT *, {to_num('amount_incl_gst')} incl, {to_num('amount_paid')} paid, {parse_date('issue_date', True)} issue_p,
+                  {parse_date('payment_date', True)} pay_p, {parse_date('due_date', True)} due_p FROM lf_rows),
+lf_status AS (SELECT *, CASE WHEN status IS NOT NULL THEN status WHEN pay_p IS NOT NULL OR paid > 0 THEN 'Paid'
+                             WHEN due_p < DATE '{SNAP}' THEN 'Overdue' ELSE 'Open' END status_f,
+                     CASE WHEN issue_p {window} THEN issue_p ELSE {swap_always('issue_p')} END issue_s,
+                     CASE WHEN pay_p > DATE '{SNAP}' THEN {swap_always('pay_p')} ELSE pay_p END pay_s,
+                     CAST(round(incl / 11, 2) AS DECIMAL(18,2)) gst_r FROM lf_num),
+lf AS (SELECT f.invoice_id, f.customer_id, {named('f.category', C.CATEGORY_CANON, "'Unknown'")} category,
+              CASE WHEN payment_method IS NULL THEN NULL
+                   ELSE {case_map("lower(" + strip("payment_method") + ")", C.METHOD_CANON, strip("payment_method"))} END payment_method,
+              {STATUS_CANON_SQL} status, issue_s issue_date, issue_s + coalesce(c.payment_terms_days, 14) due_date, pay_s payment_date,
+              CAST(round(incl - gst_r, 2) AS DECIMAL(18,2)) amount_excl_gst, gst_r gst, incl amount_incl_gst,
+              CASE WHEN {STATUS_CANON_SQL} = 'Paid' THEN round(incl, 2) ELSE 0 END amount_paid
+       FROM lf_status f JOIN lc c ON c.customer_id = f.customer_id),
+lcat AS (SELECT DISTINCT {named('category', C.CATEGORY_CANON, "'Unknown'")} category FROM raw_cat UNION SELECT 'Unknown'),
+lpm AS (SELECT DISTINCT {case_map("lower(" + strip("payment_method") + ")", C.METHOD_CANON, strip("payment_method"))} payment_method FROM raw_pm),
+lst AS (SELECT DISTINCT {named('status', C.STATUS_CANON, "'Unknown'")} status FROM raw_st)
+"""
+    money = "amount_excl_gst", "gst", "amount_incl_gst", "amount_paid"
+    fact = ("SELECT invoice_id, customer_id, category, payment_method, status, "
+            + ", ".join(f"{iso(d)} {d}" for d in ("issue_date", "due_date", "payment_date"))
+            + ", " + ", ".join(f"{dbl(m)} {m}" for m in money) + " FROM lf")
+    checks = f"""SELECT 0::BIGINT customer_orphans,
+ count(*) FILTER (category IS NULL OR category NOT IN (SELECT category FROM lcat)) category_orphans,
+ count(*) FILTER (status IS NULL OR status NOT IN (SELECT status FROM lst)) status_orphans,
+ count(*) FILTER (payment_method IS NOT NULL AND payment_method NOT IN (SELECT payment_method FROM lpm WHERE payment_method IS NOT NULL)) method_orphans,
+ 0::BIGINT issue_date_orphans, 0::BIGINT due_date_orphans, 0::BIGINT payment_date_orphans,
+ count(*) FILTER (abs(11 * gst - amount_incl_gst) <= 0.22) gst_pass, count(*) gst_rows,
+ count(*) FILTER (issue_date IS NULL OR NOT issue_date {window}) issue_outside_period,
+ {dbl('coalesce(sum(amount_incl_gst), 0)')} total_invoiced, {dbl("coalesce(sum(amount_incl_gst) FILTER (status = 'Paid'), 0)")} total_collected,
+ {dbl("coalesce(sum(amount_incl_gst) FILTER (status <> 'Paid'), 0)")} open_ar FROM lf"""
+    return {"legacy_clean_fact": f"WITH {blocks}{fact}",
+            "legacy_clean_customer": f"WITH {blocks}SELECT * REPLACE ({iso('member_since')} AS member_since) FROM lc",
+            "legacy_validation": f"WITH {blocks}{checks}"}

@@ -215,21 +215,57 @@ def test_legacy_profile_recomputes_gst_and_due(spark, book):
     assert all(r["amount_incl_gst"] == r["amount_excl_gst"] + r["gst"] for r in f.values())
 
 
-def test_legacy_swaps_payments_and_exports_six_tables(spark, book, tmp_path):
+LEGACY_FACT = [  # invoice, customer, category, method, status, issue, due, payment, excl, gst, incl, paid
+    ("INV-1", "1", "events income", "cheque", "PAID", "2026-01-05", "2026-01-06", "2026-12-05", None, "0", "110", "5"),
+    ("INV-1", "1", "events income", "cheque", "PAID", "2026-01-05", "2026-01-06", "2026-12-05", None, "0", "110", "5"),
+    ("INV-1", "CUST2", "other", None, None, "15/01/2026", "2026-02-01", None, None, None, "$1,100", None),
+    ("INV-3", "CUST999", None, None, "Open", "2026-02-01", None, None, None, None, "11", None),
+    ("INV-4", "CUST003", "Events Income", "B-Pay", "Paid", "2026-05-02", None, None, None, None, "-22", "1"),
+]
+
+
+def legacy_inputs(spark, book, fact):
+    names = [*CAT_RAW, ("CAT09", "other", None)], [*PM_RAW, ("PM09", "cheque", "Paper")]
+    return book.inputs._replace(fact=literal_raw(spark, "FactInvoice", fact), category=literal_raw(spark, "DimCategory", names[0]),
+                                method=literal_raw(spark, "DimPaymentMethod", names[1]))
+
+
+def test_legacy_clean_sets_nothing_aside(spark, book):
+    from arcash.operators.legacy import legacy_customers, legacy_fact
+    customers = legacy_customers(literal_raw(spark, "DimCustomer", CUST + [("4", "D", "Odd job", "gold", "45", "999", None, "Sydney")]))
+    c = {r.customer_id: r for r in customers.collect()}
+    assert (c["CUST002"].payment_terms_days, c["CUST001"].payment_terms_days, c["CUST003"].member_tier) == (14, 30, "Associate")
+    assert (c["CUST004"].payment_terms_days, c["CUST004"].member_tier, c["CUST004"].industry) == (45, "Gold", "Odd Job")
+    got = {(r.invoice_id, r.customer_id): r for r in legacy_fact(literal_raw(spark, "FactInvoice", LEGACY_FACT), customers).collect()}
+    assert len(got) == 4                                   # only the whole-row copy is gone
+    one, two, bad = got["INV-1", "CUST001"], got["INV-1", "CUST002"], got["INV-4", "CUST003"]
+    assert one.payment_method == "cheque" and one.payment_date == D(2026, 5, 12)      # kept as text; swapped whatever results
+    assert one.due_date == D(2026, 2, 4) and one.gst == 10 and one.amount_paid == 110  # issue + 30; incl / 11; paid in full
+    assert two.status == "Overdue" and two.category == "Other" and two.issue_date == D(2026, 1, 15) and two.amount_paid == 0
+    assert bad.amount_incl_gst == -22 and bad.issue_date == D(2026, 2, 5)              # negative amounts stay, the date swaps in
+    assert not got["INV-3", "CUST999"]._known
+
+
+def test_legacy_job_exports_six_tables_or_stops(spark, book, tmp_path):
+    import json
     from arcash.plans.publish import read_published
     from arcash.plans.refresh import LEGACY_TABLES, GateError, run_legacy_export
-    late = [("INV-1", "CUST001", "membership income", "eft", "PAID", "2026-01-05", "2026-02-04", "2026-12-05",
-             None, "10", "110", "110")]
-    inputs = book.inputs._replace(fact=literal_raw(spark, "FactInvoice", late))
-    swapped = Star(inputs, C.LEGACY).fact_clean._dated.first()["_pay"]
-    assert swapped == D(2026, 5, 12) and Star(inputs, C.FORECAST).fact_clean._dated.first()["_pay"] == D(2026, 12, 5)
     base = str(tmp_path / "legacy")
-    run_legacy_export(spark, book.inputs, base)
+    run_legacy_export(spark, legacy_inputs(spark, book, LEGACY_FACT), base)
     out = read_published(spark, base)
-    assert set(out) == set(LEGACY_TABLES) and out["FactInvoice"].count() == Star(book.inputs, C.LEGACY).fact.count()
+    assert set(out) == set(LEGACY_TABLES) and out["FactInvoice"].count() == 3
     assert dict(out["FactInvoice"].dtypes)["issue_date"] == "date"
-    with pytest.raises(GateError, match="validation"):
-        run_legacy_export(spark, book.inputs, base, cfg=dataclasses.replace(C.LEGACY, recompute_gst=False))
+    report = json.loads((tmp_path / "legacy" / "run_id=legacy" / "_validation_report.json").read_text())
+    assert report["status"] == "PASS" and report["outputs"] == list(LEGACY_TABLES) and report["gst_rows"] == 3
+    assert [r.invoice_id for r in spark.read.parquet(f"{base}/run_id=legacy/_review/orphan_fact").collect()] == ["INV-3"]
+    # a row issued outside the period that no swap mends, and a status that no table has, stop the job
+    late = LEGACY_FACT + [("INV-9", "CUST001", "Events Income", "eft", "disputed", "2026-05-20", None, None, None, None, "11", None)]
+    with pytest.raises(GateError, match="1 issue dates outside the period") as stop:
+        run_legacy_export(spark, legacy_inputs(spark, book, late), base, run_id="late")
+    assert "status_orphans: 1" in str(stop.value)
+    report = json.loads((tmp_path / "legacy" / "_stopped" / "run_id=late" / "_validation_report.json").read_text())
+    assert report["status"] == "FAIL" and report["issue_outside_period"] == 1 and len(report["errors"]) == 2
+    assert not (tmp_path / "legacy" / "run_id=late").exists()
 
 
 def test_integrity_and_constraints_count_planted_rows(spark, book):
