@@ -49,7 +49,7 @@ class ChunkIds:
     # FIXED VALUE: the tokenizer file's own split pattern
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, cached: int = 1_000_000):
         import regex
         from tokenizers import Tokenizer
         t = Tokenizer.from_file(tokenizer_file)
@@ -61,8 +61,8 @@ class ChunkIds:
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = iter(range(256, 512))
         self.letter = {i: chr(i if i in set(own) else next(others)) for i in range(256)}
-        self.pre_token = BoundedCache(self._pre_token, 200_000)
-        self.chunk = BoundedCache(self._chunk)
+        self.pre_token = BoundedCache(self._pre_token, cached * 2 // 5)
+        self.chunk = BoundedCache(self._chunk, cached * 3 // 5)
         probe = "It's \u00dcber-1.5 \u00c0 l'\u00e9t\u00e9, x\u00b2##"
         if self(probe) != self._bytes(t.encode(probe, add_special_tokens=False).ids) or self(" \n "):
             raise ValueError("this tokenizer does not split and drop white space as expected")
@@ -85,14 +85,14 @@ class ChunkIds:
 
 
 def cut_pieces(docs: DataFrame, tokenizer_file: str, capacity: int, end_id: int = 0,
-               text: str = "text") -> DataFrame:
+               text: str = "text", cached: int = 1_000_000) -> DataFrame:
     """One row per piece of each document: its columns but the text, and piece, start,
     length, ids_crc32."""
     end = np.asarray([end_id], "<u4").tobytes()
 
     @F.pandas_udf(PIECE)
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids = worker_state("ids", tokenizer_file, lambda: ChunkIds(tokenizer_file))
+        ids = worker_state("ids", tokenizer_file, lambda: ChunkIds(tokenizer_file, cached))
         step = 4 * capacity
         for texts in batches:
             out = []
@@ -195,16 +195,17 @@ def packer(r: int, capacity: int, last: bool):
 
 
 def pack(scratch: Scratch, pieces: DataFrame, capacity: int, length: str = "length",
-         part_rows: int = 20_000, rounds: int = 12) -> DataFrame:
-    """``pieces`` with sequence_id and offset. ``part_rows`` bounds a task's expected rows."""
+         part_rows: int = 20_000) -> DataFrame:
+    """``pieces`` with sequence_id and offset. ``part_rows`` bounds a task's expected rows. Parts
+    with gaps exchange until one part is left or a round closes no bin."""
     spark = scratch.spark
     loose = scratch.cut(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     rows = spark.read.parquet(scratch.path("pieces")).select("_row", F.col(length).alias("_len"))
-    n = rows.count()
+    n, before = rows.count(), None
     parts, placed, r = max(1, math.ceil(n / part_rows)), [], 0
     schema = "_row long, _len long, _seq long, offset long, _stays boolean"
     while n:
-        last = parts == 1 or r == rounds
+        last = parts == 1 or n == before
 
         done = scratch.cut(
             rows.withColumn("_part", F.pmod(F.xxhash64("_row", F.lit(r)), F.lit(parts)).cast("int"))
@@ -213,7 +214,7 @@ def pack(scratch: Scratch, pieces: DataFrame, capacity: int, length: str = "leng
         if last:
             break
         rows = done.where("not _stays").select("_row", "_len")
-        n, r = rows.count(), r + 1
+        before, n, r = n, rows.count(), r + 1
         parts = max(1, math.ceil(n / part_rows))
     out = loose
     if not placed:
@@ -231,10 +232,12 @@ def op10_packing(spark: SparkSession, sf_dir: str, capacity: int = 2048) -> Data
     return pack_documents(read(spark, sf_dir, "documents"), capacity)
 
 
-def pack_documents(docs: DataFrame, capacity: int = 2048) -> DataFrame:
+def pack_documents(docs: DataFrame, capacity: int = 2048, cached: int = 1_000_000) -> DataFrame:
+    """The pieces of ``docs(doc_id, text)``, packed. ``cached``: words and chunks whose ids a Python
+    worker keeps (some 200 MB; fewer cost time, not results)."""
     import public_tokenizers
     scratch = Scratch(docs.sparkSession, "packing")
     pieces = cut_pieces(docs.select("doc_id", "text"),
-                        public_tokenizers.path("word_bpe_49k.json"), capacity)
+                        public_tokenizers.path("word_bpe_49k.json"), capacity, cached=cached)
     return pack(scratch, pieces, capacity).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
