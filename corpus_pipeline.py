@@ -53,7 +53,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the remaining documents, packed into sequences of 2048 tokens."""
-    return pack_documents(docs)
+    # the executor's memory is shared with what earlier stages left in the JVM's heap
+    return pack_documents(docs, cached=400_000)
 
 
 STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
