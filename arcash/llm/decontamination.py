@@ -6,7 +6,12 @@ m / q - 1) edits. By the q-gram lemma the region and the item then share at leas
 m + 1 - q (k + 1) q-grams, at diagonals (place in text less place in item) no further apart
 than 2 k. Diagonals are dealt into bands of twice that width, each overlapping half of the
 next, so every such region lies whole in one band. Shared q-grams are counted by item and
-band, bands below the bound go, and a banded alignment of the whole item decides the rest.
+band, bands below the bound go, and a banded alignment of the whole item decides the rest;
+bands that overlap are aligned once, together.
+
+Texts and items that repeat a short passage share q-grams at very many diagonals. Shared q-grams
+are held for ``room`` at a time, by ranges of items; one item that alone has more is filtered by
+its q-grams in a window of the text instead of by diagonals, then aligned in the same way.
 
 Items go out in blocks of ``block_chars`` characters at most (a benchmark of any size takes
 more passes over the texts, never a larger broadcast). Texts are read once a block, whole,
@@ -21,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -83,10 +89,11 @@ def aligned(item: np.ndarray, text: np.ndarray, low: int, high: int, k: int) ->
 
 
 class Items:
-    """The q-gram index of a block of benchmark items."""
+    """The q-gram index of a block of benchmark items; ``room`` bounds the meetings of q-grams of a
+    text and of items that are held at once."""
 
-    def __init__(self, rows: list[tuple], max_edits: float, q: int):
-        self.q, self.ids, self.codes = q, [], []
+    def __init__(self, rows: list[tuple], max_edits: float, q: int, room: int = 1_000_000):
+        self.q, self.room, self.ids, self.codes = q, room, [], []
         for i, text in rows:
             c = normalised(text)
             if len(c) >= q:
@@ -105,6 +112,11 @@ class Items:
         self.seen = np.zeros(1 << 22, bool)         # which low bits occur: one lookup for most places
         self.seen[(self.code & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
 
+    @cached_property
+    def ordered(self) -> np.ndarray:
+        """Gram and item of every posting as one sorted number, to cut postings by item."""
+        return (np.repeat(np.arange(len(self.code)), self.times) << 32) + self.item
+
     def matches(self, text: str | None, window: int = 200_000) -> list[tuple[int, int, int, int]]:
         """(item, edits, start, end) of the best region of each matching item.
 
@@ -130,9 +142,26 @@ class Items:
         which[which == len(self.code)] = 0
         real = self.code[which] == g[at]
         at, which = at[real], which[real]
-        times = self.times[which]
+        yield from self._counted(codes, at, which, self.first[which], self.times[which], 0, len(self.codes))
+
+    def _counted(self, codes: np.ndarray, at: np.ndarray, which: np.ndarray, first: np.ndarray,
+                 times: np.ndarray, low: int, high: int) -> Iterator[tuple[int, int, int]]:
+        """Matches of items low..high, whose places of gram which[j] are the ``times[j]`` from ``first[j]``."""
+        total = int(times.sum())
+        if total <= self.room:
+            yield from self._banded(codes, at, first, times, total)
+        elif high - low == 1:
+            yield from self._repetitive(codes, at[times > 0], low)
+        else:
+            middle = (low + high) // 2
+            cut = np.searchsorted(self.ordered, (which << 32) + middle)
+            yield from self._counted(codes, at, which, first, cut - first, low, middle)
+            yield from self._counted(codes, at, which, cut, first + times - cut, middle, high)
+
+    def _banded(self, codes: np.ndarray, at: np.ndarray, first: np.ndarray, times: np.ndarray,
+                total: int) -> Iterator[tuple[int, int, int]]:
         # all (place in text, item, place in item)
-        posting = np.repeat(self.first[which] - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
+        posting = np.repeat(first - np.cumsum(times) + times, times) + np.arange(total)
         item, place = self.item[posting], self.place[posting]
         diagonal = np.repeat(at, times) - place
         key = (item << 40) + diagonal // (2 * self.k[item] + 1) + (1 << 39)
@@ -142,24 +171,50 @@ class Items:
         # a band is a step and the next one
         after = np.minimum(np.searchsorted(keys, keys + 1), len(keys) - 1)
         counts = counts + np.where(keys[after] == keys + 1, counts[after], 0)
-        for x in keys[counts >= self.bound[keys >> 40]]:
-            i = int(x >> 40)
-            k, c = int(self.k[i]), self.codes[i]
-            mine = (key == x) | (key == x + 1)
-            if len(np.unique(place[mine])) < self.bound[i]:
-                continue              # one place of the item counts once
-            low = (int(x & ((1 << 40) - 1)) - (1 << 39)) * (2 * k + 1)
-            exact = np.unique(diagonal[mine])
-            exact = [d for d in exact if 0 <= d and np.array_equal(codes[d:d + len(c)], c)] \
-                if mine.sum() > len(c) - self.q else []
-            if exact:
-                yield i, 0, int(exact[0]) + len(c)
+        bands = keys[counts >= self.bound[keys >> 40]]
+        if not len(bands):
+            return
+        order = np.argsort(key, kind="stable")
+        key, place, diagonal = key[order], place[order], diagonal[order]
+        left, right = np.searchsorted(key, bands), np.searchsorted(key, bands + 2)
+        need = self.bound[bands >> 40]
+        # one place of the item counts once
+        kept = [j for j in range(len(bands)) if len(np.unique(place[left[j]:right[j]])) >= need[j]]
+        for run in np.split(kept, np.flatnonzero(np.diff(bands[kept]) > 1) + 1) if kept else []:
+            i = int(bands[run[0]] >> 40)
+            c, step = self.codes[i], 2 * int(self.k[i]) + 1
+            places, shared = np.unique(diagonal[left[run[0]]:right[run[-1]]], return_counts=True)
+            exact = next((int(d) for d in places[shared > len(c) - self.q]
+                          if d >= 0 and np.array_equal(codes[d:d + len(c)], c)), None)
+            if exact is not None:
+                yield i, 0, exact + len(c)
                 continue
-            begin = max(0, low - k)
-            edits, end = aligned(c, codes[begin:low + 4 * k + 2 + len(c) + k], low - begin,
-                                 low - begin + 4 * k + 1, k)
-            if edits <= k:
-                yield i, edits, begin + end
+            base = (1 << 39) + (i << 40)
+            yield from self._verified(codes, i, int(bands[run[0]] - base) * step,
+                                      int(bands[run[-1]] - base + 2) * step - 1)
+
+    def _repetitive(self, codes: np.ndarray, at: np.ndarray, i: int) -> Iterator[tuple[int, int, int]]:
+        """Matches of an item whose q-grams meet those of the text too often to list each meeting.
+
+        A region has at most m + k characters, so at least the bound of its places hold a q-gram of
+        the item: places are counted in windows of that length, without diagonals.
+        """
+        m, k = len(self.codes[i]), int(self.k[i])
+        hits = np.zeros(len(codes) + 1, np.int64)
+        hits[at + 1] = 1
+        hits = np.cumsum(hits)
+        starts = np.arange(len(codes))
+        enough = np.flatnonzero(hits[np.minimum(starts + m + k, len(codes))] - hits[starts] >= self.bound[i])
+        for run in np.split(enough, np.flatnonzero(np.diff(enough) > 2 * k + 1) + 1) if len(enough) else []:
+            yield from self._verified(codes, i, int(run[0]) - k, int(run[-1]) + k)
+
+    def _verified(self, codes: np.ndarray, i: int, low: int, high: int) -> Iterator[tuple[int, int, int]]:
+        """The best region of item i on diagonals low..high, by one alignment."""
+        c, k = self.codes[i], int(self.k[i])
+        begin = max(0, low - k)
+        edits, end = aligned(c, codes[begin:high + len(c) + 2 * k + 1], low - begin, high - begin, k)
+        if edits <= k:
+            yield i, edits, begin + end
 
 
 def item_blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple]]:

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 from hypothesis import given, settings
@@ -97,3 +98,30 @@ def test_banded_alignment_over_all_diagonals(item, text, k):
     assert got == want if want <= k else got == k + 1
     if want <= k:
         assert 0 <= end
+
+
+def test_repetitive_texts_equal_the_full_table():
+    items = [(0, "0 " * 50), (1, "0 " * 30 + "1 " * 30), (2, "ab" * 60), (3, "0 0 1 " * 20), (4, "z" * 90)]
+    texts = ["0 " * 400, "0 " * 20 + "1 " * 400 + "x", "0 " * 200 + "1 " * 200, "ab" * 300 + " " + "0 0 1 " * 19 + "0 0 2",
+             "b" * 50 + "ab" * 57, "z" * 500, "z" * 85, "z" * 70 + "y", "0 1 " * 300, "q"]
+    for room in (1, 3_000, 1_000_000):
+        index = D.Items(items, 0.1, 8, room)
+        for t in texts:
+            got = {i: e for i, e, _, _ in index.matches(t)}
+            assert got == {i: e for (_, i), e in expected([(0, t)], items).items()}, (room, t[:30])
+
+
+def test_a_small_room_changes_no_result():
+    docs, items = corpus(3)
+    whole, parts, single = (D.Items(items, 0.1, 8, room) for room in (1_000_000, 60, 0))
+    for _, t in docs:
+        want = whole.matches(t)
+        assert parts.matches(t) == want and single.matches(t) == want
+
+
+def test_long_repetitive_texts_end_soon():
+    index = D.Items([(i, "0 " * 50 + str(i)) for i in range(10)] + [(99, "=" * 10 + "w" * 200)], 0.1, 8)
+    begin = time.perf_counter()
+    got = {i: e for i, e, _, _ in index.matches("0 " * 100_000)}
+    assert got == {i: 1 for i in range(1, 10)} | {0: 0} and time.perf_counter() - begin < 30
+    assert index.matches("w" * 300_000) == [(10, 0, 0, 200)]
