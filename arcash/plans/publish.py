@@ -9,9 +9,11 @@ complete run or the new complete run, never a mix and never none.
 from __future__ import annotations
 
 import json
+import uuid
+from decimal import Decimal
 from typing import Dict, Optional
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,6 +21,7 @@ from arcash import config as C
 
 POINTER = "_CURRENT"
 FORM = "_form.json"      # the tables' format and schemas, beside them
+METRICS = "_metrics.json"    # row counts and key totals, taken while the tables were written
 
 
 def _path(spark: SparkSession, path: str):
@@ -56,20 +59,28 @@ def read_text(spark: SparkSession, path: str) -> Optional[str]:
         stream.close()
 
 
-def export_tables(tables: Dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> None:
+def export_tables(tables: Dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> Dict[str, tuple]:
     """Write each table (parents first) with its declared columns. CSV renders dates as ISO
-    text, as the source did; the schemas are kept beside the tables, so either form reads back."""
-    written = {}
+    text, as the source did; the schemas are kept beside the tables, so either form reads back.
+
+    Returns the run's metrics, name -> (kind, value): they are observed while writing and kept
+    beside the tables too, so that a later run is compared without reading any table."""
+    written, metrics = {}, {}
     for name in (n for n in C.LOAD_ORDER if n in tables):
         df = tables[name]
-        w = df.write.mode("overwrite")
+        seen = Observation(f"{name}-{uuid.uuid4().hex}")
+        wanted = table_metrics(name)
+        w = df.observe(seen, *[c.alias(m) for m, (_, c) in wanted.items()]).write.mode("overwrite")
         if fmt == "csv":
             w.option("header", True).option("dateFormat", "yyyy-MM-dd").csv(f"{out_dir}/{name}")
         else:
             w.parquet(f"{out_dir}/{name}")
         written[name] = json.loads(df.schema.json())
+        metrics |= {m: (kind, seen.get[m]) for m, (kind, _) in wanted.items()}
     for df in list(tables.values())[:1]:
         write_text(df.sparkSession, f"{out_dir}/{FORM}", json.dumps({"format": fmt, "schemas": written}))
+        write_text(df.sparkSession, f"{out_dir}/{METRICS}", json.dumps(metrics, indent=2, default=str))
+    return metrics
 
 
 def write_review(review: Dict[str, DataFrame], out_dir: str) -> None:
@@ -80,11 +91,19 @@ def write_review(review: Dict[str, DataFrame], out_dir: str) -> None:
 
 def publish(spark: SparkSession, tables: Dict[str, DataFrame], base: str, run_id: str,
             review: Dict[str, DataFrame] = None, report: dict = None, fmt: str = "parquet") -> str:
-    """Write a complete run, then switch the pointer. Returns the run directory."""
+    """Write a complete run, then switch the pointer. Returns the run directory.
+
+    A report that holds ``compare_with_previous`` gets the comparison of the metrics just taken
+    with those stored by the run before.
+    """
     run_dir = f"{base}/run_id={run_id}"
-    export_tables(tables, run_dir, fmt)
+    previous = stored_metrics(spark, base)
+    metrics = export_tables(tables, run_dir, fmt)
     write_review(review or {}, f"{run_dir}/_review")
     if report is not None:
+        if "compare_with_previous" in report:
+            report["compare_with_previous"] = [] if previous is None else [
+                r.asDict() for r in compare_runs(previous, metric_rows(spark, metrics)).orderBy("metric").collect()]
         write_text(spark, f"{run_dir}/_validation_report.json", json.dumps(report, indent=2, default=str))
     write_text(spark, f"{base}/{POINTER}", run_id)
     return run_dir
@@ -122,22 +141,59 @@ TOTALS = (("FactInvoice", "amount_incl_gst", "total_invoiced"),
           ("forecast_weekly", "amount", "forecast_total_weekly"))
 
 
+def table_metrics(name: str) -> Dict[str, tuple]:
+    """The metrics of one table: name -> (kind, aggregate)."""
+    out = {f"rows.{name}": ("count", F.count(F.lit(1)).cast("decimal(20,2)"))}
+    for table, col, label in TOTALS:
+        if table == name:
+            out[label] = ("total", F.coalesce(F.sum(col), F.lit(0)).cast("decimal(24,2)"))
+    return out
+
+
 def run_metrics(tables: Dict[str, DataFrame]) -> DataFrame:
-    """Long form (metric, kind, value): row counts of the tables that are there, and key totals."""
+    """Long form (metric, kind, value): row counts of the tables that are there, and key totals;
+    one pass a table."""
     parts = []
     for name in (n for n in C.LOAD_ORDER if n in tables):
-        parts.append(tables[name].agg(F.count(F.lit(1)).cast("decimal(20,2)").alias("value"))
-                     .select(F.lit(f"rows.{name}").alias("metric"), F.lit("count").alias("kind"), "value"))
-    for name, col, label in TOTALS:
-        if name in tables:
-            parts.append(tables[name].agg(F.coalesce(F.sum(col), F.lit(0)).cast("decimal(24,2)").alias("value"))
-                         .select(F.lit(label).alias("metric"), F.lit("total").alias("kind"), "value"))
+        wanted = table_metrics(name)
+        row = tables[name].agg(*[c.cast("decimal(24,2)").alias(m) for m, (_, c) in wanted.items()])
+        parts.append(row.select(F.inline(F.array(*[
+            F.struct(F.lit(m).alias("metric"), F.lit(kind).alias("kind"), F.col(f"`{m}`").alias("value"))
+            for m, (kind, _) in wanted.items()]))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def metric_rows(spark: SparkSession, metrics: Dict[str, tuple]) -> DataFrame:
+    """Stored metrics in the form of ``run_metrics``."""
+    return spark.createDataFrame([(m, kind, Decimal(str(v))) for m, (kind, v) in metrics.items()],
+                                 "metric string, kind string, value decimal(24,2)")
+
+
+def stored_metrics(spark: SparkSession, base: str, run_id: str = None) -> Optional[DataFrame]:
+    """The metrics of a published run (the current one), from its small file; those of a run that
+    was published without the file are computed from its tables. None without a run."""
+    rid = run_id or current_run(spark, base)
+    if rid is None:
+        return None
+    text = read_text(spark, f"{base}/run_id={rid}/{METRICS}")
+    if text is not None:
+        return metric_rows(spark, json.loads(text))
+    tables = read_published(spark, base, rid)
+    return run_metrics(tables) if tables else None
+
+
+def compare_published(spark: SparkSession, base: str, previous: str, current: str = None) -> DataFrame:
+    """``compare_runs`` of two published runs, without reading their tables."""
+    sides = {rid: stored_metrics(spark, base, rid) for rid in (previous, current or current_run(spark, base))}
+    for rid, metrics in sides.items():
+        if metrics is None:
+            raise ValueError(f"{base} holds no run {rid}")
+    return compare_runs(*(sides[rid] for rid in (previous, current or current_run(spark, base))))
+
+
 def compare_runs(previous: DataFrame, current: DataFrame) -> DataFrame:
     """Previous vs current metrics; ``changed`` when counts differ or totals move >= 0.01. A
     table that one run lacks has a null there and counts as changed."""

@@ -91,10 +91,8 @@ def run_refresh(spark: SparkSession, inputs: RawInputs, base: str, cfg: C.RunCon
             _stop(base, run_id, "the forecast by invoice and by week differ by "
                   f"{figures['reconciliation_difference']}", {"duplicate_invoice": fc.duplicates})
 
-        previous = P.read_published(spark, base)
-        comparison = P.compare_runs(P.run_metrics(previous), P.run_metrics(tables)).collect() if previous else []
         report = {"status": "PASS", "run_id": run_id, "snapshot": cfg.snapshot, "gates": gates, "figures": figures,
-                  "compare_with_previous": [r.asDict() for r in comparison], "review_sets": sorted(review)}
+                  "compare_with_previous": [], "review_sets": sorted(review)}
         run_dir = P.publish(spark, tables, base, run_id, review=review, report=report, fmt=fmt)
     finally:
         star.close()

@@ -100,6 +100,35 @@ def test_csv_publish_reads_back_and_compares_with_a_partial_run(spark, tmp_path)
     s.close()
 
 
+def test_runs_are_compared_from_stored_metrics(spark, tmp_path):
+    from arcash.plans import publish as P
+    base = str(tmp_path / "pub")
+    fact = spark.createDataFrame([(i, Decimal("10.25")) for i in range(4)], "invoice_id int, amount_incl_gst decimal(18,2)")
+    days = spark.createDataFrame([(1,)], "date_key int")
+    P.publish(spark, {"FactInvoice": fact, "DimDate": days}, base, "a", report={"compare_with_previous": []})
+    report = {"compare_with_previous": None}
+    P.publish(spark, {"FactInvoice": fact.limit(3), "DimDate": days.limit(0)}, base, "b", report=report, fmt="csv")
+    want = [("rows.DimDate", "count", 1, 0, True), ("rows.FactInvoice", "count", 4, 3, True),
+            ("total_invoiced", "total", Decimal("41.00"), Decimal("30.75"), True)]
+    assert [(r["metric"], r["kind"], r["previous"], r["current"], r["changed"])
+            for r in report["compare_with_previous"]] == want
+    got = P.compare_published(spark, base, "a")
+    assert rows(got, "metric", "kind", "previous", "current", "changed") == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Scan parquet" not in plan and "Scan csv" not in plan
+    assert not any(r.changed for r in P.compare_published(spark, base, "b", "b").collect())
+    # the same metrics as those taken from the tables; a run without the file is read instead
+    for rid in "ab":
+        tables = P.read_published(spark, base, rid)
+        stored = rows(P.stored_metrics(spark, base, rid))
+        assert rows(P.run_metrics(tables)) == stored
+        (tmp_path / "pub" / f"run_id={rid}" / P.METRICS).rename(tmp_path / f"{rid}.json")
+        assert rows(P.stored_metrics(spark, base, rid)) == stored
+    with pytest.raises(ValueError):
+        P.compare_published(spark, base, "none")
+    assert P.stored_metrics(spark, str(tmp_path / "nothing")) is None
+
+
 def test_pointer_switch_is_one_rename(spark, tmp_path):
     from arcash.plans import publish as P
     base = str(tmp_path)
