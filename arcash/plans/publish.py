@@ -1,9 +1,10 @@
 """Sinks: star export, all-or-nothing publish and run comparison.
 
 Publish without a table format: every table of a run is written under
-``<base>/run_id=<id>/<table>``; only when all writes succeeded is the one-line pointer
-``<base>/_CURRENT`` replaced, by one rename that overwrites it. Readers see the previous
-complete run or the new complete run, never a mix and never none.
+``<base>/run_id=<id>/<table>``; only when all writes succeeded is the run committed, as the next
+version of the log in ``<base>/_log`` (``arcash.plans.commits``). Readers see the previous complete
+run or the new complete run, never a mix and never none; of publishers that race one is committed.
+A base without a log is read by its one-line pointer ``_CURRENT``, as older runs left it.
 """
 
 from __future__ import annotations
@@ -18,28 +19,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from arcash import config as C
+from arcash.plans import commits
+from arcash.plans.commits import PublishConflict, file_system, hadoop_path, read_text
 
 POINTER = "_CURRENT"
 FORM = "_form.json"      # the tables' format and schemas, beside them
 METRICS = "_metrics.json"    # row counts and key totals, taken while the tables were written
 
 
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _fs(spark: SparkSession, path: str):
-    p = _path(spark, path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace a small text file: write a new file, then rename it over the old one."""
-    fs, tmp = _fs(spark, path + ".tmp")
+    fs, tmp = file_system(spark, path + ".tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    p = fs.makeQualified(_path(spark, path))
+    p = fs.makeQualified(hadoop_path(spark, path))
     hadoop = spark._jvm.org.apache.hadoop.fs
     kind = getattr(hadoop, "Options$Rename")
     overwrite = spark.sparkContext._gateway.new_array(kind, 1)
@@ -48,17 +42,6 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(fs.makeQualified(tmp), p, overwrite)
 
 
-def read_text(spark: SparkSession, path: str) -> Optional[str]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
 def export_tables(tables: Dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> Dict[str, tuple]:
     """Write each table (parents first) with its declared columns. CSV renders dates as ISO
     text, as the source did; the schemas are kept beside the tables, so either form reads back.
@@ -90,14 +73,20 @@ def write_review(review: Dict[str, DataFrame], out_dir: str) -> None:
 
 
 def publish(spark: SparkSession, tables: Dict[str, DataFrame], base: str, run_id: str,
-            review: Dict[str, DataFrame] = None, report: dict = None, fmt: str = "parquet") -> str:
-    """Write a complete run, then switch the pointer. Returns the run directory.
+            review: Dict[str, DataFrame] = None, report: dict = None, fmt: str = "parquet",
+            based_on: int = None) -> str:
+    """Write a complete run, then commit it. Returns the run directory.
 
     A report that holds ``compare_with_previous`` gets the comparison of the metrics just taken
-    with those stored by the run before.
+    with those stored by the run before. based_on: the version (``current_version``) that the run's
+    work started from, the present one if not given. If another run was committed since, this one's
+    folder is deleted and ``PublishConflict`` raised; the other run stays the current one.
     """
-    run_dir = f"{base}/run_id={run_id}"
-    previous = stored_metrics(spark, base)
+    if based_on is None:
+        based_on = current_version(spark, base)
+    previous = stored_metrics(spark, base, commits.commit_of(spark, base, based_on).run_id if based_on else None)
+    folder = commits.claim_folder(spark, base, run_id)
+    run_dir = f"{base}/{folder}"
     metrics = export_tables(tables, run_dir, fmt)
     write_review(review or {}, f"{run_dir}/_review")
     if report is not None:
@@ -105,25 +94,43 @@ def publish(spark: SparkSession, tables: Dict[str, DataFrame], base: str, run_id
             report["compare_with_previous"] = [] if previous is None else [
                 r.asDict() for r in compare_runs(previous, metric_rows(spark, metrics)).orderBy("metric").collect()]
         write_text(spark, f"{run_dir}/_validation_report.json", json.dumps(report, indent=2, default=str))
-    write_text(spark, f"{base}/{POINTER}", run_id)
+    try:
+        commits.append(spark, base, based_on, run_id, folder)
+    except PublishConflict:
+        commits.delete_folder(spark, run_dir)
+        raise
     return run_dir
 
 
+def current_version(spark: SparkSession, base: str) -> int:
+    """The number of the last committed version; 0 before the first."""
+    return max(commits.versions(spark, base), default=0)
+
+
 def current_run(spark: SparkSession, base: str) -> Optional[str]:
+    last = commits.latest(spark, base)
+    if last:
+        return last.run_id
     rid = read_text(spark, f"{base}/{POINTER}")
     return rid.strip() if rid else None
 
 
+def run_folder(spark: SparkSession, base: str, run_id: str) -> str:
+    """Where a run's tables are: as committed, or under its id in a base without a log."""
+    commit = commits.find_run(spark, base, run_id)
+    return f"{base}/{commit.folder if commit else f'run_id={run_id}'}"
+
+
 def read_published(spark: SparkSession, base: str, run_id: str = None) -> Dict[str, DataFrame]:
     """The tables of a published run that are there, in the form they were written."""
     rid = run_id or current_run(spark, base)
     if rid is None:
         return {}
-    run_dir = f"{base}/run_id={rid}"
+    run_dir = run_folder(spark, base, rid)
     form = json.loads(read_text(spark, f"{run_dir}/{FORM}") or '{"format": "parquet", "schemas": {}}')
     out = {}
     for n in C.LOAD_ORDER:
-        fs, p = _fs(spark, f"{run_dir}/{n}")
+        fs, p = file_system(spark, f"{run_dir}/{n}")
         if not fs.exists(p):
             continue
         reader = spark.read
@@ -178,7 +185,7 @@ def stored_metrics(spark: SparkSession, base: str, run_id: str = None) -> Option
     rid = run_id or current_run(spark, base)
     if rid is None:
         return None
-    text = read_text(spark, f"{base}/run_id={rid}/{METRICS}")
+    text = read_text(spark, f"{run_folder(spark, base, rid)}/{METRICS}")
     if text is not None:
         return metric_rows(spark, json.loads(text))
     tables = read_published(spark, base, rid)

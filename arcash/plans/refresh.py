@@ -70,6 +70,7 @@ def check_gates(star: Star, base: str, run_id: str) -> dict:
 def run_refresh(spark: SparkSession, inputs: RawInputs, base: str, cfg: C.RunConfig = C.DEFAULT,
                 run_id: str = None, fmt: str = "parquet") -> RefreshResult:
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
+    started = P.current_version(spark, base)
     star = Star(inputs, cfg, materialize=True, review=True)
     try:
         gates = check_gates(star, base, run_id)
@@ -93,7 +94,8 @@ def run_refresh(spark: SparkSession, inputs: RawInputs, base: str, cfg: C.RunCon
 
         report = {"status": "PASS", "run_id": run_id, "snapshot": cfg.snapshot, "gates": gates, "figures": figures,
                   "compare_with_previous": [], "review_sets": sorted(review)}
-        run_dir = P.publish(spark, tables, base, run_id, review=review, report=report, fmt=fmt)
+        run_dir = P.publish(spark, tables, base, run_id, review=review, report=report, fmt=fmt,
+                            based_on=started)
     finally:
         star.close()
     return RefreshResult(run_dir, P.read_published(spark, base, run_id),
@@ -119,6 +121,7 @@ def run_legacy_export(spark: SparkSession, inputs: RawInputs, base: str, run_id:
                       cfg: C.RunConfig = C.LEGACY, fmt: str = "csv") -> str:
     """The older clean-only job: clean, check every row (integrity, GST, period), then export the
     six tables. The report is written either way; if a check fails nothing else is."""
+    started = P.current_version(spark, base)
     folder = RunFolder(spark, "legacy")
     try:
         tables = legacy_tables(inputs, folder, cfg)
@@ -132,6 +135,6 @@ def run_legacy_export(spark: SparkSession, inputs: RawInputs, base: str, run_id:
             _stop(base, run_id, "validation failed: " + "; ".join(errors), {"orphan_fact": orphans})
         report["outputs"] = list(LEGACY_TABLES)
         return P.publish(spark, {n: tables[n] for n in LEGACY_TABLES}, base, run_id,
-                         review={"orphan_fact": orphans}, report=report, fmt=fmt)
+                         review={"orphan_fact": orphans}, report=report, fmt=fmt, based_on=started)
     finally:
         folder.delete()
