@@ -96,7 +96,7 @@ class FactClean:
     def p99(self) -> Optional[float]:
         if self._given_p99 is not None:
             return self._given_p99
-        return exact_percentile(self.valid_amounts, "amount_incl_gst", self._cfg.outlier_p)
+        return exact_percentile(self.valid_amounts, "amount_incl_gst", self._cfg.outlier_p, written=self._cut is not None)
 
     @cached_property
     def outliers(self) -> DataFrame:
