@@ -2,19 +2,27 @@
 
 Two views of a document: what its text says (words, and the shapes of its tokens with their
 shares) and the metadata of its page (source, language, length, layout). One classifier for
-each view starts from the same labelled sample. In every round each labels the documents of
-an unlabelled pool that it is surest of, in the proportions of the labels, and hands them to
-the other view's training set. Each view is then calibrated on labelled rows that it never
+each view starts from the same labelled sample. In every round each scores all unlabelled
+documents, and those that it is surest of, in the proportions of the labels, go with its verdict
+into the other view's training. Every round draws anew, and a larger share: a wrong verdict of an
+early round can be taken back. Each view is then calibrated on labelled rows that it never
 trained on, and a logistic line over both calibrated views scores every document.
 
-Both training sets are documented, bounded samples, least by a hash of doc_id: ``max_rows``
-labelled and ``pool_rows`` unlabelled documents. Rows whose crc32(doc_id) mod 5 is 0 are held
-out of both. Scoring is one pass over all documents without a shuffle.
+Work at scale: the views' coordinates of every document are written once; a round reads them
+twice, without a shuffle: for a histogram of each view's scores, from which the driver takes the
+thresholds (a few thousand rows), and for the documents beyond them. These train in groups of
+about ``chunk`` rows, each from the labelled rows' model on; the groups' weights are averaged by
+their rows, coordinate by coordinate. So what trains grows with the corpus, and no task does. Only
+the labelled rows are a documented, bounded sample: ``max_rows`` documents, least by a hash of
+doc_id. Rows whose crc32(doc_id) mod 5 is 0 never train.
 
 Defined results: null and empty texts, and null metadata, are values of their own; a document
-marked poor in any of several label rows counts as poor; null labels are left out; without
-labels every score is 0.5; repeated rows are scored alike; an empty table gives an empty
-result; other columns play no part.
+marked poor in any of several label rows counts as poor; null labels are left out, and documents
+with a label beyond the sample count as unlabelled; without labels every score is 0.5, without
+other documents the labelled rows' models stand; rows that repeat a doc_id train as one (the
+poorest, then least) and are scored each; documents of equal score at a threshold are taken by a
+hash of doc_id; an empty table gives an empty result; a very long text is read whole and counts as
+one row; other columns play no part, and those named like a score are replaced.
 """
 
 from __future__ import annotations
@@ -22,13 +30,14 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arcash.llm.common import BoundedCache, read, ship, word_hash, worker_state
+from arcash.llm.common import BoundedCache, Scratch, read, ship, word_hash, worker_state
 from arcash.llm.toxicity import Ftrl, fold, platt
 
 ship(__name__)
@@ -64,7 +73,7 @@ def content_view(text: str | None, bits: int) -> np.ndarray:
     n = len(tokens)
     shapes = Counter(s for _, s in tokens)
     words = {h >> (64 - bits) for h, _ in tokens}
-    names = [f"shape {s} {bucket(c / n)}" for s, c in shapes.most_common(64)]
+    names = [f"shape {s} {bucket(c / n)}" for s, c in shapes.items()]
     names.append(f"distinct {bucket(len(words) / n) if n else 'none'}")
     return np.unique(np.array([*words, *_hashed(names, bits)], np.int64)).astype(np.int32)
 
@@ -82,16 +91,56 @@ def metadata_view(source, lang, n_chars, text: str | None, bits: int) -> np.ndar
     return np.unique(np.array(_hashed(names, bits), np.int64)).astype(np.int32)
 
 
+MIN_ROWS = (4, 2)       # rows that a coordinate of each view must be in
+NAMES = ("content", "metadata")
+BINS = 64               # histogram bins for one unit of log odds
+
+
+class Base(NamedTuple):
+    """What the labelled rows alone teach a view: the learner's state, and rows by coordinate."""
+    z: np.ndarray
+    n: np.ndarray
+    intercept: float
+    n0: float
+    seen: np.ndarray
+
+
+def learn_base(rows: list[np.ndarray], labels: np.ndarray, bits: int, min_rows: int) -> Base:
+    # label 0 (poor) is the rarer class, the one evidence is sought for
+    m = Ftrl(bits, l1=1.0).fit(rows, 1.0 - labels, epochs=3, min_rows=min_rows, max_clean=1.0)
+    return Base(m.z, m.n, m.intercept, m.n0, counts(rows, bits))
+
+
+def counts(rows: list[np.ndarray], bits: int) -> np.ndarray:
+    seen = np.zeros(1 << bits, np.int32)
+    for at in rows:
+        seen[at] += 1
+    return seen
+
+
+def learner(base: Base, bits: int) -> Ftrl:
+    m = Ftrl(bits, l1=1.0)
+    m.z, m.n, m.intercept, m.n0 = base.z.copy(), base.n.copy(), base.intercept, base.n0
+    return m
+
+
+def learn_more(base: Base, rows: list[np.ndarray], labels: np.ndarray, bits: int, min_rows: int) -> Ftrl:
+    """The base's learner after one visit to each row of pseudo-labels, in a mixed order."""
+    m = learner(base, bits)
+    use = base.seen + counts(rows, bits) >= min_rows
+    for i in np.random.default_rng(7).permutation(len(rows)):
+        m.learn(rows[i][use[rows[i]]], 1.0 - labels[i])
+    return m
+
+
 class View:
-    """One classifier, its training rows and its calibration."""
+    """One classifier's weights and its calibration."""
 
-    def __init__(self, bits: int, min_rows: int):
-        self.bits, self.min_rows, self.slope, self.shift = bits, min_rows, 1.0, 0.0
+    def __init__(self, bits: int):
+        self.slope, self.shift = 1.0, 0.0
         self.weight, self.intercept = np.zeros(1 << bits, np.float32), 0.0
 
-    def learn(self, rows: list[np.ndarray], labels: np.ndarray) -> None:
-        # label 0 (poor) is the rarer class, the one evidence is sought for
-        m = Ftrl(self.bits, l1=1.0).fit(rows, 1.0 - labels, epochs=3, min_rows=self.min_rows, max_clean=1.0)
+    def take(self, m: Ftrl) -> None:
         self.weight, self.intercept = -m.weights(slice(None)).astype(np.float32), -m.intercept
 
     def raw(self, at: np.ndarray) -> float:
@@ -110,51 +159,16 @@ class CoTrained:
 
     def __init__(self, bits: int):
         self.bits = bits
-        self.views = (View(bits, 4), View(bits, 2))
+        self.views = (View(bits), View(bits))
         self.line = np.array([0.5, 0.5, 0.0])
-        self.exchanged: list[tuple[int, int]] = []
-
-    def fit(self, labelled: tuple[list, list], labels: np.ndarray, pool: tuple[list, list],
-            rounds: int, share: float, sure: float) -> "CoTrained":
-        if len(labels) == 0:
-            for v in self.views:
-                v.intercept = 0.0
-            return self
-        held = np.arange(len(labels)) % 4 == 0
-        if len(labels) < 8 or len(set(labels[~held])) < 2:
-            held[:] = False
-        train = [[r for r, h in zip(rows, held) if not h] for rows in labelled]
-        y = [labels[~held], labels[~held]]
-        free = np.ones(len(pool[0]), bool)
-        poor = float(np.clip(1 - labels[~held].mean(), 0.02, 0.98))
-        for r in range(rounds + 1):
-            for v, rows, target in zip(self.views, train, y):
-                v.learn(rows, target)
-            if r == rounds or not free.any():
-                break
-            given = []
-            for k, v in enumerate(self.views):
-                at = np.flatnonzero(free)
-                p = sigmoid(np.array([v.raw(pool[k][i]) for i in at]))
-                order = np.argsort(p, kind="stable")
-                n = max(1, int(share * len(at)))
-                low = [i for i in order[:max(1, int(n * poor))] if p[i] <= 1 - sure]
-                high = [i for i in order[::-1][:max(1, int(n * (1 - poor)))] if p[i] >= sure]
-                # handed to the other view
-                other = 1 - k
-                train[other] += [pool[other][at[i]] for i in [*low, *high]]
-                y[other] = np.concatenate([y[other], np.zeros(len(low)), np.ones(len(high))])
-                given += [at[i] for i in [*low, *high]]
-            free[given] = False
-            self.exchanged.append((len(given), int(free.sum())))
-        check = held if held.any() else ~held
-        kept = [[r for r, h in zip(rows, check) if h] for rows in labelled]
-        logits = []
-        for v, rows in zip(self.views, kept):
-            v.slope, v.shift = platt(np.array([v.raw(r) for r in rows]), labels[check])
-            logits.append([v.logit(r) for r in rows])
-        self.line = combine(np.array(logits).T, labels[check])
-        return self
+        self.exchanged: list[tuple[int, int]] = []      # rows handed to each view, by round
+
+    def calibrate(self, raw: np.ndarray, labels: np.ndarray) -> None:
+        """raw: both views' scores of labelled rows, a column each."""
+        for v, s in zip(self.views, raw.T):
+            v.slope, v.shift = platt(s, labels)
+        logits = [np.clip(v.slope * s + v.shift, -30, 30) for v, s in zip(self.views, raw.T)]
+        self.line = combine(np.array(logits).T, labels)
 
     def scores(self, content: np.ndarray, metadata: np.ndarray) -> tuple[float, float, float]:
         a, b = self.views[0].logit(content), self.views[1].logit(metadata)
@@ -184,32 +198,175 @@ def views(bits: int):
     return both("text", *META)
 
 
-def samples(docs: DataFrame, labels: DataFrame, max_rows: int, pool_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Labelled ids with their label, and unlabelled ids; both bounded and out of the held fold."""
-    own = ~fold() & F.col("doc_id").isNotNull()
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    marked = (labels.where(own & F.col("quality").isNotNull()).groupBy("doc_id")
-              .agg(F.min("quality").cast("double").alias("label")).orderBy(*order).limit(max_rows))
-    free = docs.where(own).select("doc_id").join(labels.select("doc_id"), "doc_id", "left_anti") \
-        .distinct().orderBy(*order).limit(pool_rows)
-    return marked, free
-
-
-def fit(docs: DataFrame, labels: DataFrame, bits: int = 18, max_rows: int = 6_000, pool_rows: int = 6_000,
-        rounds: int = 4, share: float = 0.1, sure: float = 0.9) -> CoTrained:
-    marked, free = samples(docs, labels, max_rows, pool_rows)
-    # bounded: max_rows + pool_rows rows of an id and a label
-    chosen = F.broadcast(marked.union(free.select("doc_id", F.lit(None).cast("double"))))
-    # rows that repeat a doc_id train as one
-    rows = (docs.select("doc_id", F.struct("text", *META).alias("row")).join(chosen, "doc_id")
-            .groupBy("doc_id").agg(F.min("row").alias("row"), F.max("label").alias("label")))
-    got = rows.select("doc_id", "label", "row.*").select(
-        "doc_id", "label", views(bits).alias("v")).select("doc_id", "label", "v.*").toPandas()
-    got = got.sort_values("doc_id", kind="stable", ignore_index=True)
-    arrays = [[np.asarray(a, np.int32) for a in got[c]] for c in ("content", "metadata")]
-    known = got["label"].notna().to_numpy()
-    pick = lambda mask: tuple([a for a, m in zip(view, mask) if m] for view in arrays)
-    return CoTrained(bits).fit(pick(known), got["label"].to_numpy(float)[known], pick(~known), rounds, share, sure)
+def featured(docs: DataFrame, bits: int = 18) -> DataFrame:
+    """doc_id and both views' coordinates of every row."""
+    return docs.select("doc_id", views(bits).alias("v")).select("doc_id", "v.*")
+
+
+def labelled_sample(labels: DataFrame, max_rows: int) -> DataFrame:
+    """(doc_id, label) of the labelled documents that train: bounded, out of the held fold."""
+    return (labels.where(~fold() & F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+            .groupBy("doc_id").agg(F.min("quality").cast("double").alias("label"))
+            .orderBy(F.xxhash64("doc_id"), F.col("doc_id")).limit(max_rows))
+
+
+def raw_scores(features: DataFrame, model: CoTrained) -> DataFrame:
+    """``features`` with raw: both views' log odds, uncalibrated."""
+    sent = features.sparkSession.sparkContext.broadcast([(v.weight, v.intercept) for v in model.views])
+
+    @F.pandas_udf("array<double>")
+    def both(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            got = [[w[at].sum(dtype=np.float64) + b for at in rows] for (w, b), rows in zip(sent.value, columns)]
+            yield pd.Series(list(np.array(got, np.float64).T))
+    return features.withColumn("raw", both(*NAMES))
+
+
+class Cut(NamedTuple):
+    """Bins taken whole lie beyond ``k``; of bin ``k`` itself a share, by a hash of doc_id."""
+    k: int
+    part: float
+
+
+def outermost(bins: list[tuple[int, int]], wanted: float) -> Cut | None:
+    """The cut that takes ``wanted`` rows of (bin, rows) in the given order."""
+    for k, n in bins:
+        if wanted <= n:
+            return Cut(k, wanted / n)
+        wanted -= n
+    return Cut(bins[-1][0], 1.0) if bins else None
+
+
+def thresholds(hist: dict[int, int], wanted: float, poor: float, sure: float) -> tuple[Cut | None, Cut | None]:
+    """Where the surest poor and the surest good documents begin, in the labels' proportions."""
+    edge = float(np.log(sure / (1 - sure))) * BINS
+    low = sorted((k, n) for k, n in hist.items() if k + 1 <= -edge)
+    high = sorted(((k, n) for k, n in hist.items() if k >= edge), reverse=True)
+    return outermost(low, wanted * poor), outermost(high, wanted * (1 - poor))
+
+
+def score_bin(view: int) -> F.Column:
+    return F.floor(F.greatest(F.lit(-35.0), F.least(F.lit(35.0), F.col("raw")[view])) * BINS).cast("int")
+
+
+def histograms(scored: DataFrame) -> list[dict[int, int]]:
+    """Rows by score bin, of each view; 2 x 70 x BINS rows at most come to the driver."""
+    got = (scored.select(F.posexplode(F.array(score_bin(0), score_bin(1))).alias("view", "k"))
+           .groupBy("view", "k").count().collect())
+    return [{r["k"]: r["count"] for r in got if r["view"] == v} for v in (0, 1)]
+
+
+def verdict(view: int, low: Cut | None, high: Cut | None) -> F.Column:
+    """0.0 or 1.0 for a document that the view is surest of, else null."""
+    k = score_bin(view)
+    u = F.pmod(F.xxhash64("doc_id", F.lit(view)), F.lit(1 << 20)) / float(1 << 20)
+    none = F.lit(None).cast("double")
+    poor = (k < low.k) | ((k == low.k) & (u < low.part)) if low else F.lit(False)
+    good = (k > high.k) | ((k == high.k) & (u < high.part)) if high else F.lit(False)
+    return F.when(poor, 0.0).when(good, 1.0).otherwise(none)
+
+
+def handed_over(scored: DataFrame, cuts: list) -> DataFrame:
+    """(view, doc_id, label, at): what each view learns from the other's verdicts, a row an id."""
+    own = F.array(*[F.struct(F.lit(v).alias("view"), verdict(1 - v, *cuts[1 - v]).alias("label"),
+                             F.col(NAMES[v]).alias("at")) for v in (0, 1)])
+    return (scored.select("doc_id", F.inline(own)).where(F.col("label").isNotNull())
+            .groupBy("view", "doc_id").agg(F.min(F.struct("label", "at")).alias("row"))
+            .select("view", "doc_id", "row.*"))
+
+
+def as_rows(column: pd.Series) -> list[np.ndarray]:
+    return [np.asarray(a, np.int32) for a in column]
+
+
+def fit_base(known: DataFrame, bits: int) -> list[Base]:
+    """Each view's state after the labelled rows that are not for calibration, a task a view."""
+    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("doc_id", kind="stable")
+        view = int(pdf["view"].iloc[0])
+        b = learn_base(as_rows(pdf["at"]), pdf["label"].to_numpy(float), bits, MIN_ROWS[view])
+        return pd.DataFrame({"view": [view], "z": [b.z], "n": [b.n], "intercept": [b.intercept],
+                             "n0": [b.n0], "seen": [b.seen]})
+    both = F.array(*[F.struct(F.lit(v).alias("view"), F.col(NAMES[v]).alias("at")) for v in (0, 1)])
+    got = known.select("doc_id", "label", F.inline(both)).groupBy("view").applyInPandas(
+        learn, "view int, z array<double>, n array<double>, intercept double, n0 double, seen array<int>").toPandas()
+    return [Base(*(r[c] for c in Base._fields)) for _, r in got.sort_values("view").iterrows()]
+
+
+def fit_more(rows: DataFrame, base: list[Base], bits: int, groups: int) -> list[tuple[np.ndarray, float, int]]:
+    """Each view's weights, intercept and rows after the pseudo-labels: trained in groups from the
+    base on, averaged by the groups' rows."""
+    sent = rows.sparkSession.sparkContext.broadcast(base)
+
+    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("doc_id", kind="stable")
+        view = int(pdf["view"].iloc[0])
+        m = learn_more(sent.value[view], as_rows(pdf["at"]), pdf["label"].to_numpy(float), bits, MIN_ROWS[view])
+        w = -m.weights(slice(None))
+        at = np.flatnonzero(w)
+        # the intercept goes along as coordinate -1
+        return pd.DataFrame({"view": [view], "rows": [len(pdf)], "at": [np.append(at, -1)],
+                             "weight": [np.append(w[at], -m.intercept)]})
+    trained = (rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(groups))).groupBy("view", "part")
+               .applyInPandas(learn, "view int, rows long, at array<int>, weight array<double>"))
+    # one row a coordinate: 2 ** bits of a view at most
+    got = (trained.select("view", "rows", F.inline(F.arrays_zip("at", "weight")))
+           .groupBy("view", "at").agg(F.sum(F.col("weight") * F.col("rows")).alias("sum"),
+                                      F.sum("rows").alias("rows")).toPandas())
+    out = []
+    for view in (0, 1):
+        mine = got[got["view"] == view]
+        if mine.empty:
+            m = learner(base[view], bits)
+            out.append((-m.weights(slice(None)), -m.intercept, 0))
+            continue
+        shift = mine[mine["at"] == -1].iloc[0]
+        weight, own = np.zeros(1 << bits), mine[mine["at"] >= 0]
+        weight[own["at"]] = own["sum"] / shift["rows"]
+        out.append((weight, float(shift["sum"] / shift["rows"]), int(shift["rows"])))
+    return out
+
+
+def fit(features: DataFrame, labels: DataFrame, scratch: Scratch, bits: int = 18, max_rows: int = 6_000,
+        rounds: int = 3, share: float = 0.1, sure: float = 0.9, chunk: int = 20_000) -> CoTrained:
+    """Co-train over ``features`` (``featured``, written): see the module's text. Round r hands over
+    ``r * share`` of the unlabelled documents, of those scored ``sure`` or more of a class."""
+    model = CoTrained(bits)
+    # bounded: max_rows rows of an id and a label
+    marked = F.broadcast(scratch.cut(labelled_sample(labels, max_rows), "marked"))
+    known = scratch.cut(
+        features.join(marked, "doc_id").groupBy("doc_id")
+        .agg(F.min(F.struct(*NAMES)).alias("row"), F.max("label").alias("label"))
+        .select("doc_id", "label", "row.*", (F.pmod(F.xxhash64("doc_id", F.lit("check")), F.lit(4)) == 0).alias("check")),
+        "known")
+    n = {(r["check"], r["label"]): r["count"] for r in known.groupBy("check", "label").count().collect()}
+    if not n:
+        return model
+    if sum(n.values()) < 8 or len([k for k in n if not k[0]]) < 2 or not any(k[0] for k in n):
+        train, check = known, known
+        n = {(False, y): sum(c for k, c in n.items() if k[1] == y) for _, y in n}
+    else:
+        train, check = known.where("not check"), known.where("check")
+    base = fit_base(train, bits)
+    for v, b in zip(model.views, base):
+        v.take(learner(b, bits))
+    good = sum(c for k, c in n.items() if not k[0] and k[1] == 1.0)
+    poor = float(np.clip(1 - good / sum(c for k, c in n.items() if not k[0]), 0.02, 0.98))
+    pool = features.where(~fold() & F.col("doc_id").isNotNull()).join(marked.select("doc_id"), "doc_id", "left_anti")
+    for r in range(1, rounds + 1):
+        scored = raw_scores(pool, model)
+        hists = histograms(scored)
+        wanted = r * share * sum(hists[0].values())
+        cuts = [thresholds(h, wanted, poor, sure) for h in hists]
+        if not any(c for pair in cuts for c in pair):
+            break
+        new = fit_more(handed_over(scored, cuts), base, bits, max(1, -(-int(wanted) // chunk)))
+        for v, (weight, intercept, _) in zip(model.views, new):
+            v.weight, v.intercept = weight.astype(np.float32), intercept
+        model.exchanged.append((new[0][2], new[1][2]))
+    got = raw_scores(check, model).select("doc_id", "label", "raw").toPandas().sort_values("doc_id", kind="stable")
+    model.calibrate(np.array(got["raw"].tolist(), np.float64).reshape(-1, 2), got["label"].to_numpy(float))
+    return model
 
 
 def score(docs: DataFrame, model: CoTrained) -> DataFrame:
@@ -230,9 +387,24 @@ def score(docs: DataFrame, model: CoTrained) -> DataFrame:
     return rows.select("_row.*", "_s.*")
 
 
+def score_features(features: DataFrame, model: CoTrained) -> DataFrame:
+    """doc_id, content_score, metadata_score and score of every row of ``featured``."""
+    sent = features.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("content_score double, metadata_score double, score double")
+    def scored(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        m = sent.value
+        for content, metadata in batches:
+            yield pd.DataFrame([m.scores(c, d) for c, d in zip(content, metadata)],
+                               columns=["content_score", "metadata_score", "score"], dtype="float64")
+    return features.select("doc_id", scored(*NAMES).alias("_s")).select("doc_id", "_s.*")
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, content_score, metadata_score, score and keep for every document."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", *META)
-    model = fit(docs, read(spark, sf_dir, "labels").select("doc_id", "quality"))
-    return score(docs, model).select("doc_id", fold().alias("held_out"), "content_score", "metadata_score",
-                                     "score", (F.col("score") >= 0.5).alias("keep"))
+    scratch = Scratch(spark, "quality")
+    features = scratch.cut(featured(read(spark, sf_dir, "documents").select("doc_id", "text", *META)), "features")
+    model = fit(features, read(spark, sf_dir, "labels").select("doc_id", "quality"), scratch)
+    return score_features(features, model).select(
+        "doc_id", fold().alias("held_out"), "content_score", "metadata_score", "score",
+        (F.col("score") >= 0.5).alias("keep"))
