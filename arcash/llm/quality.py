@@ -290,7 +290,8 @@ def fit_base(known: DataFrame, bits: int) -> list[Base]:
     both = F.array(*[F.struct(F.lit(v).alias("view"), F.col(NAMES[v]).alias("at")) for v in (0, 1)])
     got = known.select("doc_id", "label", F.inline(both)).groupBy("view").applyInPandas(
         learn, "view int, z array<double>, n array<double>, intercept double, n0 double, seen array<int>").toPandas()
-    return [Base(*(r[c] for c in Base._fields)) for _, r in got.sort_values("view").iterrows()]
+    return [Base(np.asarray(r["z"], float), np.asarray(r["n"], float), r["intercept"], r["n0"],
+                 np.asarray(r["seen"], np.int32)) for _, r in got.sort_values("view").iterrows()]
 
 
 def fit_more(rows: DataFrame, base: list[Base], bits: int, groups: int) -> list[tuple[np.ndarray, float, int]]:

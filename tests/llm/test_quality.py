@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from arcash.llm import quality as Q
 from arcash.llm.common import Scratch
@@ -58,7 +59,17 @@ def label_table(spark, pairs):
     return spark.createDataFrame(pairs, "doc_id long, quality int")
 
 
-def test_views_exchange_pseudo_labels(spark):
+@pytest.fixture(params=["true", "false"])
+def arrow(spark, request):
+    """Sessions with and without Arrow in toPandas."""
+    name = "spark.sql.execution.arrow.pyspark.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield
+    spark.conf.set(name, before)
+
+
+def test_views_exchange_pseudo_labels(spark, arrow):
     rng = np.random.default_rng(3)
     y = rng.integers(0, 2, 600).astype(float)
     rows = view_rows(y, rng)
