@@ -14,10 +14,13 @@ def staged(df, **columns):
 
     Later filters and projections that use a column several times would otherwise be merged
     into this projection, repeating its whole expression at each use (the date parse alone
-    has 18 branches). A one-row generator is a boundary the optimizer does not merge across.
+    has 18 branches). A one-row generator is a boundary the optimizer does not merge across. The
+    columns are computed by a projection below it: a generator outside whole-stage generation
+    interprets its expressions, a projection compiles them.
     """
     rest = [c for c in df.columns if c not in columns]
-    return df.select(*rest, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+    computed = df.select(*rest, F.struct(*[c.alias(n) for n, c in columns.items()]).alias("_staged"))
+    return computed.select(*rest, F.inline(F.array("_staged")))
 
 
 def with_date(df, src: str, dst: str):
@@ -34,12 +37,34 @@ def with_date(df, src: str, dst: str):
             .drop(tmp))
 
 
+_MONTHS = ", ".join(f"'{m}', '{i}'" for i, m in enumerate(
+    ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"), 1))
+
+
+def plain_date_sql(q: str) -> str:
+    """The date of a cell in one of the main shapes with a four-digit year, by one shape test and a
+    cast; null if it has another shape or is no date. A pattern parse that fails costs an exception
+    and a second parser, which every month-first cell would pay.
+
+    A day-first reading needs a month up to 12; where it has one but no such day, the month-first
+    reading has no month, so the two never compete."""
+    def iso_form(shape: str, form: str) -> str:
+        return f"try_cast(regexp_replace({q}, {sql_str(shape)}, {sql_str(form)}) AS DATE)"
+    year_first, day_first = r"^\d{4}([-/])\d{1,2}\1\d{1,2}$", r"^\d{1,2}([-/])(0?[1-9]|1[0-2])\1\d{4}$"
+    return (f"CASE WHEN {q} RLIKE {sql_str(year_first)} THEN try_cast(replace({q}, '/', '-') AS DATE) "
+            f"WHEN {q} RLIKE {sql_str(day_first)} THEN " + iso_form(r"^(\d+).(\d+).(\d+)$", "$3-$2-$1") +
+            f" WHEN {q} RLIKE {sql_str(C.DATE_SHAPES['d-MMM-yyyy'])} THEN try_cast(concat(right({q}, 4), '-', "
+            f"map({_MONTHS})[lower(substr({q}, -8, 3))], '-', split_part({q}, '-', 1)) AS DATE) "
+            f"WHEN {q} RLIKE {sql_str(C.DATE_SHAPES['M/d/yyyy'])} THEN " + iso_form(r"^(\d+)/(\d+)/(\d+)$", "$3-$1-$2") +
+            " END")
+
+
 def parse_date_sql(name: str, patterns=C.DATE_PATTERNS, fallback=C.DATE_FALLBACK_PATTERNS) -> Column:
     """Try each pattern in order (day-first wins); first match -> ``DateType``. One SQL
     expression over a stripped text column. Blank or unmatched -> null; two-digit years from
     the pivot on belong to the 1900s."""
     q = quote(name)
-    tries = []
+    tries = [plain_date_sql(q)] if tuple(patterns) == C.DATE_PATTERNS else []
     for p in tuple(patterns) + tuple(fallback):
         t = f"try_to_date({q}, {sql_str(p)})"
         if "yy" in p and "yyyy" not in p:

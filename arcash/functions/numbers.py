@@ -18,7 +18,7 @@ MONEY = "decimal(22,2)"
 
 def to_number(c) -> Column:
     """``'$1,080.5'`` -> 1080.500000; blank or unparseable -> null."""
-    cleaned = strip(F.regexp_replace(col_(c), r"[$,]", ""))
+    cleaned = strip(F.replace(F.replace(col_(c), F.lit("$"), F.lit("")), F.lit(","), F.lit("")))
     return F.when(is_blank(c), F.lit(None).cast(MONEY_PARSE)).otherwise(cleaned.try_cast(MONEY_PARSE))
 
 
@@ -30,7 +30,7 @@ def to_terms(c) -> Column:
 
 def id_digits(c) -> Column:
     """Every non-digit removed; '' when nothing is left."""
-    return F.regexp_replace(F.coalesce(col_(c), F.lit("")), r"[^0-9]", "")
+    return F.regexp_replace(F.coalesce(col_(c), F.lit("")), r"[^0-9]+", "")
 
 
 def to_int_id(c) -> Column:
@@ -38,8 +38,7 @@ def to_int_id(c) -> Column:
 
     Every non-digit is dropped (``'1.0'`` -> 10, ``'-5'`` -> 5), matching the source.
     """
-    d = id_digits(c)
-    return F.when(d != "", d.try_cast("bigint"))
+    return id_digits(c).try_cast("bigint")
 
 
 def format_id(c, prefix: str = "CUST", width: int = 3) -> Column:

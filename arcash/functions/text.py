@@ -17,6 +17,9 @@ from arcash import config as C
 # White space is any Unicode space or separator, as spreadsheets export it.
 SPACE = r"[\s\x{1C}-\x{1F}\x{85}\p{Z}]"
 _NULL_WORD = rf"(?i)^{SPACE}*(null|none|nan)?{SPACE}*$"
+# The characters of SPACE, for a trim that looks at a cell's ends only.
+SPACES = "".join(map(chr, (32, *range(9, 14), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                           0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def col_(c) -> Column:
@@ -44,7 +47,7 @@ def quote(name: str) -> str:
 
 def strip(c) -> Column:
     """Remove leading/trailing whitespace of any kind (Spark ``trim`` only drops spaces)."""
-    return F.regexp_replace(col_(c), rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(col_(c), F.lit(SPACES))
 
 
 def scrub_cell(c, csv_tokens: bool = True) -> Column:
@@ -105,10 +108,9 @@ def canon(c, mapping: Mapping, missing="Unknown") -> Column:
 
 def canon_known(c, mapping: Mapping, valid: Iterable[str], missing="Unknown") -> Column:
     """Canonicalise into a closed set; non-blank values outside it become ``Unknown``."""
-    mapped = lookup(mapping, F.lower(strip(c)))
-    return (F.when(is_blank(c), F.lit(missing))
-            .when(mapped.isin(*list(valid)), mapped)
-            .otherwise(F.lit("Unknown")))
+    closed = {k: v for k, v in mapping.items() if v in set(valid)}
+    mapped = lookup(closed, F.lower(strip(c))) if closed else F.lit(None).cast("string")
+    return F.when(is_blank(c), F.lit(missing)).otherwise(F.coalesce(mapped, F.lit("Unknown")))
 
 
 def canon_or_null(c, mapping: Mapping, unmapped="Unknown") -> Column:

@@ -46,6 +46,15 @@ def get_session(master: str = None, app: str = "arcash", shuffle_partitions: int
     return spark
 
 
+def compile_wide_stages(spark: SparkSession) -> None:
+    """Give a session that was not built by ``get_session`` its limit for generated methods: above
+    it the JVM never compiles them, and the clean of the invoices runs interpreted. A limit that
+    the caller set is kept."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(key) == "65535":      # Spark's own default
+        spark.conf.set(key, DEFAULTS[key])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 

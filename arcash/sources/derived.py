@@ -17,6 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arcash.session import compile_wide_stages
 from arcash.sources.raw import scrub_nulls
 
 RAW_CUSTOMER_SQL = """
@@ -119,6 +120,7 @@ _CUSTOMER_COLS = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
 def derived_raw(spark: SparkSession, sf_dir: str, table: str, scrub: bool = True,
                 sources: dict = None) -> DataFrame:
     """One raw export derived from the given tables, as text with ``_seq``."""
+    compile_wide_stages(spark)
     sources = sources or {}
     orders = sources.get("orders") or _table(spark, sf_dir, "orders", _ORDER_COLS)
     customer = sources.get("customer") or _table(spark, sf_dir, "customer", _CUSTOMER_COLS)
