@@ -18,6 +18,7 @@ repeated or null doc_id are packed each for itself; an empty table gives an empt
 from __future__ import annotations
 
 import math
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -69,14 +70,18 @@ class ChunkIds:
 
     @staticmethod
     def _bytes(ids) -> bytes:
-        return np.asarray(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _pre_token(self, word: str) -> bytes:
         letters = word if word.isascii() else "".join(map(self.letter.get, word.encode()))
         return self._bytes([x.id for x in self.model.tokenize(letters)])
 
     def _chunk(self, chunk: str) -> bytes:
-        if "<|" in chunk or not self.plain.fullmatch(chunk):
+        latin = chunk.isascii()
+        if latin and chunk.isalpha():       # letters only: one pre-token
+            return self.pre_token[chunk.lower()]
+        # without a space, printable ASCII is PLAIN
+        if "<|" in chunk or not (chunk.isprintable() if latin else self.plain.fullmatch(chunk)):
             return self._bytes(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
         return b"".join(map(self.pre_token.__getitem__, self.split.findall(chunk.lower())))
 
