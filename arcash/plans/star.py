@@ -16,7 +16,7 @@ from arcash import config as C
 from arcash.operators.calendar import dim_date, dim_date_fiscal
 from arcash.operators.customers import clean_customers
 from arcash.operators.dimensions import dim_category, dim_invoice_status, dim_payment_method
-from arcash.operators.fact import clean_fact
+from arcash.operators.fact import clean_fact, first_rows, parsed_dates
 from arcash.operators.forecast import (customer_lags, forecast_by_invoice, forecast_weekly,
                                        lag_statistics, lag_tables, stress_forecast)
 from arcash.session import RunFolder
@@ -51,6 +51,7 @@ class Star:
                  review: bool = False):
         self.inputs, self.cfg, self.materialize, self.review = inputs, cfg, materialize, review
         self.folder = RunFolder(SparkSession.active(), "star")
+        self.fact_rows = None
 
     def _cut(self, df: DataFrame, name: str, **how) -> DataFrame:
         if not self.materialize:
@@ -70,9 +71,15 @@ class Star:
     def customers(self):
         return clean_customers(self.inputs.customer, self.cfg)
 
+    def share_rows(self, other: "Star") -> None:
+        """Write the parsed first invoice rows once for this run and ``other``, a run over the same
+        exports: they depend on no setting."""
+        self.fact_rows = other.fact_rows = self.folder.cut(parsed_dates(first_rows(self.inputs.fact)), "fact_rows")
+
     @cached_property
     def fact_clean(self):
-        return clean_fact(self.inputs.fact, self.dim_customer, self.cfg, cut=self._cut if self.review else None)
+        return clean_fact(self.inputs.fact, self.dim_customer, self.cfg, cut=self._cut if self.review else None,
+                          rows=self.fact_rows)
 
     @cached_property
     def gated(self):
